@@ -64,3 +64,27 @@ def keyed_case(key: Column, table: dict, default=None) -> Column:
     for k, v in table.items():
         out = F.when(key == k, F.lit(v)) if out is None else out.when(key == k, F.lit(v))
     return out.otherwise(F.lit(default))
+
+
+# A declarative feature set. Windows, normalization, and features as
+# published; `excluded` names what must never become an input.
+ETH_FLOW_SPEC = {
+    "name": "eth_flow_v1",
+    "asset": "ETHUSDT",
+    "target": "CONTINUATION_vs_ABSORPTION",
+    "event_filter": {"spike_percentile": "p75+"},
+    "windows": {"short": "250ms", "fast": "1s", "medium": "5s", "baseline": "60s"},
+    "normalization": {"method": "rolling_zscore", "baseline_window": "60s", "min_periods": 30},
+    "features": [
+        {"name": "signed_imbalance_1s", "normalize": True},
+        {"name": "burst_1s", "normalize": False},
+        {"name": "ret_1s", "normalize": True},
+        {"name": "vol_ratio_1s_5s", "normalize": False},
+        {"name": "burst_accel_1s_5s", "normalize": False},
+    ],
+    "excluded": ["post_spike_decay", "max_adverse_excursion", "max_favorable_excursion", "retrace_ratio"],
+}
+
+# Texts of a scored signal.
+CONTINUATION_TEXT = "%s spike — directional momentum detected. Continuation likely (%.0f%%)."
+ABSORPTION_TEXT = "%s spike — absorption pattern. Reversal likely (%.0f%%)."

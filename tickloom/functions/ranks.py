@@ -28,15 +28,18 @@ def nearest_rank_index(n: Column, p: float) -> Column:
     return F.least(F.floor(n * F.lit(float(p))).cast("bigint"), n - F.lit(1))
 
 
-def exact_ranks(df: DataFrame, keys: Sequence[str], value: str, wanted: dict[str, callable]) -> DataFrame:
+def exact_ranks(
+    df: DataFrame, keys: Sequence[str], value: str, wanted: dict[str, callable], bucket=value_bucket
+) -> DataFrame:
     """One row per group: `n` and, per name, the value at a 0-based sorted index.
 
-    `wanted` maps an output name to a function of the count column giving the index.
+    `wanted` maps an output name to a function of the count column giving the
+    index. `bucket` is any monotone function of the value with few results.
     """
     keys = list(keys)
     counted = (
         df.filter(F.col(value).isNotNull())
-        .select(*keys, F.col(value).alias("_v"), value_bucket(F.col(value)).alias("_vb"))
+        .select(*keys, F.col(value).alias("_v"), bucket(F.col(value)).alias("_vb"))
         .groupBy(*keys, "_vb", "_v")
         .agg(F.count(F.lit(1)).alias("_c"))
     )

@@ -279,7 +279,7 @@ def _flow(start: str, end: str = "now") -> dict[str, Column]:
     changes = gap("n_diff") - F.coalesce(F.col(f"{start}.next_d1"), F.lit(1)) - F.coalesce(F.col(f"{start}.next_d2"), F.lit(1))
     mean_x = F.try_divide(sum_x, n_x)
     # equal moves have no spread: counted exactly, not left to rounding of totals
-    var = F.when(changes <= 0, F.lit(0.0)).otherwise(F.greatest(F.try_divide(sum_xx, n_x) - mean_x * mean_x, F.lit(0.0)))
+    var = F.when(n_x <= 0, F.lit(None)).when(changes <= 0, F.lit(0.0)).otherwise(F.greatest(F.try_divide(sum_xx, n_x) - mean_x * mean_x, F.lit(0.0)))
     has_volume = gap("n_q") - (first_q > 0).cast("int") > 0
     # quantities have at most 8 decimals: rounding removes what differencing totals adds
     signed = F.when(has_volume, F.round(gap("sum_c") - first_c, 8)).otherwise(F.lit(0.0))

@@ -7,11 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.functions.scalars import rnd
-from tickloom.operators import asof, backtest, candles, events, features, labels, outcomes, signals, spikes
-from tickloom.operators.layout import latest_ms
+from tickloom import config
+from tickloom.functions.scalars import clock, rnd
+from tickloom.operators import (
+    asof, backtest, candles, events, features, featurespec, labels, learning, outcomes, signals, spikes,
+)
+from tickloom.operators.layout import latest_ms, slot_start
 from tickloom.plans import oracle as o
 from tickloom.plans.oracle import CTES, d, move, nearest, pct, share, statement
+from tickloom.session import materialize
 from tickloom.sources import tables
 from tickloom.sources import ticks as src
 
@@ -622,3 +626,260 @@ def exec_cost_win_rate(t):
   LEFT JOIN (SELECT symbol, count(*) AS spikes_detected FROM spikes GROUP BY symbol) USING (symbol) LEFT JOIN stats USING (symbol)""")
 def backtest_report(t):
     return backtest.backtest_report(t)
+
+
+# ---- feature spec ------------------------------------------------------------------
+
+CTES["eth"] = "SELECT * FROM changes WHERE symbol = 'ETHUSDT'"
+
+
+def _window_sql(name: str, ms: int) -> str:
+    """n, signed volume and move deviation of [t - ms, t), without the first tick's change."""
+    return f"""SELECT id, count(*) AS n_{name}, coalesce(sum(c) FILTER (k > 1), 0) AS signed_{name}, stddev_pop(x) FILTER (k > 1) AS std_{name} FROM (
+      SELECT s.id, m.c, m.move_pct AS x, row_number() OVER (PARTITION BY s.id ORDER BY m.event_time_ms, m.id) AS k
+      FROM eth s JOIN eth m ON m.event_time_ms >= s.event_time_ms - {ms} AND m.event_time_ms < s.event_time_ms) GROUP BY id"""
+
+
+CTES["eth_fast"] = _window_sql("fast", 1000)
+CTES["eth_medium"] = _window_sql("medium", 5000)
+CTES["eth_base"] = _window_sql("base", 60000)
+CTES["eth_back"] = """SELECT s.id, arg_max(m.price, (m.event_time_ms, m.id)) AS back FROM eth s JOIN eth m
+  ON m.event_time_ms <= s.event_time_ms - 1000 GROUP BY s.id"""
+CTES["eth_raw"] = """SELECT s.symbol, s.id, s.event_time_ms, s.move_pct, coalesce(signed_fast, 0::DOUBLE) AS signed_imbalance_1s,
+    coalesce(n_fast, 0) / nullif(coalesce(n_base, 0) / 60::DOUBLE, 0) AS burst_1s, (s.price - back) / back AS ret_1s,
+    std_fast / nullif(std_medium, 0) AS vol_ratio_1s_5s,
+    coalesce(n_fast, 0) / nullif(coalesce(n_base, 0) / 60::DOUBLE, 0) - (coalesce(n_medium, 0) / 5::DOUBLE) / nullif(coalesce(n_base, 0) / 60::DOUBLE, 0) AS burst_accel_1s_5s
+  FROM eth s LEFT JOIN eth_fast USING (id) LEFT JOIN eth_medium USING (id) LEFT JOIN eth_base USING (id) LEFT JOIN eth_back USING (id)"""
+CTES["eth_norm"] = """SELECT s.id, """ + ", ".join(
+    f"count(m.{f}) AS n_{f}, avg(m.{f}) AS a_{f}, stddev_pop(m.{f}) AS s_{f}" for f in ("signed_imbalance_1s", "ret_1s")
+) + """ FROM eth_raw s JOIN eth_raw m ON m.event_time_ms >= s.event_time_ms - 60000 AND m.event_time_ms < s.event_time_ms GROUP BY s.id"""
+
+
+def _z_sql(f: str) -> str:
+    return f"CASE WHEN n_{f} >= 30 THEN {sql_rnd(f'(r.{f} - a_{f}) / nullif(s_{f}, 0)', 6)} END AS {f}"
+
+
+@on_ticks("feature_spec_eth_flow", f"""SELECT r.symbol, r.id, r.event_time_ms, {_z_sql('signed_imbalance_1s')}, {sql_rnd('burst_1s', 6)} AS burst_1s,
+    {_z_sql('ret_1s')}, {sql_rnd('vol_ratio_1s_5s', 6)} AS vol_ratio_1s_5s, {sql_rnd('burst_accel_1s_5s', 6)} AS burst_accel_1s_5s
+  FROM eth_raw r LEFT JOIN eth_norm USING (id) JOIN profile p ON p.symbol = r.symbol WHERE r.move_pct >= p75""")
+def feature_spec_eth_flow(t):
+    return featurespec.spec_features(t, signals.pct_profile(t, latest_ms(t)))
+
+
+# ---- learning ----------------------------------------------------------------------
+
+STORE_COST = 0.1
+
+
+def stored_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feature table, written once to the shared folder because several jobs read it."""
+    return materialize(learning.feature_store(src.read_ticks(spark, sf_dir), STORE_COST), "feature_store")
+
+
+def on_store(name: str, sql: str | None = None):
+    """Register a function of the stored feature table."""
+
+    def add(fn: Callable[[DataFrame], DataFrame]):
+        query(name, sql)(lambda spark, sf_dir: fn(stored_features(spark, sf_dir)))
+        return fn
+
+    return add
+
+
+FLOW = list(config.FLOW_FEATURES)
+CTES["model_rows"] = f"""SELECT id, symbol, event_time_ms, {', '.join(f'CAST({f} AS DOUBLE) AS {f}' for f in FLOW)},
+    CASE WHEN micro_label IN ('CONTINUATION_UP', 'CONTINUATION_DOWN') THEN 1 ELSE 0 END AS label
+  FROM store WHERE micro_label IN ('CONTINUATION_UP', 'CONTINUATION_DOWN', 'ABSORPTION') AND abs(zscore) >= 0.5::DOUBLE
+    AND {' AND '.join(f'{f} IS NOT NULL' for f in FLOW)}"""
+CTES["split_at"] = """SELECT list_extract(list(event_time_ms ORDER BY event_time_ms), CAST(least(floor(count(*) * 0.7::DOUBLE), count(*) - 1) AS BIGINT) + 1) AS split_ms
+  FROM model_rows"""
+CTES["split_rows"] = """SELECT *, CASE WHEN event_time_ms <= split_ms - 60000 THEN 'train' ELSE 'test' END AS part FROM model_rows, split_at
+  WHERE event_time_ms <= split_ms - 60000 OR event_time_ms >= split_ms + 60000"""
+CTES["train_stats"] = "SELECT " + ", ".join(f"avg({f}) AS m_{f}, stddev_pop({f}) AS s_{f}" for f in FLOW) + " FROM split_rows WHERE part = 'train'"
+CTES["scored_rows"] = """SELECT *, round(1 / (1 + exp(-(0.8::DOUBLE * zscore + 0.5::DOUBLE * imbalance_20))), 6) AS score FROM model_rows"""
+
+
+def scored_rows(store: DataFrame) -> DataFrame:
+    """Model rows with a fixed score, so that reports can be checked without a fitted model."""
+    logit = F.lit(0.8) * F.col("zscore") + F.lit(0.5) * F.col("imbalance_20")
+    return learning.dataset(store).withColumn("score", F.round(F.lit(1.0) / (F.lit(1.0) + F.exp(-logit)), 6))
+
+
+@on_ticks("feature_store", "SELECT * EXCLUDE (signal, confidence) FROM store")
+def feature_store(t):
+    return learning.feature_store(t, STORE_COST).drop("signal", "confidence")
+
+
+@on_store("ml_dataset", "SELECT * FROM model_rows")
+def ml_dataset(store):
+    return learning.dataset(store)
+
+
+CTES["plain_rows"] = f"""SELECT id, symbol, event_time_ms, label, row_number() OVER (ORDER BY event_time_ms, id, symbol) AS rn, count(*) OVER () AS n FROM model_rows"""
+
+
+@on_store("walk_forward_split", """SELECT id, symbol, event_time_ms, label, CASE WHEN rn <= floor(n * 0.7::DOUBLE) THEN 'train' ELSE 'test' END AS part FROM plain_rows""")
+def walk_forward_split(store):
+    return learning.walk_forward_split(learning.dataset(store).select("id", "symbol", "event_time_ms", "label"))
+
+
+@on_store("purged_split", "SELECT id, symbol, event_time_ms, label, part FROM split_rows")
+def purged_split(store):
+    return learning.purged_split(learning.dataset(store)).select("id", "symbol", "event_time_ms", "label", "part")
+
+
+@on_store("standardize", "SELECT id, symbol, part, " + ", ".join(
+    sql_rnd(f"({f} - m_{f}) / CASE WHEN s_{f} > 0 THEN s_{f} ELSE 1 END", 6) + f" AS {f}" for f in FLOW) + " FROM split_rows, train_stats")
+def standardize(store):
+    split = learning.purged_split(learning.dataset(store))
+    scaled = learning.standardize(split, FLOW, split.filter(F.col("part") == "train"))
+    return scaled.select("id", "symbol", "part", *[rnd(F.col(f), 6).alias(f) for f in FLOW])
+
+
+@on_store("class_weights", f"""SELECT label, n, {sql_rnd('sum(n) OVER () / (count(*) OVER () * n)', 6)} AS weight FROM (
+  SELECT label, count(*) AS n FROM split_rows WHERE part = 'train' GROUP BY label)""")
+def class_weights(store):
+    train = learning.purged_split(learning.dataset(store)).filter(F.col("part") == "train")
+    return learning.class_weights(train).withColumn("weight", rnd(F.col("weight"), 6))
+
+
+CTES["score_ranks"] = """SELECT *, (rank() OVER (ORDER BY score) + (count(*) OVER (PARTITION BY score) - 1) / 2::DOUBLE) AS r FROM scored_rows"""
+
+
+@on_store("auc_brier", f"""SELECT count(*) AS n, sum(label) AS positives,
+    {sql_rnd('(sum(r) FILTER (label = 1) - sum(label) * (sum(label) + 1) / 2::DOUBLE) / nullif(sum(label) * (count(*) - sum(label)), 0)', 6)} AS auc,
+    {sql_rnd('avg((score - label) * (score - label))', 6)} AS brier FROM score_ranks""")
+def auc_brier(store):
+    return learning.auc_brier(scored_rows(store))
+
+
+CTES["score_edges"] = "SELECT quantile_cont(score, [" + ", ".join(f"{i / 10}::DOUBLE" for i in range(1, 10)) + "]) AS edges FROM scored_rows"
+CTES["score_bins"] = "SELECT *, len(list_filter(edges, lambda e: e < score)) AS bin FROM scored_rows, score_edges"
+
+
+@on_store("calibration_curve", f"""SELECT bin, count(*) AS n, {sql_rnd('avg(score)', 6)} AS mean_predicted, {sql_rnd('avg(label)', 6)} AS fraction_positive,
+    {sql_rnd('avg(label) - avg(score)', 6)} AS gap, CASE WHEN avg(label) - avg(score) < -0.1::DOUBLE THEN 'OVERCONFIDENT'
+      WHEN avg(label) - avg(score) > 0.1::DOUBLE THEN 'UNDERCONFIDENT' ELSE '' END AS flag FROM score_bins GROUP BY bin""")
+def calibration_curve(store):
+    return learning.calibration_curve(scored_rows(store))
+
+
+@on_store("confidence_buckets", f"""SELECT lo, hi, count(*) AS n, {sql_rnd('avg(label) * 100', 1)} AS hit_rate FROM scored_rows,
+    (VALUES {', '.join(f'({lo}::DOUBLE, {hi}::DOUBLE)' for lo, hi in learning.CONFIDENCE_RANGES)}) AS ranges(lo, hi)
+  WHERE score >= lo AND score < hi GROUP BY lo, hi HAVING count(*) > 10""")
+def confidence_buckets(store):
+    return learning.confidence_buckets(scored_rows(store))
+
+
+@on_store("threshold_hit_rate", f"""SELECT threshold, count(*) AS n, {sql_rnd('avg(label) * 100', 1)} AS hit_rate FROM scored_rows,
+    (VALUES (0.55::DOUBLE), (0.60::DOUBLE), (0.65::DOUBLE)) AS cuts(threshold) WHERE score > threshold GROUP BY threshold""")
+def threshold_hit_rate(store):
+    return learning.threshold_hit_rate(scored_rows(store))
+
+
+# A fixed linear model for the checkable form of the scored signals.
+SCORE_WEIGHTS = [0.9, 0.4, -0.3, 0.6, -0.2, 0.5, 0.3, 0.2, -0.4]
+SCORE_INTERCEPT = 0.1
+CTES["fresh_rows"] = f"""SELECT symbol, id, price, event_time_ms, bucket, {', '.join(f'coalesce(CAST({f} AS DOUBLE), 0) AS {f}' for f in FLOW)} FROM store
+  WHERE imbalance_20 IS NOT NULL QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY event_time_ms DESC, id DESC) <= 200"""
+CTES["fresh_stats"] = "SELECT " + ", ".join(f"avg({f}) AS m_{f}, stddev_pop({f}) AS s_{f}" for f in FLOW) + " FROM model_rows"
+CTES["fresh_parts"] = "SELECT r.*, [" + ", ".join(
+    f"{{'c': -abs(({f} - m_{f}) / s_{f} * {d(w)}), 'i': {i}, 'name': '{f}'}}" for i, (f, w) in enumerate(zip(FLOW, SCORE_WEIGHTS))
+) + "] AS parts, 1 / (1 + exp(-(" + f"{d(SCORE_INTERCEPT)} + " + " + ".join(
+    f"({f} - m_{f}) / s_{f} * {d(w)}" for f, w in zip(FLOW, SCORE_WEIGHTS)) + "))) AS s FROM fresh_rows r, fresh_stats"
+
+
+@on_store("signals_scored", f"""SELECT symbol, id, price, event_time_ms, 'CONTINUATION' AS signal, bucket AS spike_type, {sql_rnd('s', 3)} AS score,
+    CASE WHEN s >= 0.8::DOUBLE THEN 'HIGH' WHEN s >= 0.6::DOUBLE THEN 'MEDIUM' ELSE 'LOW' END AS confidence,
+    bucket || ' spike — directional momentum detected. Continuation likely (' || printf('%.0f', s * 100) || '%).' AS interpretation,
+    'FILTER_IN' AS action, list_aggregate(list_transform(list_sort(parts)[1:3], lambda p: p.name), 'string_agg', ',') AS drivers
+  FROM fresh_parts WHERE s >= 0.5::DOUBLE QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY event_time_ms DESC, id DESC) <= 20""")
+def signals_scored(store):
+    scaled = learning.standardize(learning.newest_feature_rows(store), FLOW, learning.dataset(store))
+    return learning.score_signals(scaled, FLOW, SCORE_WEIGHTS, SCORE_INTERCEPT)
+
+
+def scaled_split(store: DataFrame, features: list[str] = FLOW, **options) -> DataFrame:
+    """Purged split with scaled inputs, written once because every fit reads it."""
+    split = learning.purged_split(learning.dataset(store, features, **options))
+    scaled = learning.standardize(split, features, split.filter(F.col("part") == "train"))
+    return materialize(scaled, "scaled_split")
+
+
+def parts(split: DataFrame) -> tuple[DataFrame, DataFrame]:
+    return split.filter(F.col("part") == "train"), split.filter(F.col("part") == "test")
+
+
+@on_store("logreg_fit")
+def logreg_fit(store):
+    split = scaled_split(store)
+    train, test = parts(split)
+    model = learning.fit_logistic(train, FLOW)
+    report = learning.auc_brier(learning.predict(model, test, FLOW))
+    ranked = F.array(*[F.struct(F.lit(f).alias("name"), F.lit(c).alias("coefficient")) for f, c in learning.coefficients(model, FLOW)])
+    return report.withColumn("coefficients", F.to_json(ranked))
+
+
+@on_store("isotonic_calibrated")
+def isotonic_calibrated(store):
+    train, test = parts(scaled_split(store))
+    scored = materialize(learning.isotonic_scores(train, test, FLOW), "calibrated")
+    raw = learning.auc_brier(scored).withColumn("stage", F.lit("raw"))
+    return raw.unionByName(learning.auc_brier(scored, "calibrated").withColumn("stage", F.lit("calibrated")))
+
+
+@on_store("feature_ablation")
+def feature_ablation(store):
+    base = list(config.BASE_FEATURES)
+    split = scaled_split(store, base, positive=("CONTINUATION_UP",), labels=None, min_abs_z=None)
+    return learning.feature_ablation(split, base)
+
+
+@on_store("signals_scored_fitted")
+def signals_scored_fitted(store):
+    rows = learning.dataset(store)
+    train = materialize(learning.standardize(rows, FLOW, rows), "scaled_all")
+    model = learning.fit_logistic(train, FLOW)
+    fresh = learning.standardize(learning.newest_feature_rows(store), FLOW, rows)
+    return learning.score_signals(fresh, FLOW, model.coefficients.toArray().tolist(), float(model.intercept))
+
+
+# ---- tables and scalars ------------------------------------------------------------
+
+
+@on_ticks("table_counts", """SELECT 'market_events' AS table_name, count(*) AS n_rows FROM ticks
+  UNION ALL SELECT 'signal_outcomes', count(*) FROM outcomes UNION ALL SELECT 'feature_store', count(*) FROM features""")
+def table_counts(t):
+    return tables.table_counts({
+        "market_events": t, "signal_outcomes": resolved(t), "feature_store": features.sampled_ticks(t),
+    })
+
+
+@on_ticks("scalar_smoke", f"""SELECT id, abs(price - 78100) AS abs_gap, round(price, 1) AS rounded, {sql_rnd('sqrt(quantity)', 8)} AS root, CAST(floor(price) AS BIGINT) AS whole,
+    greatest(least(quantity, 5::DOUBLE), 1::DOUBLE) AS clipped, CAST(sign(price - 78100) AS BIGINT) AS direction,
+    event_time_ms // 60000 * 60000 AS minute_ms, event_time_ms // 3600000 % 24 AS hour, {CLOCK} AS clock,
+    strftime(epoch_ms(event_time_ms), '%Y-%m-%dT%H:%M:%S') AS iso, upper(symbol) AS upper_symbol, symbol IN ('BTCUSDT', 'ETHUSDT') AS is_major,
+    CASE WHEN quantity > 5 THEN 'big' ELSE 'small' END AS size, coalesce(nullif(quantity, 0), -1) AS quantity_or,
+    printf('%.1f%%', quantity) AS pct_text, symbol AS decoded FROM ticks""")
+def scalar_smoke(t):
+    time = F.col("event_time_ms")
+    as_json = F.to_json(F.struct("symbol", "id"))
+    return t.select(
+        "id",
+        F.abs(F.col("price") - 78100).alias("abs_gap"),
+        F.round("price", 1).alias("rounded"),
+        rnd(F.sqrt("quantity"), 8).alias("root"),
+        F.floor("price").alias("whole"),
+        F.greatest(F.least("quantity", F.lit(5.0)), F.lit(1.0)).alias("clipped"),
+        F.signum(F.col("price") - 78100).cast("bigint").alias("direction"),
+        slot_start(time, 60_000).alias("minute_ms"),
+        F.expr("event_time_ms div 3600000 % 24").alias("hour"),
+        clock(time).alias("clock"),
+        F.date_format(F.timestamp_millis(time), "yyyy-MM-dd'T'HH:mm:ss").alias("iso"),
+        F.upper("symbol").alias("upper_symbol"),
+        F.col("symbol").isin("BTCUSDT", "ETHUSDT").alias("is_major"),
+        F.when(F.col("quantity") > 5, F.lit("big")).otherwise(F.lit("small")).alias("size"),
+        F.coalesce(F.nullif("quantity", F.lit(0.0)), F.lit(-1.0)).alias("quantity_or"),
+        F.format_string("%.1f%%", "quantity").alias("pct_text"),
+        F.from_json(as_json, "symbol string, id bigint")["symbol"].alias("decoded"),
+    )
