@@ -1,0 +1,117 @@
+"""Keyed state for streams: the running streak, and signals waiting for a later price.
+
+Each handler gets one micro-batch of one symbol, sorts it by (time, id) and works on
+whole columns. The source's rate limit (files or offsets per trigger) bounds it.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+
+from tickloom import config
+
+STREAK_OUTPUT = "id long, symbol string, event_time_ms long, signal string, streak long"
+RESOLVED_OUTPUT = (
+    "id long, symbol string, signal string, bucket string, price_entry double, "
+    "horizon string, price double, status string"
+)
+
+
+def _sorted_batch(rows: Iterator[pd.DataFrame]) -> pd.DataFrame:
+    return pd.concat(list(rows), ignore_index=True).sort_values(["event_time_ms", "id"], kind="stable")
+
+
+class StreakProcessor(StatefulProcessor):
+    """Signal of each tick from its move, and how often it repeated (state: last price, signal, count)."""
+
+    def __init__(self, edges: dict[tuple[str, str], str], cap: int = config.STREAK_CAP):
+        self.edges, self.cap = edges, cap
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.last = handle.getValueState("last", "price double, signal string, streak long")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        symbol = key[0]
+        batch = _sorted_batch(rows)
+        price, signal, streak = self.last.get() if self.last.exists() else (None, None, 0)
+        prices = batch["price"].to_numpy(float)
+        prev = np.concatenate([[np.nan if price is None else price], prices[:-1]])
+        rated = (prev > 0) & batch["p75"].notna().to_numpy()
+        with np.errstate(invalid="ignore", divide="ignore"):
+            size = np.abs((prices - prev) / prev * 100.0)
+        bounds = [size < batch[p].to_numpy(float) for p in ("p75", "p90", "p99")]
+        bucket = np.select(bounds, [0, 1, 2], 3)
+        names = np.array([self.edges.get((symbol, b), "NO_EDGE") for b in config.BUCKETS])[bucket]
+        out = batch.loc[rated, ["id", "event_time_ms"]].assign(symbol=symbol, signal=names[rated])
+        if len(out):
+            changed = out["signal"].ne(out["signal"].shift())
+            run = changed.cumsum()
+            count = out.groupby(run).cumcount() + 1
+            carried = streak if out["signal"].iloc[0] == signal else 0
+            count = count + np.where(run == 1, carried, 0)
+            out["streak"] = np.minimum(count, self.cap)
+            signal, streak = out["signal"].iloc[-1], int(out["streak"].iloc[-1])
+        else:
+            out["streak"] = pd.Series(dtype="int64")
+        self.last.update((float(prices[-1]), signal, streak))
+        yield out[["id", "symbol", "event_time_ms", "signal", "streak"]]
+
+    def close(self) -> None:
+        pass
+
+
+class OutcomeProcessor(StatefulProcessor):
+    """Waiting signals take the first tick at or after time + horizon; an event-time timer gives up on them."""
+
+    def __init__(self, horizons: dict[str, int], give_up_ms: int):
+        self.horizons, self.give_up_ms = horizons, give_up_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.waiting = handle.getListState(
+            "waiting", "id long, signal string, bucket string, price_entry double, horizon string, target long"
+        )
+
+    def _pending(self) -> list[tuple]:
+        return list(self.waiting.get()) if self.waiting.exists() else []
+
+    def _rows(self, symbol: str, found: list[tuple]) -> pd.DataFrame:
+        names = [c.split()[0] for c in RESOLVED_OUTPUT.split(", ")]
+        return pd.DataFrame(
+            [(i, symbol, s, b, p, h, price, status) for (i, s, b, p, h, _), price, status in found], columns=names
+        )
+
+    def _keep(self, waiting: list[tuple]) -> None:
+        if waiting:
+            self.waiting.put(waiting)
+        else:
+            self.waiting.clear()
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        batch = _sorted_batch(rows)
+        ticks = batch[batch["signal"].isna()]
+        waiting = self._pending()
+        for r in batch[batch["signal"].notna()].itertuples(index=False):
+            for name, ms in self.horizons.items():
+                target = int(r.event_time_ms) + ms
+                waiting.append((int(r.id), r.signal, r.bucket, float(r.price), name, target))
+                self.handle.registerTimer(target + self.give_up_ms)
+        times, prices = ticks["event_time_ms"].to_numpy("int64"), ticks["price"].to_numpy(float)
+        at = np.searchsorted(times, np.array([w[5] for w in waiting], dtype="int64"), side="left")
+        found = [(w, float(prices[i]), "FOUND") for w, i in zip(waiting, at) if i < len(times)]
+        self._keep([w for w, i in zip(waiting, at) if i >= len(times)])
+        yield self._rows(key[0], found)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        now = expiredTimerInfo.getExpiryTimeInMs()
+        waiting = self._pending()
+        late = [w for w in waiting if w[5] + self.give_up_ms <= now]
+        self._keep([w for w in waiting if w[5] + self.give_up_ms > now])
+        yield self._rows(key[0], [(w, None, "PENDING") for w in late])
+
+    def close(self) -> None:
+        pass
