@@ -7,7 +7,24 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickloom.operators.layout import BEFORE_NOW, SLOT_MS, UNTIL_NOW, order_key, slot_start
+from tickloom.operators.layout import HOT_ROWS, SLOT_MS, UNTIL_NOW, hot_slots, order_key, slot_start, with_slots
+
+
+def _gap_slots(prev_slot, prev_width, slot_ms: int):
+    """Slots from the previous head's slot up to, not including, this head's slot."""
+
+    def steps(first, last, width):
+        return F.when(first <= last, F.sequence(first, last, width)).otherwise(F.array().cast("array<bigint>"))
+
+    wide = F.lit(slot_ms).cast("bigint")
+    prev_wide = slot_start(prev_slot, slot_ms)
+    same = steps(prev_slot, F.col("_slot") - 1, prev_width)
+    far = F.concat(
+        steps(prev_slot, prev_wide + slot_ms - 1, prev_width),
+        steps(prev_wide + slot_ms, F.col("_wide") - 1, wide),
+        steps(F.col("_wide"), F.col("_slot") - 1, F.col("_width")),
+    )
+    return F.when(prev_wide == F.col("_wide"), same).otherwise(far)
 
 
 def asof_forward(
@@ -15,63 +32,49 @@ def asof_forward(
     ticks: DataFrame,
     target: str = "target_ms",
     slot_ms: int = SLOT_MS,
-    anchored: bool = True,
+    offsets: Sequence[int] = (0,),
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """For each probe (symbol, `target`): price and time of the first tick with time >= target.
 
-    Adds `found_price` and `found_ms` (null when no such tick exists). Ticks and
-    probes meet in the slot of their time; inside a slot one backward pass with a
-    running "last tick seen" answers all probes, n log n for any density. A probe
-    whose slot has no later tick gets the first tick of the next non-empty slot,
-    carried over a table of one row per symbol and slot.
+    Adds `found_price` and `found_ms` (null when no such tick exists). No target may
+    lie before the symbol's first tick, as holds for probes that are ticks
+    themselves. `offsets` are the distances from ticks to targets; they only tell
+    which slots will be crowded.
 
-    `anchored` says that no target lies before the symbol's first tick, as for
-    probes that are ticks themselves; then `probes` is evaluated once. With
-    anchored=False the slots of the probes are looked up first and any target is
-    answered.
+    Ticks and probes meet in the slot of their time; inside a slot one backward pass
+    with a running "last tick seen" answers all probes, n log n for any density. A
+    probe whose slot has no later tick gets the first tick of the next non-empty slot,
+    carried over a table of one row per symbol and slot.
     """
-    slot = slot_start(F.col("_t"), slot_ms)
     key = order_key(F.col("_t"), F.col("_i"), slot_ms)
-    points = ticks.select("symbol", F.col("event_time_ms").alias("_t"), F.col("id").alias("_i"), "price")
-    heads = points.groupBy("symbol", slot.alias("_chunk")).agg(
+    hot = hot_slots(ticks, "event_time_ms", slot_ms, offsets=sorted({0, *offsets}), hot_rows=hot_rows)
+    points = with_slots(
+        ticks.select("symbol", F.col("event_time_ms").alias("_t"), F.col("id").alias("_i"), "price"), hot, F.col("_t"), slot_ms
+    )
+    heads = points.groupBy("symbol", "_wide", "_width", "_slot").agg(
         F.min_by("price", key).alias("price"), F.min("_t").alias("_t")
     )
-    head = F.struct("_t", "price")
-    if anchored:
-        # the head of a slot answers the slots from the previous non-empty one up to it
-        before = Window.partitionBy("symbol").orderBy("_chunk")
-        gap = F.sequence(F.lag("_chunk").over(before), F.col("_chunk") - slot_ms, F.lit(slot_ms).cast("bigint"))
-        answers = heads.select("symbol", head.alias("_next"), gap.alias("_gap")).select(
-            "symbol", "_next", F.explode("_gap").alias("_chunk")
-        )
-    else:
-        wanted = (
-            probes.select("symbol", slot_start(F.col(target), slot_ms).alias("_chunk"))
-            .groupBy("symbol", "_chunk")
-            .agg(F.lit(True).alias("_asked"))
-        )
-        later = Window.partitionBy("symbol").orderBy(F.col("_chunk").desc()).rowsBetween(*BEFORE_NOW)
-        answers = (
-            heads.join(wanted, ["symbol", "_chunk"], "full")
-            .withColumn("_next", F.last(F.when(F.col("_t").isNotNull(), head), ignorenulls=True).over(later))
-            .filter(F.col("_asked") & F.col("_next").isNotNull())
-        )
+    before = Window.partitionBy("symbol").orderBy("_slot")
+    gap = _gap_slots(F.lag("_slot").over(before), F.lag("_width").over(before), slot_ms)
+    answers = heads.select("symbol", F.struct("_t", "price").alias("_next"), gap.alias("_gap")).select(
+        "symbol", "_next", F.explode("_gap").alias("_slot")
+    )
     carried = answers.select(
-        "symbol", "_chunk", F.col("_next._t").alias("_at"), F.lit(0).cast("bigint").alias("_i"),
+        "symbol", "_slot", F.col("_next._t").alias("_at"), F.lit(0).cast("bigint").alias("_i"),
         F.col("_next").alias("_tick"), F.lit(None).cast(probes.schema).alias("_probe"),
     )
     tick_rows = points.select(
-        "symbol", slot.alias("_chunk"), F.col("_t").alias("_at"), "_i",
+        "symbol", "_slot", F.col("_t").alias("_at"), "_i",
         F.struct("_t", "price").alias("_tick"), F.lit(None).cast(probes.schema).alias("_probe"),
     )
-    probe_rows = probes.select(
-        "symbol", slot_start(F.col(target), slot_ms).alias("_chunk"), F.col(target).alias("_at"),
-        F.lit(-1).cast("bigint").alias("_i"),
-        F.lit(None).cast("struct<_t:bigint,price:double>").alias("_tick"),
-        F.struct(*probes.columns).alias("_probe"),
+    packed = probes.select("symbol", F.col(target).alias("_at"), F.struct(*probes.columns).alias("_probe"))
+    probe_rows = with_slots(packed, hot, F.col("_at"), slot_ms).select(
+        "symbol", "_slot", "_at", F.lit(-1).cast("bigint").alias("_i"),
+        F.lit(None).cast("struct<_t:bigint,price:double>").alias("_tick"), "_probe",
     )
     backward = (
-        Window.partitionBy("symbol", "_chunk")
+        Window.partitionBy("symbol", "_slot")
         .orderBy(F.col("_at").desc(), F.col("_i").desc())
         .rowsBetween(*UNTIL_NOW)
     )
@@ -101,7 +104,7 @@ def asof_horizons(
         .withColumn("_name", F.col("_step.name"))
         .drop("_step")
     )
-    found = asof_forward(asked, ticks)
+    found = asof_forward(asked, ticks, offsets=tuple(horizons.values()))
     rest = [c for c in probes.columns if c not in keys]
     return found.groupBy(*keys).agg(
         *[F.first(c).alias(c) for c in rest],

@@ -32,7 +32,7 @@ def follow_trades(
         entries = entries.withColumn(
             "direction", F.when(F.col("direction") == "down", F.lit("up")).otherwise(F.lit("down"))
         )
-    closed = asof_forward(entries, ticks).filter(F.col("found_price").isNotNull())
+    closed = asof_forward(entries, ticks, offsets=[h * 1000 for h in holds]).filter(F.col("found_price").isNotNull())
     gross = F.try_divide(F.col("found_price") - F.col("price"), F.col("price"))
     signed = F.when(F.col("direction") == "up", gross).otherwise(-gross)
     return closed.withColumns({
@@ -192,7 +192,7 @@ def exec_cost_win_rate(
     )
     net = F.col("price") - F.col("found_price") - F.col("prev_price") * cost
     return (
-        asof_forward(moves, ticks)
+        asof_forward(moves, ticks, offsets=(horizon_ms,))
         .filter(F.col("found_price").isNotNull())
         .groupBy("symbol")
         .agg(F.count_if(net > 0).alias("wins"), F.count(F.lit(1)).alias("total"))

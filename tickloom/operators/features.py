@@ -21,10 +21,10 @@ from tickloom.operators.layout import (
     RANK_CHUNK,
     UNTIL_NOW,
     chunk_of_rank,
+    chunk_offsets,
     chunk_window,
     oldest_per_symbol,
     rank_chunks,
-    slot_offsets,
     time_chunks,
     with_rank,
 )
@@ -54,7 +54,7 @@ def tick_blocks(ticks: DataFrame, stride: int = STRIDE, before: int = 0, after:
         .agg(
             F.bool_or("_home").alias("_home"),
             F.min(F.struct(F.col("_rn").alias("_order"), F.struct(*head_cols).alias("row"))).alias("_h"),
-            F.array_sort(
+            F.sort_array(
                 F.collect_list(F.struct("_rn", F.col("event_time_ms").alias("t"), F.col("price").alias("p")))
             ).alias("items"),
         )
@@ -88,7 +88,7 @@ def _with_moves(rows: DataFrame) -> DataFrame:
             F.when(F.col("prev_price") > 0, F.try_divide(F.abs(F.col("price") - F.col("prev_price")), F.col("prev_price")) * 100.0)
             .otherwise(F.lit(0.0)),
         )
-        .withColumn("_moves", F.array_sort(series.pct_moves(F.col("past"))))
+        .withColumn("_moves", F.sort_array(series.pct_moves(F.col("past"))))
         .withColumn("_k", F.size("_moves"))
         .withColumn("_mean", series.mean(F.col("_moves")))
         .withColumn("_std", series.std_pop(F.col("_moves")))
@@ -143,7 +143,7 @@ def spread_snapshot(ticks: DataFrame, current_ms, back_ms: int = 5_000, rows: in
     recent = oldest_per_symbol(
         ticks.select("id", "symbol", "event_time_ms", "price").filter(F.col("event_time_ms") >= now - back_ms), rows
     )
-    prices = F.transform(F.array_sort(F.collect_list(F.struct("_pos", "price"))), lambda x: x["price"])
+    prices = F.transform(F.sort_array(F.collect_list(F.struct("_pos", "price"))), lambda x: x["price"])
     return recent.groupBy("symbol").agg(prices.alias("prices")).select(
         "symbol",
         F.size("prices").cast("bigint").alias("ticks"),
@@ -214,9 +214,7 @@ def lookback_counts(ticks: DataFrame, windows: Sequence[int] = (1_000, 2_000, 60
 
 def with_feature_rank(ticks: DataFrame, chunk_ms: int, before_ms: int, after_ms: int) -> DataFrame:
     """Time chunks whose own rows also know their per-symbol number `_rn` (one exchange)."""
-    offsets = slot_offsets(ticks, chunk_ms, "event_time_ms").select(
-        "symbol", F.col("_slot").alias("_chunk"), "_base"
-    )
+    offsets = chunk_offsets(ticks, chunk_ms)
     rows = time_chunks(ticks, chunk_ms, before_ms, after_ms).repartition("symbol", "_chunk")
     own = F.sum(F.col("_home").cast("bigint")).over(chunk_window().rowsBetween(*UNTIL_NOW))
     return rows.withColumn("_own", own).join(offsets, ["symbol", "_chunk"], "left").withColumn(

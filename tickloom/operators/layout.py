@@ -13,6 +13,10 @@ Both are one hash exchange on (symbol, _chunk); windows, local aggregates and
 lookups on those keys reuse it. The per-slot tables behind the carries and the
 row numbers hold one row per symbol and time slot: they grow with calendar time,
 not with the number of ticks.
+
+Slots are a minute wide, but a minute that holds too many ticks of a symbol is cut
+into narrower slots (down to a millisecond), so neither a hot symbol nor a hot
+minute ends up in one task.
 """
 
 from __future__ import annotations
@@ -26,6 +30,9 @@ SLOT_MS = 60_000          # slots for carries and row numbers
 FRAME_CHUNK_MS = 300_000  # chunks for windows with a time halo
 RANK_CHUNK = 8_192        # rows per rank chunk
 
+HOT_ROWS = 1_000_000      # a slot with more rows is cut into narrower ones
+HOT_SLOTS_MAX = 100_000   # and at most this many slots are: the size bound of their table
+
 UNTIL_NOW = (Window.unboundedPreceding, Window.currentRow)
 BEFORE_NOW = (Window.unboundedPreceding, -1)
 
@@ -72,50 +79,65 @@ def time_chunks(
     )
 
 
-def with_previous(df: DataFrame, fetch: Sequence[str] = ("price",), slot_ms: int = SLOT_MS) -> DataFrame:
+def hot_slots(
+    df: DataFrame, time: str = "event_time_ms", slot_ms: int = SLOT_MS, offsets: Sequence[int] = (0,),
+    hot_rows: int = HOT_ROWS,
+) -> DataFrame:
+    """(symbol, _wide, _width): slots with too many rows, and how wide their pieces shall be.
+
+    A slot counts as hot above max(hot_rows, rows / HOT_SLOTS_MAX) rows, so there
+    are fewer than HOT_SLOTS_MAX of them whatever the size of the table, and it is safe
+    to broadcast. `offsets` also counts the rows at shifted times.
+    """
+    shifted = [F.col(time) + F.lit(o).cast("bigint") for o in offsets]
+    times = df.select("symbol", (F.explode(F.array(*shifted)) if len(shifted) > 1 else shifted[0]).alias("_t"))
+    counts = times.groupBy("symbol", slot_start(F.col("_t"), slot_ms).alias("_wide")).agg(
+        F.count(F.lit(1)).alias("_rows")
+    )
+    total = times.agg(F.count(F.lit(1)).alias("n")).scalar()
+    limit = F.greatest(F.lit(hot_rows).cast("bigint"), F.ceil(total / F.lit(HOT_SLOTS_MAX)))
+    width = F.greatest(F.floor(F.lit(slot_ms) * limit / F.col("_rows")).cast("bigint"), F.lit(1).cast("bigint"))
+    return counts.filter(F.col("_rows") > limit).select("symbol", "_wide", width.alias("_width"))
+
+
+def with_slots(df: DataFrame, hot: DataFrame, time: Column, slot_ms: int = SLOT_MS) -> DataFrame:
+    """Add `_wide` (the slot of full width), `_width` and `_slot` (the slot to work in)."""
+    width = F.coalesce("_width", F.lit(slot_ms).cast("bigint"))
+    placed = df.withColumn("_wide", slot_start(time, slot_ms)).join(F.broadcast(hot), ["symbol", "_wide"], "left")
+    return placed.withColumn("_width", width).withColumn("_slot", time - F.pmod(time - F.col("_wide"), F.col("_width")))
+
+
+def with_previous(
+    df: DataFrame, fetch: Sequence[str] = ("price",), slot_ms: int = SLOT_MS, hot_rows: int = HOT_ROWS
+) -> DataFrame:
     """Add `prev_<col>`: the value at the tick before this one, per symbol.
 
     One exchange of the rows. The last tick of each slot is carried into the next
     non-empty slot, so the first row of a slot sees its true predecessor.
     `fetch` names numeric columns.
     """
-    time, ident = F.col("event_time_ms"), F.col("id")
-    key = order_key(time, ident, slot_ms)
-    tails = (
-        df.groupBy("symbol", slot_start(time, slot_ms).alias("_chunk"))
-        .agg(*[F.max_by(c, key).alias(f"_last_{c}") for c in fetch])
-    )
-    slots = Window.partitionBy("symbol").orderBy("_chunk")
+    time = F.col("event_time_ms")
+    key = order_key(time, F.col("id"), slot_ms)
+    placed = with_slots(df, hot_slots(df, "event_time_ms", slot_ms, hot_rows=hot_rows), time, slot_ms).drop("_wide", "_width")
+    tails = placed.groupBy("symbol", "_slot").agg(*[F.max_by(c, key).alias(f"_last_{c}") for c in fetch])
+    slots = Window.partitionBy("symbol").orderBy("_slot")
     carried = tails.select(
-        "symbol", "_chunk", *[F.lag(f"_last_{c}").over(slots).alias(f"_carry_{c}") for c in fetch]
-    )
-    rows = time_chunks(df, slot_ms).drop("_home")
-    w = Window.partitionBy("symbol", "_chunk").orderBy("event_time_ms", "id")
-    lagged = rows.withColumn("_first", F.row_number().over(w) == 1)
-    for c in fetch:
-        lagged = lagged.withColumn(f"_lag_{c}", F.lag(c).over(w))
-    joined = lagged.join(carried, ["symbol", "_chunk"], "left")
-    for c in fetch:
-        joined = joined.withColumn(
-            f"prev_{c}", F.when(F.col("_first"), F.col(f"_carry_{c}")).otherwise(F.col(f"_lag_{c}"))
-        )
-    drop = ["_first"] + [f"_lag_{c}" for c in fetch] + [f"_carry_{c}" for c in fetch]
-    return joined.drop(*drop)
-
-
-def slot_offsets(df: DataFrame, slot_ms: int, time: str, descending: bool = False) -> DataFrame:
-    """Per (symbol, slot): rows in earlier slots (`_base`) and of the symbol (`_n`)."""
-    counts = df.groupBy("symbol", slot_start(F.col(time), slot_ms).alias("_slot")).agg(
-        F.count(F.lit(1)).alias("_cnt")
-    )
-    order = F.col("_slot").desc() if descending else F.col("_slot")
-    w = Window.partitionBy("symbol").orderBy(order)
-    return counts.select(
-        "symbol",
-        "_slot",
-        F.coalesce(F.sum("_cnt").over(w.rowsBetween(*BEFORE_NOW)), F.lit(0)).alias("_base"),
-        F.sum("_cnt").over(Window.partitionBy("symbol")).alias("_n"),
+        "symbol", "_slot", *[F.lag(f"_last_{c}").over(slots).alias(f"_carry_{c}") for c in fetch]
     )
+    w = Window.partitionBy("symbol", "_slot").orderBy("event_time_ms", "id")
+    lagged = placed.withColumns({"_first": F.row_number().over(w) == 1} | {f"_lag_{c}": F.lag(c).over(w) for c in fetch})
+    joined = lagged.join(carried, ["symbol", "_slot"], "left")
+    previous = {
+        f"prev_{c}": F.when(F.col("_first"), F.col(f"_carry_{c}")).otherwise(F.col(f"_lag_{c}")) for c in fetch
+    }
+    return joined.withColumns(previous).select(*df.columns, *previous)
+
+
+def chunk_offsets(df: DataFrame, chunk_ms: int, time: str = "event_time_ms") -> DataFrame:
+    """Per (symbol, time chunk): rows of the symbol in earlier chunks (`_base`)."""
+    counts = df.groupBy("symbol", slot_start(F.col(time), chunk_ms).alias("_chunk")).agg(F.count(F.lit(1)).alias("_cnt"))
+    earlier = Window.partitionBy("symbol").orderBy("_chunk").rowsBetween(*BEFORE_NOW)
+    return counts.select("symbol", "_chunk", F.coalesce(F.sum("_cnt").over(earlier), F.lit(0)).alias("_base"))
 
 
 def with_rank(
@@ -124,6 +146,7 @@ def with_rank(
     descending: bool = False,
     slot_ms: int = SLOT_MS,
     peers: bool = False,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Add `_rn` (1-based row number per symbol) and `_n` (rows of the symbol).
 
@@ -132,19 +155,24 @@ def with_rank(
     `_rn_first` is the number of the first row at the same time.
     """
     time = order[0]
-    offsets = slot_offsets(df, slot_ms, time, descending)
-    keys = [F.col(c).desc() if descending else F.col(c) for c in order]
-    part = Window.partitionBy("symbol", "_slot")
-    out = (
-        df.withColumn("_slot", slot_start(F.col(time), slot_ms))
-        .withColumn("_local", F.row_number().over(part.orderBy(*keys)))
+    placed = with_slots(df, hot_slots(df, time, slot_ms, hot_rows=hot_rows), F.col(time), slot_ms).drop("_wide", "_width")
+    counts = placed.groupBy("symbol", "_slot").agg(F.count(F.lit(1)).alias("_cnt"))
+    by_slot = Window.partitionBy("symbol").orderBy(F.col("_slot").desc() if descending else F.col("_slot"))
+    offsets = counts.select(
+        "symbol", "_slot",
+        F.coalesce(F.sum("_cnt").over(by_slot.rowsBetween(*BEFORE_NOW)), F.lit(0)).alias("_base"),
+        F.sum("_cnt").over(Window.partitionBy("symbol")).alias("_n"),
     )
+    keys = [F.col(c).desc() if descending else F.col(c) for c in order]
+    inside = Window.partitionBy("symbol", "_slot")
+    numbers = {"_local": F.row_number().over(inside.orderBy(*keys))}
     if peers:
-        out = out.withColumn("_peer", F.rank().over(part.orderBy(keys[0])))
-    out = out.join(offsets, ["symbol", "_slot"], "inner").withColumn("_rn", F.col("_base") + F.col("_local"))
+        numbers["_peer"] = F.rank().over(inside.orderBy(keys[0]))
+    joined = placed.withColumns(numbers).join(offsets, ["symbol", "_slot"], "inner")
+    ranks = {"_rn": F.col("_base") + F.col("_local")}
     if peers:
-        out = out.withColumn("_rn_first", F.col("_base") + F.col("_peer"))
-    return out.drop("_slot", "_local", "_base", "_peer")
+        ranks["_rn_first"] = F.col("_base") + F.col("_peer")
+    return joined.withColumns(ranks).select(*df.columns, "_n", *ranks)
 
 
 def chunk_of_rank(rn: Column, size: int) -> Column:

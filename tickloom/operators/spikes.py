@@ -47,9 +47,11 @@ def spike_frame(
     if volume_rows:
         moved = moved.withColumn("volume_after", F.sum("quantity").over(w.rowsBetween(0, volume_rows - 1)))
     moved = moved.filter("_home").withColumn("diff", F.col("price") - F.col("prev_price"))
+    step = F.abs(F.col("price") - F.col("prev_price"))
     stats = (
-        moved.groupBy("symbol")
-        .agg(F.avg(F.abs("diff")).alias("_avg"), F.stddev_pop(F.abs("diff")).alias("_std"), F.max("_n").alias("_n"))
+        with_previous(ticks.select("symbol", "id", "event_time_ms", "price"))
+        .groupBy("symbol")
+        .agg(F.avg(step).alias("_avg"), F.stddev_pop(step).alias("_std"), F.count(F.lit(1)).alias("_n"))
         .filter(F.col("_n") >= min_events)
     )
     spread = per_symbol_to_rank_chunks(stats).drop("_n")

@@ -417,7 +417,7 @@ def symbol_compare(t):
 @on_ticks("asof_forward_10s", "SELECT symbol, id, event_time_ms, price, found_price, found_ms FROM (" + o.asof("ticks", "event_time_ms + 10000") + ")")
 def asof_forward_10s(t):
     probes = t.select("symbol", "id", "event_time_ms", "price").withColumn("target_ms", F.col("event_time_ms") + 10_000)
-    return asof.asof_forward(probes, t).drop("target_ms")
+    return asof.asof_forward(probes, t, offsets=(10_000,)).drop("target_ms")
 
 
 @on_ticks("window_lookback_counts", "SELECT symbol, id, event_time_ms, " + ", ".join(
