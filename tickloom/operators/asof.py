@@ -7,7 +7,15 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickloom.operators.layout import HOT_ROWS, SLOT_MS, UNTIL_NOW, hot_slots, order_key, slot_start, with_slots
+from tickloom.operators.layout import (
+    SLOT_MS,
+    UNTIL_NOW,
+    crowded_after,
+    crowded_slots,
+    order_key,
+    slot_start,
+    with_slots,
+)
 
 
 def _gap_slots(prev_slot, prev_width, slot_ms: int):
@@ -32,8 +40,8 @@ def asof_forward(
     ticks: DataFrame,
     target: str = "target_ms",
     slot_ms: int = SLOT_MS,
-    offsets: Sequence[int] = (0,),
-    hot_rows: int = HOT_ROWS,
+    offsets: Sequence[int] = (),
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """For each probe (symbol, `target`): price and time of the first tick with time >= target.
 
@@ -48,10 +56,9 @@ def asof_forward(
     carried over a table of one row per symbol and slot.
     """
     key = order_key(F.col("_t"), F.col("_i"), slot_ms)
-    hot = hot_slots(ticks, "event_time_ms", slot_ms, offsets=sorted({0, *offsets}), hot_rows=hot_rows)
-    points = with_slots(
-        ticks.select("symbol", F.col("event_time_ms").alias("_t"), F.col("id").alias("_i"), "price"), hot, F.col("_t"), slot_ms
-    )
+    bare = ticks.select("symbol", F.col("event_time_ms").alias("_t"), F.col("id").alias("_i"), "price")
+    hot = crowded_after(crowded_slots(ticks, "event_time_ms", slot_ms, hot_rows), offsets, slot_ms)
+    points = with_slots(bare, hot, F.col("_t"), slot_ms)
     heads = points.groupBy("symbol", "_wide", "_width", "_slot").agg(
         F.min_by("price", key).alias("price"), F.min("_t").alias("_t")
     )

@@ -187,7 +187,7 @@ def exec_cost_win_rate(
 
     The exit is looked up from the previous tick's time on.
     """
-    moves = first_fixed_moves(ticks.select("id", "symbol", "event_time_ms", "price"), min_pct, first).select(
+    moves = first_fixed_moves(ticks, min_pct, first).select(
         "symbol", "id", "price", "prev_price", (F.col("prev_event_time_ms") + horizon_ms).alias("target_ms")
     )
     net = F.col("price") - F.col("found_price") - F.col("prev_price") * cost

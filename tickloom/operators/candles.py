@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.functions.ranks import exact_ranks, median_indexes, nearest_rank_index, nearest_ranks
 from tickloom.functions.scalars import pct_move, rnd
-from tickloom.operators.layout import order_key, slot_start, with_previous
+from tickloom.operators.layout import TICK, order_key, slot_start, with_previous
 
 MINUTE_MS = 60_000
 
@@ -54,15 +56,15 @@ def candle_move_stats(ticks: DataFrame) -> DataFrame:
     )
 
 
-def tick_moves(ticks: DataFrame) -> DataFrame:
+def tick_moves(ticks: DataFrame, keep: Sequence[str] | None = None) -> DataFrame:
     """Ticks with the previous price and the absolute move in percent."""
-    return with_previous(ticks).withColumn("move_pct", pct_move(F.col("price"), F.col("prev_price")))
+    return with_previous(ticks, keep=keep).withColumn("move_pct", pct_move(F.col("price"), F.col("prev_price")))
 
 
 def tick_move_stats(ticks: DataFrame) -> DataFrame:
     """Mean, sample deviation, median, P99 and P99.9 of tick-to-tick moves."""
     moves = (
-        tick_moves(ticks.select("id", "symbol", "event_time_ms", "price"))
+        tick_moves(ticks, keep=TICK)
         .filter(F.col("move_pct").isNotNull())
         .select("symbol", "move_pct")
     )

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tickloom.functions.scalars import aggressor_side, clock, pct_change, pct_move, rnd
 from tickloom.operators.candles import candle_moves, candles, tick_moves
 from tickloom.operators.layout import (
+    TICK,
     newest_per_symbol,
     oldest_per_symbol,
     order_key,
@@ -157,7 +158,7 @@ def top_moves(ticks: DataFrame, candle_top: int = 10, tick_top: int = 20, notion
     by_candle = candle_moves(candles(ticks)).select(
         F.lit("candle").alias("kind"), "symbol", F.col("time_ms"), F.lit(0).cast("bigint").alias("id"), "move"
     )
-    by_tick = tick_moves(ticks.select("id", "symbol", "event_time_ms", "price")).filter(
+    by_tick = tick_moves(ticks, keep=TICK).filter(
         F.col("move_pct").isNotNull()
     ).select(
         F.lit("tick").alias("kind"), "symbol", F.col("event_time_ms").alias("time_ms"), "id",

@@ -33,6 +33,8 @@ RANK_CHUNK = 8_192        # rows per rank chunk
 HOT_ROWS = 1_000_000      # a slot with more rows is cut into narrower ones
 HOT_SLOTS_MAX = 100_000   # and at most this many slots are: the size bound of their table
 
+TICK = ("id", "symbol", "event_time_ms", "price")
+
 UNTIL_NOW = (Window.unboundedPreceding, Window.currentRow)
 BEFORE_NOW = (Window.unboundedPreceding, -1)
 
@@ -79,46 +81,71 @@ def time_chunks(
     )
 
 
-def hot_slots(
-    df: DataFrame, time: str = "event_time_ms", slot_ms: int = SLOT_MS, offsets: Sequence[int] = (0,),
-    hot_rows: int = HOT_ROWS,
-) -> DataFrame:
-    """(symbol, _wide, _width): slots with too many rows, and how wide their pieces shall be.
+_CROWDED: dict[tuple, DataFrame | None] = {}
+
+
+def crowded_slots(
+    df: DataFrame, time: str = "event_time_ms", slot_ms: int = SLOT_MS, hot_rows: int | None = None
+) -> DataFrame | None:
+    """(symbol, _wide, _width): slots with too many rows and how wide their pieces shall be, or None.
 
-    A slot counts as hot above max(hot_rows, rows / HOT_SLOTS_MAX) rows, so there
-    are fewer than HOT_SLOTS_MAX of them whatever the size of the table, and it is safe
-    to broadcast. `offsets` also counts the rows at shifted times.
+    One small job over two columns (rows per symbol and slot, summed on the map side),
+    run when a plan is built and remembered for the session: what it finds only
+    decides how work is spread, never a result. At most HOT_SLOTS_MAX slots come back,
+    the most crowded ones, so the table is safe to broadcast; a slot left out holds
+    less than rows / HOT_SLOTS_MAX.
     """
-    shifted = [F.col(time) + F.lit(o).cast("bigint") for o in offsets]
-    times = df.select("symbol", (F.explode(F.array(*shifted)) if len(shifted) > 1 else shifted[0]).alias("_t"))
-    counts = times.groupBy("symbol", slot_start(F.col("_t"), slot_ms).alias("_wide")).agg(
-        F.count(F.lit(1)).alias("_rows")
+    hot_rows = HOT_ROWS if hot_rows is None else hot_rows
+    times = df.select("symbol", F.col(time).alias("_t"))
+    spark = df.sparkSession
+    known = (spark.sparkContext.applicationId, times.semanticHash(), slot_ms, hot_rows)
+    if known not in _CROWDED:
+        counts = times.groupBy("symbol", slot_start(F.col("_t"), slot_ms).alias("_wide")).agg(
+            F.count(F.lit(1)).alias("_cnt")
+        )
+        crowded = counts.filter(F.col("_cnt") > hot_rows).orderBy(F.col("_cnt").desc()).limit(HOT_SLOTS_MAX).collect()
+        rows = [(r["symbol"], r["_wide"], max(slot_ms * hot_rows // r["_cnt"], 1)) for r in crowded]
+        schema = "symbol string, _wide bigint, _width bigint"
+        _CROWDED[known] = spark.createDataFrame(rows, schema) if rows else None
+    return _CROWDED[known]
+
+
+def crowded_after(hot: DataFrame | None, offsets: Sequence[int], slot_ms: int = SLOT_MS) -> DataFrame | None:
+    """Also cut the slots where the crowd turns up again at t + offset (probes made from ticks)."""
+    if hot is None or not offsets:
+        return hot
+    shifts = {0} | {shift for o in offsets for shift in (o - o % slot_ms, o - o % slot_ms + slot_ms)}
+    at = F.array(*[F.col("_wide") + F.lit(x).cast("bigint") for x in sorted(shifts)])
+    return hot.select("symbol", F.explode(at).alias("_wide"), "_width").groupBy("symbol", "_wide").agg(
+        F.min("_width").alias("_width")
     )
-    total = times.agg(F.count(F.lit(1)).alias("n")).scalar()
-    limit = F.greatest(F.lit(hot_rows).cast("bigint"), F.ceil(total / F.lit(HOT_SLOTS_MAX)))
-    width = F.greatest(F.floor(F.lit(slot_ms) * limit / F.col("_rows")).cast("bigint"), F.lit(1).cast("bigint"))
-    return counts.filter(F.col("_rows") > limit).select("symbol", "_wide", width.alias("_width"))
 
 
-def with_slots(df: DataFrame, hot: DataFrame, time: Column, slot_ms: int = SLOT_MS) -> DataFrame:
+def with_slots(df: DataFrame, hot: DataFrame | None, time: Column, slot_ms: int = SLOT_MS) -> DataFrame:
     """Add `_wide` (the slot of full width), `_width` and `_slot` (the slot to work in)."""
-    width = F.coalesce("_width", F.lit(slot_ms).cast("bigint"))
-    placed = df.withColumn("_wide", slot_start(time, slot_ms)).join(F.broadcast(hot), ["symbol", "_wide"], "left")
-    return placed.withColumn("_width", width).withColumn("_slot", time - F.pmod(time - F.col("_wide"), F.col("_width")))
+    wide = slot_start(time, slot_ms)
+    if hot is None:
+        return df.withColumns({"_wide": wide, "_width": F.lit(slot_ms).cast("bigint"), "_slot": wide})
+    placed = df.withColumn("_wide", wide).join(F.broadcast(hot), ["symbol", "_wide"], "left")
+    placed = placed.withColumn("_width", F.coalesce("_width", F.lit(slot_ms).cast("bigint")))
+    return placed.withColumn("_slot", time - F.pmod(time - F.col("_wide"), F.col("_width")))
 
 
 def with_previous(
-    df: DataFrame, fetch: Sequence[str] = ("price",), slot_ms: int = SLOT_MS, hot_rows: int = HOT_ROWS
+    df: DataFrame, fetch: Sequence[str] = ("price",), keep: Sequence[str] | None = None,
+    slot_ms: int = SLOT_MS, hot_rows: int | None = None,
 ) -> DataFrame:
     """Add `prev_<col>`: the value at the tick before this one, per symbol.
 
-    One exchange of the rows. The last tick of each slot is carried into the next
-    non-empty slot, so the first row of a slot sees its true predecessor.
-    `fetch` names numeric columns.
+    One exchange of the rows (only the columns `keep`, if given). The last tick of
+    each slot is carried into the next non-empty slot, so the first row of a slot sees
+    its true predecessor. `fetch` names numeric columns.
     """
     time = F.col("event_time_ms")
     key = order_key(time, F.col("id"), slot_ms)
-    placed = with_slots(df, hot_slots(df, "event_time_ms", slot_ms, hot_rows=hot_rows), time, slot_ms).drop("_wide", "_width")
+    hot = crowded_slots(df, "event_time_ms", slot_ms, hot_rows)
+    df = df.select(*keep) if keep else df
+    placed = with_slots(df, hot, time, slot_ms).drop("_wide", "_width")
     tails = placed.groupBy("symbol", "_slot").agg(*[F.max_by(c, key).alias(f"_last_{c}") for c in fetch])
     slots = Window.partitionBy("symbol").orderBy("_slot")
     carried = tails.select(
@@ -146,16 +173,19 @@ def with_rank(
     descending: bool = False,
     slot_ms: int = SLOT_MS,
     peers: bool = False,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = None,
+    even: bool = False,
 ) -> DataFrame:
     """Add `_rn` (1-based row number per symbol) and `_n` (rows of the symbol).
 
     Two phases: rows per slot give each slot its starting number, then rows are
     numbered inside their slot. `order[0]` is the time column. With `peers`,
-    `_rn_first` is the number of the first row at the same time.
+    `_rn_first` is the number of the first row at the same time. `even` says that no
+    slot can be crowded (candles), so none is looked for.
     """
     time = order[0]
-    placed = with_slots(df, hot_slots(df, time, slot_ms, hot_rows=hot_rows), F.col(time), slot_ms).drop("_wide", "_width")
+    hot = None if even else crowded_slots(df, time, slot_ms, hot_rows)
+    placed = with_slots(df, hot, F.col(time), slot_ms).drop("_wide", "_width")
     counts = placed.groupBy("symbol", "_slot").agg(F.count(F.lit(1)).alias("_cnt"))
     by_slot = Window.partitionBy("symbol").orderBy(F.col("_slot").desc() if descending else F.col("_slot"))
     offsets = counts.select(

@@ -11,6 +11,7 @@ from tickloom.functions.ranks import nearest_ranks
 from tickloom.functions.scalars import pct_change, pct_move, rnd, share
 from tickloom.operators.candles import body_pct, candle_moves, candles
 from tickloom.operators.layout import (
+    TICK,
     attach_per_symbol,
     chunk_window,
     oldest_per_symbol,
@@ -49,7 +50,7 @@ def spike_frame(
     moved = moved.filter("_home").withColumn("diff", F.col("price") - F.col("prev_price"))
     step = F.abs(F.col("price") - F.col("prev_price"))
     stats = (
-        with_previous(ticks.select("symbol", "id", "event_time_ms", "price"))
+        with_previous(ticks, keep=TICK)
         .groupBy("symbol")
         .agg(F.avg(step).alias("_avg"), F.stddev_pop(step).alias("_std"), F.count(F.lit(1)).alias("_n"))
         .filter(F.col("_n") >= min_events)
@@ -102,7 +103,7 @@ def detect_spikes_ui(sampled: DataFrame, floor: float = 0.05, min_pct: float = 0
 
 def fixed_moves(ticks: DataFrame, min_pct: float = 0.005) -> DataFrame:
     """Moves of at least `min_pct` percent, with the previous tick's price and time."""
-    moved = with_previous(ticks, ("price", "event_time_ms"))
+    moved = with_previous(ticks, ("price", "event_time_ms"), keep=TICK)
     return moved.filter(F.col("prev_price") > 0).withColumn(
         "move_pct", pct_move(F.col("price"), F.col("prev_price"))
     ).filter(F.col("move_pct") >= min_pct)
@@ -172,7 +173,7 @@ def spike_class_shares(ticks: DataFrame) -> DataFrame:
 
 def chunked_candles(candle_rows: DataFrame, after: int = LOOKAHEAD) -> DataFrame:
     """Candles in even chunks, with `after` following candles at hand; `_rn`, `_n` count candles."""
-    return rank_chunks(with_rank(candle_rows, order=("time_ms",), slot_ms=3_600_000), after=after)
+    return rank_chunks(with_rank(candle_rows, order=("time_ms",), slot_ms=3_600_000, even=True), after=after)
 
 
 def candle_class_of(body: Column, after: Column) -> Column:

@@ -67,6 +67,8 @@ class StreakProcessor(StatefulProcessor):
 class OutcomeProcessor(StatefulProcessor):
     """Waiting signals take the first tick at or after time + horizon; an event-time timer gives up on them."""
 
+    TIMER_STEP_MS = 1_000
+
     def __init__(self, horizons: dict[str, int], give_up_ms: int):
         self.horizons, self.give_up_ms = horizons, give_up_ms
 
@@ -94,23 +96,29 @@ class OutcomeProcessor(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         batch = _sorted_batch(rows)
         ticks = batch[batch["signal"].isna()]
-        waiting = self._pending()
-        for r in batch[batch["signal"].notna()].itertuples(index=False):
-            for name, ms in self.horizons.items():
-                target = int(r.event_time_ms) + ms
-                waiting.append((int(r.id), r.signal, r.bucket, float(r.price), name, target))
-                self.handle.registerTimer(target + self.give_up_ms)
+        waiting = self._pending() + [
+            (int(r.id), r.signal, r.bucket, float(r.price), name, int(r.event_time_ms) + ms)
+            for r in batch[batch["signal"].notna()].itertuples(index=False)
+            for name, ms in self.horizons.items()
+        ]
         times, prices = ticks["event_time_ms"].to_numpy("int64"), ticks["price"].to_numpy(float)
         at = np.searchsorted(times, np.array([w[5] for w in waiting], dtype="int64"), side="left")
         found = [(w, float(prices[i]), "FOUND") for w, i in zip(waiting, at) if i < len(times)]
-        self._keep([w for w, i in zip(waiting, at) if i >= len(times)])
+        still = [w for w, i in zip(waiting, at) if i >= len(times)]
+        self._keep(still)
+        for due in {self._due(w) for w in still}:
+            self.handle.registerTimer(due)
         yield self._rows(key[0], found)
 
+    def _due(self, waiting: tuple) -> int:
+        """When to give up, rounded up so that many signals share one timer."""
+        return -(-(waiting[5] + self.give_up_ms) // self.TIMER_STEP_MS) * self.TIMER_STEP_MS
+
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         now = expiredTimerInfo.getExpiryTimeInMs()
         waiting = self._pending()
-        late = [w for w in waiting if w[5] + self.give_up_ms <= now]
-        self._keep([w for w in waiting if w[5] + self.give_up_ms > now])
+        late = [w for w in waiting if self._due(w) <= now]
+        self._keep([w for w in waiting if self._due(w) > now])
         yield self._rows(key[0], [(w, None, "PENDING") for w in late])
 
     def close(self) -> None:
