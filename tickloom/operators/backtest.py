@@ -234,5 +234,5 @@ def result_rows(report: DataFrame, run_time: str, hold: int, z: float, min_spike
             "symbol", "events_loaded", "spikes_detected", F.lit(hold).alias("hold_seconds"),
             F.lit(z).alias("z_threshold"), F.lit(min_spike).alias("min_spike_pct"),
         )).alias("params"),
-        F.to_json(F.struct(*stats)).alias("stats"),
+        F.to_json(F.struct(*stats), {"ignoreNullFields": "false"}).alias("stats"),
     )

@@ -134,13 +134,14 @@ def live_outcomes(
     """
     use_rocksdb(ticks.sparkSession)
     none = F.lit(None).cast("string")
-    as_rows = lambda df, signal, bucket, price: df.select(
-        "symbol", "id", "event_time_ms", price.alias("price"), signal.alias("signal"), bucket.alias("bucket")
+    # each side has its own watermark; the slower one (the ticks) rules
+    as_rows = lambda df, signal, bucket, price: with_event_time(df).select(
+        "symbol", "id", "event_time_ms", "event_ts", price.alias("price"), signal.alias("signal"), bucket.alias("bucket")
     )
     both = as_rows(ticks, none, none, F.col("price")).unionByName(
         as_rows(signals, F.col("signal"), F.col("bucket"), F.col("price_entry"))
     )
-    found = with_event_time(both).groupBy("symbol").transformWithStateInPandas(
+    found = both.groupBy("symbol").transformWithStateInPandas(
         OutcomeProcessor(horizons or HORIZONS, give_up_ms),
         outputStructType=RESOLVED_OUTPUT, outputMode="append", timeMode="EventTime",
     )
