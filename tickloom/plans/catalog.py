@@ -29,7 +29,12 @@ def query(name: str, sql: str | None = None):
     """Register a query under `name`, with its oracle statement if there is one."""
 
     def add(fn: Query) -> Query:
-        QUERIES[name] = fn
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            # the event table holds zone-less UTC times
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+            return fn(spark, sf_dir)
+
+        QUERIES[name] = run
         if sql is not None:
             ORACLES[name] = statement(sql)
         return fn
@@ -784,10 +789,12 @@ SCORE_INTERCEPT = 0.1
 CTES["fresh_rows"] = f"""SELECT symbol, id, price, event_time_ms, bucket, {', '.join(f'coalesce(CAST({f} AS DOUBLE), 0) AS {f}' for f in FLOW)} FROM store
   WHERE imbalance_20 IS NOT NULL QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY event_time_ms DESC, id DESC) <= 200"""
 CTES["fresh_stats"] = "SELECT " + ", ".join(f"avg({f}) AS m_{f}, stddev_pop({f}) AS s_{f}" for f in FLOW) + " FROM model_rows"
+_TERMS = [
+    f"(({f} - m_{f}) / CASE WHEN s_{f} > 0 THEN s_{f} ELSE 1 END * {d(w)})" for f, w in zip(FLOW, SCORE_WEIGHTS)
+]
 CTES["fresh_parts"] = "SELECT r.*, [" + ", ".join(
-    f"{{'c': -abs(({f} - m_{f}) / s_{f} * {d(w)}), 'i': {i}, 'name': '{f}'}}" for i, (f, w) in enumerate(zip(FLOW, SCORE_WEIGHTS))
-) + "] AS parts, 1 / (1 + exp(-(" + f"{d(SCORE_INTERCEPT)} + " + " + ".join(
-    f"({f} - m_{f}) / s_{f} * {d(w)}" for f, w in zip(FLOW, SCORE_WEIGHTS)) + "))) AS s FROM fresh_rows r, fresh_stats"
+    f"{{'c': -abs({term}), 'i': {i}, 'name': '{f}'}}" for i, (f, term) in enumerate(zip(FLOW, _TERMS))
+) + f"] AS parts, 1 / (1 + exp(-({d(SCORE_INTERCEPT)} + " + " + ".join(_TERMS) + "))) AS s FROM fresh_rows r, fresh_stats"
 
 
 @on_store("signals_scored", f"""SELECT symbol, id, price, event_time_ms, 'CONTINUATION' AS signal, bucket AS spike_type, {sql_rnd('s', 3)} AS score,

@@ -6,6 +6,8 @@ newest tick still reach the tick table but no aggregate that was already emitted
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
@@ -59,6 +61,18 @@ def once_per_trade(ticks: DataFrame) -> DataFrame:
     return ticks.dropDuplicatesWithinWatermark(["symbol", "trade_id"])
 
 
+@contextmanager
+def state_partitions(spark: SparkSession):
+    """Start streams with no more state partitions than twice the cores: each holds a state store."""
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(min(int(before), 2 * spark.sparkContext.defaultParallelism)))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def run_to_table(stream: DataFrame, name: str, partition_by: tuple[str, ...] = (), seconds: int | None = None) -> str:
     """Run a stream over all available input into a Parquet table; returns its path.
 
@@ -71,10 +85,11 @@ def run_to_table(stream: DataFrame, name: str, partition_by: tuple[str, ...] = (
     writer = writer.option("path", out).option("checkpointLocation", checkpoint)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    if seconds is not None:
-        writer.trigger(processingTime=f"{seconds} seconds").start()
-    else:
-        writer.trigger(availableNow=True).start().awaitTermination()
+    trigger = {"availableNow": True} if seconds is None else {"processingTime": f"{seconds} seconds"}
+    with state_partitions(spark):
+        running = writer.trigger(**trigger).start()
+    if seconds is None:
+        running.awaitTermination()
     return out
 
 
