@@ -133,3 +133,20 @@ def test_ranks_of_signed_values(spark):
     wanted = {f"i{i}": (lambda n, i=i: F.lit(i).cast("bigint")) for i in range(len(values))}
     row = exact_ranks(df, [], "v", wanted).first()
     assert [row[f"i{i}"] for i in range(len(values))] == sorted(values)
+
+
+@pytest.mark.parametrize("small_chunks", [False, True])
+def test_crowded_tapes_take_another_way_to_the_same_features(crowd, monkeypatch, small_chunks):
+    _, df = crowd
+
+    def result(fn):
+        return sorted(map(tuple, fn(df).collect()))
+
+    calm = [result(features.orderflow_features), result(features.lookback_counts)]
+    assert any(r[3] is not None for r in calm[0])
+    monkeypatch.setattr(layout, "HOT_ROWS", 50)
+    if small_chunks:
+        monkeypatch.setattr(features, "RANK_CHUNK", 64)
+        monkeypatch.setattr(layout.rank_chunks, "__defaults__", (0, 0, 64))
+    assert layout.crowded_slots(df) is not None
+    assert [result(features.orderflow_features), result(features.lookback_counts)] == calm

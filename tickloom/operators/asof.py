@@ -42,13 +42,15 @@ def asof_forward(
     slot_ms: int = SLOT_MS,
     offsets: Sequence[int] = (),
     hot_rows: int | None = None,
+    fetch: Sequence[str] = ("price",),
+    crowd: DataFrame | None = None,
 ) -> DataFrame:
-    """For each probe (symbol, `target`): price and time of the first tick with time >= target.
+    """For each probe (symbol, `target`): the first tick of the symbol with time >= target.
 
-    Adds `found_price` and `found_ms` (null when no such tick exists). No target may
-    lie before the symbol's first tick, as holds for probes that are ticks
-    themselves. `offsets` are the distances from ticks to targets; they only tell
-    which slots will be crowded.
+    Adds `found_ms` and `found_<col>` for the numeric columns `fetch` (null when no
+    such tick exists, or when the target lies in a slot before the symbol's first
+    tick). `offsets` are the distances from ticks to targets; they only tell which
+    slots will be crowded, looked for in `crowd` (default: `ticks`).
 
     Ticks and probes meet in the slot of their time; inside a slot one backward pass
     with a running "last tick seen" answers all probes, n log n for any density. A
@@ -56,15 +58,17 @@ def asof_forward(
     carried over a table of one row per symbol and slot.
     """
     key = order_key(F.col("_t"), F.col("_i"), slot_ms)
-    bare = ticks.select("symbol", F.col("event_time_ms").alias("_t"), F.col("id").alias("_i"), "price")
-    hot = crowded_after(crowded_slots(ticks, "event_time_ms", slot_ms, hot_rows), offsets, slot_ms)
+    bare = ticks.select("symbol", F.col("event_time_ms").alias("_t"), F.col("id").alias("_i"), *fetch)
+    crowd = ticks if crowd is None else crowd
+    hot = crowded_after(crowded_slots(crowd, "event_time_ms", slot_ms, hot_rows), offsets, slot_ms)
     points = with_slots(bare, hot, F.col("_t"), slot_ms)
     heads = points.groupBy("symbol", "_wide", "_width", "_slot").agg(
-        F.min_by("price", key).alias("price"), F.min("_t").alias("_t")
+        *[F.min_by(c, key).alias(c) for c in fetch], F.min("_t").alias("_t")
     )
+    found_type = bare.select(F.struct("_t", *fetch).alias("s")).schema["s"].dataType
     before = Window.partitionBy("symbol").orderBy("_slot")
     gap = _gap_slots(F.lag("_slot").over(before), F.lag("_width").over(before), slot_ms)
-    answers = heads.select("symbol", F.struct("_t", "price").alias("_next"), gap.alias("_gap")).select(
+    answers = heads.select("symbol", F.struct("_t", *fetch).alias("_next"), gap.alias("_gap")).select(
         "symbol", "_next", F.explode("_gap").alias("_slot")
     )
     carried = answers.select(
@@ -73,12 +77,12 @@ def asof_forward(
     )
     tick_rows = points.select(
         "symbol", "_slot", F.col("_t").alias("_at"), "_i",
-        F.struct("_t", "price").alias("_tick"), F.lit(None).cast(probes.schema).alias("_probe"),
+        F.struct("_t", *fetch).alias("_tick"), F.lit(None).cast(probes.schema).alias("_probe"),
     )
     packed = probes.select("symbol", F.col(target).alias("_at"), F.struct(*probes.columns).alias("_probe"))
     probe_rows = with_slots(packed, hot, F.col("_at"), slot_ms).select(
         "symbol", "_slot", "_at", F.lit(-1).cast("bigint").alias("_i"),
-        F.lit(None).cast("struct<_t:bigint,price:double>").alias("_tick"), "_probe",
+        F.lit(None).cast(found_type).alias("_tick"), "_probe",
     )
     backward = (
         Window.partitionBy("symbol", "_slot")
@@ -89,7 +93,7 @@ def asof_forward(
     return (
         met.withColumn("_found", F.last("_tick", ignorenulls=True).over(backward))
         .filter(F.col("_probe").isNotNull())
-        .select("_probe.*", F.col("_found.price").alias("found_price"), F.col("_found._t").alias("found_ms"))
+        .select("_probe.*", F.col("_found._t").alias("found_ms"), *[F.col(f"_found.{c}").alias(f"found_{c}") for c in fetch])
     )
 
 

@@ -16,13 +16,16 @@ from pyspark.sql import functions as F
 
 from tickloom.functions import series
 from tickloom.functions.scalars import rnd
+from tickloom.operators.asof import asof_forward
 from tickloom.operators.layout import (
+    BEFORE_NOW,
     FRAME_CHUNK_MS,
     RANK_CHUNK,
     UNTIL_NOW,
     chunk_of_rank,
     chunk_offsets,
     chunk_window,
+    crowded_slots,
     oldest_per_symbol,
     rank_chunks,
     time_chunks,
@@ -200,7 +203,12 @@ def _state(name: str, field: str) -> Column:
 
 
 def lookback_counts(ticks: DataFrame, windows: Sequence[int] = (1_000, 2_000, 60_000), chunk_ms: int = FRAME_CHUNK_MS) -> DataFrame:
-    """Ticks of the symbol in [t - w, t) for each window w, for every tick."""
+    """Ticks of the symbol in [t - w, t) for each window w, for every tick.
+
+    Time chunks with a halo while no minute is crowded; otherwise by row numbers.
+    """
+    if crowded_slots(ticks) is not None:
+        return dense_lookback_counts(ticks, windows)
     rows = time_chunks(ticks.select("id", "symbol", "event_time_ms"), chunk_ms, before_ms=max(windows))
     rows = rows.repartition("symbol", "_chunk").withColumn("seen", F.row_number().over(chunk_window()))
     rows = rows.withColumn("_ask", F.col("_home"))
@@ -212,6 +220,22 @@ def lookback_counts(ticks: DataFrame, windows: Sequence[int] = (1_000, 2_000, 60
     )
 
 
+def dense_lookback_counts(ticks: DataFrame, windows: Sequence[int]) -> DataFrame:
+    """`lookback_counts` for crowded tapes: differences of row numbers found by as-of, no halo."""
+    ranked = with_rank(ticks.select("id", "symbol", "event_time_ms"), peers=True)
+    steps = F.array(*[F.struct(F.lit(f"n_{w}ms").alias("name"), F.lit(w).cast("bigint").alias("ms")) for w in windows])
+    probes = ranked.withColumn("_w", F.explode(steps)).select(
+        "symbol", "id", "event_time_ms", "_rn_first", F.col("_w.name").alias("_name"),
+        (F.col("event_time_ms") - F.col("_w.ms")).alias("target_ms"),
+    )
+    found = asof_forward(probes, ranked, offsets=[-w for w in windows], fetch=("_rn",), crowd=ticks)
+    # a tick is never before its own window, so "nothing found" means the tape starts later
+    n = F.col("_rn_first") - F.coalesce("found__rn", F.lit(1))
+    return found.groupBy("symbol", "id", "event_time_ms").agg(
+        *[F.max(F.when(F.col("_name") == f"n_{w}ms", n)).alias(f"n_{w}ms") for w in windows]
+    )
+
+
 def with_feature_rank(ticks: DataFrame, chunk_ms: int, before_ms: int, after_ms: int) -> DataFrame:
     """Time chunks whose own rows also know their per-symbol number `_rn` (one exchange)."""
     offsets = chunk_offsets(ticks, chunk_ms)
@@ -285,6 +309,29 @@ def _flow(start: str, end: str = "now") -> dict[str, Column]:
     return {"n": gap("seen"), "signed": signed, "volume": volume, "n_x": n_x, "std_x": F.sqrt(var)}
 
 
+def _flow_output(rows: DataFrame, p: dict[str, Column]) -> DataFrame:
+    """Order-flow columns from the parts of a row's windows."""
+    burst = p["n_1s"] / F.when(p["n_60s"] > 0, p["n_60s"] / F.lit(60.0)).otherwise(F.lit(1.0))
+    rows = rows.withColumns({
+        "_n": p["n"],
+        "_imb": p["signed"] / F.greatest(p["volume"], F.lit(1e-10)),
+        "_burst": burst,
+        "_ratio": F.when((p["n_x"] >= 5) & (p["std_x"] > 0), p["std_5"] / p["std_x"]).otherwise(F.lit(1.0)),
+        "_decay": F.when(
+            (p["n_post"] >= 2) & (F.col("p0") > 0), (p["post_price"] - F.col("p0")) / F.col("p0") * 100.0
+        ).otherwise(F.lit(0.0)),
+    })
+    enough = F.col("_n") >= 3
+    return rows.select(
+        "symbol", "id", "event_time_ms",
+        F.when(enough, rnd(F.col("_imb"), 6)).alias("imbalance_20"),
+        F.when(enough, rnd(F.col("_burst"), 4)).alias("burst_1s"),
+        F.when(enough, rnd(F.col("_ratio"), 4)).alias("vol_ratio"),
+        F.when(enough, rnd(F.col("_decay"), 8)).alias("decay_500ms"),
+        F.when(enough, rnd(F.col("_imb") * F.col("_burst"), 6)).alias("dir_burst"),
+    )
+
+
 def orderflow_features(
     ticks: DataFrame, window: int = WINDOW, stride: int = STRIDE, chunk_ms: int = FRAME_CHUNK_MS
 ) -> DataFrame:
@@ -294,37 +341,111 @@ def orderflow_features(
     moves of those 2 s with all of them, burst_1s the last second with the last
     minute. Null when fewer than 3 ticks lie in the 2 s. decay_500ms looks ahead
     and is never a model input.
+
+    One exchange in time chunks with a halo while no minute of a symbol is crowded;
+    otherwise `dense_orderflow_features`.
     """
+    if crowded_slots(ticks) is not None:
+        return dense_orderflow_features(ticks, window, stride)
     cols = ticks.select("id", "symbol", "event_time_ms", "price", "quantity")
     rows = with_feature_rank(cols, chunk_ms, before_ms=MINUTE, after_ms=500)
     rows = tape_totals(rows.withColumn("_ask", F.col("_home") & is_sampled(window, stride)))
     rows = rows.withColumn("_ask", F.coalesce("_ask", F.lit(False))).withColumn("p0", F.col("price"))
     probes = {"now": (0, False), "w1": (-1_000, False), "w2": (-2_000, False), "w60": (-MINUTE, False), "post": (500, True)}
     at = snapshots(rows, TAPE, probes, ["p0"])
-    flow = _flow("w2")
-    base = _state("now", "seen") - _state("w60", "seen")
-    last_1s = _state("now", "seen") - _state("w1", "seen")
-    at = at.withColumns({
-        "_n": flow["n"],
-        "_imb": flow["signed"] / F.greatest(flow["volume"], F.lit(1e-10)),
-        "_burst": last_1s / F.when(base > 0, base / F.lit(60.0)).otherwise(F.lit(1.0)),
-        "_ratio": F.when(
-            (flow["n_x"] >= 5) & (flow["std_x"] > 0), F.col("now.std_5") / flow["std_x"]
-        ).otherwise(F.lit(1.0)),
-        "_decay": F.when(
-            (_state("post", "seen") - _state("now", "seen") >= 2) & (F.col("p0") > 0),
-            (F.col("post.price") - F.col("p0")) / F.col("p0") * 100.0,
-        ).otherwise(F.lit(0.0)),
+    seen = lambda name: _state(name, "seen")
+    return _flow_output(at, _flow("w2") | {
+        "n_1s": seen("now") - seen("w1"), "n_60s": seen("now") - seen("w60"), "std_5": F.col("now.std_5"),
+        "n_post": seen("post") - seen("now"), "post_price": F.col("post.price"),
     })
-    enough = F.col("_n") >= 3
-    return at.select(
-        "symbol", "id", "event_time_ms",
-        F.when(enough, rnd(F.col("_imb"), 6)).alias("imbalance_20"),
-        F.when(enough, rnd(F.col("_burst"), 4)).alias("burst_1s"),
-        F.when(enough, rnd(F.col("_ratio"), 4)).alias("vol_ratio"),
-        F.when(enough, rnd(F.col("_decay"), 8)).alias("decay_500ms"),
-        F.when(enough, rnd(F.col("_imb") * F.col("_burst"), 6)).alias("dir_burst"),
+
+
+RUNNING = ["sum_c", "sum_q", "sum_x", "sum_xx"]   # kept exact over chunks as decimals
+COUNTED = ["n_q", "n_x", "n_diff"]
+
+
+def tape_states(ticks: DataFrame) -> DataFrame:
+    """Running totals of the whole tape at every tick, in even chunks of ticks.
+
+    Totals inside a chunk are doubles; totals of earlier chunks (`b_…`) are exact
+    decimals, so a difference of two states loses nothing however long the tape is.
+    """
+    w = chunk_window("_rn")
+    run = w.rowsBetween(*UNTIL_NOW)
+    chunked = rank_chunks(with_rank(ticks), before=6, after=1)
+    prev = F.col("_prev")
+    rows = (
+        chunked.withColumn("_prev", F.lag("price").over(w))
+        .withColumn("x", F.when(prev > 0, F.try_divide(F.abs(F.col("price") - prev), prev) * 100.0))
+        .withColumn("_diff", F.coalesce((F.col("x") != F.lag("x").over(w)).cast("int"), F.lit(1)))
+        .withColumns({"std_5": F.stddev_pop("x").over(w.rowsBetween(-4, 0)), "next_d": F.lead("_diff").over(w)})
+        .filter("_home")
+    )
+    parts = {
+        "sum_c": F.coalesce(F.signum(F.col("price") - prev) * F.col("quantity"), F.lit(0.0)), "sum_q": F.col("quantity"),
+        "sum_x": F.coalesce("x", F.lit(0.0)), "sum_xx": F.coalesce(F.col("x") * F.col("x"), F.lit(0.0)),
+        "n_q": (F.col("quantity") > 0).cast("bigint"), "n_x": F.col("x").isNotNull().cast("bigint"), "n_diff": F.col("_diff").cast("bigint"),
+    }
+    rows = rows.withColumns({name: F.sum(part).over(run) for name, part in parts.items()})
+    totals = rows.groupBy("symbol", "_chunk").agg(*[F.max_by(c, "_rn").alias(f"_t_{c}") for c in parts])
+    earlier = Window.partitionBy("symbol").orderBy("_chunk").rowsBetween(*BEFORE_NOW)
+    exact = lambda c: F.col(f"_t_{c}").cast("decimal(28,14)" if c in RUNNING else "bigint")
+    bases = totals.select(
+        "symbol", "_chunk", *[F.coalesce(F.sum(exact(c)).over(earlier), F.lit(0)).alias(f"b_{c}") for c in parts]
+    )
+    return rows.select("symbol", "_chunk", "_rn", "price", "std_5", "next_d", *parts).join(bases, ["symbol", "_chunk"])
+
+
+def dense_orderflow_features(ticks: DataFrame, window: int = WINDOW, stride: int = STRIDE) -> DataFrame:
+    """`orderflow_features` for crowded tapes: windows become ranges of row numbers.
+
+    The ends of the windows are found by one as-of pass, counts are differences of row
+    numbers, and sums are differences of two tape states fetched by row number. Nothing
+    holds more than one chunk of ticks, however many ticks a second has.
+    """
+    cols = ticks.select("id", "symbol", "event_time_ms", "price", "quantity")
+    ranked = with_rank(cols, peers=True)
+    ends = {"w1": -1_000, "w2": -2_000, "w60": -MINUTE, "post": 501}
+    steps = F.array(*[F.struct(F.lit(n).alias("name"), F.lit(ms).cast("bigint").alias("ms")) for n, ms in ends.items()])
+    keys = ["symbol", "id", "event_time_ms", "price", "_rn_first", "_n"]
+    probes = ranked.filter(is_sampled(window, stride)).withColumn("_e", F.explode(steps)).select(
+        *keys, F.col("_e.name").alias("_name"), (F.col("event_time_ms") + F.col("_e.ms")).alias("target_ms")
     )
+    found = asof_forward(probes, ranked, offsets=list(ends.values()), fetch=("_rn",), crowd=ticks)
+    rank = F.coalesce("found__rn", F.when(F.col("_name") == "post", F.col("_n") + 1).otherwise(F.lit(1)))
+    at = found.groupBy(*keys).agg(*[F.max(F.when(F.col("_name") == n, rank)).alias(n) for n in ends])
+    wanted = F.array(*[
+        F.struct(F.lit(name).alias("name"), rn.alias("rn"))
+        for name, rn in (("first", F.col("w2")), ("last", F.col("_rn_first") - 1), ("after", F.col("post") - 1))
+    ])
+    asked = at.withColumn("_q", F.explode(wanted)).select(
+        *keys, *ends, F.col("_q.name").alias("_role"), F.col("_q.rn").alias("_rn"),
+        chunk_of_rank(F.col("_q.rn"), RANK_CHUNK).alias("_chunk"),
+    ).withColumnRenamed("price", "p0")
+    fields = ["price", "std_5", "next_d", *RUNNING, *COUNTED, *[f"b_{c}" for c in (*RUNNING, *COUNTED)]]
+    states = tape_states(cols).select("symbol", "_chunk", "_rn", F.struct(*fields).alias("_state"))
+    met = asked.join(states, ["symbol", "_chunk", "_rn"], "left")
+    keys[3] = "p0"
+    rows = met.groupBy(*keys, *ends).agg(*[
+        F.first(F.when(F.col("_role") == r, F.col("_state")), ignorenulls=True).alias(r) for r in ("first", "last", "after")
+    ])
+
+    def gap(c: str) -> Column:
+        whole = F.col(f"last.b_{c}") - F.col(f"first.b_{c}")
+        return whole.cast("double" if c in RUNNING else "bigint") + (F.col(f"last.{c}") - F.col(f"first.{c}"))
+
+    mean = F.try_divide(gap("sum_x"), gap("n_x"))
+    spread = F.greatest(F.try_divide(gap("sum_xx"), gap("n_x")) - mean * mean, F.lit(0.0))
+    var = F.when(gap("n_diff") - F.col("first.next_d") <= 0, F.lit(0.0)).otherwise(spread)
+    has_volume = gap("n_q") > 0
+    now = F.col("_rn_first")
+    return _flow_output(rows, {
+        "n": now - F.col("w2"), "n_1s": now - F.col("w1"), "n_60s": now - F.col("w60"),
+        "signed": F.when(has_volume, F.round(gap("sum_c"), 8)).otherwise(F.lit(0.0)),
+        "volume": F.when(has_volume, F.round(gap("sum_q"), 8)).otherwise(F.lit(0.0)),
+        "n_x": gap("n_x"), "std_x": F.sqrt(var), "std_5": F.col("last.std_5"),
+        "n_post": F.col("post") - now, "post_price": F.col("after.price"),
+    })
 
 
 def sampled_ticks(ticks: DataFrame, window: int = WINDOW, stride: int = STRIDE) -> DataFrame:
