@@ -16,12 +16,13 @@ FEE = 0.001
 
 
 def follow_trades(
-    spikes: DataFrame, ticks: DataFrame, holds: Sequence[int] = (30,), fee: float = FEE, reverse: bool = False
+    spikes: DataFrame, ticks: DataFrame, holds: Sequence[int] = (30,), fee: float = FEE, reverse: bool = False,
+    keep_open: bool = False,
 ) -> DataFrame:
     """Trade each spike for each holding time (seconds).
 
     Entry at the spike's price; exit at the first later tick at or after entry +
-    hold; positions without an exit are dropped. `spikes` needs symbol, id,
+    hold; positions without an exit are dropped, or kept without PnL. `spikes` needs symbol, id,
     event_time_ms, price, pct, direction, latency_ms; other columns pass through.
     """
     entries = (
@@ -32,7 +33,9 @@ def follow_trades(
         entries = entries.withColumn(
             "direction", F.when(F.col("direction") == "down", F.lit("up")).otherwise(F.lit("down"))
         )
-    closed = asof_forward(entries, ticks, offsets=[h * 1000 for h in holds]).filter(F.col("found_price").isNotNull())
+    closed = asof_forward(entries, ticks, offsets=[h * 1000 for h in holds])
+    if not keep_open:
+        closed = closed.filter(F.col("found_price").isNotNull())
     gross = F.try_divide(F.col("found_price") - F.col("price"), F.col("price"))
     signed = F.when(F.col("direction") == "up", gross).otherwise(-gross)
     return closed.withColumns({
@@ -66,52 +69,66 @@ def trade_rows(trades: DataFrame) -> DataFrame:
     )
 
 
-def max_drawdown(trades: DataFrame, keys: Sequence[str] = ("symbol",), slot_ms: int = SLOT_MS * 60) -> DataFrame:
-    """Largest fall of the cumulated PnL below its running peak (the peak starts at 0).
+def _slot_summaries(trades: DataFrame, keys: Sequence[str], slot_ms: int) -> DataFrame:
+    """Per group and time slot: sums of the trades, and `_fall`, the deepest fall below the peak so far.
 
-    Trades are summed inside time slots; a slot reports its total, its lowest and
-    highest running sum, and its own drawdown, and one row per slot is scanned in
-    order. So no task sees all trades of a symbol.
+    Trades are summed in order inside their slot; then one row per slot is scanned in
+    order. So no task sees all trades of a symbol. Open positions (no PnL) only count
+    as entries.
     """
     keys = list(keys)
+    pnl, win = F.col("net_pnl_pct"), F.col("win")
     slotted = trades.withColumn("_slot", slot_start(F.col("event_time_ms"), slot_ms))
     inside = Window.partitionBy(*keys, "_slot").orderBy("event_time_ms", "id").rowsBetween(*UNTIL_NOW)
-    running = slotted.withColumn("_cum", F.sum("net_pnl_pct").over(inside)).withColumn("_peak", F.max("_cum").over(inside))
+    running = slotted.withColumn("_cum", F.sum(F.coalesce(pnl, F.lit(0.0))).over(inside)).withColumn(
+        "_peak", F.max("_cum").over(inside)
+    )
     per_slot = running.groupBy(*keys, "_slot").agg(
-        F.sum("net_pnl_pct").alias("_total"), F.max("_cum").alias("_high"), F.min("_cum").alias("_low"),
-        F.max(F.col("_peak") - F.col("_cum")).alias("_own"),
+        F.count(F.lit(1)).alias("_entries"), F.count(pnl).alias("_n"), F.count_if(win).alias("_winners"),
+        F.sum(F.coalesce(pnl, F.lit(0.0))).alias("_total"),
+        F.sum(F.when(win, pnl).otherwise(F.lit(0.0))).alias("_won"),
+        F.max(pnl).alias("_best"), F.min(pnl).alias("_worst"),
+        F.sum(F.when(pnl.isNotNull(), F.col("hold_ms"))).alias("_hold"),
+        F.sum(F.when(pnl.isNotNull(), F.col("latency_ms"))).alias("_latency"),
+        F.max("_cum").alias("_high"), F.min("_cum").alias("_low"), F.max(F.col("_peak") - F.col("_cum")).alias("_own"),
     )
     scan = Window.partitionBy(*keys).orderBy("_slot").rowsBetween(*BEFORE_NOW)
     placed = per_slot.withColumn("_offset", F.coalesce(F.sum("_total").over(scan), F.lit(0.0)))
-    placed = placed.withColumn(
-        "_peak_before",
-        F.greatest(F.coalesce(F.max(F.col("_offset") + F.col("_high")).over(scan), F.lit(0.0)), F.lit(0.0)),
+    peak_before = F.greatest(F.coalesce(F.max(F.col("_offset") + F.col("_high")).over(scan), F.lit(0.0)), F.lit(0.0))
+    return placed.withColumn("_before", peak_before).withColumn(
+        "_fall", F.greatest(F.col("_own"), F.col("_before") - (F.col("_offset") + F.col("_low")), F.lit(0.0))
     )
-    fall = F.greatest(F.col("_own"), F.col("_peak_before") - (F.col("_offset") + F.col("_low")), F.lit(0.0))
-    return placed.groupBy(*keys).agg(F.max(fall).alias("max_drawdown"))
 
 
-def trade_stats(trades: DataFrame, keys: Sequence[str] = ("symbol",)) -> DataFrame:
-    """Trade statistics per group; profit_factor is null when there is no loss to divide by."""
-    keys = list(keys)
-    pnl, win = F.col("net_pnl_pct"), F.col("win")
-    avg_win = F.coalesce(F.avg(F.when(win, pnl)), F.lit(0.0))
-    avg_loss = F.coalesce(F.avg(F.when(~win, pnl)), F.lit(0.0))
-    stats = trades.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("total_trades"),
-        share(F.count_if(win), F.count(F.lit(1)), 2).alias("win_rate_pct"),
-        rnd(F.sum(pnl), 4).alias("total_pnl_pct"),
-        rnd(F.avg(pnl), 4).alias("avg_pnl_pct"),
-        rnd(F.max(pnl), 4).alias("best_trade_pct"),
-        rnd(F.min(pnl), 4).alias("worst_trade_pct"),
+def max_drawdown(trades: DataFrame, keys: Sequence[str] = ("symbol",), slot_ms: int = SLOT_MS) -> DataFrame:
+    """Largest fall of the cumulated PnL below its running peak (the peak starts at 0)."""
+    return _slot_summaries(trades, keys, slot_ms).groupBy(*keys).agg(F.max("_fall").alias("max_drawdown"))
+
+
+def trade_stats(trades: DataFrame, keys: Sequence[str] = ("symbol",), slot_ms: int = SLOT_MS) -> DataFrame:
+    """Trade statistics per group in one pass; profit_factor is null when there is no loss to divide by.
+
+    `entries` counts open positions too, if `trades` holds them.
+    """
+    n, winners = F.sum("_n"), F.sum("_winners")
+    losers = n - winners
+    avg_win = F.coalesce(F.try_divide(F.sum("_won"), winners), F.lit(0.0))
+    avg_loss = F.coalesce(F.try_divide(F.sum("_total") - F.sum("_won"), losers), F.lit(0.0))
+    return _slot_summaries(trades, keys, slot_ms).groupBy(*keys).agg(
+        F.sum("_entries").alias("entries"),
+        n.alias("total_trades"),
+        share(winners, n, 2).alias("win_rate_pct"),
+        F.when(n > 0, rnd(F.sum("_total"), 4)).alias("total_pnl_pct"),
+        rnd(F.try_divide(F.sum("_total"), n), 4).alias("avg_pnl_pct"),
+        rnd(F.max("_best"), 4).alias("best_trade_pct"),
+        rnd(F.min("_worst"), 4).alias("worst_trade_pct"),
         rnd(F.abs(F.try_divide(avg_win, avg_loss)), 3).alias("profit_factor"),
-        rnd(F.avg("hold_ms") / 1000, 1).alias("avg_hold_sec"),
-        rnd(F.avg("latency_ms"), 1).alias("avg_entry_latency_ms"),
-        F.count_if(win).alias("winners"),
-        F.count_if(~win).alias("losers"),
+        rnd(F.try_divide(F.sum("_hold"), n) / 1000, 1).alias("avg_hold_sec"),
+        rnd(F.try_divide(F.sum("_latency"), n), 1).alias("avg_entry_latency_ms"),
+        winners.alias("winners"),
+        losers.alias("losers"),
+        F.when(n > 0, rnd(F.max("_fall"), 4)).alias("max_drawdown_pct"),
     )
-    falls = max_drawdown(trades, keys).withColumn("max_drawdown_pct", rnd(F.col("max_drawdown"), 4)).drop("max_drawdown")
-    return stats.join(falls, keys)
 
 
 def verdict_of(win_rate: Column, pnl: Column) -> Column:
@@ -211,12 +228,10 @@ def backtest_report(
     loaded = ticks.groupBy("symbol").agg(F.count(F.lit(1)).alias("events_loaded")).filter(
         F.col("events_loaded") >= min_events
     )
-    spikes = entries.groupBy("symbol").agg(F.count(F.lit(1)).alias("spikes_detected"))
-    stats = trade_stats(follow_trades(entries, ticks, (hold,), fee))
-    report = loaded.join(spikes, "symbol", "left").join(stats, "symbol", "left")
-    return report.select(
+    stats = trade_stats(follow_trades(entries, ticks, (hold,), fee, keep_open=True))
+    return loaded.join(stats, "symbol", "left").select(
         "symbol", "events_loaded",
-        F.coalesce("spikes_detected", F.lit(0)).alias("spikes_detected"),
+        F.coalesce("entries", F.lit(0)).alias("spikes_detected"),
         F.coalesce("total_trades", F.lit(0)).alias("trades_executed"),
         "win_rate_pct", "total_pnl_pct", "avg_pnl_pct", "best_trade_pct", "worst_trade_pct",
         "max_drawdown_pct", "profit_factor", "avg_hold_sec", "avg_entry_latency_ms",

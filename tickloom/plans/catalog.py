@@ -570,12 +570,12 @@ CTES["free_stats"] = o.stats_sql("free_trades", "symbol")
 
 @on_ticks("backtest_stats", "SELECT * FROM stats")
 def backtest_stats(t):
-    return backtest.trade_stats(backtest.spike_follow_trades(t))
+    return backtest.trade_stats(backtest.spike_follow_trades(t)).drop("entries")
 
 
 @on_ticks("backtest_stats_no_fee", "SELECT * FROM free_stats")
 def backtest_stats_no_fee(t):
-    return backtest.trade_stats(backtest.spike_follow_trades(t, fee=0.0))
+    return backtest.trade_stats(backtest.spike_follow_trades(t, fee=0.0)).drop("entries")
 
 
 @on_ticks("max_drawdown", "SELECT symbol, max_drawdown_pct AS max_drawdown FROM free_stats")
@@ -596,12 +596,12 @@ def backtest_verdict(t):
 
 @on_ticks("mean_reversion_sweep", o.stats_sql("sweep_trades", "symbol, hold"))
 def mean_reversion_sweep(t):
-    return backtest.mean_reversion_sweep(t)
+    return backtest.mean_reversion_sweep(t).drop("entries")
 
 
 @on_ticks("backtest_by_class", o.stats_sql("class_trades", "symbol, spike_class, hold"))
 def backtest_by_class(t):
-    return backtest.backtest_by_class(t)
+    return backtest.backtest_by_class(t).drop("entries")
 
 
 CTES["grid_stats"] = o.stats_sql("grid_trades", "symbol, hold, z")
