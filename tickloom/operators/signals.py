@@ -69,18 +69,14 @@ def edge_lookup(symbol: Column, bucket: Column, edge_map: Sequence[tuple] = tupl
     return out.otherwise(entry("NO_EDGE", 0.5, 0.5))
 
 
-def join_edges(rows: DataFrame, edges: DataFrame) -> DataFrame:
-    """Look up a measured edge table (symbol, bucket, signal, prob_reversal, prob_continuation).
+def edges_per_symbol(edges: DataFrame) -> DataFrame:
+    """A measured edge table (symbol, bucket, signal, prob_reversal, prob_continuation) as one map per symbol.
 
-    At most four rows per symbol; a plain equi-join, which Spark turns into a
-    broadcast when the measured size allows.
+    At most four buckets per symbol; it travels with the symbol's profile, so the
+    ticks need no join of their own for it.
     """
-    joined = rows.join(edges, ["symbol", "bucket"], "left")
-    return joined.withColumns({
-        "signal": F.coalesce("signal", F.lit("NO_EDGE")),
-        "prob_reversal": F.coalesce("prob_reversal", F.lit(0.5)),
-        "prob_continuation": F.coalesce("prob_continuation", F.lit(0.5)),
-    })
+    entry = F.struct("bucket", F.struct("signal", "prob_reversal", "prob_continuation"))
+    return edges.groupBy("symbol").agg(F.map_from_entries(F.collect_list(entry)).alias("_edges"))
 
 
 def confidence(bucket: Column, streak: Column) -> Column:
@@ -120,6 +116,8 @@ def enriched_events(
     w = chunk_window("_rn")
     prev = F.lag("price").over(w)
     moved = chunked.withColumn("prev_price", prev)
+    if edges is not None:
+        profile = profile.join(edges_per_symbol(edges), "symbol", "left")
     known = attach_per_symbol(moved, profile, ticks, "left")
     change = F.try_divide(F.col("price") - F.col("prev_price"), F.col("prev_price")) * F.lit(100.0)
     has_prev = F.col("prev_price") > 0
@@ -131,13 +129,14 @@ def enriched_events(
         "bucket", F.when(F.col("_rated"), size_bucket(size, F.col("p75"), F.col("p90"), F.col("p99")))
     )
     if edges is None:
-        known = known.withColumn("_edge", edge_lookup(F.col("symbol"), F.col("bucket"), edge_map)).withColumns({
-            "signal": F.col("_edge.signal"),
-            "prob_reversal": F.col("_edge.prob_reversal"),
-            "prob_continuation": F.col("_edge.prob_continuation"),
-        })
+        found = edge_lookup(F.col("symbol"), F.col("bucket"), edge_map)
     else:
-        known = join_edges(known, edges)
+        found = F.try_element_at("_edges", F.col("bucket"))
+    known = known.withColumn("_edge", found).withColumns({
+        "signal": F.coalesce("_edge.signal", F.lit("NO_EDGE")),
+        "prob_reversal": F.coalesce("_edge.prob_reversal", F.lit(0.5)),
+        "prob_continuation": F.coalesce("_edge.prob_continuation", F.lit(0.5)),
+    })
     run = Window.partitionBy("symbol", "_chunk", "_rated").orderBy("_rn")
     starts = F.when(F.col("signal").eqNullSafe(F.lag("signal").over(run)), F.lit(None)).otherwise(F.col("_pos"))
     known = (
