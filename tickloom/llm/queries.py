@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import license_scan, quality_classifier, quality_rules
+from tickloom.llm import license_scan, quality_classifier, quality_rules, substring_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -45,6 +45,12 @@ def op1_quality_classifier(spark, sf_dir):
     return scored.select("doc_id", held_out(5, 0).alias("held_out"), "score", "predicted")
 
 
+@query("op3_substring_dedup")
+def op3_substring_dedup(spark, sf_dir):
+    kept = substring_dedup.dedup(documents(spark, sf_dir))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 @query("op4_license_scan")
 def op4_license_scan(spark, sf_dir):
     return license_scan.scan_licenses(documents(spark, sf_dir)).drop("text")
