@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import license_scan, quality_classifier, quality_rules, substring_dedup
+from tickloom.llm import license_scan, packing, quality_classifier, quality_rules, substring_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -56,6 +56,20 @@ def op4_license_scan(spark, sf_dir):
     return license_scan.scan_licenses(documents(spark, sf_dir)).drop("text")
 
 
+def tokenizer(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query("op6_packing")
+def op6_packing(spark, sf_dir):
+    packed = packing.pack(documents(spark, sf_dir), tokenizer("word_bpe_49k.json"))
+    return packed.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
 @query("op10_quality_rules")
 def op10_quality_rules(spark, sf_dir):
     judged = quality_rules.judge(documents(spark, sf_dir))
