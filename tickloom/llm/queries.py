@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import license_scan, packing, quality_classifier, quality_rules, substring_dedup
+from tickloom.llm import exact_dedup, license_scan, packing, quality_classifier, quality_rules, substring_dedup, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -70,6 +70,21 @@ def op6_packing(spark, sf_dir):
     )
 
 
+@query("op8_exact_dedup", """SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(n) AS text_sha256 FROM (
+  SELECT doc_id, n, max(doc_id) OVER (PARTITION BY n) AS keep_id, count(*) OVER (PARTITION BY n) AS group_size FROM (
+    SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS n FROM documents))""")
+def op8_exact_dedup(spark, sf_dir):
+    rows = exact_dedup.dedup(documents(spark, sf_dir))
+    return rows.withColumn("text_sha256", F.lower(F.hex("digest"))).drop("digest")
+
+
+@query("op9_warc_derivatives")
+def op9_warc_derivatives(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    made = warc.derivatives(warc.responses(pages))
+    return made.withColumn("block", F.decode("block", "utf-8"))
+
+
 @query("op10_quality_rules")
 def op10_quality_rules(spark, sf_dir):
     judged = quality_rules.judge(documents(spark, sf_dir))
