@@ -12,8 +12,7 @@ What does not fill a sequence at its worker (fewer than k pieces a class) is num
 by counts for each class and worker and filled in the same way. The part sequences left after that,
 at most one a class whatever the input, are put together by first fit.
 
-Token ids come from a tokenizer file. Each worker remembers the ids of at most `MOST_WORDS` words and
-starts afresh beyond that, so its memory is bounded.
+Token ids come from a tokenizer file. Each worker remembers the ids of a bounded number of words.
 
 Defined cases: a null or empty text is one piece with the end id alone; repeated rows are packed one by
 one; an empty table gives an empty result; input columns named like a result give way. The pieces are
@@ -24,7 +23,6 @@ from __future__ import annotations
 
 import os
 import re
-import zlib
 from collections.abc import Iterator
 from functools import cache
 
@@ -35,6 +33,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
+from tickloom.llm.recent import Recent
 from tickloom.session import materialize
 
 CAPACITY = 4096
@@ -85,10 +84,9 @@ class WordCoder:
         self.tokenizer = Tokenizer.from_file(path)
         special = self.tokenizer.get_added_tokens_decoder().values()
         self.special = re.compile("|".join(re.escape(t.content) for t in special)) if special else None
-        self.known: dict[str, bytes] = {}
+        self.known = Recent(MOST_WORDS)
 
     _CLOSING = re.compile(r"[^\s\w'\x80-\U0010ffff]+$")
-    _FOLD = str.maketrans({c: chr(c + 32) for c in range(65, 91)})
 
     def _parts(self, word: str) -> list[str]:
         m = self._CLOSING.search(word)
@@ -98,18 +96,16 @@ class WordCoder:
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         split = [x.split(" ") if x.isascii() and not re.search(r"[^ -~]", x) else re.split(r"[ \t\n\r]+", x) for x in texts]
-        lost = {w for words in split for w in words} - self.known.keys()
+        lost = self.known.lacking({w for words in split for w in words})
         if lost:
-            if len(self.known) + len(lost) > MOST_WORDS:
-                self.known.clear()
-                lost = {w for words in split for w in words}
             parts = {w: self._parts(w) for w in lost}
-            fresh = list({p for ps in parts.values() for p in ps if p not in self.known})
+            fresh = list({p for ps in parts.values() for p in ps})
             got = self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False)
             ids = {p: np.array(e.ids, "<u4").tobytes() for p, e in zip(fresh, got)}
             for w, ps in parts.items():
-                self.known[w] = b"".join(ids[p] if p in ids else self.known[p] for p in ps)
-        return [np.frombuffer(b"".join(map(self.known.__getitem__, words)), "<u4") for words in split]
+                self.known.now[w] = b"".join(map(ids.__getitem__, ps))
+        known = self.known.now
+        return [np.frombuffer(b"".join(map(known.__getitem__, words)), "<u4") for words in split]
 
 
 @cache

@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import exact_dedup, license_scan, packing, quality_classifier, quality_rules, substring_dedup, warc
+from tickloom.llm import (
+    exact_dedup, license_scan, packing, quality_classifier, quality_rules, sentencepiece_codec, substring_dedup, warc,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -36,6 +38,12 @@ def held_out(modulus: int, remainder: int):
     return F.crc32(F.col("doc_id").cast("string")) % modulus == remainder
 
 
+def tokenizer(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 @query("op1_quality_classifier")
 def op1_quality_classifier(spark, sf_dir):
     docs = documents(spark, sf_dir)
@@ -45,6 +53,14 @@ def op1_quality_classifier(spark, sf_dir):
     return scored.select("doc_id", held_out(5, 0).alias("held_out"), "score", "predicted")
 
 
+@query("op2_sentencepiece")
+def op2_sentencepiece(spark, sf_dir):
+    model = tokenizer("piece_bpe_32k.model")
+    coded = sentencepiece_codec.decode(sentencepiece_codec.encode(documents(spark, sf_dir), model), model)
+    same = F.col("decoded") == F.translate(F.coalesce("text", F.lit("")), "\u2581", " ")
+    return coded.select("doc_id", "n_tokens", F.crc32("ids").alias("ids_crc32"), same.alias("round_trip"))
+
+
 @query("op3_substring_dedup")
 def op3_substring_dedup(spark, sf_dir):
     kept = substring_dedup.dedup(documents(spark, sf_dir))
@@ -56,12 +72,6 @@ def op4_license_scan(spark, sf_dir):
     return license_scan.scan_licenses(documents(spark, sf_dir)).drop("text")
 
 
-def tokenizer(name: str) -> str:
-    import public_tokenizers
-
-    return public_tokenizers.path(name)
-
-
 @query("op6_packing")
 def op6_packing(spark, sf_dir):
     packed = packing.pack(documents(spark, sf_dir), tokenizer("word_bpe_49k.json"))
