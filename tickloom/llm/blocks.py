@@ -79,6 +79,8 @@ def in_blocks(docs: DataFrame, id_col: str, total: int, block_bytes: int = BLOCK
     bounds = docs.select(key.alias("k")).approxQuantile("k", [i / n for i in range(1, n)], 0.1 / n) if n > 1 else []
     splits = [float("-inf"), *sorted(set(bounds)), float("inf")]
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), key.alias("_key"))
+    if len(splits) < 3:  # all in one block
+        return rows.select(F.lit(0).alias("_block"), "_row"), 1
     cut = Bucketizer(splits=splits, inputCol="_key", outputCol="_cut", handleInvalid="keep")
     placed = cut.transform(rows).select(F.col("_cut").cast("int").alias("_block"), "_row")
     return placed, len(splits) - 1
