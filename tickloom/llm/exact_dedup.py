@@ -26,7 +26,11 @@ from tickloom.session import fresh_path
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+#: State in RocksDB; without pre-allocated files, which would take megabytes for each small state store.
+STATE = {
+    "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+}
 
 
 def normalized(text: str) -> Column:
@@ -51,14 +55,16 @@ def remember(arrivals_path: str, schema, spark, batches: int = 4, state_path: st
     def tell(changed: DataFrame, epoch: int) -> None:
         changed.write.mode("overwrite").parquet(f"{out}/epoch={epoch}")
 
-    before = spark.conf.get(PROVIDER)
-    spark.conf.set(PROVIDER, ROCKSDB)
+    before = {k: spark.conf.get(k, None) for k in STATE}
+    for k, v in STATE.items():
+        spark.conf.set(k, v)
     try:
         query = (state.writeStream.outputMode("update").foreachBatch(tell).trigger(availableNow=True)
                  .option("checkpointLocation", f"{state_path}/checkpoint").start())
         query.awaitTermination()
     finally:
-        spark.conf.set(PROVIDER, before)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     told = spark.read.schema(state.schema).parquet(f"{out}/*") if files else spark.createDataFrame([], state.schema)
     latest = told.groupBy("digest").agg(F.max("top").alias("top"), F.max("size").alias("size"))  # both only grow
     return latest.select("digest", F.col("top.id").alias("keep_id"), F.col("top.locator").alias("locator"), "size")
@@ -74,15 +80,17 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text: str = "text", digest: C
     groups = remember(path, rows.schema, spark)
     several = groups.where(F.col("size") > 1)
 
-    # the full bytes of every hit against those of the row that stays
+    # The full bytes of every hit against those of the row that stays. Both sides of the join ask for the
+    # same columns and filter nothing before it, so they read the texts from one exchange.
     content = docs.select(F.col(f"`{id_col}`").alias("id"), F.input_file_name().alias("place"), normalized(text).alias("normal"))
     content = content.withColumn("digest", digest(F.col("normal"))).join(several, "digest")
-    stays = F.col("id").eqNullSafe(F.col("keep_id")) & (F.col("place") == F.col("locator"))
-    kept = content.where(stays).groupBy("digest").agg(F.max("normal").alias("kept_normal"))
-    other = content.where(~stays).join(kept, "digest").where(F.col("normal") != F.col("kept_normal"))
+    stays = F.col("id").eqNullSafe(F.col("keep_id")) & F.col("place").eqNullSafe(F.col("locator"))
+    kept = content.groupBy("digest").agg(F.max_by("normal", F.struct(stays, "id")).alias("kept_normal"))
+    other = content.join(kept, "digest").where(~F.col("normal").eqNullSafe(F.col("kept_normal")))
     path = fresh_path(spark, "collisions")
-    other.select("id", "digest", "normal").write.parquet(path)
-    other = spark.read.schema("id " + dict(rows.dtypes)["id"] + ", digest binary, normal string").parquet(path)
+    other = other.select("id", "place", "digest", "normal")
+    other.write.parquet(path)
+    other = spark.read.schema(other.schema).parquet(path)
     apart = other.groupBy("digest", "normal").agg(F.max("id").alias("apart_id"), F.count("*").alias("apart_size"))
     moved = other.join(apart, ["digest", "normal"]).groupBy("id", "digest").agg(
         F.max("apart_id").alias("apart_id"), F.max("apart_size").alias("apart_size"))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.llm import (
-    exact_dedup, license_scan, packing, quality_classifier, quality_rules, sentencepiece_codec, substring_dedup, warc,
+    exact_dedup, license_scan, lm_scoring, packing, quality_classifier, quality_rules, sentencepiece_codec, substring_dedup, warc,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -72,6 +72,13 @@ def op4_license_scan(spark, sf_dir):
     return license_scan.scan_licenses(documents(spark, sf_dir)).drop("text")
 
 
+@query("op5_lm_scoring")
+def op5_lm_scoring(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+    scored = lm_scoring.fit_and_score(docs, ~held_out(7, 2))
+    return scored.select("doc_id", held_out(7, 2).alias("held_out"), *lm_scoring.RESULTS.replace(" long", "").replace(" double", "").split(", "))
+
+
 @query("op6_packing")
 def op6_packing(spark, sf_dir):
     packed = packing.pack(documents(spark, sf_dir), tokenizer("word_bpe_49k.json"))
