@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.llm import (
-    exact_dedup, license_scan, lm_scoring, packing, quality_classifier, quality_rules, sentencepiece_codec, substring_dedup, warc,
+    exact_dedup, license_scan, lm_scoring, minhash_dedup, packing, quality_classifier, quality_rules, sentencepiece_codec,
+    substring_dedup, warc,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -87,6 +88,11 @@ def op6_packing(spark, sf_dir):
     )
 
 
+@query("op7_minhash_dedup")
+def op7_minhash_dedup(spark, sf_dir):
+    return minhash_dedup.dedup(documents(spark, sf_dir))
+
+
 @query("op8_exact_dedup", """SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(n) AS text_sha256 FROM (
   SELECT doc_id, n, max(doc_id) OVER (PARTITION BY n) AS keep_id, count(*) OVER (PARTITION BY n) AS group_size FROM (
     SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS n FROM documents))""")
