@@ -162,12 +162,12 @@ def scan(raw: bytes) -> dict:
     line = b" %s " % b" ".join(words)
     base, labels, degrees, starts, expressions = [], set(), [], [], []
     for end, phrase in _automaton().iter(line.decode("latin-1")):
-        at = line.count(b" ", 0, end - len(phrase))  # spaces before the first word, less the leading one
+        at = line.count(b" ", 0, end - len(phrase) - 1)  # spaces before the one that leads the match
         if phrase in BASE_PHRASES:
             base.append(BASE_PHRASES[phrase])
             starts.append(at)
         if phrase == TAG:
-            spans = [m.end() for _, m in zip(range(at + 3), _RAW_WORD.finditer(raw))]
+            spans = [m.end() for _, m in zip(range(at + 3), _RAW_WORD.finditer(raw.lower()))]
             rest = raw[spans[-1]:].split(b"\n", 1)[0].decode("utf-8", "replace").lstrip(" \t:")
             found = parse(rest)
             if found.postfix:

@@ -127,7 +127,7 @@ class Vocabulary:
     def ids(self, hashes: np.ndarray) -> np.ndarray:
         n = len(self.words)
         if not n:
-            return np.zeros(len(hashes), np.int64)
+            return np.ones(len(hashes), np.int64)  # rarer than the network's one word
         at = np.minimum(np.searchsorted(self._sorted, hashes), n - 1)
         return np.where(self._sorted[at] == hashes, self._rank[at], n)
 
