@@ -97,25 +97,24 @@ def test_rank_chunks_keep_halo_and_rows(crowd):
 def test_lookback_counts(crowd):
     rows, df = crowd
     groups = by_symbol(rows)
-    got = {r["id"]: (r["n_1000ms"], r["n_60000ms"]) for r in features.lookback_counts(df, (1_000, 60_000), 120_000).collect()}
+    got = {r["id"]: (r["n_1000ms"], r["n_60000ms"]) for r in features.lookback_counts(df, (1_000, 60_000)).collect()}
     for r in rows[:300]:
         near = [x[2] for x in groups[r[1]] if x[2] < r[2]]
         assert got[r[0]] == (sum(t >= r[2] - 1_000 for t in near), sum(t >= r[2] - 60_000 for t in near))
 
 
-def test_crowded_slots_are_found_and_bounded(crowd, monkeypatch):
+def test_crowded_slots_are_found(crowd):
     _, df = crowd
     hot = layout.crowded_slots(df, hot_rows=100)
     assert hot.filter("symbol = 'HOT' and _width < 60000").count() >= 1
-    monkeypatch.setattr(layout, "HOT_SLOTS_MAX", 1)
-    assert layout.crowded_slots(df, hot_rows=101).count() == 1
     assert layout.crowded_slots(df) is None
 
 
-def test_order_key_refuses_ids_out_of_range(spark):
-    df = spark.createDataFrame([(1_000, 1 << 60)], "t long, i long")
-    with pytest.raises(Exception, match="narrower slot"):
-        df.select(layout.order_key(F.col("t"), F.col("i"), 60_000)).collect()
+def test_order_key_of_any_id(spark):
+    ids = [-(1 << 63), -5, 0, 34_359_738_368, (1 << 63) - 1]
+    rows = [(t, i) for t in (0, 1, 86_399_999) for i in ids]
+    df = spark.createDataFrame(rows, "t long, i long").withColumn("k", layout.order_key(F.col("t"), F.col("i"), 86_400_000))
+    assert [(r["t"], r["i"]) for r in df.orderBy("k").collect()] == rows
 
 
 def test_nearest_rank(spark):
@@ -136,7 +135,7 @@ def test_ranks_of_signed_values(spark):
 
 
 @pytest.mark.parametrize("small_chunks", [False, True])
-def test_crowded_tapes_take_another_way_to_the_same_features(crowd, monkeypatch, small_chunks):
+def test_layout_of_crowded_tapes_changes_no_feature(crowd, monkeypatch, small_chunks):
     _, df = crowd
 
     def result(fn):
@@ -150,3 +149,26 @@ def test_crowded_tapes_take_another_way_to_the_same_features(crowd, monkeypatch,
         monkeypatch.setattr(layout.rank_chunks, "__defaults__", (0, 0, 64))
     assert layout.crowded_slots(df) is not None
     assert [result(features.orderflow_features), result(features.lookback_counts)] == calm
+
+
+def test_small_quantities_are_not_rounded_away(tape):
+    ticks = tape([(i * 20, 100 + (i * 7 % 5), (1 + i % 3) * 1e-9) for i in range(300)])
+    rows = [r.asDict() for r in ticks.orderBy("id").collect()]
+    got = {r["id"]: r["imbalance_20"] for r in features.orderflow_features(ticks).collect()}
+    checked = 0
+    for k in range(100, 300, 10):
+        past = [r for r in rows if rows[k]["event_time_ms"] - 2_000 <= r["event_time_ms"] < rows[k]["event_time_ms"]]
+        signed = sum(((b["price"] > a["price"]) - (b["price"] < a["price"])) * b["quantity"] for a, b in zip(past, past[1:]))
+        want = signed / max(sum(r["quantity"] for r in past[1:]), 1e-10)
+        assert got[rows[k]["id"]] == pytest.approx(want, abs=2e-6)
+        checked += abs(want) > 1e-3
+    assert checked > 5
+
+
+def test_targets_before_the_first_tick(spark, tape):
+    ticks = tape([(600_000, 10.0), (700_000, 11.0)])
+    t0 = 1_704_067_200_000
+    probes = spark.createDataFrame([(1, "BTCUSDT", t0 - 10_000_000), (2, "BTCUSDT", t0 + 5), (3, "BTCUSDT", t0 + 600_001), (4, "BTCUSDT", t0 + 700_001)],
+                                   "id long, symbol string, target_ms long")
+    got = {r["id"]: r["found_price"] for r in asof.asof_forward(probes, ticks).collect()}
+    assert got == {1: 10.0, 2: 10.0, 3: 11.0, 4: None}

@@ -31,6 +31,19 @@ def test_auc_counts_ties_half(spark):
     assert learning.auc_brier(df).first()["auc"] == 0.875
 
 
+def test_auc_of_close_scores(spark):
+    df = spark.createDataFrame([(0.5000002, 1), (0.5000001, 0)], "score double, label int")
+    assert learning.auc_brier(df).first()["auc"] == 1.0
+
+
+def test_walk_forward_counts_ties(spark):
+    df = spark.createDataFrame([(i, "S", 5 if 2 <= i < 9 else i) for i in range(12)], "id long, symbol string, event_time_ms long")
+    order = sorted(df.collect(), key=lambda r: (r["event_time_ms"], r["id"], r["symbol"]))
+    for fraction in (0.1, 0.5, 0.7, 0.99):
+        got = {r["id"]: r["part"] for r in learning.walk_forward_split(df, fraction).collect()}
+        assert [got[r["id"]] for r in order] == ["train" if k < int(12 * fraction) else "test" for k in range(12)]
+
+
 def test_penalty_is_on_summed_losses(rows):
     """The gradient of c * sum(loss) + |w|^2 / 2 vanishes at the fitted weights."""
     c = 0.5

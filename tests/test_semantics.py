@@ -72,6 +72,37 @@ def test_streak_crosses_chunks(spark, tape, monkeypatch):
     assert sorted(map(tuple, signals.enriched_events(ticks, profile).select("id", "signal", "streak").collect())) == want
 
 
+def test_streak_over_unpriced_ticks(spark, tape, monkeypatch):
+    """A run goes on over any number of rows that carry no signal, and over chunks without any."""
+    from tickloom.operators import layout
+
+    ticks = tape([(i * 10, 100 * 1.02**i) for i in range(20)] + [(200 + i * 10, 100.0) for i in range(150)] + [(2_000 + i * 10, 100 * 1.02**i) for i in range(20)])
+    gap = F.col("event_time_ms").between(1_704_067_200_200, 1_704_067_201_990)
+    ticks = ticks.withColumn("price", F.when(~gap, F.col("price")))
+    profile = profile_of(spark, 0.3, 0.9, 1.1)
+    for f in (layout.rank_chunks, layout.per_symbol_to_rank_chunks):
+        monkeypatch.setattr(f, "__defaults__", tuple(16 if d == layout.RANK_CHUNK else d for d in f.__defaults__))
+    rows = signals.enriched_events(ticks, profile).orderBy("_rn").collect()
+    assert {r["signal"] for r in rows[20:171]} == {"NO_DATA"} and {r["bucket"] for r in rows[20:171]} == {None}
+    assert [r["streak"] for r in rows[1:20]] == [min(k, 10) for k in range(1, 20)]
+    assert [r["streak"] for r in rows[171:]] == [10] * 19
+    assert signals.record_signals(signals.enriched_events(ticks, profile)).filter(gap).count() == 0
+
+
+def test_enrichment_goes_on(spark, ticks):
+    profile = signals.pct_profile(ticks)
+    cut = ticks.agg(F.expr("percentile(event_time_ms, 0.4)")).first()[0]
+    cols = ["symbol", "id", "spike_pct", "signal", "streak", "confidence"]
+    state = spark.createDataFrame([], signals.RUN_STATE)
+    got = []
+    for part in (ticks.filter(F.col("event_time_ms") < cut), ticks.filter(F.col("event_time_ms") >= cut)):
+        rows, state = signals.continued(part, profile, state)
+        got += rows.select(cols).collect()
+        state = spark.createDataFrame(state.collect(), signals.RUN_STATE)
+    whole = signals.enriched_events(ticks, profile).select(cols).collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, whole))
+
+
 def test_newest_enrichment_equals_the_whole(ticks):
     profile = signals.pct_profile(ticks)
     cols = ["id", "spike_pct", "signal", "confidence", "streak"]

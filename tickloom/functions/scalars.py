@@ -37,10 +37,10 @@ def aggressor_side(is_buyer_maker: Column) -> Column:
 
 
 def size_bucket(move: Column, p75: Column, p90: Column, p99: Column) -> Column:
-    """Bucket of an absolute move; each bound belongs to the larger bucket."""
+    """Bucket of an absolute move; each bound belongs to the larger bucket. No move, no bucket."""
     return (
         F.when(move < p75, F.lit("SMALL"))
         .when(move < p90, F.lit("MEDIUM"))
         .when(move < p99, F.lit("LARGE"))
-        .otherwise(F.lit("EXTREME"))
+        .when(move.isNotNull(), F.lit("EXTREME"))
     )

@@ -48,8 +48,7 @@ def asof_forward(
     """For each probe (symbol, `target`): the first tick of the symbol with time >= target.
 
     Adds `found_ms` and `found_<col>` for the numeric columns `fetch` (null when no
-    such tick exists, or when the target lies in a slot before the symbol's first
-    tick). `offsets` are the distances from ticks to targets; they only tell which
+    such tick exists). `offsets` are the distances from ticks to targets; they only tell which
     slots will be crowded, looked for in `crowd` (default: `ticks`).
 
     Ticks and probes meet in the slot of their time; inside a slot one backward pass
@@ -67,7 +66,14 @@ def asof_forward(
     )
     found_type = bare.select(F.struct("_t", *fetch).alias("s")).schema["s"].dataType
     before = Window.partitionBy("symbol").orderBy("_slot")
-    gap = _gap_slots(F.lag("_slot").over(before), F.lag("_width").over(before), slot_ms)
+    packed = probes.select("symbol", F.col(target).alias("_at"), F.struct(*probes.columns).alias("_probe"))
+    placed = with_slots(packed, hot, F.col("_at"), slot_ms)
+    # probes before the symbol's first tick get that tick: its gap begins at the first probe
+    asked = placed.groupBy("symbol").agg(F.min(slot_start(F.col("_at"), slot_ms)).alias("_asked"))
+    heads = heads.join(asked, "symbol", "left")
+    start = F.least(F.coalesce("_asked", "_slot"), F.col("_slot"))
+    gap = _gap_slots(F.coalesce(F.lag("_slot").over(before), start),
+                     F.coalesce(F.lag("_width").over(before), F.lit(slot_ms).cast("bigint")), slot_ms)
     answers = heads.select("symbol", F.struct("_t", *fetch).alias("_next"), gap.alias("_gap")).select(
         "symbol", "_next", F.explode("_gap").alias("_slot")
     )
@@ -79,8 +85,7 @@ def asof_forward(
         "symbol", "_slot", F.col("_t").alias("_at"), "_i",
         F.struct("_t", *fetch).alias("_tick"), F.lit(None).cast(probes.schema).alias("_probe"),
     )
-    packed = probes.select("symbol", F.col(target).alias("_at"), F.struct(*probes.columns).alias("_probe"))
-    probe_rows = with_slots(packed, hot, F.col("_at"), slot_ms).select(
+    probe_rows = placed.select(
         "symbol", "_slot", "_at", F.lit(-1).cast("bigint").alias("_i"),
         F.lit(None).cast(found_type).alias("_tick"), "_probe",
     )

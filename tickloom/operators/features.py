@@ -19,16 +19,12 @@ from tickloom.functions.scalars import rnd
 from tickloom.operators.asof import asof_forward
 from tickloom.operators.layout import (
     BEFORE_NOW,
-    FRAME_CHUNK_MS,
     RANK_CHUNK,
     UNTIL_NOW,
     chunk_of_rank,
-    chunk_offsets,
     chunk_window,
-    crowded_slots,
     oldest_per_symbol,
     rank_chunks,
-    time_chunks,
     with_rank,
 )
 
@@ -37,6 +33,7 @@ STRIDE = 10
 RATE_ROWS = 200
 PATH_ROWS = 200
 MINUTE = 60_000
+EXACT = "decimal(38,18)"  # running totals of quantities and moves
 
 
 def tick_blocks(ticks: DataFrame, stride: int = STRIDE, before: int = 0, after: int = 0) -> DataFrame:
@@ -107,7 +104,8 @@ def tick_features(ticks: DataFrame, window: int = WINDOW, stride: int = STRIDE)
     """Feature rows with move, rank, z-score, bucket, spread, flips, range, volatility, rate, hour, latency."""
     rows = _with_moves(sampled_windows(ticks, window, stride))
     bucket = (
-        F.when((F.col("_k") == 0) | (F.col("_spike") < _level(0.75)), F.lit("SMALL"))
+        F.when(F.col("_spike").isNull(), F.lit(None))
+        .when((F.col("_k") == 0) | (F.col("_spike") < _level(0.75)), F.lit("SMALL"))
         .when(F.col("_spike") < _level(0.90), F.lit("MEDIUM"))
         .when(F.col("_spike") < _level(0.99), F.lit("LARGE"))
         .otherwise(F.lit("EXTREME"))
@@ -202,26 +200,8 @@ def _state(name: str, field: str) -> Column:
     return F.coalesce(F.col(f"{name}.{field}"), F.lit(0))
 
 
-def lookback_counts(ticks: DataFrame, windows: Sequence[int] = (1_000, 2_000, 60_000), chunk_ms: int = FRAME_CHUNK_MS) -> DataFrame:
-    """Ticks of the symbol in [t - w, t) for each window w, for every tick.
-
-    Time chunks with a halo while no minute is crowded; otherwise by row numbers.
-    """
-    if crowded_slots(ticks) is not None:
-        return dense_lookback_counts(ticks, windows)
-    rows = time_chunks(ticks.select("id", "symbol", "event_time_ms"), chunk_ms, before_ms=max(windows))
-    rows = rows.repartition("symbol", "_chunk").withColumn("seen", F.row_number().over(chunk_window()))
-    rows = rows.withColumn("_ask", F.col("_home"))
-    probes = {"now": (0, False)} | {f"w{w}": (-w, False) for w in windows}
-    at = snapshots(rows, ["seen"], probes, [])
-    return at.select(
-        "symbol", "id", "event_time_ms",
-        *[(_state("now", "seen") - _state(f"w{w}", "seen")).cast("bigint").alias(f"n_{w}ms") for w in windows],
-    )
-
-
-def dense_lookback_counts(ticks: DataFrame, windows: Sequence[int]) -> DataFrame:
-    """`lookback_counts` for crowded tapes: differences of row numbers found by as-of, no halo."""
+def lookback_counts(ticks: DataFrame, windows: Sequence[int] = (1_000, 2_000, 60_000)) -> DataFrame:
+    """Ticks of the symbol in [t - w, t) for each window w, for every tick: differences of row numbers found by as-of."""
     ranked = with_rank(ticks.select("id", "symbol", "event_time_ms"), peers=True)
     steps = F.array(*[F.struct(F.lit(f"n_{w}ms").alias("name"), F.lit(w).cast("bigint").alias("ms")) for w in windows])
     probes = ranked.withColumn("_w", F.explode(steps)).select(
@@ -236,16 +216,6 @@ def dense_lookback_counts(ticks: DataFrame, windows: Sequence[int]) -> DataFrame
     )
 
 
-def with_feature_rank(ticks: DataFrame, chunk_ms: int, before_ms: int, after_ms: int) -> DataFrame:
-    """Time chunks whose own rows also know their per-symbol number `_rn` (one exchange)."""
-    offsets = chunk_offsets(ticks, chunk_ms)
-    rows = time_chunks(ticks, chunk_ms, before_ms, after_ms).repartition("symbol", "_chunk")
-    own = F.sum(F.col("_home").cast("bigint")).over(chunk_window().rowsBetween(*UNTIL_NOW))
-    return rows.withColumn("_own", own).join(offsets, ["symbol", "_chunk"], "left").withColumn(
-        "_rn", F.when(F.col("_home"), F.col("_base") + F.col("_own"))
-    ).drop("_own", "_base")
-
-
 def is_sampled(window: int = WINDOW, stride: int = STRIDE) -> Column:
     """Every `stride`-th row after the first `window` rows of its symbol."""
     return (F.col("_rn") > window) & (F.pmod(F.col("_rn") - 1 - window, F.lit(stride)) == 0)
@@ -261,8 +231,8 @@ def tape_totals(rows: DataFrame) -> DataFrame:
         .withColumn("c", F.coalesce(F.signum(F.col("price") - F.col("_prev")) * F.col("quantity"), F.lit(0.0)))
         .withColumn("x", F.when(F.col("_prev") > 0, F.try_divide(F.abs(F.col("price") - F.col("_prev")), F.col("_prev")) * 100.0))
         .withColumn("seen", F.row_number().over(w))
-        .withColumn("sum_c", F.sum("c").over(run))
-        .withColumn("sum_q", F.sum("quantity").over(run))
+        .withColumn("sum_c", F.sum(F.col("c").cast(EXACT)).over(run))
+        .withColumn("sum_q", F.sum(F.col("quantity").cast(EXACT)).over(run))
         .withColumn("n_q", F.sum((F.col("quantity") > 0).cast("int")).over(run))
         .withColumn("n_x", F.count("x").over(run))
         .withColumn("sum_x", F.sum(F.coalesce("x", F.lit(0.0))).over(run))
@@ -303,9 +273,9 @@ def _flow(start: str, end: str = "now") -> dict[str, Column]:
     # equal moves have no spread: counted exactly, not left to rounding of totals
     var = F.when(n_x <= 0, F.lit(None)).when(changes <= 0, F.lit(0.0)).otherwise(F.greatest(F.try_divide(sum_xx, n_x) - mean_x * mean_x, F.lit(0.0)))
     has_volume = gap("n_q") - (first_q > 0).cast("int") > 0
-    # quantities have at most 8 decimals: rounding removes what differencing totals adds
-    signed = F.when(has_volume, F.round(gap("sum_c") - first_c, 8)).otherwise(F.lit(0.0))
-    volume = F.when(has_volume, F.round(gap("sum_q") - first_q, 8)).otherwise(F.lit(0.0))
+    exact = lambda f, first: (gap(f) - first.cast(EXACT)).cast("double")  # decimals: differences of totals lose nothing
+    signed = F.when(has_volume, exact("sum_c", first_c)).otherwise(F.lit(0.0))
+    volume = F.when(has_volume, exact("sum_q", first_q)).otherwise(F.lit(0.0))
     return {"n": gap("seen"), "signed": signed, "volume": volume, "n_x": n_x, "std_x": F.sqrt(var)}
 
 
@@ -332,43 +302,15 @@ def _flow_output(rows: DataFrame, p: dict[str, Column]) -> DataFrame:
     )
 
 
-def orderflow_features(
-    ticks: DataFrame, window: int = WINDOW, stride: int = STRIDE, chunk_ms: int = FRAME_CHUNK_MS
-) -> DataFrame:
-    """Order-flow features of the sampled ticks, all from one pass over the tape.
-
-    imbalance_20 covers the 2 s before the tick, vol_ratio compares the last five
-    moves of those 2 s with all of them, burst_1s the last second with the last
-    minute. Null when fewer than 3 ticks lie in the 2 s. decay_500ms looks ahead
-    and is never a model input.
-
-    One exchange in time chunks with a halo while no minute of a symbol is crowded;
-    otherwise `dense_orderflow_features`.
-    """
-    if crowded_slots(ticks) is not None:
-        return dense_orderflow_features(ticks, window, stride)
-    cols = ticks.select("id", "symbol", "event_time_ms", "price", "quantity")
-    rows = with_feature_rank(cols, chunk_ms, before_ms=MINUTE, after_ms=500)
-    rows = tape_totals(rows.withColumn("_ask", F.col("_home") & is_sampled(window, stride)))
-    rows = rows.withColumn("_ask", F.coalesce("_ask", F.lit(False))).withColumn("p0", F.col("price"))
-    probes = {"now": (0, False), "w1": (-1_000, False), "w2": (-2_000, False), "w60": (-MINUTE, False), "post": (500, True)}
-    at = snapshots(rows, TAPE, probes, ["p0"])
-    seen = lambda name: _state(name, "seen")
-    return _flow_output(at, _flow("w2") | {
-        "n_1s": seen("now") - seen("w1"), "n_60s": seen("now") - seen("w60"), "std_5": F.col("now.std_5"),
-        "n_post": seen("post") - seen("now"), "post_price": F.col("post.price"),
-    })
-
-
-RUNNING = ["sum_c", "sum_q", "sum_x", "sum_xx"]   # kept exact over chunks as decimals
+RUNNING = ["sum_c", "sum_q", "sum_x", "sum_xx"]   # exact decimals
 COUNTED = ["n_q", "n_x", "n_diff"]
 
 
 def tape_states(ticks: DataFrame) -> DataFrame:
     """Running totals of the whole tape at every tick, in even chunks of ticks.
 
-    Totals inside a chunk are doubles; totals of earlier chunks (`b_…`) are exact
-    decimals, so a difference of two states loses nothing however long the tape is.
+    Totals inside a chunk and totals of earlier chunks (`b_…`) are exact decimals, so a
+    difference of two states loses nothing however long the tape or small a quantity is.
     """
     w = chunk_window("_rn")
     run = w.rowsBetween(*UNTIL_NOW)
@@ -386,22 +328,27 @@ def tape_states(ticks: DataFrame) -> DataFrame:
         "sum_x": F.coalesce("x", F.lit(0.0)), "sum_xx": F.coalesce(F.col("x") * F.col("x"), F.lit(0.0)),
         "n_q": (F.col("quantity") > 0).cast("bigint"), "n_x": F.col("x").isNotNull().cast("bigint"), "n_diff": F.col("_diff").cast("bigint"),
     }
-    rows = rows.withColumns({name: F.sum(part).over(run) for name, part in parts.items()})
+    rows = rows.withColumns({name: F.sum(part.cast(EXACT) if name in RUNNING else part).over(run) for name, part in parts.items()})
     totals = rows.groupBy("symbol", "_chunk").agg(*[F.max_by(c, "_rn").alias(f"_t_{c}") for c in parts])
     earlier = Window.partitionBy("symbol").orderBy("_chunk").rowsBetween(*BEFORE_NOW)
-    exact = lambda c: F.col(f"_t_{c}").cast("decimal(28,14)" if c in RUNNING else "bigint")
+    exact = lambda c: F.col(f"_t_{c}").cast(EXACT if c in RUNNING else "bigint")
     bases = totals.select(
         "symbol", "_chunk", *[F.coalesce(F.sum(exact(c)).over(earlier), F.lit(0)).alias(f"b_{c}") for c in parts]
     )
     return rows.select("symbol", "_chunk", "_rn", "price", "std_5", "next_d", *parts).join(bases, ["symbol", "_chunk"])
 
 
-def dense_orderflow_features(ticks: DataFrame, window: int = WINDOW, stride: int = STRIDE) -> DataFrame:
-    """`orderflow_features` for crowded tapes: windows become ranges of row numbers.
+def orderflow_features(ticks: DataFrame, window: int = WINDOW, stride: int = STRIDE) -> DataFrame:
+    """Order-flow features of the sampled ticks.
+
+    imbalance_20 covers the 2 s before the tick, vol_ratio compares the last five
+    moves of those 2 s with all of them, burst_1s the last second with the last
+    minute. Null when fewer than 3 ticks lie in the 2 s. decay_500ms looks ahead
+    and is never a model input.
 
-    The ends of the windows are found by one as-of pass, counts are differences of row
-    numbers, and sums are differences of two tape states fetched by row number. Nothing
-    holds more than one chunk of ticks, however many ticks a second has.
+    Windows are ranges of row numbers: their ends are found by one as-of pass, counts are
+    differences of row numbers, and sums are differences of two tape states fetched by row
+    number. Nothing holds more than one chunk of ticks, however many ticks a second has.
     """
     cols = ticks.select("id", "symbol", "event_time_ms", "price", "quantity")
     ranked = with_rank(cols, peers=True)
@@ -431,8 +378,8 @@ def dense_orderflow_features(ticks: DataFrame, window: int = WINDOW, stride: int
     ])
 
     def gap(c: str) -> Column:
-        whole = F.col(f"last.b_{c}") - F.col(f"first.b_{c}")
-        return whole.cast("double" if c in RUNNING else "bigint") + (F.col(f"last.{c}") - F.col(f"first.{c}"))
+        whole = (F.col(f"last.b_{c}") - F.col(f"first.b_{c}")) + (F.col(f"last.{c}") - F.col(f"first.{c}"))
+        return whole.cast("double" if c in RUNNING else "bigint")
 
     mean = F.try_divide(gap("sum_x"), gap("n_x"))
     spread = F.greatest(F.try_divide(gap("sum_xx"), gap("n_x")) - mean * mean, F.lit(0.0))
@@ -441,8 +388,8 @@ def dense_orderflow_features(ticks: DataFrame, window: int = WINDOW, stride: int
     now = F.col("_rn_first")
     return _flow_output(rows, {
         "n": now - F.col("w2"), "n_1s": now - F.col("w1"), "n_60s": now - F.col("w60"),
-        "signed": F.when(has_volume, F.round(gap("sum_c"), 8)).otherwise(F.lit(0.0)),
-        "volume": F.when(has_volume, F.round(gap("sum_q"), 8)).otherwise(F.lit(0.0)),
+        "signed": F.when(has_volume, gap("sum_c")).otherwise(F.lit(0.0)),
+        "volume": F.when(has_volume, gap("sum_q")).otherwise(F.lit(0.0)),
         "n_x": gap("n_x"), "std_x": F.sqrt(var), "std_5": F.col("last.std_5"),
         "n_post": F.col("post") - now, "post_price": F.col("after.price"),
     })

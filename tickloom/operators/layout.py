@@ -31,7 +31,6 @@ FRAME_CHUNK_MS = 300_000  # chunks for windows with a time halo
 RANK_CHUNK = 8_192        # rows per rank chunk
 
 HOT_ROWS = 1_000_000      # a slot with more rows is cut into narrower ones
-HOT_SLOTS_MAX = 100_000   # and at most this many slots are: the size bound of their table
 
 TICK = ("id", "symbol", "event_time_ms", "price")
 
@@ -45,17 +44,13 @@ def slot_start(time: Column, width_ms: int) -> Column:
 
 
 def order_key(time: Column, ident: Column, width_ms: int) -> Column:
-    """One BIGINT that orders rows of a slot by (time, id).
+    """One number that orders rows of a slot by (time, id), for any 64-bit id.
 
-    A plain long keeps `min_by`/`max_by` in hash aggregation, where a struct key
-    would force a sort of all rows first. An id too large for the bits that are
-    left raises instead of mis-ordering.
+    A decimal keeps `min_by`/`max_by` in hash aggregation, where a struct key would
+    force a sort of all rows first.
     """
-    id_span = 1 << (62 - max(width_ms - 1, 1).bit_length())
-    offset = F.pmod(time, F.lit(width_ms).cast("bigint"))
-    fits = (ident >= 0) & (ident < F.lit(id_span))
-    too_big = F.raise_error(F.lit(f"id outside 0..{id_span - 1}: use a narrower slot")).cast("bigint")
-    return F.when(fits, offset * F.lit(id_span) + ident).otherwise(too_big)
+    offset = F.pmod(time, F.lit(width_ms).cast("bigint")).cast("decimal(13,0)")
+    return offset * F.lit(str(10**20)).cast("decimal(21,0)") + ident.cast("decimal(20,0)")
 
 
 def time_chunks(
@@ -89,24 +84,21 @@ def crowded_slots(
 ) -> DataFrame | None:
     """(symbol, _wide, _width): slots with too many rows and how wide their pieces shall be, or None.
 
-    One small job over two columns (rows per symbol and slot, summed on the map side),
-    run when a plan is built and remembered for the session: what it finds only
-    decides how work is spread, never a result. At most HOT_SLOTS_MAX slots come back,
-    the most crowded ones, so the table is safe to broadcast; a slot left out holds
-    less than rows / HOT_SLOTS_MAX.
+    When a plan is built, one small job over two columns (rows per symbol and slot, summed
+    on the map side) asks whether there is any, and the answer is remembered for the
+    session. It only decides how work is spread, never a result. The table itself
+    stays in the plan: it is neither collected nor cut off, and Spark chooses how to join it.
     """
     hot_rows = HOT_ROWS if hot_rows is None else hot_rows
     times = df.select("symbol", F.col(time).alias("_t"))
-    spark = df.sparkSession
-    known = (spark.sparkContext.applicationId, times.semanticHash(), slot_ms, hot_rows)
+    known = (df.sparkSession.sparkContext.applicationId, times.semanticHash(), slot_ms, hot_rows)
     if known not in _CROWDED:
         counts = times.groupBy("symbol", slot_start(F.col("_t"), slot_ms).alias("_wide")).agg(
             F.count(F.lit(1)).alias("_cnt")
         )
-        crowded = counts.filter(F.col("_cnt") > hot_rows).orderBy(F.col("_cnt").desc()).limit(HOT_SLOTS_MAX).collect()
-        rows = [(r["symbol"], r["_wide"], max(slot_ms * hot_rows // r["_cnt"], 1)) for r in crowded]
-        schema = "symbol string, _wide bigint, _width bigint"
-        _CROWDED[known] = spark.createDataFrame(rows, schema) if rows else None
+        width = F.greatest(F.floor(F.lit(slot_ms * hot_rows) / F.col("_cnt")).cast("bigint"), F.lit(1).cast("bigint"))
+        crowded = counts.filter(F.col("_cnt") > hot_rows).select("symbol", "_wide", width.alias("_width"))
+        _CROWDED[known] = None if crowded.isEmpty() else crowded
     return _CROWDED[known]
 
 
@@ -126,7 +118,7 @@ def with_slots(df: DataFrame, hot: DataFrame | None, time: Column, slot_ms: int
     wide = slot_start(time, slot_ms)
     if hot is None:
         return df.withColumns({"_wide": wide, "_width": F.lit(slot_ms).cast("bigint"), "_slot": wide})
-    placed = df.withColumn("_wide", wide).join(F.broadcast(hot), ["symbol", "_wide"], "left")
+    placed = df.withColumn("_wide", wide).join(hot, ["symbol", "_wide"], "left")
     placed = placed.withColumn("_width", F.coalesce("_width", F.lit(slot_ms).cast("bigint")))
     return placed.withColumn("_slot", time - F.pmod(time - F.col("_wide"), F.col("_width")))
 
@@ -160,13 +152,6 @@ def with_previous(
     return joined.withColumns(previous).select(*df.columns, *previous)
 
 
-def chunk_offsets(df: DataFrame, chunk_ms: int, time: str = "event_time_ms") -> DataFrame:
-    """Per (symbol, time chunk): rows of the symbol in earlier chunks (`_base`)."""
-    counts = df.groupBy("symbol", slot_start(F.col(time), chunk_ms).alias("_chunk")).agg(F.count(F.lit(1)).alias("_cnt"))
-    earlier = Window.partitionBy("symbol").orderBy("_chunk").rowsBetween(*BEFORE_NOW)
-    return counts.select("symbol", "_chunk", F.coalesce(F.sum("_cnt").over(earlier), F.lit(0)).alias("_base"))
-
-
 def with_rank(
     df: DataFrame,
     order: Sequence[str] = ("event_time_ms", "id"),

@@ -92,17 +92,19 @@ def purged_split(rows: DataFrame, fraction: float = 0.7, embargo_ms: int = EMBAR
 
 
 def walk_forward_split(rows: DataFrame, fraction: float = 0.7) -> DataFrame:
-    """Adds `part`: the first floor(fraction * n) rows in (time, id) order are train, the rest test."""
+    """Adds `part`: the first floor(fraction * n) rows in (time, id, symbol) order are train, the rest test.
+
+    The first test row is read as one scalar: only rows of its time are put in order.
+    """
     cut = rows.agg(F.floor(F.count(F.lit(1)) * F.lit(fraction)).cast("bigint").alias("k")).scalar()
     at = split_time(rows, fraction)
     below = rows.filter(F.col("event_time_ms") < at).agg(F.count(F.lit(1)).alias("b")).scalar()
-    tied = Window.partitionBy("event_time_ms").orderBy("id", "symbol")
+    tied = rows.filter(F.col("event_time_ms") == at).select("id", "symbol")
+    place = F.row_number().over(Window.orderBy("id", "symbol"))
+    first = tied.withColumn("_place", place).filter(F.col("_place") == cut - below + 1).agg(F.min(F.struct("id", "symbol")).alias("f")).scalar()
     early = (F.col("event_time_ms") < at) | (
-        (F.col("event_time_ms") == at) & (below + F.row_number().over(tied) <= cut)
-    )
-    return rows.withColumn("_early", early).withColumn(
-        "part", F.when(F.col("_early"), F.lit("train")).otherwise(F.lit("test"))
-    ).drop("_early")
+        (F.col("event_time_ms") == at) & F.coalesce(F.struct("id", "symbol") < first, F.lit(True)))
+    return rows.withColumn("part", F.when(early, F.lit("train")).otherwise(F.lit("test")))
 
 
 def standardize(rows: DataFrame, features: Sequence[str], fit_on: DataFrame) -> DataFrame:
@@ -189,21 +191,26 @@ def isotonic_scores(train: DataFrame, test: DataFrame, features: Sequence[str],
     return out.withColumn("calibrated", mean).drop(*names)
 
 
-def auc_brier(scored: DataFrame, score: str = "score", digits: int = 6) -> DataFrame:
-    """Area under the ROC curve by ranks (ties count half) and the Brier score.
+SCORE_PARTS = 4_096
 
-    Scores are compared at `digits` decimals, so at most 10**digits + 1 distinct
-    scores are ranked, whatever the number of rows.
+
+def auc_brier(scored: DataFrame, score: str = "score") -> DataFrame:
+    """Area under the ROC curve by ranks (ties count half) and the Brier score, both on the scores as they are.
+
+    Two phases: rows without label 1 below each of SCORE_PARTS ranges of scores, then the
+    ranks inside a range, each of which is a task's work.
     """
-    rounded = scored.withColumn("_s", F.round(score, digits))
-    by_score = rounded.groupBy("_s").agg(
+    part = F.floor(F.col("_s") * SCORE_PARTS).cast("bigint")
+    by_score = scored.withColumn("_s", F.col(score).cast("double") + F.lit(0.0)).groupBy(part.alias("_part"), "_s").agg(
         F.sum("label").alias("_pos"), F.sum(F.lit(1) - F.col("label")).alias("_neg"),
         F.sum((F.col("_s") - F.col("label")) * (F.col("_s") - F.col("label"))).alias("_sq"),
     )
-    below = F.coalesce(
-        F.sum("_neg").over(Window.partitionBy(F.lit(0)).orderBy("_s").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
-    )
-    pairs = by_score.withColumn("_wins", F.col("_pos") * (below + F.col("_neg") * 0.5))
+    earlier = (Window.unboundedPreceding, -1)
+    parts = by_score.groupBy("_part").agg(F.sum("_neg").alias("_n"))
+    parts = parts.select("_part", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(*earlier)), F.lit(0)).alias("_base"))
+    inside = F.coalesce(F.sum("_neg").over(Window.partitionBy("_part").orderBy("_s").rowsBetween(*earlier)), F.lit(0))
+    below = F.col("_base") + F.col("_inside")
+    pairs = by_score.withColumn("_inside", inside).join(parts, "_part").withColumn("_wins", F.col("_pos") * (below + F.col("_neg") * 0.5))
     n, pos, neg = F.sum(F.col("_pos") + F.col("_neg")), F.sum("_pos"), F.sum("_neg")
     return pairs.agg(
         n.alias("n"), pos.alias("positives"),

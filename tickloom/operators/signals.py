@@ -12,6 +12,7 @@ from tickloom.functions.ranks import nearest_ranks
 from tickloom.functions.scalars import rnd, size_bucket
 from tickloom.operators.candles import body_pct, candles
 from tickloom.operators.layout import (
+    UNTIL_NOW,
     attach_per_symbol,
     chunk_window,
     newest_per_symbol,
@@ -86,9 +87,31 @@ def confidence(bucket: Column, streak: Column) -> Column:
     return rnd(F.least(base + bonus, F.lit(1.0)), 3)
 
 
-# Rows of earlier context per chunk: the streak looks back STREAK_CAP - 1 classified
-# rows and each needs its predecessor's price; the rest is room for unpriced rows.
-CONTEXT_ROWS = 64
+RUN_STATE = "symbol string, price double, signal string, streak bigint"
+
+
+def _runs(known: DataFrame, before: DataFrame | None) -> DataFrame:
+    """(symbol, _chunk, _run): the run of signals that reaches the end of each chunk, however long it is.
+
+    One row a chunk says which run its last rated row belongs to and whether all its
+    rated rows are that run. Where they are and the chunk before ended on the same signal,
+    the run goes on; running totals between such breaks give its length. `before`
+    (RUN_STATE) counts as the chunk before the first.
+    """
+    rated = known.filter(F.col("_home") & F.col("_rated"))
+    ends = rated.groupBy("symbol", "_chunk").agg(
+        F.max_by("signal", "_pos").alias("signal"), F.max_by("_len", "_pos").alias("_len"), F.count(F.lit(1)).alias("_cnt"),
+    )
+    if before is not None:
+        ends = ends.unionByName(before.filter(F.col("signal").isNotNull()).select(
+            "symbol", F.lit(-1).cast("bigint").alias("_chunk"), "signal", F.col("streak").alias("_len"),
+            F.lit(None).cast("bigint").alias("_cnt")))
+    w = Window.partitionBy("symbol").orderBy("_chunk")
+    goes_on = (F.col("_len") == F.col("_cnt")) & (F.col("signal") == F.lag("signal").over(w))
+    island = F.sum(F.coalesce((~goes_on).cast("int"), F.lit(1))).over(w.rowsBetween(*UNTIL_NOW))
+    whole = Window.partitionBy("symbol", "_island").orderBy("_chunk").rowsBetween(*UNTIL_NOW)
+    return ends.withColumn("_island", island).select(
+        "symbol", "_chunk", F.struct("signal", F.sum("_len").over(whole).alias("streak")).alias("_run"))
 
 
 def enriched_events(
@@ -97,6 +120,7 @@ def enriched_events(
     descending: bool = False,
     edge_map: Sequence[tuple] = tuple(config.EDGE_MAP),
     edges: DataFrame | None = None,
+    before: DataFrame | None = None,
 ) -> DataFrame:
     """Every tick with its change and what that change means.
 
@@ -107,22 +131,44 @@ def enriched_events(
 
     Two exchanges of the ticks: one to number them, one into even chunks; the
     profile look-up reuses the latter's partitioning, so a hot symbol is never in
-    one task.
+    one task. Runs of a signal are counted inside the chunks and carried from chunk to
+    chunk. `before` (RUN_STATE, a row for each symbol) goes on from earlier ticks.
     """
+    return _enriched(ticks, profile, descending, edge_map, edges, before)[0]
+
+
+def continued(
+    ticks: DataFrame, profile: DataFrame, before: DataFrame, edge_map: Sequence[tuple] = tuple(config.EDGE_MAP)
+) -> tuple[DataFrame, DataFrame]:
+    """`enriched_events` that goes on from `before`, and the RUN_STATE after these ticks."""
+    rows, runs, ranked = _enriched(ticks, profile, False, edge_map, None, before)
+    last = ranked.groupBy("symbol").agg(F.max_by("price", "_rn").alias("_price"))
+    run = runs.groupBy("symbol").agg(F.max_by("_run", "_chunk").alias("_run"))
+    old = before.withColumnRenamed("price", "_old").select("symbol", "_old")
+    after = last.join(run, "symbol", "full").join(old, "symbol", "full").select(
+        "symbol", F.coalesce("_price", "_old").alias("price"), "_run.signal", "_run.streak")
+    return rows, after
+
+
+def _enriched(ticks, profile, descending, edge_map, edges, before) -> tuple[DataFrame, DataFrame, DataFrame]:
     if profile is None:
         profile = pct_profile(ticks)
     ranked = with_rank(ticks, descending=descending)
-    chunked = rank_chunks(ranked, before=CONTEXT_ROWS)
+    chunked = rank_chunks(ranked, before=1)
     w = chunk_window("_rn")
-    prev = F.lag("price").over(w)
-    moved = chunked.withColumn("prev_price", prev)
+    moved = chunked.withColumn("prev_price", F.lag("price").over(w))
+    if before is not None:
+        first = before.select("symbol", F.col("price").alias("_before"))
+        profile = profile.join(first, "symbol", "full")
     if edges is not None:
         profile = profile.join(edges_per_symbol(edges), "symbol", "left")
     known = attach_per_symbol(moved, profile, ticks, "left")
+    if before is not None:
+        known = known.withColumn("prev_price", F.when(F.col("_rn") == 1, F.col("_before")).otherwise(F.col("prev_price")))
     change = F.try_divide(F.col("price") - F.col("prev_price"), F.col("prev_price")) * F.lit(100.0)
     has_prev = F.col("prev_price") > 0
     known = known.withColumn("change_pct", F.when(has_prev, change)).withColumn(
-        "_rated", F.coalesce(has_prev, F.lit(False)) & F.col("p75").isNotNull()
+        "_rated", F.col("_home") & F.coalesce(has_prev, F.lit(False)) & F.col("price").isNotNull() & F.col("p75").isNotNull()
     )
     size = F.abs(F.col("change_pct"))
     known = known.withColumn(
@@ -143,8 +189,15 @@ def enriched_events(
         known.withColumn("_pos", F.row_number().over(run))
         .withColumn("_start", starts)
         .withColumn("_start", F.last("_start", ignorenulls=True).over(run))
-        .withColumn("streak", F.least(F.col("_pos") - F.col("_start") + 1, F.lit(config.STREAK_CAP)))
+        .withColumn("_len", (F.col("_pos") - F.col("_start") + 1).cast("bigint"))
     )
+    runs = _runs(known, before)
+    each = Window.partitionBy("symbol").orderBy("_chunk")
+    carried = runs.select("symbol", "_chunk", F.lag("_run").over(each).alias("_carry"))
+    known = known.join(carried, ["symbol", "_chunk"], "left")
+    goes_on = (F.col("_start") == 1) & (F.col("signal") == F.col("_carry.signal"))
+    length = F.col("_len") + F.when(goes_on, F.col("_carry.streak")).otherwise(F.lit(0))
+    known = known.withColumn("streak", F.least(length, F.lit(config.STREAK_CAP)))
     rated = F.col("_rated")
     spike = F.when(F.coalesce(has_prev, F.lit(False)), F.col("change_pct")).otherwise(F.lit(0.0))
     z = F.when(
@@ -152,7 +205,7 @@ def enriched_events(
     ).otherwise(F.lit(0.0))
     label = F.when(F.col("signal") == "NO_EDGE", F.lit("NOISE")).otherwise(F.col("signal"))
     keep = [c for c in ticks.columns]
-    return known.filter("_home").select(
+    out = known.filter("_home").select(
         *keep,
         "_rn",
         "_n",
@@ -167,6 +220,7 @@ def enriched_events(
         F.when(rated, z).alias("zscore"),
         F.when(rated, F.col("n")).alias("regime_n"),
     )
+    return out, runs, ranked
 
 
 INTELLIGENCE = [
@@ -245,12 +299,8 @@ def edge_signal_v1(
 
 
 def latest_enriched(ticks: DataFrame, profile: DataFrame, last: int = 500, **options) -> DataFrame:
-    """Enrichment of only the newest `last` ticks per symbol, with enough rows before them.
-
-    Equal to the newest rows of `enriched_events`, at a cost bounded per symbol.
-    """
-    context = newest_per_symbol(ticks, last + CONTEXT_ROWS).drop("_pos")
-    return newest_per_symbol(enriched_events(context, profile, **options), last).drop("_pos")
+    """The newest `last` ticks per symbol, enriched. A streak may reach back any distance, so all ticks are read."""
+    return newest_per_symbol(enriched_events(ticks, profile, **options), last).drop("_pos")
 
 
 def recent_profile(ticks: DataFrame, last: int = 10_000, min_candles: int = 20) -> DataFrame:

@@ -39,6 +39,7 @@ def nearest(value: str, p: float) -> str:
     )
 
 
+# The edge maps, as in `config`.
 EDGE_CASE = """CASE
   WHEN symbol='BTCUSDT' AND bucket='SMALL' THEN {'s':'REV_EDGE','r':0.63::DOUBLE,'c':0.37::DOUBLE}
   WHEN symbol='BTCUSDT' AND bucket='MEDIUM' THEN {'s':'REV_EDGE','r':0.73::DOUBLE,'c':0.27::DOUBLE}
@@ -57,7 +58,7 @@ EDGE_CASE_V1 = """CASE
 
 
 def bucket_case(x: str) -> str:
-    return (f"CASE WHEN {x} < p75 THEN 'SMALL' WHEN {x} < p90 THEN 'MEDIUM' "
+    return (f"CASE WHEN ({x}) IS NULL THEN NULL WHEN {x} < p75 THEN 'SMALL' WHEN {x} < p90 THEN 'MEDIUM' "
             f"WHEN {x} < p99 THEN 'LARGE' ELSE 'EXTREME' END")
 
 
@@ -78,7 +79,7 @@ def enriched_cte(order: str) -> str:
           THEN 1 ELSE 0 END AS brk FROM (
         SELECT *, {EDGE_CASE} AS e FROM (
           SELECT t.*, p.p75, p.p90, p.p99, p.mean, p.std, p.n,
-            coalesce(t.prev > 0, false) AND p.p75 IS NOT NULL AS rated,
+            coalesce(t.prev > 0, false) AND t.price IS NOT NULL AND p.p75 IS NOT NULL AS rated,
             CASE WHEN t.prev > 0 THEN {pct('t.price', 't.prev')} END AS chg,
             {bucket_case('abs(CASE WHEN t.prev > 0 THEN ' + pct('t.price', 't.prev') + ' END)')} AS bucket
           FROM (SELECT *, lag(price) OVER w AS prev, row_number() OVER w AS rn FROM ticks
