@@ -35,6 +35,30 @@ def candles(ticks: DataFrame, interval_ms: int = 1_000) -> DataFrame:
     )
 
 
+SPAN = (
+    "symbol string, time_ms bigint, first struct<event_time_ms: bigint, id: bigint, price: double>, "
+    "last struct<event_time_ms: bigint, id: bigint, price: double>, trades bigint"
+)
+
+
+def spans(ticks: DataFrame, interval_ms: int = 1_000) -> DataFrame:
+    """Candles that can be merged: the first and the last trade of each interval, and how many there are."""
+    end = F.struct("event_time_ms", "id", "price")
+    return ticks.filter(F.col("event_type") == "trade").groupBy(
+        "symbol", slot_start(F.col("event_time_ms"), interval_ms).alias("time_ms")
+    ).agg(F.min(end).alias("first"), F.max(end).alias("last"), F.count(F.lit(1)).alias("trades"))
+
+
+def merge_spans(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("symbol", "time_ms").agg(
+        F.min("first").alias("first"), F.max("last").alias("last"), F.sum("trades").alias("trades"))
+
+
+def span_candles(rows: DataFrame) -> DataFrame:
+    """Open, close and trades of merged candles."""
+    return rows.select("symbol", "time_ms", F.col("first.price").alias("open"), F.col("last.price").alias("close"), "trades")
+
+
 def body_pct() -> Column:
     return F.try_divide(F.col("close") - F.col("open"), F.col("open")) * F.lit(100.0)
 

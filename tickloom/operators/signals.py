@@ -36,8 +36,13 @@ def pct_profile(
     if now_ms is not None:
         now = F.lit(now_ms) if isinstance(now_ms, int) else now_ms
         rows = ticks.filter(F.col("event_time_ms") >= now - lookback_ms)
+    return profile_of_candles(candles(rows), min_ticks, min_candles)
+
+
+def profile_of_candles(rows: DataFrame, min_ticks: int = 100, min_candles: int = 20) -> DataFrame:
+    """The profile of 1-second candles (symbol, open, close, trades)."""
     # candles with open <= 0 have no move but their ticks count towards min_ticks
-    moves = candles(rows).select(
+    moves = rows.select(
         "symbol", "trades", F.when(F.col("open") > 0, F.abs(body_pct())).alias("move")
     )
     ranks = nearest_ranks(moves, ["symbol"], "move", PROFILE_PROBS)

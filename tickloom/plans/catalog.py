@@ -899,18 +899,17 @@ def scalar_smoke(t):
 @query("stream_ingest", """SELECT symbol, event_type, price, quantity, event_time_ms, ingest_time_ms, trade_id, is_buyer_maker
   FROM ticks WHERE symbol <> 'SIGNUP'""")
 def stream_ingest(spark, sf_dir):
-    path = jobs.ingest(tape_messages(jobs.tick_stream(spark, sf_dir)))
-    stored = spark.read.parquet(path)
+    path, _ = jobs.ingest(tape_messages(jobs.tick_stream(spark, sf_dir)))
+    stored = jobs.read_table(spark, path)
     return stored.select("symbol", "event_type", "price", "quantity", "event_time_ms", "ingest_time_ms", "trade_id", "is_buyer_maker")
 
 
 def _stream_candles(interval: str, ms: int):
     def run(spark, sf_dir):
-        path = jobs.run_to_table(jobs.live_candles(jobs.tick_stream(spark, sf_dir), interval), "candles")
-        return spark.read.parquet(path).withColumn("volume", rnd(F.col("volume"), 6))
+        path, _ = jobs.keep_current(jobs.live_candles(jobs.tick_stream(spark, sf_dir), interval), "candles")
+        return jobs.newest_rows(spark, path, ["symbol", "time_ms"]).withColumn("volume", rnd(F.col("volume"), 6))
 
-    sql = f"SELECT * FROM ({_ohlcv_sql(ms)}) WHERE time_ms + {ms} <= (SELECT now_ms - 10000 FROM latest)"
-    return sql, run
+    return _ohlcv_sql(ms), run
 
 
 for _name, _interval, _ms in (("stream_candles", "1 second", 1_000), ("stream_candles_1m", "1 minute", 60_000)):
@@ -925,17 +924,17 @@ def batch_profile(t: DataFrame) -> DataFrame:
 @query("stream_streak", "SELECT id, symbol, event_time_ms, signal, streak FROM served WHERE streak IS NOT NULL")
 def stream_streak(spark, sf_dir):
     profile = batch_profile(src.read_ticks(spark, sf_dir))
-    path = jobs.run_to_table(jobs.live_streaks(jobs.tick_stream(spark, sf_dir), profile), "streaks")
-    return spark.read.parquet(path)
+    path, _ = jobs.streaks(jobs.tick_stream(spark, sf_dir), profile)
+    return jobs.read_table(spark, path).drop("batch")
 
 
 CTES["stream_found"] = " UNION ALL ".join(
-    f"SELECT id, symbol, signal, bucket, price_entry, 'price_{h}s' AS horizon, p{h} AS price, result_{h}s AS result FROM settled_{h}" for h in (10, 30))
+    f"SELECT id, symbol, signal, bucket, price_entry, 'price_{h}s' AS horizon, p{h} AS price, CASE WHEN p{h} IS NULL THEN 'PENDING' ELSE result_{h}s END AS result FROM settled_{h}" for h in (10, 30))
 for _h in (10, 30):
     CTES[f"settled_{_h}"] = f"""SELECT *, CASE WHEN signal='REV_EDGE' AND mv < -thr THEN 'WIN' WHEN signal='CONT_EDGE' AND mv > thr THEN 'WIN'
         WHEN abs(mv) < thr * 0.5::DOUBLE THEN 'NEUTRAL' ELSE 'LOSS' END AS result_{_h}s
       FROM (SELECT *, {pct(f'p{_h}', 'price_entry')} AS mv, CASE bucket WHEN 'MEDIUM' THEN 0.010::DOUBLE WHEN 'LARGE' THEN 0.020::DOUBLE ELSE 0.030::DOUBLE END AS thr
-        FROM priced_{_h} WHERE p{_h} IS NOT NULL)"""
+        FROM priced_{_h})"""
 
 
 @query("stream_outcomes", "SELECT * FROM stream_found")
@@ -945,14 +944,14 @@ def stream_outcomes(spark, sf_dir):
     path = fresh_path(spark, "signals")
     waiting.write.parquet(path)
     incoming = jobs.file_stream(spark, path, waiting.schema)
-    out = jobs.run_to_table(jobs.live_outcomes(incoming, jobs.tick_stream(spark, sf_dir)), "outcomes")
-    return spark.read.parquet(out)
+    out, _ = jobs.outcomes(incoming, jobs.tick_stream(spark, sf_dir))
+    return jobs.outcome_rows(spark, out)
 
 
 @query("stream_profile", f"SELECT symbol, n, {PROFILE_SQL} FROM profile")
 def stream_profile(spark, sf_dir):
-    path = jobs.profile_refresh(jobs.tick_stream(spark, sf_dir))
-    runs = spark.read.parquet(path)
+    path, _ = jobs.profiles(jobs.tick_stream(spark, sf_dir))
+    runs = jobs.read_table(spark, path)
     newest = runs.filter(F.col("batch") == runs.agg(F.max("batch")).scalar())
     return newest.select("symbol", "n", *[rnd(F.col(c), 8).alias(c) for c in ("p75", "p90", "p99", "mean", "std")])
 
@@ -960,10 +959,10 @@ def stream_profile(spark, sf_dir):
 @query("stream_counts_5m", """SELECT symbol, start_ms, count(*) FILTER (signal='REV_EDGE') AS rev, count(*) FILTER (signal='CONT_EDGE') AS cont,
     count(*) FILTER (signal='NO_EDGE') AS no_edge
   FROM (SELECT *, event_time_ms // 60000 * 60000 - unnest([0, 60000, 120000, 180000, 240000]) AS start_ms FROM served)
-  WHERE start_ms + 300000 <= (SELECT now_ms - 10000 FROM latest) GROUP BY symbol, start_ms""")
+  GROUP BY symbol, start_ms""")
 def stream_counts_5m(spark, sf_dir):
     served = enriched(src.read_ticks(spark, sf_dir)).select("id", "symbol", "event_time_ms", "signal")
     path = fresh_path(spark, "enriched")
     served.write.parquet(path)
-    out = jobs.run_to_table(jobs.live_counts(jobs.file_stream(spark, path, served.schema)), "counts")
-    return spark.read.parquet(out)
+    out, _ = jobs.keep_current(jobs.live_counts(jobs.file_stream(spark, path, served.schema)), "counts")
+    return jobs.newest_rows(spark, out, ["symbol", "start_ms"])

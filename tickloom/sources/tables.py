@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import datetime, timezone
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -64,6 +65,32 @@ def retain_recent(ticks: DataFrame, now_ms, keep_ms: int = 7_200_000) -> DataFra
     return ticks.filter(F.col("event_time_ms") >= now - F.lit(keep_ms))
 
 
+def drop_folder(spark: SparkSession, path: str) -> bool:
+    """Delete a folder in whatever file system its path names."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def folders(spark: SparkSession, pattern: str) -> list[str]:
+    """Names of the folders that a pattern finds."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    return [f.getPath().getName() for f in where.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(where) or []]
+
+
+def drop_old_days(spark: SparkSession, path: str, now_ms: int, keep_ms: int = 7_200_000) -> list[str]:
+    """Delete the `date=` folders of a tick table whose whole day is older than `keep_ms` before `now_ms`.
+
+    Lists folders only; ticks of the day that is cut stay until it is over (`retain_recent` filters them).
+    """
+    root = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/symbol=*/date=*")
+    found = root.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(root) or []
+    first = datetime.fromtimestamp((now_ms - keep_ms) / 1000, timezone.utc).date().isoformat()
+    old = sorted(str(f.getPath()) for f in found if f.getPath().getName().removeprefix("date=") < first)
+    for folder in old:
+        drop_folder(spark, folder)
+    return old
+
+
 def table_exists(spark: SparkSession, name: str) -> bool:
     return spark.catalog.tableExists(name)
 

@@ -1,29 +1,36 @@
 """Structured Streaming jobs over ticks: ingest, candles, streaks, outcomes, profiles, rolling counts.
 
-Event time is the tick's own time. Late data: rows more than `LATENESS` behind the
-newest tick still reach the tick table but no aggregate that was already emitted.
+Event time is the tick's own time. Every job keeps its progress and its tables in one folder, which may
+be given: started again on that folder, it goes on where it ended, without loss or repeats. A
+micro-batch writes folders of its own (`<table>/batch=<n>`) and reads the state that the batch before
+it left, so a repeated batch changes nothing.
+
+Streaks, outcomes and profiles run the batch operators on each micro-batch, with a small table as state
+(a row for each symbol, open signals, candles of the look-back), so no symbol is ever one group.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import DataStreamWriter
+from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from tickloom import config
+from tickloom.functions.scalars import pct_change
+from tickloom.operators.asof import asof_forward
+from tickloom.operators.candles import SPAN, merge_spans, span_candles, spans
 from tickloom.operators.outcomes import HORIZONS, verdict
-from tickloom.operators.signals import edge_rows, pct_profile
+from tickloom.operators.signals import RUN_STATE, continued, profile_of_candles
 from tickloom.session import fresh_path
 from tickloom.sources.schemas import EVENTS
-from tickloom.sources.tables import event_date
-from tickloom.sources.ticks import events_as_ticks, parse_trades
-from tickloom.streaming.state import RESOLVED_OUTPUT, STREAK_OUTPUT, OutcomeProcessor, StreakProcessor
+from tickloom.sources.tables import drop_folder, event_date, folders
+from tickloom.sources.ticks import dead_letters, events_as_ticks, parse_trades
 
 LATENESS = "10 seconds"
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def file_stream(
@@ -47,9 +54,9 @@ def kafka_messages(spark: SparkSession, servers: str, topic: str, per_trigger: i
     return source.select(F.col("value").cast("string").alias("raw"), F.unix_millis("timestamp").alias("ingest_time_ms"))
 
 
-def tick_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+def tick_stream(spark: SparkSession, sf_dir: str, files_per_trigger: int = 8) -> DataFrame:
     """The event table replayed as a stream of ticks."""
-    return events_as_ticks(file_stream(spark, sf_dir, EVENTS, "events.parquet"))
+    return events_as_ticks(file_stream(spark, sf_dir, EVENTS, "events.parquet", files_per_trigger))
 
 
 def with_event_time(ticks: DataFrame) -> DataFrame:
@@ -73,36 +80,85 @@ def state_partitions(spark: SparkSession):
         spark.conf.set(key, before)
 
 
-def run_to_table(stream: DataFrame, name: str, partition_by: tuple[str, ...] = (), seconds: int | None = None) -> str:
-    """Run a stream over all available input into a Parquet table; returns its path.
+class Store:
+    """The tables of a job, one folder for each micro-batch."""
+
+    def __init__(self, path: str, batch: int):
+        self.path, self.batch = path, batch
+
+    def write(self, table: str, df: DataFrame, partition_by: Sequence[str] = ()) -> None:
+        df.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{self.path}/{table}/batch={self.batch}")
+
+    def state(self, spark: SparkSession, table: str, schema: str) -> DataFrame:
+        """What the batch before this one left; nothing before the first."""
+        if not self.batch:
+            return spark.createDataFrame([], schema)
+        return spark.read.schema(schema).parquet(f"{self.path}/{table}/batch={self.batch - 1}")
 
-    With `seconds`, runs for ever in micro-batches of that length instead and
-    returns at once.
+    def forget(self, spark: SparkSession, *tables: str) -> None:
+        """State that no repeated batch can ask for any more."""
+        for table in tables:
+            drop_folder(spark, f"{self.path}/{table}/batch={self.batch - 2}")
+
+
+def run_batches(
+    stream: DataFrame, name: str, work: Callable[[DataFrame, Store], None], path: str | None = None, seconds: int | None = None,
+    mode: str = "append",
+) -> tuple[str, StreamingQuery]:
+    """Hand every micro-batch to `work`; returns the job's folder and the running query.
+
+    Runs over all available input to the end; with `seconds`, for ever in micro-batches of that
+    length, and returns at once. On the folder of an earlier run it goes on from there.
     """
     spark = stream.sparkSession
-    out, checkpoint = fresh_path(spark, name), fresh_path(spark, f"{name}-progress")
-    writer: DataStreamWriter = stream.writeStream.format("parquet").outputMode("append")
-    writer = writer.option("path", out).option("checkpointLocation", checkpoint)
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
+    path = path or fresh_path(spark, name)
+
+    def each(batch: DataFrame, number: int) -> None:
+        batch.persist()
+        try:
+            work(batch, Store(path, number))
+        finally:
+            batch.unpersist()
+
+    writer = stream.writeStream.outputMode(mode).foreachBatch(each).option("checkpointLocation", f"{path}/progress")
     trigger = {"availableNow": True} if seconds is None else {"processingTime": f"{seconds} seconds"}
     with state_partitions(spark):
-        running = writer.trigger(**trigger).start()
+        query = writer.trigger(**trigger).start()
     if seconds is None:
-        running.awaitTermination()
-    return out
+        query.awaitTermination()
+    return path, query
+
+
+def read_table(spark: SparkSession, path: str, table: str = "rows") -> DataFrame:
+    """All batches of a job's table; `batch` tells them apart."""
+    return spark.read.option("basePath", f"{path}/{table}").parquet(f"{path}/{table}/batch=*")
+
 
+def newest_rows(spark: SparkSession, path: str, keys: Sequence[str], table: str = "rows") -> DataFrame:
+    """The newest version of each row of a table that is written in update mode."""
+    rows = read_table(spark, path, table)
+    rest = [c for c in rows.columns if c not in (*keys, "batch")]
+    newest = rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), "batch").alias("_row"))
+    return newest.select(*keys, "_row.*")
 
-def ingest(messages: DataFrame, symbols: tuple[str, ...] | None = None, seconds: int | None = None) -> str:
-    """Raw messages into the tick table, laid out by symbol and day; optionally only some symbols."""
-    ticks = parse_trades(messages)
-    if symbols:
-        ticks = ticks.filter(F.col("symbol").isin(*[s.upper() for s in symbols]))
-    return run_to_table(ticks.withColumn("date", event_date()), "ticks", ("symbol", "date"), seconds)
+
+def ingest(
+    messages: DataFrame, symbols: tuple[str, ...] | None = None, path: str | None = None, seconds: int | None = None
+) -> tuple[str, StreamingQuery]:
+    """Raw messages into the tick table (`rows`, by symbol and day), optionally only some symbols; the unreadable ones into `dead`."""
+
+    def work(batch: DataFrame, store: Store) -> None:
+        ticks = parse_trades(batch)
+        if symbols:
+            ticks = ticks.filter(F.col("symbol").isin(*[s.upper() for s in symbols]))
+        store.write("rows", ticks.withColumn("date", event_date()), ("symbol", "date"))
+        store.write("dead", dead_letters(batch))
+
+    return run_batches(messages, "ticks", work, path, seconds)
 
 
 def live_candles(ticks: DataFrame, interval: str = "1 second") -> DataFrame:
-    """Candles of a tick stream, emitted once their interval is behind the watermark."""
+    """Candles of a tick stream: in append mode once their interval is behind the watermark, in update mode as they grow."""
     order = F.struct("event_time_ms", "id")
     rows = once_per_trade(with_event_time(ticks)).groupBy(F.window("event_ts", interval).alias("w"), "symbol")
     return rows.agg(
@@ -121,72 +177,94 @@ def live_counts(enriched: DataFrame, length: str = "5 minutes", step: str = "1 m
     ).select("symbol", F.unix_millis("w.start").alias("start_ms"), "rev", "cont", "no_edge")
 
 
-def use_rocksdb(spark: SparkSession) -> None:
-    """Keyed state with timers needs the RocksDB state store."""
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+def keep_current(rows: DataFrame, name: str, path: str | None = None, seconds: int | None = None) -> tuple[str, StreamingQuery]:
+    """Windowed aggregates with their open windows: each batch stores the rows that changed (read them by `newest_rows`)."""
+    return run_batches(rows, name, lambda batch, store: store.write("rows", batch), path, seconds, "update")
 
 
-def live_streaks(ticks: DataFrame, profile: DataFrame) -> DataFrame:
-    """Signal and streak of each tick, with the previous price and the streak kept per symbol."""
-    use_rocksdb(ticks.sparkSession)
-    edges = {k: v[0] for k, v in edge_rows(tuple(config.EDGE_MAP)).items()}
-    rows = ticks.select("id", "symbol", "event_time_ms", "price").join(
-        profile.select("symbol", "p75", "p90", "p99"), "symbol", "left"
-    )
-    return rows.groupBy("symbol").transformWithStateInPandas(
-        StreakProcessor(edges), outputStructType=STREAK_OUTPUT, outputMode="append", timeMode="None"
-    )
+def streaks(ticks: DataFrame, profile: DataFrame, path: str | None = None, seconds: int | None = None) -> tuple[str, StreamingQuery]:
+    """Signal and streak of each tick of a stream.
+
+    A micro-batch is enriched like a table, in even chunks, and goes on from the state before it: a row
+    for each symbol with its last price, signal and streak. Ticks count in the order of their batches.
+    """
 
+    def work(batch: DataFrame, store: Store) -> None:
+        before = store.state(batch.sparkSession, "state", RUN_STATE)
+        rows, after = continued(batch.select("id", "symbol", "event_time_ms", "price"), profile, before)
+        store.write("rows", rows.filter(F.col("streak").isNotNull()).select("id", "symbol", "event_time_ms", "signal", "streak"))
+        store.write("state", after)
+        store.forget(batch.sparkSession, "state")
 
-def live_outcomes(
-    signals: DataFrame, ticks: DataFrame, horizons: dict[str, int] | None = None, give_up_ms: int = 30_000
-) -> DataFrame:
-    """Resolve signals (symbol, id, event_time_ms, signal, bucket, price_entry) as later ticks arrive.
+    return run_batches(ticks, "streaks", work, path, seconds)
+
+
+TAIL = "id bigint, symbol string, event_time_ms bigint, price double"
+OPEN = "id bigint, symbol string, signal string, bucket string, price_entry double, horizon string, target_ms bigint"
+
+
+def outcomes(
+    signals: DataFrame, ticks: DataFrame, horizons: dict[str, int] | None = None, keep_ms: int = 600_000,
+    path: str | None = None, seconds: int | None = None,
+) -> tuple[str, StreamingQuery]:
+    """Settle signals (symbol, id, event_time_ms, signal, bucket, price_entry) as ticks arrive.
 
-    Signals wait in state for the first tick at or after their horizon, so no
-    pair of a signal and a tick is ever built; a timer reports those without one
-    as PENDING. Signals must arrive before their horizon has passed.
+    State: signals whose horizon has no tick yet, and the ticks of the last `keep_ms`. A micro-batch asks
+    for the first tick at or after each open target by one as-of pass, so a signal may come after its
+    horizon has passed, as long as the ticks are kept (else it takes the first that is). A settled
+    outcome stays as it is, whatever ticks come later.
     """
-    use_rocksdb(ticks.sparkSession)
     none = F.lit(None).cast("string")
-    # each side has its own watermark; the slower one (the ticks) rules
-    as_rows = lambda df, signal, bucket, price: with_event_time(df).select(
-        "symbol", "id", "event_time_ms", "event_ts", price.alias("price"), signal.alias("signal"), bucket.alias("bucket")
-    )
+    as_rows = lambda df, signal, bucket, price: df.select(
+        "symbol", "id", "event_time_ms", price.alias("price"), signal.alias("signal"), bucket.alias("bucket"))
     both = as_rows(ticks, none, none, F.col("price")).unionByName(
-        as_rows(signals, F.col("signal"), F.col("bucket"), F.col("price_entry"))
-    )
-    found = both.groupBy("symbol").transformWithStateInPandas(
-        OutcomeProcessor(horizons or HORIZONS, give_up_ms),
-        outputStructType=RESOLVED_OUTPUT, outputMode="append", timeMode="EventTime",
-    )
-    threshold = config.keyed_case(F.col("bucket"), config.OUTCOME_THRESHOLD, config.DEFAULT_THRESHOLD)
-    move: Column = F.coalesce(
-        F.try_divide(F.col("price") - F.col("price_entry"), F.col("price_entry")) * 100.0, F.lit(0.0)
-    )
-    result = F.when(F.col("status") == "FOUND", verdict(F.col("signal"), move, threshold)).otherwise(F.lit("PENDING"))
-    return found.withColumn("result", result).drop("status")
-
+        as_rows(signals, F.col("signal"), F.col("bucket"), F.col("price_entry")))
+    steps = F.array(*[F.struct(F.lit(n).alias("name"), F.lit(ms).cast("bigint").alias("ms")) for n, ms in (horizons or HORIZONS).items()])
+
+    def work(batch: DataFrame, store: Store) -> None:
+        spark = batch.sparkSession
+        new = batch.filter(F.col("signal").isNull()).select("id", "symbol", "event_time_ms", "price")
+        tape = store.state(spark, "tail", TAIL).unionByName(new)
+        waiting = batch.filter(F.col("signal").isNotNull()).withColumn("_h", F.explode(steps)).select(
+            "id", "symbol", "signal", "bucket", F.col("price").alias("price_entry"), F.col("_h.name").alias("horizon"),
+            (F.col("event_time_ms") + F.col("_h.ms")).alias("target_ms"))
+        asked = store.state(spark, "open", OPEN).unionByName(waiting)
+        found = asof_forward(asked, tape).persist()
+        threshold = config.keyed_case(F.col("bucket"), config.OUTCOME_THRESHOLD, config.DEFAULT_THRESHOLD)
+        move: Column = F.coalesce(pct_change(F.col("found_price"), F.col("price_entry")), F.lit(0.0))
+        settled = found.filter(F.col("found_ms").isNotNull()).withColumn("result", verdict(F.col("signal"), move, threshold))
+        store.write("rows", settled.select("id", "symbol", "signal", "bucket", "price_entry", "horizon", F.col("found_price").alias("price"), "result"))
+        store.write("open", found.filter(F.col("found_ms").isNull()).select(*asked.columns))
+        store.write("tail", tape.filter(F.col("event_time_ms") >= tape.agg(F.max("event_time_ms") - keep_ms).scalar()))
+        found.unpersist()
+        store.forget(spark, "open", "tail")
+
+    return run_batches(both, "outcomes", work, path, seconds)
+
+
+def outcome_rows(spark: SparkSession, path: str) -> DataFrame:
+    """Settled outcomes, and those still open as PENDING without a price."""
+    settled = read_table(spark, path).drop("batch")
+    newest = max(int(f.removeprefix("batch=")) for f in folders(spark, f"{path}/open/batch=*"))  # it may hold no rows
+    left = spark.read.schema(OPEN).parquet(f"{path}/open/batch={newest}")
+    pending = left.withColumns({"price": F.lit(None).cast("double"), "result": F.lit("PENDING")})
+    return settled.unionByName(pending.select(settled.columns))
+
+
+def profiles(ticks: DataFrame, lookback_ms: int = 7_200_000, path: str | None = None, seconds: int | None = None) -> tuple[str, StreamingQuery]:
+    """Keep the percentile profile current, one version for each micro-batch.
+
+    State: 1-second candles of the look-back, which merge (first and last price with their order, number of
+    trades). The look-back is in whole seconds.
+    """
 
-def profile_refresh(ticks: DataFrame, lookback_ms: int = 7_200_000) -> str:
-    """Keep the percentile profile current: each micro-batch is stored, then the look-back recomputed.
+    def work(batch: DataFrame, store: Store) -> None:
+        spark = batch.sparkSession
+        merged = merge_spans(store.state(spark, "candles", SPAN).unionByName(spans(batch)))
+        newest = merged.agg(F.max("last.event_time_ms")).scalar()
+        store.write("candles", merged.filter(F.col("time_ms") >= newest - lookback_ms))
+        candles = spark.read.schema(SPAN).parquet(f"{store.path}/candles/batch={store.batch}")
+        store.write("rows", profile_of_candles(span_candles(candles)))
+        store.forget(spark, "candles")
 
-    A batch overwrites its own folders, so a repeated batch changes nothing. The
-    profile of batch n lies under `batch=n` of the returned path.
-    """
-    spark = ticks.sparkSession
-    store, out = fresh_path(spark, "profile-ticks"), fresh_path(spark, "profile")
-
-    def refresh(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{store}/batch={batch_id}")
-        kept = batch.sparkSession.read.schema(batch.schema).option("basePath", store).parquet(f"{store}/batch=*")
-        newest = kept.agg(F.max("event_time_ms")).first()[0]
-        if newest is not None:
-            pct_profile(kept, newest, lookback_ms).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
-
-    query = (
-        ticks.writeStream.foreachBatch(refresh).option("checkpointLocation", fresh_path(spark, "profile-progress"))
-        .trigger(availableNow=True).start()
-    )
-    query.awaitTermination()
-    return out
+    return run_batches(ticks, "profile", work, path, seconds)
