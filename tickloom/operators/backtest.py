@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from tickloom.functions.scalars import rnd, share
 from tickloom.operators.asof import asof_forward
-from tickloom.operators.layout import BEFORE_NOW, SLOT_MS, UNTIL_NOW, slot_start
+from tickloom.operators.layout import BEFORE_NOW, SLOT_MS, UNTIL_NOW, slot_start, with_rank
 from tickloom.operators.spikes import classified_spikes, first_fixed_moves, spike_frame
+from tickloom.sources.tables import append_rows
 
 FEE = 0.001
 
@@ -218,18 +219,32 @@ def exec_cost_win_rate(
 
 
 def backtest_report(
-    ticks: DataFrame, hold: int = 30, z: float = 2.0, min_spike: float = 0.01, fee: float = FEE, min_events: int = 20
+    ticks: DataFrame, hold: int = 30, z: float = 2.0, min_spike: float = 0.01, fee: float = FEE, min_events: int = 20,
+    symbol: str | None = None, limit: int | None = None, save: str | None = None, run_time: str | None = None,
 ) -> DataFrame:
-    """One row per symbol: parameters, statistics and verdict. Symbols below `min_events` ticks have none."""
-    for name, value, low, high in (("hold", hold, 5, 300), ("z", z, 1.0, 5.0), ("min_spike", min_spike, 0.001, 1.0)):
+    """One row per symbol: parameters, statistics and verdict. Symbols below `min_events` ticks have none.
+
+    `symbol` runs one symbol, `limit` the oldest ticks of each; `save` appends the run, stamped with
+    `run_time`, to the results table in that folder.
+    """
+    checked = [("hold", hold, 5, 300), ("z", z, 1.0, 5.0), ("min_spike", min_spike, 0.001, 1.0)]
+    if limit is not None:
+        checked.append(("limit", limit, 100, 50_000))
+    for name, value, low, high in checked:
         if not low <= value <= high:
             raise ValueError(f"{name} must be within {low}..{high}")
+    if save is not None and run_time is None:
+        raise ValueError("a saved run needs its run_time")
+    if symbol is not None:
+        ticks = ticks.filter(F.col("symbol") == symbol.upper())
+    if limit is not None:
+        ticks = with_rank(ticks).filter(F.col("_rn") <= limit).drop("_rn", "_n")
     entries = _entries(ticks, (z,), min_spike)
     loaded = ticks.groupBy("symbol").agg(F.count(F.lit(1)).alias("events_loaded")).filter(
         F.col("events_loaded") >= min_events
     )
     stats = trade_stats(follow_trades(entries, ticks, (hold,), fee, keep_open=True))
-    return loaded.join(stats, "symbol", "left").select(
+    report = loaded.join(stats, "symbol", "left").select(
         "symbol", "events_loaded",
         F.coalesce("entries", F.lit(0)).alias("spikes_detected"),
         F.coalesce("total_trades", F.lit(0)).alias("trades_executed"),
@@ -237,6 +252,9 @@ def backtest_report(
         "max_drawdown_pct", "profit_factor", "avg_hold_sec", "avg_entry_latency_ms",
         report_verdict_of(F.col("win_rate_pct"), F.col("total_pnl_pct")).alias("verdict"),
     )
+    if save is not None:
+        append_rows(result_rows(report, run_time, hold, z, min_spike), save)
+    return report
 
 
 def result_rows(report: DataFrame, run_time: str, hold: int, z: float, min_spike: float) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -16,7 +17,7 @@ from tickloom.functions.ranks import exact_ranks
 from tickloom.functions.scalars import rnd
 from tickloom.operators.features import orderflow_features, tick_features
 from tickloom.operators.labels import path_label
-from tickloom.operators.layout import newest_per_symbol, slot_start
+from tickloom.operators.layout import newest_per_symbol, slot_start, with_rank
 
 CONTINUATIONS = ("CONTINUATION_UP", "CONTINUATION_DOWN")
 EMBARGO_MS = 60_000
@@ -157,6 +158,41 @@ def fit_logistic(
     ).fit(rows)
 
 
+def optimality_gap(
+    model: LogisticRegressionModel, train: DataFrame, features: Sequence[str], c: float = 0.1, penalty: str = "l2", balanced: bool = True
+) -> float:
+    """How far the weights are from the optimum of c * summed losses + penalty: the largest violated slope.
+
+    0 at the optimum; each slope is measured against c * the weighted size of its input.
+    """
+    rows = predict(model, with_weight(train) if balanced else train.withColumn("weight", F.lit(1.0)), features, "_p")
+    off = F.col("weight") * (F.col("_p") - F.col("label"))
+    inputs = [F.lit(1.0), *[F.col(f) for f in features]]
+    found = rows.agg(
+        F.array(*[F.sum(off * x) for x in inputs]).alias("slopes"),
+        F.array(*[F.sum(F.col("weight") * F.abs(x)) for x in inputs]).alias("sizes"),
+    ).first()
+    gaps = [abs(c * found["slopes"][0]) / max(1.0, c * found["sizes"][0])]
+    for w, slope, size in zip(model.coefficients.toArray().tolist(), found["slopes"][1:], found["sizes"][1:]):
+        if penalty == "l2":
+            gap = abs(c * slope + w)
+        else:
+            gap = abs(c * slope + (1.0 if w > 0 else -1.0)) if w else max(0.0, abs(c * slope) - 1.0)
+        gaps.append(gap / max(1.0, c * size))
+    return max(gaps)
+
+
+def save_model(model: LogisticRegressionModel, features: Sequence[str], path: str) -> None:
+    """The model with its input columns, as a Spark pipeline."""
+    PipelineModel([VectorAssembler(inputCols=list(features), outputCol="inputs"), model]).write().overwrite().save(path)
+
+
+def load_model(path: str) -> tuple[LogisticRegressionModel, list[str]]:
+    """A saved model and its inputs."""
+    assembler, model = PipelineModel.load(path).stages
+    return model, assembler.getInputCols()
+
+
 def predict(model: LogisticRegressionModel, rows: DataFrame, features: Sequence[str], name: str = "score") -> DataFrame:
     scored = model.transform(as_vectors(rows, features))
     return scored.withColumn(name, vector_to_array("probability")[1]).drop(
@@ -170,21 +206,38 @@ def coefficients(model: LogisticRegressionModel, features: Sequence[str]) -> lis
     return sorted(pairs, key=lambda p: -abs(p[1]))
 
 
-def isotonic_scores(train: DataFrame, test: DataFrame, features: Sequence[str], c: float = 0.1, folds: int = FOLDS) -> DataFrame:
-    """Test rows with `score` (one model) and `calibrated` (mean of `folds` isotonic calibrations).
+def stratified_folds(train: DataFrame, folds: int = FOLDS) -> DataFrame:
+    """Adds `fold`: the rows of each label, in (time, id, symbol) order, in `folds` stretches of equal length.
+
+    Rows are numbered in two phases, so no label is one task.
+    """
+    ranked = with_rank(train.withColumnsRenamed({"symbol": "_symbol"}).withColumn("symbol", F.col("label").cast("string")),
+                       ("event_time_ms", "id", "_symbol"))
+    fold = F.floor((F.col("_rn") - 1) * folds / F.col("_n")).cast("int")
+    return ranked.withColumn("fold", fold).drop("symbol", "_rn", "_n").withColumnRenamed("_symbol", "symbol")
 
-    Each fold's model is fitted on the other folds and calibrated on its own; the
-    fold of a row is a hash of its key, so no shuffle is needed to draw them.
+
+def isotonic_curves(train: DataFrame, features: Sequence[str], c: float = 0.1, folds: int = FOLDS) -> list[tuple]:
+    """(model, curve, held) for each stratified fold: fitted on the other folds, calibrated on `held`, the fold itself.
+
+    `held` has the model's score as `_raw`. Equal scores are pooled before the fit.
     """
-    drawn = train.withColumn("_fold", F.pmod(F.xxhash64("symbol", "id"), F.lit(folds)))
+    drawn = stratified_folds(train, folds)
+    out = []
+    for k in range(folds):
+        model = fit_logistic(drawn.filter(F.col("fold") != k).drop("fold"), features, c)
+        held = predict(model, drawn.filter(F.col("fold") == k), features, "_raw")
+        pooled = held.groupBy("_raw").agg(F.avg("label").alias("label"), F.count(F.lit(1)).cast("double").alias("weight"))
+        curve = IsotonicRegression(featuresCol="_raw", labelCol="label", weightCol="weight", predictionCol=f"_cal{k}").fit(pooled)
+        out.append((model, curve, held))
+    return out
+
+
+def isotonic_scores(train: DataFrame, test: DataFrame, features: Sequence[str], c: float = 0.1, folds: int = FOLDS) -> DataFrame:
+    """Test rows with `score` (one model) and `calibrated` (mean of `folds` isotonic calibrations)."""
     out = predict(fit_logistic(train, features, c), test, features)
     names = []
-    for k in range(folds):
-        model = fit_logistic(drawn.filter(F.col("_fold") != k).drop("_fold"), features, c)
-        held = predict(model, drawn.filter(F.col("_fold") == k).drop("_fold"), features, "_raw")
-        curve = IsotonicRegression(featuresCol="_raw", labelCol="label", predictionCol=f"_cal{k}").fit(
-            held.select("_raw", F.col("label").cast("double").alias("label"))
-        )
+    for k, (model, curve, _) in enumerate(isotonic_curves(train, features, c, folds)):
         out = curve.transform(predict(model, out, features, "_raw")).drop("_raw")
         names.append(f"_cal{k}")
     mean = sum((F.col(n) for n in names[1:]), F.col(names[0])) / len(names)
@@ -275,7 +328,7 @@ def threshold_hit_rate(scored: DataFrame, score: str = "score", thresholds: Sequ
 def feature_ablation(
     split: DataFrame, features: Sequence[str] = tuple(config.BASE_FEATURES), c: float = 0.1, leak_drop: float = -0.05
 ) -> DataFrame:
-    """AUC and Brier of the full model and of each model without one input.
+    """AUC and Brier of the full model and of each model without one input, and how close each fit is to its optimum.
 
     `split` has scaled inputs, label and part. The loop runs over models, the
     fits and scores run on Spark; the report has one row per model.
@@ -286,14 +339,15 @@ def feature_ablation(
         used = [f for f in features if f != dropped]
         model = fit_logistic(train, used, c, penalty="l1", balanced=False)
         row = auc_brier(predict(model, test, used)).first()
-        report.append(("FULL" if dropped is None else dropped, row["auc"], row["brier"]))
-    base = report[0][1]
+        gap = optimality_gap(model, train, used, c, "l1", balanced=False)
+        report.append(("FULL" if dropped is None else dropped, row["n"], row["positives"], row["auc"], row["brier"], gap))
+    base = report[0][3]
     rows = [
-        (name, auc, brier, None if name == "FULL" else round(auc - base, 6), name != "FULL" and auc - base < leak_drop)
-        for name, auc, brier in report
+        (name, n, positives, auc, brier, None if name == "FULL" else round(auc - base, 6), name != "FULL" and auc - base < leak_drop, gap)
+        for name, n, positives, auc, brier, gap in report
     ]
     return split.sparkSession.createDataFrame(
-        rows, "model string, auc double, brier double, delta_auc double, leakage boolean"
+        rows, "model string, n bigint, positives bigint, auc double, brier double, delta_auc double, leakage boolean, gap double"
     )
 
 
@@ -319,7 +373,7 @@ def score_signals(
         for i, (f, w) in enumerate(zip(features, weights))
     ])
     rows = scaled.withColumn("_score", score).withColumn("_parts", F.array_sort(parts)).filter(F.col("_score") >= min_score)
-    newest = newest_per_symbol(rows, limit)
+    newest = newest_per_symbol(rows, limit)  # `_pos` numbers them from the newest
     s = F.col("_score")
     bucket = F.coalesce("bucket", F.lit("UNKNOWN"))
     continues = s >= 0.5
@@ -333,6 +387,7 @@ def score_signals(
         .otherwise(F.format_string(config.ABSORPTION_TEXT, bucket, (F.lit(1.0) - s) * 100)).alias("interpretation"),
         F.lit("FILTER_IN").alias("action"),
         F.concat_ws(",", F.transform(F.slice("_parts", 1, 3), lambda p: p["name"])).alias("drivers"),
+        F.col("_pos").cast("bigint").alias("rank"),
     )
 
 

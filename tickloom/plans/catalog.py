@@ -800,7 +800,8 @@ CTES["fresh_parts"] = "SELECT r.*, [" + ", ".join(
 @on_store("signals_scored", f"""SELECT symbol, id, price, event_time_ms, 'CONTINUATION' AS signal, bucket AS spike_type, {sql_rnd('s', 3)} AS score,
     CASE WHEN s >= 0.8::DOUBLE THEN 'HIGH' WHEN s >= 0.6::DOUBLE THEN 'MEDIUM' ELSE 'LOW' END AS confidence,
     bucket || ' spike — directional momentum detected. Continuation likely (' || printf('%.0f', s * 100) || '%).' AS interpretation,
-    'FILTER_IN' AS action, list_aggregate(list_transform(list_sort(parts)[1:3], lambda p: p.name), 'string_agg', ',') AS drivers
+    'FILTER_IN' AS action, list_aggregate(list_transform(list_sort(parts)[1:3], lambda p: p.name), 'string_agg', ',') AS drivers,
+    row_number() OVER (PARTITION BY symbol ORDER BY event_time_ms DESC, id DESC) AS rank
   FROM fresh_parts WHERE s >= 0.5::DOUBLE QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY event_time_ms DESC, id DESC) <= 20""")
 def signals_scored(store):
     scaled = learning.standardize(learning.newest_feature_rows(store), FLOW, learning.dataset(store))
@@ -818,38 +819,86 @@ def parts(split: DataFrame) -> tuple[DataFrame, DataFrame]:
     return split.filter(F.col("part") == "train"), split.filter(F.col("part") == "test")
 
 
-@on_store("logreg_fit")
+# Fitted weights have no SQL form; what SQL can check of a fit is what it was fitted on, and that the weights
+# are the optimum of their loss (every slope vanishes, see `optimality_gap`).
+CLOSE = 1e-3
+
+
+@on_store("logreg_fit", f"""SELECT part, count(*) AS n, sum(label) AS positives, {len(FLOW)} AS inputs, true AS optimal, true AS ranked FROM split_rows GROUP BY part""")
 def logreg_fit(store):
     split = scaled_split(store)
-    train, test = parts(split)
+    train, _ = parts(split)
     model = learning.fit_logistic(train, FLOW)
-    report = learning.auc_brier(learning.predict(model, test, FLOW))
-    ranked = F.array(*[F.struct(F.lit(f).alias("name"), F.lit(c).alias("coefficient")) for f, c in learning.coefficients(model, FLOW)])
-    return report.withColumn("coefficients", F.to_json(ranked))
+    named = learning.coefficients(model, FLOW)
+    sizes = [abs(w) for _, w in named]
+    return split.groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("positives")).withColumns({
+        "inputs": F.lit(len(named)),
+        "optimal": F.lit(learning.optimality_gap(model, train, FLOW) < CLOSE),
+        "ranked": F.lit(sizes == sorted(sizes, reverse=True)),
+    })
 
 
-@on_store("isotonic_calibrated")
+@on_store("isotonic_calibrated", """SELECT fold, count(*) AS n, sum(label) AS positives, true AS mean_kept, true AS within, true AS optimal FROM (
+  SELECT *, CAST((row_number() OVER (PARTITION BY label ORDER BY event_time_ms, id, symbol) - 1) * 5 // count(*) OVER (PARTITION BY label) AS INTEGER) AS fold
+  FROM split_rows WHERE part = 'train') GROUP BY fold""")
 def isotonic_calibrated(store):
-    train, test = parts(scaled_split(store))
-    scored = materialize(learning.isotonic_scores(train, test, FLOW), "calibrated")
-    raw = learning.auc_brier(scored).withColumn("stage", F.lit("raw"))
-    return raw.unionByName(learning.auc_brier(scored, "calibrated").withColumn("stage", F.lit("calibrated")))
-
-
-@on_store("feature_ablation")
+    """Each fold's curve keeps the mean of its rows' labels, lies within 0 and 1, and rests on an optimal fit of the other folds."""
+    train, _ = parts(scaled_split(store))
+    drawn = materialize(learning.stratified_folds(train), "folds")
+    out = None
+    for k, (model, curve, held) in enumerate(learning.isotonic_curves(train, FLOW)):
+        rows = curve.transform(held).groupBy("fold").agg(
+            F.count(F.lit(1)).alias("n"), F.sum("label").alias("positives"),
+            (F.abs(F.avg(f"_cal{k}") - F.avg("label")) < 1e-6).alias("mean_kept"),
+            ((F.min(f"_cal{k}") >= 0) & (F.max(f"_cal{k}") <= 1)).alias("within"),
+        ).withColumn("optimal", F.lit(learning.optimality_gap(model, drawn.filter(F.col("fold") != k).drop("fold"), FLOW) < CLOSE))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+CTES["ablation_rows"] = f"""SELECT id, symbol, event_time_ms, CASE WHEN micro_label = 'CONTINUATION_UP' THEN 1 ELSE 0 END AS label FROM store
+  WHERE micro_label IS NOT NULL AND {' AND '.join(f'{f} IS NOT NULL' for f in config.BASE_FEATURES)}"""
+CTES["ablation_at"] = """SELECT list_extract(list(event_time_ms ORDER BY event_time_ms), CAST(least(floor(count(*) * 0.7::DOUBLE), count(*) - 1) AS BIGINT) + 1) AS at_ms
+  FROM ablation_rows"""
+
+
+@on_store("feature_ablation", f"""SELECT model, n, positives, true AS optimal, model = 'FULL' AS is_base
+  FROM (SELECT count(*) AS n, sum(label) AS positives FROM ablation_rows, ablation_at WHERE event_time_ms >= at_ms + {learning.EMBARGO_MS}),
+    (VALUES {', '.join(f"('{m}')" for m in ('FULL', *config.BASE_FEATURES))}) AS models(model)""")
 def feature_ablation(store):
     base = list(config.BASE_FEATURES)
     split = scaled_split(store, base, positive=("CONTINUATION_UP",), labels=None, min_abs_z=None)
-    return learning.feature_ablation(split, base)
+    report = learning.feature_ablation(split, base)
+    return report.select("model", "n", "positives", (F.col("gap") < CLOSE).alias("optimal"), F.col("delta_auc").isNull().alias("is_base"))
 
 
-@on_store("signals_scored_fitted")
+@on_store("signals_scored_fitted", """SELECT symbol, count(*) AS candidates, true AS newest_first, true AS confident, true AS explained, true AS optimal
+  FROM fresh_rows GROUP BY symbol""")
 def signals_scored_fitted(store):
+    """Scores of a fitted model that was saved and loaded again: at most 20 a symbol, from the newest, each with three drivers."""
     rows = learning.dataset(store)
     train = materialize(learning.standardize(rows, FLOW, rows), "scaled_all")
-    model = learning.fit_logistic(train, FLOW)
-    fresh = learning.standardize(learning.newest_feature_rows(store), FLOW, rows)
-    return learning.score_signals(fresh, FLOW, model.coefficients.toArray().tolist(), float(model.intercept))
+    fitted = learning.fit_logistic(train, FLOW)
+    path = fresh_path(train.sparkSession, "model")
+    learning.save_model(fitted, FLOW, path)
+    model, inputs = learning.load_model(path)
+    fresh = materialize(learning.standardize(learning.newest_feature_rows(store), inputs, rows), "fresh")
+    scored = learning.score_signals(fresh, inputs, model.coefficients.toArray().tolist(), float(model.intercept))
+    per = scored.groupBy("symbol").agg(
+        (F.max("rank") <= 20).alias("newest_first"), (F.min("score") >= 0.5).alias("confident"),
+        (F.min(F.size(F.split("drivers", ","))) == 3).alias("explained"))
+    counts = fresh.groupBy("symbol").agg(F.count(F.lit(1)).alias("candidates"))
+    kept = {c: F.coalesce(c, F.lit(True)) for c in ("newest_first", "confident", "explained")}  # a symbol may have none
+    return counts.join(per, "symbol", "left").withColumns(kept).withColumn(
+        "optimal", F.lit(learning.optimality_gap(model, train, inputs) < CLOSE))
+
+
+@query("outcome_dataset", f"""SELECT id, symbol, event_time_ms, {', '.join(f'CAST({f} AS DOUBLE) AS {f}' for f in config.BASE_FEATURES)}, CAST(outcome_10s AS INTEGER) AS label
+  FROM store JOIN horizon_labels USING (symbol, id) WHERE {' AND '.join(f'{f} IS NOT NULL' for f in config.BASE_FEATURES)}""")
+def outcome_dataset(spark, sf_dir):
+    store = stored_features(spark, sf_dir)
+    found = labels.horizon_label(store.select("symbol", "id", "event_time_ms", "price"), src.read_ticks(spark, sf_dir))
+    return learning.outcome_dataset(store, found)
 
 
 # ---- tables and scalars ------------------------------------------------------------
@@ -863,6 +912,47 @@ def table_counts(t):
     })
 
 
+TABLE_SQL = "id, symbol, price, quantity, event_time_ms, trade_id, is_buyer_maker"
+
+
+@on_ticks("tick_table", f"SELECT {TABLE_SQL}, CAST(epoch_ms(event_time_ms) AS DATE) AS date FROM ticks WHERE symbol <> 'SIGNUP'")
+def tick_table(t):
+    """Written in two appends, read back with its partitions."""
+    path = fresh_path(t.sparkSession, "table")
+    for part in (F.col("symbol") == "BTCUSDT", ~F.col("symbol").isin("BTCUSDT", "SIGNUP")):
+        tables.write_ticks(t.filter(part), path)
+    return tables.read_features(t.sparkSession, path, [*TABLE_SQL.split(", "), "date"])
+
+
+@on_ticks("rebuilt_table", f"SELECT {TABLE_SQL} FROM ticks WHERE symbol = 'ETHUSDT' AND price > 78050")
+def rebuilt_table(t):
+    """Filled, emptied, and filled anew; columns and rows are chosen at the scan."""
+    spark, path = t.sparkSession, fresh_path(t.sparkSession, "table")
+    tables.replace_table(t.filter(F.col("symbol") == "BTCUSDT"), path)
+    tables.truncate_table(spark, path)
+    tables.append_rows(t.filter(F.col("symbol") == "ETHUSDT"), path)
+    return tables.read_features(spark, path, TABLE_SQL.split(", "), F.col("price") > 78050)
+
+
+@on_ticks("new_signals", "SELECT symbol, id, signal, bucket FROM recorded WHERE id % 3 <> 0")
+def new_signals(t):
+    recorded = materialize(signals.record_signals(enriched(t)), "recorded")
+    return signals.new_signals(recorded, recorded.filter(F.col("id") % 3 == 0)).select("symbol", "id", "signal", "bucket")
+
+
+@on_ticks("saved_backtest", """SELECT symbol, '2024-01-01T00:00:00Z' AS run_time, events_loaded, 30 AS hold_seconds, coalesce(total_trades, 0) AS trades_executed, win_rate_pct
+  FROM (SELECT symbol, count(*) AS events_loaded FROM ticks GROUP BY symbol HAVING count(*) >= 20) LEFT JOIN stats USING (symbol)""")
+def saved_backtest(t):
+    """A run for each of two groups of symbols, appended to one results table and read from its JSON."""
+    path = fresh_path(t.sparkSession, "results")
+    for part in (F.col("symbol") == "BTCUSDT", F.col("symbol") != "BTCUSDT"):
+        backtest.backtest_report(t.filter(part), save=path, run_time="2024-01-01T00:00:00Z")
+    params = F.from_json("params", "events_loaded bigint, hold_seconds int")
+    stats = F.from_json("stats", "trades_executed bigint, win_rate_pct double")
+    saved = t.sparkSession.read.parquet(path)
+    return saved.withColumns({"_p": params, "_s": stats}).select("symbol", "run_time", "_p.*", "_s.*")
+
+
 @on_ticks("scalar_smoke", f"""SELECT id, abs(price - 78100) AS abs_gap, round(price, 1) AS rounded, {sql_rnd('sqrt(quantity)', 8)} AS root, CAST(floor(price) AS BIGINT) AS whole,
     greatest(least(quantity, 5::DOUBLE), 1::DOUBLE) AS clipped, CAST(sign(price - 78100) AS BIGINT) AS direction,
     event_time_ms // 60000 * 60000 AS minute_ms, event_time_ms // 3600000 % 24 AS hour, {CLOCK} AS clock,
