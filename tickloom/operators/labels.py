@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from tickloom.functions.scalars import pct_change, rnd, share
 from tickloom.operators.asof import asof_horizons
-from tickloom.operators.features import PATH_ROWS, STRIDE, WINDOW, tick_blocks
-from tickloom.operators.layout import chunk_of_rank, chunk_window
+from tickloom.operators.features import PATH_ROWS, STRIDE, WINDOW, is_sampled, tick_blocks
+from tickloom.operators.layout import chunk_of_rank, chunk_window, time_chunks, with_rank
 
 PATH_MS = 60_000
 MIN_PATH = 5
@@ -24,13 +24,30 @@ def path_label_of(up: Column, down: Column, cost: float) -> Column:
     )
 
 
-def future_extremes(ticks: DataFrame, window: int = WINDOW, stride: int = STRIDE) -> DataFrame:
+def _whole_path(ticks: DataFrame, window: int, stride: int) -> DataFrame:
+    """Extremes of all ticks in [t, t + 60 s]: frames over time, in chunks of time with a halo."""
+    cols = with_rank(ticks.select("id", "symbol", "event_time_ms", "price"))
+    rows = time_chunks(cols, before_ms=0, after_ms=PATH_MS).repartition("symbol", "_chunk")
+    ahead = Window.partitionBy("symbol", "_chunk").orderBy("event_time_ms").rangeBetween(0, PATH_MS)
+    found = rows.withColumns({
+        "path_ticks": F.count(F.lit(1)).over(ahead), "highest": F.max("price").over(ahead), "lowest": F.min("price").over(ahead),
+    })
+    return found.filter(F.col("_home") & is_sampled(window, stride) & (F.col("path_ticks") >= MIN_PATH)).select(
+        "symbol", "id", "event_time_ms", "price", "path_ticks", "highest", "lowest")
+
+
+def future_extremes(ticks: DataFrame, window: int = WINDOW, stride: int = STRIDE, path_rows: int | None = PATH_ROWS) -> DataFrame:
     """Highest and lowest price of the path after each sampled tick.
 
-    The path is the first 200 ticks with time in [t, t + 60 s], from the first tick
+    The published path is the first 200 ticks with time in [t, t + 60 s], from the first tick
     of the same millisecond on. It is read from the 20 following blocks of ticks, a
-    bounded array whatever the density. Rows with fewer than 5 path ticks have none.
+    bounded array whatever the density. `path_rows=None` takes all ticks of the minute, at a
+    cost of ticks times ticks a minute. Rows with fewer than 5 path ticks have none.
     """
+    if path_rows is None:
+        return _whole_path(ticks, window, stride)
+    if path_rows != PATH_ROWS:
+        raise ValueError(f"path_rows is {PATH_ROWS} or None")
     reach = PATH_ROWS // stride
     blocks = tick_blocks(ticks.select("id", "symbol", "event_time_ms", "price"), stride, after=reach)
     w = chunk_window("block")
@@ -53,9 +70,11 @@ def future_extremes(ticks: DataFrame, window: int = WINDOW, stride: int = STRIDE
     ).filter(F.col("path_ticks") >= MIN_PATH)
 
 
-def path_label(ticks: DataFrame, cost: float = 0.01, window: int = WINDOW, stride: int = STRIDE) -> DataFrame:
+def path_label(
+    ticks: DataFrame, cost: float = 0.01, window: int = WINDOW, stride: int = STRIDE, path_rows: int | None = PATH_ROWS
+) -> DataFrame:
     """CONTINUATION_UP / CONTINUATION_DOWN / NOISE / ABSORPTION per sampled tick."""
-    rows = future_extremes(ticks, window, stride)
+    rows = future_extremes(ticks, window, stride, path_rows)
     up = pct_change(F.col("highest"), F.col("price"))
     down = pct_change(F.col("lowest"), F.col("price"))
     return rows.select(

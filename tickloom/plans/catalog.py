@@ -475,6 +475,23 @@ def path_label_wide(t):
     return labels.path_label(t, cost=0.3)
 
 
+CTES["whole_paths"] = """SELECT s.symbol, s.id, any_value(s.event_time_ms) AS event_time_ms, any_value(s.price) AS price,
+    count(*) AS path_ticks, max(m.price) AS highest, min(m.price) AS lowest
+  FROM sampled s JOIN ticks m ON m.symbol = s.symbol AND m.event_time_ms BETWEEN s.event_time_ms AND s.event_time_ms + 60000
+  GROUP BY s.symbol, s.id HAVING count(*) >= 5"""
+
+
+@on_ticks("path_extremes_whole", "SELECT symbol, id, event_time_ms, price, path_ticks, highest, lowest FROM whole_paths")
+def path_extremes_whole(t):
+    return labels.future_extremes(t, path_rows=None)
+
+
+@on_ticks("trade_rate_whole", """SELECT s.symbol, s.id, count(m.id) AS trade_rate_1m FROM sampled s LEFT JOIN ticks m
+  ON m.symbol = s.symbol AND m.event_time_ms >= s.event_time_ms - 60000 AND (m.event_time_ms, m.id) < (s.event_time_ms, s.id) GROUP BY s.symbol, s.id""")
+def trade_rate_whole(t):
+    return features.trade_rate(t)
+
+
 CTES["tick_10"] = o.asof("sampled", "event_time_ms + 10000", "p10", "t10")
 CTES["tick_30"] = o.asof("sampled", "event_time_ms + 30000", "p30", "t30")
 CTES["tick_60"] = o.asof("sampled", "event_time_ms + 60000", "p60", "t60")
