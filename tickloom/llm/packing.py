@@ -51,6 +51,7 @@ def steps(capacity: int) -> np.ndarray:
     return np.array([k for k in out if k < capacity] + [capacity])
 
 
+@cache
 def step_of(length: int, capacity: int) -> int:
     """The largest step whose share of the capacity holds `length`."""
     ks = steps(capacity)
@@ -70,11 +71,11 @@ def cut(length: int, capacity: int) -> list[tuple[int, int]]:
 
 
 class WordCoder:
-    """Ids of texts by a tokenizer whose parts never reach over white space, word by word from memory.
+    """Ids of texts by a tokenizer that lower-cases and whose parts never reach over white space.
 
-    White space only separates, so a text's ids are those of its words. A word that is not in memory
-    is split from its closing ASCII marks where the tokenizer splits it in any case, and the new parts
-    of a batch are encoded in one call.
+    White space only separates, so a text's ids are those of its words, which come from memory. A new
+    word is split from its closing marks, where the tokenizer splits it in any case. New words of letters
+    are encoded in one string and told apart by the ids that end a word; others one by one.
     """
 
     def __init__(self, path: str):
@@ -82,30 +83,52 @@ class WordCoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        special = self.tokenizer.get_added_tokens_decoder().values()
-        self.special = re.compile("|".join(re.escape(t.content) for t in special)) if special else None
+        self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        ends[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith("</w>")]] = True
+        self.ends = ends
         self.known = Recent(MOST_WORDS)
 
-    _CLOSING = re.compile(r"[^\s\w'\x80-\U0010ffff]+$")
+    _CLOSING = re.compile(rb"[!-/:-@\[-`{-~]+$")
+    _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
-    def _parts(self, word: str) -> list[str]:
+    def _parts(self, word: bytes) -> list[bytes]:
         m = self._CLOSING.search(word)
-        if m and m.start() and word[m.start() - 1].isalpha() and not (self.special and self.special.search(word)):
+        if m and b"'" not in m[0] and word[: m.start()].decode()[-1:].isalpha() and not any(x in word for x in self.special):
             return [word[: m.start()], m[0]]
         return [word]
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        split = [x.split(" ") if x.isascii() and not re.search(r"[^ -~]", x) else re.split(r"[ \t\n\r]+", x) for x in texts]
-        lost = self.known.lacking({w for words in split for w in words})
+    def _encode(self, parts: list[bytes]) -> list[bytes]:
+        out = {}
+        letters = [p for p in parts if p.decode().isalpha()]
+        for i in range(0, len(letters), 512):
+            some = letters[i : i + 512]
+            [found] = self.tokenizer.encode_batch_fast([b" ".join(some).decode()], add_special_tokens=False)
+            ids = np.array(found.ids, "<u4")
+            stops = np.flatnonzero(self.ends[ids]) + 1
+            if len(stops) == len(some) and stops[-1] == len(ids):
+                out |= zip(some, (x.tobytes() for x in np.split(ids, stops[:-1])))
+        rest = [p for p in parts if p not in out]
+        got = self.tokenizer.encode_batch_fast([p.decode() for p in rest], add_special_tokens=False)
+        out |= {p: np.array(e.ids, "<u4").tobytes() for p, e in zip(rest, got)}
+        return [out[p] for p in parts]
+
+    def encode(self, texts: list[bytes]) -> list[bytes]:
+        """Ids of UTF-8 texts as little-endian 32-bit numbers."""
+        split = [(x if any(t in x for t in self.special) else x.translate(self._LOWER)).split() for x in texts]
+        words = set()
+        words.update(*split)
+        lost = self.known.lacking(words)
         if lost:
+            known = self.known.now
             parts = {w: self._parts(w) for w in lost}
-            fresh = list({p for ps in parts.values() for p in ps})
-            got = self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False)
-            ids = {p: np.array(e.ids, "<u4").tobytes() for p, e in zip(fresh, got)}
+            fresh = list({p for ps in parts.values() for p in ps if p not in known})
+            ids = dict(zip(fresh, self._encode(fresh)))
             for w, ps in parts.items():
-                self.known.now[w] = b"".join(map(ids.__getitem__, ps))
+                known[w] = b"".join(ids[p] if p in ids else known[p] for p in ps)
+            known |= ids
         known = self.known.now
-        return [np.frombuffer(b"".join(map(known.__getitem__, words)), "<u4") for words in split]
+        return [b"".join(map(known.__getitem__, ws)) for ws in split]
 
 
 @cache
@@ -128,13 +151,14 @@ def pieces(docs: DataFrame, tokenizer: str, text: str = "text", capacity: int =
     new = [*StructType.fromDDL(PIECE).names, *StructType.fromDDL(PLACE).names]
     kept = [c for c in docs.columns if c not in new and c != text]
     row = F.struct(*[F.col(f"`{c}`") for c in kept]) if kept else F.struct(F.lit(0).alias("_"))
-    frame = docs.select(row.alias("_row"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("_text"))
+    frame = docs.select(row.alias("_row"), F.coalesce(F.col(f"`{text}`"), F.lit("")).cast("binary").alias("_text"))
     fields = StructType.fromDDL(f"{PIECE}, {PLACE}").fields
     out = StructType([StructField("_row", frame.schema["_row"].dataType), *fields])
     kinds = {f.name: pa.binary() if f.name == "ids" else pa.int32() if f.name == "step" else pa.int64() for f in fields}
     length_at = 1 + [f.name for f in fields].index("length")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        end = end_id.to_bytes(4, "little")
         worker, done = TaskContext.get().partitionId(), 0
         waiting: dict[int, list[tuple]] = {}  # step -> open sequence: (row, fields...)
 
@@ -146,13 +170,13 @@ def pieces(docs: DataFrame, tokenizer: str, text: str = "text", capacity: int =
             for i in range(0, batch.num_rows, 256):
                 part, ready = batch.slice(i, 256), []
                 for r, ids in enumerate(_coder(tokenizer).encode(part.column(1).to_pylist())):
-                    ids = np.append(ids, np.uint32(end_id)).astype("<u4")
+                    ids, total = ids + end, len(ids) // 4 + 1
                     row = part.column(0).slice(r, 1)
-                    for start, length in cut(len(ids), capacity):
+                    for start, length in cut(total, capacity):
                         step = step_of(length, capacity)
                         open_ = waiting.setdefault(step, [])
                         offset = open_[-1][length_at] + open_[-1][-1] if open_ else 0
-                        open_.append((row, start, length, len(ids), ids[start : start + length].tobytes(), step, worker,
+                        open_.append((row, start, length, total, ids[4 * start : 4 * (start + length)], step, worker,
                                       len(open_), None, offset))
                         if len(open_) == step:
                             ready += [(*x[:-2], (worker << RUN_BITS) + done, x[-1]) for x in waiting.pop(step)]
