@@ -17,7 +17,7 @@ class Recent:
 
     def lacking(self, keys: set) -> list:
         """Keys without a value. After they are set in `now`, it holds all `keys`."""
-        new = keys - self.now.keys()
+        new = [k for k in keys if k not in self.now]  # a difference with the keys view would walk all of them
         if new and len(self.now) + len(new) > self.most:
             self.before, self.now = self.now, {}
             new = keys
