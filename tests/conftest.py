@@ -11,11 +11,12 @@ sys.path.insert(0, str(ROOT / "tests"))
 
 @pytest.fixture(scope="session")
 def spark():
-    from tickloom.session import local_session
+    from tickloom.session import drop_scratch, local_session
 
     session = local_session(os.environ.get("TEST_CPUS", "8"), shuffle_partitions=4)
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    drop_scratch(session)
     session.stop()
 
 

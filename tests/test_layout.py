@@ -117,6 +117,14 @@ def test_order_key_of_any_id(spark):
     assert [(r["t"], r["i"]) for r in df.orderBy("k").collect()] == rows
 
 
+@pytest.mark.parametrize("limit", [1, 7, 400, 10_000])
+def test_newest_and_oldest_rows_by_slots(crowd, limit):
+    _, df = crowd
+    for pick in (layout.newest_per_symbol, layout.oldest_per_symbol):
+        assert sorted(map(tuple, pick(df, limit, prune=True).collect())) == sorted(map(tuple, pick(df, limit).collect()))
+    assert layout.slots_with(df, limit, True).count() <= df.count()
+
+
 def test_nearest_rank(spark):
     df = spark.createDataFrame([("a", float(v)) for v in (4, 1, 3, 2)] + [("b", 0.0)] * 50 + [("b", 5.0)], "k string, v double")
     got = {r["k"]: r for r in nearest_ranks(df, ["k"], "v", {"p50": 0.5, "p99": 0.99, "top": 1.0}).collect()}

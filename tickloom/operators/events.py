@@ -32,7 +32,7 @@ def events_latest(ticks: DataFrame, limit: int = 100, symbol: str | None = None)
     """Newest `limit` ticks per symbol with their latency."""
     _check("limit", limit, 1, 1000)
     rows = ticks if symbol is None else ticks.filter(F.col("symbol") == symbol.upper())
-    return with_latency(newest_per_symbol(rows, limit)).select(*EVENT_COLUMNS)
+    return with_latency(newest_per_symbol(rows, limit, prune=True)).select(*EVENT_COLUMNS)
 
 
 def replay(ticks: DataFrame, from_ms: int, to_ms: int, limit: int = 500, symbol: str | None = None) -> DataFrame:
@@ -43,12 +43,12 @@ def replay(ticks: DataFrame, from_ms: int, to_ms: int, limit: int = 500, symbol:
     rows = ticks.filter(F.col("event_time_ms").between(from_ms, to_ms))
     if symbol is not None:
         rows = rows.filter(F.col("symbol") == symbol.upper())
-    return with_latency(oldest_per_symbol(rows, limit)).select(*EVENT_COLUMNS)
+    return with_latency(oldest_per_symbol(rows, limit, prune=True)).select(*EVENT_COLUMNS)
 
 
 def recent_real_moves(ticks: DataFrame, last: int = 500, min_pct: float = 0.001) -> DataFrame:
     """Moves above `min_pct` among the newest `last` ticks; the first of them still has its predecessor."""
-    rows = newest_per_symbol(ticks.select("id", "symbol", "event_time_ms", "price"), last + 1)
+    rows = newest_per_symbol(ticks.select("id", "symbol", "event_time_ms", "price"), last + 1, prune=True)
     w = Window.partitionBy("symbol").orderBy(F.col("_pos").desc())
     moved = rows.withColumn("prev_price", F.lag("price").over(w)).withColumn(
         "move_pct", pct_move(F.col("price"), F.col("prev_price"))
@@ -62,7 +62,7 @@ def recent_real_moves(ticks: DataFrame, last: int = 500, min_pct: float = 0.001)
 
 def last_moves(ticks: DataFrame, last: int = 20) -> DataFrame:
     """Moves within the newest `last` ticks only: last-1 rows per symbol."""
-    rows = newest_per_symbol(ticks.select("id", "symbol", "event_time_ms", "price"), last)
+    rows = newest_per_symbol(ticks.select("id", "symbol", "event_time_ms", "price"), last, prune=True)
     w = Window.partitionBy("symbol").orderBy(F.col("_pos").desc())
     return (
         rows.withColumn("prev_price", F.lag("price").over(w))
@@ -99,7 +99,7 @@ def downsample_stride(ticks: DataFrame, now_ms, minutes: int = 5, target: int =
 
 def latency_strip(ticks: DataFrame, last: int = 60, slow_ms: int = SLOW_MS) -> DataFrame:
     """The newest `last` latencies per symbol with their mean and maximum and a slow flag."""
-    rows = with_latency(newest_per_symbol(ticks, last)).withColumn("latency", F.abs("latency_ms"))
+    rows = with_latency(newest_per_symbol(ticks, last, prune=True)).withColumn("latency", F.abs("latency_ms"))
     w = Window.partitionBy("symbol")
     return rows.select(
         "symbol", "id", F.col("_pos").cast("bigint").alias("pos"), "latency",
@@ -130,7 +130,7 @@ def feed_spike_tags(ticks: DataFrame, fetch: int = 300, show: int = 80, floor: f
 
     The threshold is max(mean + 2 sd, floor) over the newest `fetch` rows.
     """
-    rows = newest_per_symbol(ticks, fetch)
+    rows = newest_per_symbol(ticks, fetch, prune=True)
     w = Window.partitionBy("symbol").orderBy("_pos")
     whole = Window.partitionBy("symbol")
     diff = F.abs(F.col("price") - F.col("above"))

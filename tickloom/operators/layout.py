@@ -234,18 +234,39 @@ def attach_per_symbol(chunked: DataFrame, stats: DataFrame, source: DataFrame, h
     return chunked.join(spread, ["symbol", "_chunk"], how)
 
 
-def newest_per_symbol(df: DataFrame, limit: int, order: Sequence[str] = ("event_time_ms", "id")) -> DataFrame:
+def slots_with(df: DataFrame, limit: int, descending: bool, time: str = "event_time_ms", slot_ms: int = SLOT_MS) -> DataFrame:
+    """The rows of the slots that hold each symbol's newest (or oldest) `limit` rows.
+
+    Rows are counted per symbol and slot (two columns, summed on the map side); slots in
+    front of which there are `limit` rows already are left out. So what is put in order
+    afterwards is bounded by `limit` and one slot, however many tasks read the table.
+    """
+    slot = slot_start(F.col(time), slot_ms)
+    counts = df.groupBy("symbol", slot.alias("_slot")).agg(F.count(F.lit(1)).alias("_cnt"))
+    w = Window.partitionBy("symbol").orderBy(F.col("_slot").desc() if descending else F.col("_slot")).rowsBetween(*BEFORE_NOW)
+    wanted = counts.withColumn("_front", F.coalesce(F.sum("_cnt").over(w), F.lit(0))).filter(F.col("_front") < limit)
+    edge = wanted.groupBy("symbol").agg((F.min if descending else F.max)("_slot").alias("_edge"))
+    met = df.join(edge, "symbol")
+    return met.filter(slot >= F.col("_edge") if descending else slot <= F.col("_edge")).select(*df.columns)
+
+
+def newest_per_symbol(df: DataFrame, limit: int, order: Sequence[str] = ("event_time_ms", "id"), prune: bool = False) -> DataFrame:
     """The newest `limit` rows of each symbol, numbered 1.. from the newest (`_pos`).
 
-    Spark keeps only `limit` rows per symbol and task before the exchange
-    (window group limit), so the group that reaches one task is bounded.
+    `prune` first leaves out the slots that cannot hold them (`slots_with`): for tables
+    that many tasks read. Spark keeps only `limit` rows per symbol and task before the
+    exchange (window group limit).
     """
+    if prune:
+        df = slots_with(df, limit, True, order[0])
     w = Window.partitionBy("symbol").orderBy(*[F.col(c).desc() for c in order])
     return df.withColumn("_pos", F.row_number().over(w)).filter(F.col("_pos") <= limit)
 
 
-def oldest_per_symbol(df: DataFrame, limit: int, order: Sequence[str] = ("event_time_ms", "id")) -> DataFrame:
+def oldest_per_symbol(df: DataFrame, limit: int, order: Sequence[str] = ("event_time_ms", "id"), prune: bool = False) -> DataFrame:
     """The oldest `limit` rows of each symbol, numbered 1.. from the oldest (`_pos`)."""
+    if prune:
+        df = slots_with(df, limit, False, order[0])
     w = Window.partitionBy("symbol").orderBy(*order)
     return df.withColumn("_pos", F.row_number().over(w)).filter(F.col("_pos") <= limit)
 

@@ -77,7 +77,7 @@ def accuracy(outcomes: DataFrame, last: int = 500) -> DataFrame:
     win_rate_30s keeps the customary ratio to the outcomes settled at 10 s;
     win_rate_30s_own divides by those settled at 30 s.
     """
-    newest = newest_per_symbol(outcomes, last)
+    newest = newest_per_symbol(outcomes, last, prune=True)
     counts = newest.groupBy("symbol").agg(
         F.count(F.lit(1)).alias("total"),
         F.count_if(F.col("result_10s") != "PENDING").alias("validated"),

@@ -270,7 +270,10 @@ def signals_filtered(
     """Among the newest `fetch` ticks of a symbol: the newest `limit` confident real signals."""
     if not 1 <= limit <= 200:
         raise ValueError("limit must be within 1..200")
-    newest = newest_per_symbol(enriched, fetch).drop("_pos")
+    if {"_rn", "_n"} <= set(enriched.columns):  # numbered already, from the oldest
+        newest = enriched.filter(F.col("_n") - F.col("_rn") < fetch)
+    else:
+        newest = newest_per_symbol(enriched, fetch).drop("_pos")
     confident = newest.filter((F.col("confidence") >= min_confidence) & is_real(F.col("signal")))
     return newest_per_symbol(confident, limit)
 
@@ -305,7 +308,9 @@ def edge_signal_v1(
 
 def latest_enriched(ticks: DataFrame, profile: DataFrame, last: int = 500, **options) -> DataFrame:
     """The newest `last` ticks per symbol, enriched. A streak may reach back any distance, so all ticks are read."""
-    return newest_per_symbol(enriched_events(ticks, profile, **options), last).drop("_pos")
+    rows = enriched_events(ticks, profile, **options)
+    first = F.col("_rn") if options.get("descending") else F.col("_n") - F.col("_rn") + 1
+    return rows.filter(first <= last)
 
 
 def recent_profile(ticks: DataFrame, last: int = 10_000, min_candles: int = 20) -> DataFrame:

@@ -15,7 +15,7 @@ from tickloom.operators import (
 from tickloom.operators.layout import latest_ms, slot_start
 from tickloom.plans import oracle as o
 from tickloom.plans.oracle import CTES, d, move, nearest, pct, share, statement
-from tickloom.session import fresh_path, materialize
+from tickloom.session import fresh_path, materialize, scratch
 from tickloom.sources import tables
 from tickloom.sources import ticks as src
 from tickloom.streaming import jobs
@@ -694,9 +694,16 @@ def feature_spec_eth_flow(t):
 STORE_COST = 0.1
 
 
+_STORES: dict[str, tuple[list, DataFrame]] = {}
+
+
 def stored_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The feature table, written once to the shared folder because several jobs read it."""
-    return materialize(learning.feature_store(src.read_ticks(spark, sf_dir), STORE_COST), "feature_store")
+    """The feature table, written once for each session and folder of tables: many queries read it."""
+    places, store = _STORES.get(sf_dir, (None, None))
+    if places is not scratch(spark):  # another session, or its scratch was dropped
+        store = materialize(learning.feature_store(src.read_ticks(spark, sf_dir), STORE_COST), "feature_store")
+        _STORES[sf_dir] = scratch(spark), store
+    return store
 
 
 def on_store(name: str, sql: str | None = None):

@@ -42,8 +42,26 @@ def shared_dir(spark: SparkSession) -> str:
     return path
 
 
+_MADE: dict[str, list[str]] = {}
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    """A new place in the shared folder; `drop_scratch` deletes all of this session's."""
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    scratch(spark).append(path)
+    return path
+
+
+def scratch(spark: SparkSession) -> list[str]:
+    """Places of this session; another list after `drop_scratch`."""
+    return _MADE.setdefault(spark.sparkContext.applicationId, [])
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete what this session wrote to places of `fresh_path`. Results that read them must be done."""
+    for path in _MADE.pop(spark.sparkContext.applicationId, []):
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
