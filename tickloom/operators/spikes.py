@@ -56,12 +56,10 @@ def spike_frame(
         .filter(F.col("_n") >= min_events)
     )
     spread = per_symbol_to_rank_chunks(stats).drop("_n")
-    found = moved.join(spread, ["symbol", "_chunk"], "inner").withColumn(
-        "z", F.explode(F.array(*[F.lit(float(z)) for z in zs]))
-    )
-    found = found.withColumn("pct", pct_move(F.col("price"), F.col("prev_price"))).filter(
-        (F.abs("diff") > F.col("_avg") + F.col("z") * F.col("_std")) & (F.col("pct") >= min_pct)
-    )
+    over = lambda z: F.abs("diff") > F.col("_avg") + z * F.col("_std")
+    found = moved.join(spread, ["symbol", "_chunk"], "inner").withColumn("pct", pct_move(F.col("price"), F.col("prev_price")))
+    found = found.filter(over(F.lit(float(min(zs)))) & (F.col("pct") >= min_pct))  # few rows are left to repeat for each z
+    found = found.withColumn("z", F.explode(F.array(*[F.lit(float(z)) for z in zs]))).filter(over(F.col("z")))
     return found.withColumn("direction", F.when(F.col("diff") > 0, F.lit("up")).otherwise(F.lit("down"))).drop(
         "_avg", "_std", "_home", "_chunk"
     )

@@ -852,10 +852,13 @@ CLOSE = 1e-3
 def logreg_fit(store):
     split = scaled_split(store)
     train, _ = parts(split)
+    sizes_of = split.groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("positives"))
+    if train.isEmpty():  # nothing to fit
+        return sizes_of.withColumns({"inputs": F.lit(len(FLOW)), "optimal": F.lit(True), "ranked": F.lit(True)})
     model = learning.fit_logistic(train, FLOW)
     named = learning.coefficients(model, FLOW)
     sizes = [abs(w) for _, w in named]
-    return split.groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("positives")).withColumns({
+    return sizes_of.withColumns({
         "inputs": F.lit(len(named)),
         "optimal": F.lit(learning.optimality_gap(model, train, FLOW) < CLOSE),
         "ranked": F.lit(sizes == sorted(sizes, reverse=True)),
@@ -869,6 +872,8 @@ def isotonic_calibrated(store):
     """Each fold's curve keeps the mean of its rows' labels, lies within 0 and 1, and rests on an optimal fit of the other folds."""
     train, _ = parts(scaled_split(store))
     drawn = materialize(learning.stratified_folds(train), "folds")
+    if drawn.isEmpty():  # nothing to fit
+        return store.sparkSession.createDataFrame([], "fold int, n bigint, positives bigint, mean_kept boolean, within boolean, optimal boolean")
     out = None
     for k, (model, curve, held) in enumerate(learning.isotonic_curves(train, FLOW)):
         rows = curve.transform(held).groupBy("fold").agg(
