@@ -11,11 +11,11 @@ A document's set holds its distinct shingles; two documents are linked when 100
 3. Each posting list is a star around its smallest id. Collisions with a centre are counted over the
    lists, the full signatures compared, and each document's best centre is checked on the full
    sets. Confirmed links give components.
-4. In every list, pairs that lie in one component already are skipped. All others (members outside
-   the list's largest component, against all members of other components) are counted, compared and
-   checked on the full sets in the same way, and the components are joined up.
+4. Lists that hold several components are unsettled. Their documents are dealt into cells around the
+   centre they share most lists with, and two cells that meet in a list are compared in one task, on the full
+   sets: every pair that shares a list and lies in two components, skipping those joined on the way.
 
-So a group of near copies costs one check a document, not one a pair, and no link between different
+So most near copies cost one check each, pairs are never rows, and no link between different
 texts is left out. Lists, candidates and links stay distributed; a hot list or centre is a skewed join,
 which Spark splits. Components come from hooking and pointer doubling on tables in the shared folder.
 
@@ -31,16 +31,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.llm.arrays import FIRST, LOWER, hashed_words, mix, numbers, slices, texts
+from tickloom.llm.blocks import among
 from tickloom.session import materialize
 
 SHINGLE = 4
 COORDINATES = 32
 MATCHES = 14
 ALIKE = 80  # percent
+CELL = 512
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, size: int) -> list[np.ndarray]:
@@ -168,24 +170,88 @@ def components(links: DataFrame, labels: DataFrame | None = None) -> DataFrame:
         labels = materialize(labels.join(moved, "comp", "left").select("id", F.coalesce("to", "comp").alias("comp")), "labels")
 
 
-def _ordered(x: Column, y: Column) -> list[Column]:
-    return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
+def _cross_links(near: list[dict], far: list[dict], alike: int) -> list[tuple]:
+    """Links (a, b) that join components: documents of two cells that share a list.
+
+    Components that were joined on the way are one, so a pair between them is skipped.
+    """
+    within = near is far
+    top: dict = {}
+
+    def root(c):
+        while c in top:
+            c = top[c]
+        return c
+
+    lists = [np.concatenate([d["lists"] for d in cell]) for cell in (near, far)]
+    names = np.unique(np.concatenate(lists))
+    held = []
+    for cell, keys in zip((near, far), lists):
+        at = np.zeros((len(cell), len(names)), np.float32)
+        at[np.repeat(np.arange(len(cell)), [len(d["lists"]) for d in cell]), np.searchsorted(names, keys)] = 1
+        held.append(at)
+    shared = held[0] @ held[1].T > 0
+    sizes = np.array([len(d["set"]) for d in far])
+    out = []
+    for i, d in enumerate(near):
+        own = len(d["set"])
+        met = shared[i] & (100 * np.minimum(sizes, own) >= alike * np.maximum(sizes, own))
+        if within:
+            met[: i + 1] = False
+        met = [j for j in np.flatnonzero(met) if root(far[j]["comp"]) != root(d["comp"])]
+        if not met:
+            continue
+        sets = [far[j]["set"] for j in met]
+        first = np.cumsum([0, *[len(x) for x in sets[:-1]]])
+        common = np.add.reduceat(among(np.concatenate(sets), d["set"]).astype(np.int64), first)
+        union = own + sizes[met] - common
+        for j in np.array(met)[100 * common >= alike * union]:
+            c1, c2 = root(d["comp"]), root(far[j]["comp"])
+            if c1 != c2:
+                top[max(c1, c2)] = min(c1, c2)
+                out.append((d["id"], far[j]["id"]))
+    return out
 
 
-def apart(lists: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs (a, b) that share a list and lie in different components.
+def cross_links(lists: DataFrame, labels: DataFrame, stars: DataFrame, sets: DataFrame, alike: int) -> DataFrame:
+    """(a, b): links between components, among all pairs that share a list; one at least for each two that are linked.
 
-    In each list only members outside its largest component look for partners; each pair comes once
-    from a list, and the lists it comes from are counted.
+    Documents of unsettled lists (those with several components) are dealt into cells: around the centre
+    that they share most lists with, CELL documents at most in the mean. Two cells that meet in a list are
+    compared by one task, which holds both cells' sets; pairs are never rows.
     """
     placed = lists.join(labels, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
-    sizes = placed.groupBy("coord", "val", "comp").agg(F.count("*").alias("n"))
-    several = sizes.groupBy("coord", "val").agg(F.max(F.struct("n", "comp")).alias("top"), F.count("*").alias("comps")).where(F.col("comps") > 1)
-    unsettled = placed.join(several.select("coord", "val", F.col("top.comp").alias("largest")), ["coord", "val"])
-    few = unsettled.where(F.col("comp") != F.col("largest")).select("coord", "val", F.col("id").alias("x"), F.col("comp").alias("c_x"))
-    other = unsettled.select("coord", "val", F.col("id").alias("y"), F.col("comp").alias("c_y"), (F.col("comp") == F.col("largest")).alias("top"))
-    pairs = few.join(other, ["coord", "val"]).where((F.col("c_x") != F.col("c_y")) & (F.col("top") | (F.col("x") < F.col("y"))))
-    return pairs.groupBy(*_ordered(F.col("x"), F.col("y"))).agg(F.count("*").alias("lists"))
+    several = placed.groupBy("coord", "val").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where(F.col("lo") != F.col("hi"))
+    unsettled = placed.join(several.select("coord", "val"), ["coord", "val"]).withColumn("list", F.xxhash64("coord", "val"))
+    homes = stars.groupBy(F.col("b").alias("id")).agg(F.max_by("a", F.struct("lists", -F.col("a"))).alias("home"))
+    docs = unsettled.groupBy("id").agg(F.first("comp").alias("comp"), F.collect_list("list").alias("lists"))
+    docs = docs.join(homes, "id", "left").withColumn("home", F.coalesce("home", "id"))
+    cells = docs.groupBy("home").agg(F.ceil(F.count("*") / CELL).cast("long").alias("cells"))
+    docs = docs.join(cells, "home").withColumn("cell", F.xxhash64("home", F.pmod(F.xxhash64("id"), F.col("cells")))).drop("home", "cells")
+    docs = materialize(docs, "unsettled")
+    seen = docs.select(F.explode("lists").alias("list"), "cell", "comp").groupBy("list", "cell").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+    one = lambda n: seen.select("list", F.col("cell").alias(f"c{n}"), F.col("lo").alias(f"lo{n}"), F.col("hi").alias(f"hi{n}"))
+    apart = (F.col("lo1") != F.col("hi1")) | (F.col("lo2") != F.col("hi2")) | (F.col("lo1") != F.col("lo2"))
+    meet = one(1).join(one(2), "list").where((F.col("c1") <= F.col("c2")) & apart).select("c1", "c2").distinct()
+    full = docs.join(sets, "id")
+    side = lambda n: meet.join(full.withColumnRenamed("cell", f"c{n}"), f"c{n}").select(
+        "c1", "c2", F.lit(n).alias("side"), "id", "comp", "lists", "set")
+    sent = side(1).unionByName(side(2).where(F.col("c1") != F.col("c2")))
+    kind = dict(lists.dtypes)["id"]
+
+    def check(key: tuple, table: pa.Table) -> pa.Table:
+        cell: dict[int, list[dict]] = {1: [], 2: []}
+        columns = {n: table.column(n) for n in ("side", "id", "comp", "lists", "set")}
+        for k in range(table.num_rows):
+            row = {n: columns[n][k] for n in columns}
+            cell[row["side"].as_py()].append({
+                "id": row["id"].as_py(), "comp": row["comp"].as_py(), "lists": row["lists"].values.to_numpy(),
+                "set": np.sort(row["set"].values.to_numpy())})
+        found = _cross_links(cell[1], cell[2] or cell[1], alike)
+        of = lambda n: pa.array([x[n] for x in found], table.schema.field("id").type)
+        return pa.table({"a": of(0), "b": of(1)})
+
+    return sent.groupBy("c1", "c2").applyInArrow(check, f"a {kind}, b {kind}")
 
 
 def dedup(docs: DataFrame, id_col: str = "doc_id", text: str = "text", size: int = SHINGLE, coordinates: int = COORDINATES,
@@ -202,12 +268,12 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text: str = "text", size: int
 
     centres = lists.groupBy("coord", "val").agg(F.min("id").alias("a"))
     stars = lists.join(centres, ["coord", "val"]).where(F.col("id") != F.col("a")).groupBy("a", F.col("id").alias("b")).agg(F.count("*").alias("lists"))
+    stars = materialize(stars, "stars")
     near = compared(stars, reps, matches, alike)
     best = near.groupBy("b").agg(F.max_by("a", F.struct("same", -F.col("a"))).alias("a"))
     links = materialize(confirmed(best, sets, alike), "links")
     labels = components(links)
-    more = compared(apart(lists, labels), reps, matches, alike)
-    more = materialize(confirmed(more, sets, alike), "links")
+    more = materialize(cross_links(lists, labels, stars, sets, alike), "links")
     labels = components(more, labels)
 
     named = classes.select("digest", F.col("id").alias("rep")).join(labels.withColumnRenamed("id", "rep"), "rep", "left")
