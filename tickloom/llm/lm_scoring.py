@@ -16,7 +16,7 @@ Steps:
    then computes the base score and the network's score of each document. The texts cross the network
    once, since asking and scoring share one exchange.
 
-The weights take some 300 KB; they are the only thing that tasks get whole. Words are told apart by
+The weights take some 130 KB; they are the only thing that tasks get whole. Words are told apart by
 64-bit hashes: among 10^10 distinct words some three pairs share a hash, and then their counts.
 
 Defined cases: null and empty texts consist of the end token; repeated rows count and are scored one by
@@ -42,11 +42,14 @@ from tickloom.llm.recurrent import Adam, Network
 from tickloom.session import materialize
 
 END = numbers(3, 1)[0]
-WORDS = 1024
-CLASSES = 32
+WORDS = 512
+CLASSES = 16
 HIDDEN = 16
 ROUNDS = 2
 TRAIN_LANES, SCORE_LANES = 512, 1024
+#: Tokens that a task trains on at a time: documents are laid side by side, so many short ones fill the time of a long one.
+TRAIN_TOKENS = 4_000_000
+LM_BLOCK_BYTES = 3 * BLOCK_BYTES
 #: A task hands its counts on when it holds so many distinct words.
 HELD = 2_000_000
 RESULTS = "n_tokens long, n_known long, train_tokens long, base_score double, score double"
@@ -176,10 +179,20 @@ def train(texts_: DataFrame, share, known: Vocabulary, rounds: int = ROUNDS, hid
         def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             own, seen = begun.from_flat(begun.flat()), 0
             adam = Adam(own.p, rate / (1 + r))
+            held: list[tuple] = []
+
+            def study() -> None:
+                own.train(np.concatenate([x[0] for x in held]), np.concatenate([x[1] for x in held]), adam, TRAIN_LANES)
+                held.clear()
+
             for batch in batches:
                 for hashes, lengths in _parts(batch.column(0)):
-                    own.train(known.ids(hashes), lengths, adam, TRAIN_LANES)
+                    held.append((known.ids(hashes), lengths))
                     seen += len(hashes)
+                    if sum(len(x[0]) for x in held) >= TRAIN_TOKENS:
+                        study()
+            if held:
+                study()
             if seen:
                 yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int32()), pa.array([seen], pa.int64()),
                                                   pa.array([own.flat().astype(np.float32).tobytes()], pa.binary())], names=schema_names)
@@ -196,7 +209,7 @@ def train(texts_: DataFrame, share, known: Vocabulary, rounds: int = ROUNDS, hid
 
 
 def score(docs: DataFrame, counts: DataFrame, known: Vocabulary, net: Network, id_col: str, text: str, total: int, bits: int,
-          block_bytes: int = BLOCK_BYTES) -> DataFrame:
+          block_bytes: int = LM_BLOCK_BYTES) -> DataFrame:
     """`docs` with RESULTS."""
     new = StructType.fromDDL(RESULTS).names
     kept = [c for c in docs.columns if c not in new]
@@ -241,11 +254,13 @@ def score(docs: DataFrame, counts: DataFrame, known: Vocabulary, net: Network, i
             keys = distinct(parts)
             sent = sorted(zip(replies.column("_owner").to_pylist(), replies.column("counts").to_pylist()), key=lambda x: x[0])
             counts_ = np.concatenate([unpack(x) for _, x in sent]).astype(np.int64)
+            network = net.score(np.concatenate([known.ids(h) for h, _ in parts]), np.concatenate([x for _, x in parts]), SCORE_LANES)
+            done = 0
             for hashes, lengths in parts:
                 c = counts_[np.searchsorted(keys, hashes)]
-                ids = known.ids(hashes)
-                logs = net.score(ids, lengths, SCORE_LANES)
-                logs += np.where(ids == net.words, np.log(c + 1) - rare_of, 0)
+                logs = network[done : done + len(hashes)]
+                done += len(hashes)
+                logs += np.where(known.ids(hashes) == net.words, np.log(c + 1) - rare_of, 0)
                 first = np.cumsum(lengths) - lengths
                 out["n_tokens"].append(lengths)
                 out["n_known"].append(np.add.reduceat((c > 0).astype(np.int64), first))
@@ -261,7 +276,7 @@ def score(docs: DataFrame, counts: DataFrame, known: Vocabulary, net: Network, i
     return done.select(*[F.col(f"_row.`{c}`").alias(c) for c in kept], *new)
 
 
-def fit_and_score(docs: DataFrame, learns_from, id_col: str = "doc_id", text: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def fit_and_score(docs: DataFrame, learns_from, id_col: str = "doc_id", text: str = "text", block_bytes: int = LM_BLOCK_BYTES) -> DataFrame:
     """Learns from the rows where the column `learns_from` holds, scores all."""
     total = text_bytes(docs, text)
     bits = owner_bits(max(1, -(-total // block_bytes)))

@@ -41,12 +41,21 @@ def _choose(logits: np.ndarray, chosen: np.ndarray, slopes: bool, weight: float)
 
 @dataclass
 class Lanes:
-    """Documents laid on lanes, the fullest lane first. at: for each step and lane the token's place, or -1."""
+    """Documents laid on lanes, the fullest lane first; a lane's tokens stand one after the other.
 
-    at: np.ndarray  # steps x lanes
-    start: np.ndarray  # steps x lanes: a document begins
+    place: the token's place in the input, lane by lane; begins: whether a document begins there.
+    """
+
+    place: np.ndarray
+    begins: np.ndarray
+    first: np.ndarray  # where each lane begins in `place`
     active: np.ndarray  # lanes in use at each step
 
+    def at(self, t: int) -> tuple[np.ndarray, np.ndarray]:
+        """Places of the tokens of step `t`, and which of them begin a document."""
+        k = self.first[: self.active[t]] + t
+        return self.place[k], self.begins[k]
+
 
 def lanes(lengths: np.ndarray, most: int) -> Lanes:
     """Each document goes, longest first, to the lane with the fewest tokens."""
@@ -60,16 +69,14 @@ def lanes(lengths: np.ndarray, most: int) -> Lanes:
         heapq.heapreplace(heap, (used + int(lengths[d]), k))
     sizes = np.array([sum(int(lengths[d]) for d in ds) for ds in held])
     order = np.argsort(-sizes, kind="stable")
-    steps = int(sizes.max())
-    at, start = np.full((steps, n), -1, np.int64), np.zeros((steps, n), bool)
-    for lane, k in enumerate(order):
-        t = 0
-        for d in held[k]:
-            size = int(lengths[d])
-            at[t : t + size, lane] = np.arange(ends[d] - size, ends[d])
-            start[t, lane] = True
-            t += size
-    return Lanes(at, start, np.searchsorted(-sizes[order], -np.arange(steps), "left"))
+    docs = np.array([d for k in order for d in held[k]])
+    size = lengths[docs]
+    start = np.cumsum(size) - size
+    place = np.arange(int(ends[-1])) + np.repeat(ends[docs] - size - start, size)
+    begins = np.zeros(int(ends[-1]), bool)
+    begins[start] = True
+    sizes = sizes[order]
+    return Lanes(place, begins, np.cumsum(sizes) - sizes, np.searchsorted(-sizes, -np.arange(int(sizes.max())), "left"))
 
 
 class Network:
@@ -154,33 +161,41 @@ class Network:
         """Natural log probability of each token (of its class alone, for rarer words)."""
         out = np.zeros(len(ids))
         lay = lanes(lengths, most)
-        h = np.zeros((lay.at.shape[1], self.hidden), F32)
-        states, places = [], []
-        for t in range(len(lay.at)):
-            a = lay.active[t]
-            at = lay.at[t, :a]
-            h = h[:a].copy() if len(h) > a else h
-            if lay.start[t, :a].any():
-                h[lay.start[t, :a]] = 0
+        h = np.zeros((len(lay.first), self.hidden), F32)
+        states, places, held = [], [], 0
+        for t in range(len(lay.active)):
+            at, begins = lay.at(t)
+            h = h[: len(at)]
+            if begins.any():
+                h[begins] = 0
             states.append(h)
             places.append(at)
+            held += len(at)
             h = self._step(h, ids[at])[0]
-            if len(states) == WINDOW or t + 1 == len(lay.at):
+            if held >= WINDOW * most or t + 1 == len(lay.active):
                 at = np.concatenate(places)
                 out[at] = self._outputs(np.concatenate(states), ids[at])[0]
-                states, places = [], []
+                states, places, held = [], [], 0
         return out
 
     def train(self, ids: np.ndarray, lengths: np.ndarray, adam: Adam, most: int = 256) -> None:
-        """One pass: windows of `WINDOW` steps; gradients stop at a window's start, the state goes on."""
+        """One pass; gradients stop at a window's start, the state goes on.
+
+        A window has `WINDOW` steps, or more where few lanes are left, so that updates rest on similar numbers
+        of tokens.
+        """
         lay = lanes(lengths, most)
-        h = np.zeros((lay.at.shape[1], self.hidden), F32)
-        for t0 in range(0, len(lay.at), WINDOW):
-            a = lay.active[t0]
-            at, start = lay.at[t0 : t0 + WINDOW, :a], lay.start[t0 : t0 + WINDOW, :a]
-            there = at >= 0
-            tokens = np.where(there, ids[at], 0)
-            h = self._window(h[:a], tokens, start, there, adam, WINDOW * most // 4)
+        h = np.zeros((len(lay.first), self.hidden), F32)
+        t, last = 0, len(lay.active)
+        while t < last:
+            a = int(lay.active[t])
+            steps = min(last - t, WINDOW * max(1, min(16, most // (4 * a))))
+            tokens, begins, there = np.zeros((steps, a), np.int64), np.zeros((steps, a), bool), np.zeros((steps, a), bool)
+            for k in range(steps):
+                at, start = lay.at(t + k)
+                tokens[k, : len(at)], begins[k, : len(at)], there[k, : len(at)] = ids[at], start, True
+            h = self._window(h[:a], tokens, begins, there, adam, WINDOW * most // 4)
+            t += steps
 
     def _window(self, h: np.ndarray, tokens: np.ndarray, start: np.ndarray, there: np.ndarray, adam: Adam, least: int = 1) -> np.ndarray:
         """`least`: a window of fewer tokens weighs less than a whole update."""
