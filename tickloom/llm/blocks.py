@@ -17,9 +17,9 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 #: More blocks than this are not made; they grow instead (a task's memory follows its block).
-MOST_BLOCKS = 1 << 15
+MOST_BLOCKS = 1 << 18
 
 
 def pack(values: np.ndarray) -> bytes:
@@ -65,8 +65,8 @@ def text_bytes(docs: DataFrame, text: str) -> int:
 
 
 def owner_bits(blocks: int) -> int:
-    """As many owners as blocks, as a power of two."""
-    return max(2, min(14, (blocks - 1).bit_length()))
+    """As many owners as blocks, as a power of two, up to 131,072."""
+    return max(2, min(17, (blocks - 1).bit_length()))
 
 
 def in_blocks(docs: DataFrame, id_col: str, total: int, block_bytes: int = BLOCK_BYTES) -> tuple[DataFrame, int]:

@@ -39,8 +39,8 @@ from tickloom.llm.arrays import append_columns
 from tickloom.llm.recent import Recent
 
 SPACE = "▁"
-MOST_WORDS = 300_000
-MOST_PAIRS = 1_000_000
+MOST_WORDS = 150_000
+MOST_PAIRS = 300_000
 
 
 class Vocabulary:
@@ -79,7 +79,7 @@ class Vocabulary:
         inner = any(SPACE in p.lstrip(SPACE) for p in self.ids)
         self.words = None if inner else re.compile(f"{SPACE}*[^{SPACE}{alone}]+|{SPACE}+|[{alone or chr(0)}]", re.S)
         self.known = Recent(MOST_WORDS)
-        self.follows: dict[tuple[int, int], bool] = {}
+        self.follows: dict[int, bool] = {}  # by the two ids in one number
 
     # -- one word -------------------------------------------------------------------
 
@@ -103,7 +103,7 @@ class Vocabulary:
         if len(self.follows) >= MOST_PAIRS:
             self.follows.clear()
         a, b = self.pieces[left] if left >= 0 else "", self.pieces[right]
-        found = self.follows[left, right] = self.merged(a + b) == ([a, b] if a else [b])
+        found = self.follows[(left + 1) << 32 | right] = self.merged(a + b) == ([a, b] if a else [b])
         return found
 
     def _by_merges(self, word: str) -> list[int]:
@@ -113,7 +113,7 @@ class Vocabulary:
         for end, (i, length) in self.automaton.iter(word):
             end += 1
             if last[end] is None and (before := last[end - length]) is not None:
-                if (found := follows.get((before, i))) is None:
+                if (found := follows.get((before + 1) << 32 | i)) is None:
                     found = self.may_follow(before, i)
                 if found:
                     last[end], size[end] = i, length
