@@ -43,6 +43,7 @@ COORDINATES = 32
 MATCHES = 14
 ALIKE = 80  # percent
 CELL = 512
+JUMPS = 3
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, size: int) -> list[np.ndarray]:
@@ -226,6 +227,9 @@ def cross_links(lists: DataFrame, labels: DataFrame, stars: DataFrame, sets: Dat
     homes = stars.groupBy(F.col("b").alias("id")).agg(F.max_by("a", F.struct("lists", -F.col("a"))).alias("home"))
     docs = unsettled.groupBy("id").agg(F.first("comp").alias("comp"), F.collect_list("list").alias("lists"))
     docs = docs.join(homes, "id", "left").withColumn("home", F.coalesce("home", "id"))
+    for _ in range(JUMPS):  # centres gather around their own centres, so a group has few, full cells
+        up = docs.select(F.col("id").alias("home"), F.col("home").alias("up"))
+        docs = materialize(docs.join(up, "home", "left").withColumn("home", F.coalesce("up", "home")).drop("up"), "unsettled")
     cells = docs.groupBy("home").agg(F.ceil(F.count("*") / CELL).cast("long").alias("cells"))
     docs = docs.join(cells, "home").withColumn("cell", F.xxhash64("home", F.pmod(F.xxhash64("id"), F.col("cells")))).drop("home", "cells")
     docs = materialize(docs, "unsettled")
