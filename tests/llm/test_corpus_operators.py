@@ -344,6 +344,35 @@ def test_base_scores(spark, sf_dir, corpus):
     assert sum(r["score"] for r in out) > sum(r["base_score"] for r in out)
 
 
+def test_network_words_grow_with_the_corpus(spark):
+    """Far more than 512 words are known one by one, and the others are told apart by classes."""
+    rng = np.random.default_rng(1)
+    rows = [(i, " ".join(f"w{k}" for k in np.minimum(rng.zipf(1.2, 2000), 10**7))) for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    tally = Counter(w for _, t in rows for w in [*words(t), None])
+    known = lm_scoring.vocabulary(lm_scoring.count_words(docs.select("text"), 3))
+    assert (known.tokens, known.distinct) == (sum(tally.values()), len(tally))
+    n = len(known.words)
+    assert n == pytest.approx(lm_scoring.network_words(len(tally)), rel=0.1) and n >= 900
+    top = sorted(tally.values(), reverse=True)
+    assert known.counts.sum() >= 0.99 * sum(top[:n]) and known.counts[:100].tolist() == top[:100]
+    assert known.counts.sum() + known.rare_tokens.sum() == known.tokens and n + known.rare_distinct.sum() == known.distinct
+    assert len(known.rare_tokens) >= 8 and (known.rare_distinct > 0).all()
+    hashes, _ = lm_scoring.token_hashes(np.frombuffer(" ".join(w for w in tally if w).encode(), np.uint8), np.array([0, len(" ".join(w for w in tally if w))]))
+    assert set(known.ids(hashes).tolist()) == set(range(n + len(known.rare_tokens)))
+    assert lm_scoring.network_words(10**8) == 20_000
+
+
+def test_probabilities_add_up_over_rare_classes():
+    net = recurrent.Network(50, 7, 4, rare=5).with_frequencies(1000.0 / np.arange(1, 51), np.arange(5.0))
+    assert net.edges[0] == 0 and net.edges[-1] == 50 and len(net.edges) == 8 and (np.diff(net.edges) > 0).all()
+    assert np.diff(net.edges)[0] < np.diff(net.edges)[-1]  # frequent words lie in small classes
+    ids = np.column_stack([np.repeat(np.array([[3, 52, 2]]), 55, axis=0), np.arange(55)]).ravel()
+    assert np.exp(net.score(ids, np.full(55, 4))[3::4]).sum() == pytest.approx(1, abs=1e-5)
+    same = net.from_flat(net.flat())
+    np.testing.assert_allclose(same.score(ids, np.full(55, 4)), net.score(ids, np.full(55, 4)), rtol=1e-5)
+
+
 def test_strange_scores(strange, nothing):
     rows = lm_scoring.fit_and_score(strange, F.col("doc_id") != 9, block_bytes=100_000).collect()
     assert len(rows) == len(STRANGE) and all(np.isfinite(r["score"]) and r["score"] < 0 for r in rows)

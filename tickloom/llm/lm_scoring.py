@@ -1,9 +1,12 @@
 """Language-model scoring.
 
 A gated recurrent network (see `recurrent`) reads the lower-cased words of each whole document and an
-end token. Its output is factored: classes of the most frequent words, and one class of all rarer
-words, inside which a word's probability follows from its count in the training corpus. So every text
-has a probability, and the whole vocabulary is covered by counts over all training documents.
+end token. Its vocabulary grows with the training corpus: of V distinct words the 2 sqrt(V) most frequent
+(1,024 at least; at the border words whose counts differ by less than a tenth are chosen by hash) have an
+embedding and an output of their own, in as many classes as the root of their number. All rarer words are
+dealt by hash to a quarter as many classes, each with an embedding and an output, inside which a word's
+probability follows from its count in the training corpus. So every text has a probability, and the whole
+vocabulary is covered by counts over all training documents.
 
 Steps:
 
@@ -16,7 +19,7 @@ Steps:
    then computes the base score and the network's score of each document. The texts cross the network
    once, since asking and scoring share one exchange.
 
-The weights take some 130 KB; they are the only thing that tasks get whole. Words are told apart by
+The weights take some 270 bytes a word of the network; they are the only thing that tasks get whole. Words are told apart by
 64-bit hashes: among 10^10 distinct words some three pairs share a hash, and then their counts.
 
 Defined cases: null and empty texts consist of the end token; repeated rows count and are scored one by
@@ -36,14 +39,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tickloom.llm.arrays import FIRST, LOWER, hashed_words, numbers, slices, texts
+from tickloom.llm.arrays import FIRST, LOWER, hashed_words, mix, numbers, slices, texts
 from tickloom.llm.blocks import BLOCK_BYTES, in_blocks, owner_bits, pack, pack_sorted, ranges, text_bytes, unpack, unpack_sorted
 from tickloom.llm.recurrent import Adam, Network
 from tickloom.session import materialize
 
 END = numbers(3, 1)[0]
-WORDS = 512
-CLASSES = 16
+WORDS = 1024
+#: Levels of counts in each doubling.
+LEVELS = 8
 HIDDEN = 16
 ROUNDS = 2
 TRAIN_LANES, SCORE_LANES = 512, 1024
@@ -114,14 +118,33 @@ def count_words(texts_: DataFrame, bits: int) -> DataFrame:
     return texts_.mapInArrow(local, schema).groupBy("_owner").applyInArrow(total, schema)
 
 
+def network_words(distinct: int) -> int:
+    """How many of the distinct words the network knows one by one."""
+    return min(distinct, max(WORDS, int(2 * distinct**0.5)))
+
+
+def rare_classes(words: int) -> int:
+    return max(1, round(words**0.5) // 4)
+
+
+def _rare_class(hashes: np.ndarray, classes: int) -> np.ndarray:
+    return (mix(hashes) % np.uint64(classes)).astype(np.int64)
+
+
+def _levels(counts: np.ndarray) -> np.ndarray:
+    return np.floor(LEVELS * np.log2(counts)).astype(np.int64)
+
+
 @dataclass
 class Vocabulary:
-    """The most frequent words (hashes, by falling count) and the corpus totals."""
+    """The most frequent words (hashes, by falling count), the corpus totals and those of each class of rarer words."""
 
     words: np.ndarray
     counts: np.ndarray
     tokens: int
     distinct: int
+    rare_tokens: np.ndarray
+    rare_distinct: np.ndarray
 
     def __post_init__(self):
         order = np.argsort(self.words)
@@ -130,42 +153,72 @@ class Vocabulary:
     def ids(self, hashes: np.ndarray) -> np.ndarray:
         n = len(self.words)
         if not n:
-            return np.ones(len(hashes), np.int64)  # rarer than the network's one word
+            return 1 + _rare_class(hashes, len(self.rare_tokens))  # rarer than the network's one word
         at = np.minimum(np.searchsorted(self._sorted, hashes), n - 1)
-        return np.where(self._sorted[at] == hashes, self._rank[at], n)
-
-    @property
-    def rare_tokens(self) -> int:
-        return self.tokens - int(self.counts.sum())
+        out = self._rank[at]
+        rare = np.flatnonzero(self._sorted[at] != hashes)
+        out[rare] = n + _rare_class(hashes[rare], len(self.rare_tokens))
+        return out
 
-    @property
-    def rare_distinct(self) -> int:
-        return self.distinct - len(self.words)
 
+def vocabulary(counts: DataFrame) -> Vocabulary:
+    """Totals and the most frequent words.
 
-def vocabulary(counts: DataFrame, most: int = WORDS) -> Vocabulary:
-    """Totals and the `most` most frequent words; each owner offers its own `most`."""
+    Words are counted by level of their count; whole levels are taken from the top, and of the level at the
+    border those with the smallest hashes. So no task sorts or gathers words, and the driver gets those taken.
+    """
 
-    def offer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def held(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         for batch in batches:
             for keys, numbers_ in zip(batch.column(1), batch.column(2)):
-                k, c = unpack_sorted(keys.as_py()), unpack(numbers_.as_py()).astype(np.int64)
-                top = np.lexsort((k, -c))[:most]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(k[top].view(np.int64)), pa.array(c[top]), pa.array(np.where(np.arange(len(top)) == 0, c.sum(), 0)),
-                     pa.array(np.where(np.arange(len(top)) == 0, len(k), 0))], names=["word", "n", "tokens", "distinct"])
-
-    offers = counts.select("_owner", "keys", "counts").mapInArrow(offer, "word long, n long, tokens long, distinct long")
-    totals = offers.agg(F.sum("tokens").alias("t"), F.sum("distinct").alias("d")).first()
-    rows = offers.orderBy(F.desc("n"), "word").limit(most).collect()
-    return Vocabulary(np.array([r["word"] for r in rows], np.int64).view(np.uint64), np.array([r["n"] for r in rows], np.int64),
-                      totals["t"] or 0, totals["d"] or 0)
-
-
-def train(texts_: DataFrame, share, known: Vocabulary, rounds: int = ROUNDS, hidden: int = HIDDEN, classes: int = CLASSES,
+                yield unpack_sorted(keys.as_py()), unpack(numbers_.as_py()).astype(np.int64)
+
+    def by_level(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, c in held(batches):
+            level = _levels(c)
+            some = np.unique(level)
+            yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(np.bincount(level)[some]), pa.array(np.bincount(level, c)[some].astype(np.int64))],
+                                             names=["level", "n", "tokens"])
+
+    packed = counts.select("_owner", "keys", "counts")
+    levels = packed.mapInArrow(by_level, "level long, n long, tokens long").groupBy("level").agg(
+        F.sum("n").alias("n"), F.sum("tokens").alias("tokens")).collect()
+    levels.sort(key=lambda x: -x["level"])
+    distinct = sum(x["n"] for x in levels)
+    wanted = network_words(distinct)
+    classes, left, border, share = rare_classes(wanted), wanted, 0, 1.0
+    for x in levels:
+        border, share = x["level"], min(1.0, left / x["n"])
+        left -= x["n"]
+        if left <= 0:
+            break
+
+    def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for k, c in held(batches):
+            level = _levels(c)
+            taken = (level > border) | (level == border) & ((mix(~k) >> np.uint64(11)).astype(np.float64) < share * 2.0**53)
+            kind, rest = _rare_class(k[~taken], classes), c[~taken]
+            some = np.unique(kind)
+            yield pa.RecordBatch.from_arrays([
+                pa.array(np.append(np.full(int(taken.sum()), -1), some)),
+                pa.array(np.append(k[taken].view(np.int64), np.bincount(kind, minlength=1)[some])),
+                pa.array(np.append(c[taken], np.bincount(kind, rest, 1)[some].astype(np.int64)))], names=["kind", "word", "n"])
+
+    rows = packed.mapInArrow(dealt, "kind long, word long, n long")
+    top = rows.where("kind < 0").select("word", "n").collect()
+    words, n = np.array([r["word"] for r in top], np.int64).view(np.uint64), np.array([r["n"] for r in top], np.int64)
+    order = np.lexsort((words, -n))
+    rare = np.zeros((2, classes), np.int64)
+    for r in rows.where("kind >= 0").groupBy("kind").agg(F.sum("n").alias("t"), F.sum("word").alias("d")).collect():
+        rare[:, r["kind"]] = r["t"], r["d"]
+    return Vocabulary(words[order], n[order], sum(x["tokens"] for x in levels), distinct, *rare)
+
+
+def train(texts_: DataFrame, share, known: Vocabulary, rounds: int = ROUNDS, hidden: int = HIDDEN,
           rate: float = 0.01) -> Network:
     """Weights after `rounds` rounds; `share` is a column that deals the texts out to the rounds."""
-    net = Network(max(1, len(known.words)), classes, hidden).with_frequencies(
+    n = max(1, len(known.words))
+    net = Network(n, round(n**0.5), hidden, rare=len(known.rare_tokens)).with_frequencies(
         known.counts if len(known.words) else np.ones(1), known.rare_tokens)
 
     def average(table: pa.Table) -> pa.Table:
@@ -254,13 +307,16 @@ def score(docs: DataFrame, counts: DataFrame, known: Vocabulary, net: Network, i
             keys = distinct(parts)
             sent = sorted(zip(replies.column("_owner").to_pylist(), replies.column("counts").to_pylist()), key=lambda x: x[0])
             counts_ = np.concatenate([unpack(x) for _, x in sent]).astype(np.int64)
-            network = net.score(np.concatenate([known.ids(h) for h, _ in parts]), np.concatenate([x for _, x in parts]), SCORE_LANES)
+            id_of = known.ids(keys)
+            rare = id_of >= net.words
+            in_class = np.where(rare, np.log(counts_ + 1) - rare_of[np.where(rare, id_of - net.words, 0)], 0)
+            at = [np.searchsorted(keys, h) for h, _ in parts]
+            network = net.score(np.concatenate([id_of[a] for a in at]), np.concatenate([x for _, x in parts]), SCORE_LANES)
             done = 0
-            for hashes, lengths in parts:
-                c = counts_[np.searchsorted(keys, hashes)]
-                logs = network[done : done + len(hashes)]
+            for a, (hashes, lengths) in zip(at, parts):
+                c = counts_[a]
+                logs = network[done : done + len(hashes)] + in_class[a]
                 done += len(hashes)
-                logs += np.where(known.ids(hashes) == net.words, np.log(c + 1) - rare_of, 0)
                 first = np.cumsum(lengths) - lengths
                 out["n_tokens"].append(lengths)
                 out["n_known"].append(np.add.reduceat((c > 0).astype(np.int64), first))

@@ -1,9 +1,11 @@
 """A gated recurrent language model in numpy.
 
-Inputs and outputs are word ids 0 .. n-1 by falling frequency, and n for any rarer word. The output is
-factored: a softmax over classes of equally many neighbouring ids (and one class of rarer words), then a
-softmax over the words of the class. Documents lie on lanes; a lane's state passes from window to
-window and starts at zero with each document, so a document is scored whole, whatever its length.
+Inputs and outputs are word ids 0 .. n-1 by falling frequency, and from n on ids of classes of rarer words.
+The output is factored: a softmax over classes of neighbouring ids (and the classes of rarer words), then a
+softmax over the words of the class. Classes share the sum of the roots of the counts evenly, so frequent
+words lie in small classes and a token costs little in a large vocabulary. Documents lie on lanes; a lane's
+state passes from window to window and starts at zero with each document, so a document is scored whole,
+whatever its length.
 """
 
 from __future__ import annotations
@@ -82,24 +84,30 @@ def lanes(lengths: np.ndarray, most: int) -> Lanes:
 class Network:
     """Weights by name: inputs X, recurrence U and u, classes C and c, words W and w."""
 
-    def __init__(self, words: int, classes: int, hidden: int = 24, weights: dict | None = None, seed: int = 5):
-        self.words, self.classes, self.hidden = words, max(1, min(classes, words)), hidden
-        self.size = max(1, -(-words // self.classes))  # words of a class
+    def __init__(self, words: int, classes: int, hidden: int = 24, weights: dict | None = None, seed: int = 5, rare: int = 1,
+                 edges: np.ndarray | None = None):
+        self.words, self.classes, self.hidden, self.rare = words, max(1, min(classes, words)), hidden, rare
+        self.edges = self._edges(np.ones(words)) if edges is None else edges
         rng = np.random.default_rng(seed)
         normal = lambda *shape, scale=0.1: rng.normal(0, scale, shape).astype(F32)
         self.p = weights or {
-            "X": normal(words + 1, 3 * hidden), "U": normal(hidden, 3 * hidden, scale=hidden**-0.5), "u": np.zeros(hidden, F32),
-            "C": normal(hidden, self.classes + 1), "c": np.zeros(self.classes + 1, F32),
-            "W": normal(self.classes, hidden, self.size), "w": np.zeros((self.classes, self.size), F32),
+            "X": normal(words + rare, 3 * hidden), "U": normal(hidden, 3 * hidden, scale=hidden**-0.5), "u": np.zeros(hidden, F32),
+            "C": normal(hidden, self.classes + rare), "c": np.zeros(self.classes + rare, F32),
+            "W": normal(words, hidden), "w": np.zeros(words, F32),
         }
 
-    def with_frequencies(self, counts: np.ndarray, rare: float) -> Network:
-        """Output biases that give each word its share of the corpus."""
-        padded = np.zeros(self.classes * self.size)
-        padded[: self.words] = counts
-        by_class = padded.reshape(self.classes, self.size)
-        self.p["w"] = np.log(by_class + 1e-3).astype(F32)
-        share = np.append(by_class.sum(1), rare) + 1.0
+    def _edges(self, counts: np.ndarray) -> np.ndarray:
+        """Where each class begins, and the end: even sums of the roots of the counts, no class empty."""
+        upto, k = np.cumsum(np.sqrt(np.asarray(counts, np.float64) + 1e-3)), np.arange(self.classes)
+        begin = np.searchsorted(upto, upto[-1] * k / self.classes * (1 - 1e-9))
+        begin = np.minimum(np.maximum.accumulate(begin - k) + k, self.words - self.classes + k)
+        return np.append(begin, self.words)
+
+    def with_frequencies(self, counts: np.ndarray, rare: np.ndarray) -> Network:
+        """Classes by frequency, and output biases that give each word and each class of rarer words its share."""
+        self.edges = self._edges(counts)
+        self.p["w"] = np.log(counts + 1e-3).astype(F32)
+        share = np.append(np.add.reduceat(counts, self.edges[:-1]), rare) + 1.0
         self.p["c"] = np.log(share / share.sum()).astype(F32)
         return self
 
@@ -112,7 +120,7 @@ class Network:
             n = self.p[k].size
             out[k] = flat[at : at + n].reshape(self.p[k].shape).astype(F32)
             at += n
-        return Network(self.words, self.classes, self.hidden, out)
+        return Network(self.words, self.classes, self.hidden, out, rare=self.rare, edges=self.edges)
 
     def _step(self, h: np.ndarray, ids: np.ndarray) -> tuple:
         m = self.hidden
@@ -127,13 +135,16 @@ class Network:
         n -= F32(1)
         return n + z * (h - n), z, r, n, back
 
+    def _class_of(self) -> np.ndarray:
+        return np.append(np.repeat(np.arange(self.classes), np.diff(self.edges)), self.classes + np.arange(self.rare))
+
     def _outputs(self, h: np.ndarray, ids: np.ndarray, gradients: dict | None = None, weight: float = 1.0):
         """Log probabilities of ids after states h; with `gradients`, also those of the states.
 
         Logits lie as choices x tokens, so sums over choices run along contiguous rows.
         """
         p, ht = self.p, np.ascontiguousarray(h.T)
-        kind = np.where(ids < self.words, ids // self.size, self.classes)
+        kind = self._class_of()[ids]
         out, dt = np.empty(len(ids)), None
         if gradients is not None:
             gradients["W"], gradients["w"] = np.zeros_like(p["W"]), np.zeros_like(p["w"])
@@ -141,20 +152,19 @@ class Network:
         if gradients is not None:
             gradients["C"], gradients["c"] = (d @ h).T, d.sum(1)
             dt = p["C"] @ d
-        order = np.argsort(kind.astype(np.int16), kind="stable")
+        order = np.argsort(kind.astype(np.uint16) if self.classes + self.rare < 1 << 16 else kind, kind="stable")
         edges = np.searchsorted(kind[order], np.arange(self.classes + 1))
         for k in range(self.classes):
             take = order[edges[k] : edges[k + 1]]
             if not len(take):
                 continue
-            own = min(self.size, self.words - k * self.size)
+            own = slice(self.edges[k], self.edges[k + 1])
             hk = h[take]
-            logs, d = _choose(p["W"][k][:, :own].T @ hk.T + p["w"][k, :own, None], ids[take] - k * self.size,
-                              gradients is not None, weight)
+            logs, d = _choose(p["W"][own] @ hk.T + p["w"][own, None], ids[take] - own.start, gradients is not None, weight)
             out[take] += logs
             if gradients is not None:
-                gradients["W"][k][:, :own], gradients["w"][k, :own] = (d @ hk).T, d.sum(1)
-                dt[:, take] += p["W"][k][:, :own] @ d
+                gradients["W"][own], gradients["w"][own] = d @ hk, d.sum(1)
+                dt[:, take] += p["W"][own].T @ d
         return out, None if dt is None else dt.T
 
     def score(self, ids: np.ndarray, lengths: np.ndarray, most: int = 1024) -> np.ndarray:
@@ -228,8 +238,9 @@ class Network:
             after *= ~start[t][:, None]
         g["U"] = flat.T @ dg.reshape(-1, 3 * m)
         g["u"] = dg[:, :, 2 * m :].sum((0, 1))
-        order = np.argsort(tokens.ravel(), kind="stable")
-        by = tokens.ravel()[order]
+        by = tokens.ravel().astype(np.uint16) if self.words + self.rare <= 1 << 16 else tokens.ravel()  # short keys sort faster
+        order = np.argsort(by, kind="stable")
+        by = by[order]
         first = np.flatnonzero(np.concatenate([[True], by[1:] != by[:-1]]))
         sums = np.add.reduceat(dx.reshape(-1, 3 * m)[order], first, axis=0)
         adam.update(self.p, g, by[first], sums)
