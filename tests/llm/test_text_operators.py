@@ -210,6 +210,21 @@ def test_classifier_on_strange_rows(spark, strange, nothing):
     assert quality_classifier.score(nothing, none).count() == 0 and none.share == 0.5
 
 
+def test_long_texts_are_fitted(spark):
+    """One class are texts of more than 512 passages: they are drawn from, not left out."""
+    words_of = {1: "alpha beta gamma delta", 0: "##1 22## 3#3 !!4"}
+    rows = [(i, f"{words_of[i % 2]} " * (7000 if i % 2 else 20)) for i in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = quality_classifier.fit(docs, spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id long, quality int"))
+    assert model.share is None
+    scores = {r["doc_id"]: r["score"] for r in quality_classifier.score(docs, model).collect()}
+    assert min(scores[i] for i in scores if i % 2) > max(scores[i] for i in scores if not i % 2)
+    places = quality_classifier.drawn(5000, "7")
+    assert len(set(places.tolist())) == quality_classifier.MOST_PASSAGES and (np.diff(places) > 0).all()
+    assert places[0] < 200 and places[-1] > 4800 and places.tolist() != quality_classifier.drawn(5000, "8").tolist()
+    assert quality_classifier.drawn(512, "7").tolist() == list(range(512))
+
+
 def test_sample_is_bounded(spark):
     docs = spark.range(500).select(F.col("id").alias("doc_id"), F.lit("t").alias("text"))
     labels = docs.select("doc_id", F.lit(1).alias("quality"))

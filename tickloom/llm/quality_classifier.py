@@ -7,8 +7,9 @@ logistic of the weighted sum. Only labels of whole texts are needed; the attenti
 passages decide.
 
 Scoring is a narrow map over all whole texts, with a model of some 30 KB. Fitting takes at most
-`most` labelled texts (smallest hash of the id first) with at most `MOST_PASSAGES` passages each;
-these two bounds are the only ones, and they concern fitting alone.
+`most` labelled texts (smallest hash of the id first); a longer text is a bag of `MOST_PASSAGES` of its
+passages, drawn by hash over the whole text. These two bounds are the only ones, and they concern
+fitting alone.
 
 Defined cases: a null or empty text is one empty passage and gets a score; a label that is null is
 ignored and repeated labels of one id count as the largest; without labels of both kinds the score
@@ -18,6 +19,7 @@ result give way.
 
 from __future__ import annotations
 
+import zlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -25,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.arrays import SEPARATOR, append_columns, hashed_words, repeated, slices, texts
+from tickloom.llm.arrays import SEPARATOR, append_columns, hashed_words, mix, repeated, slices, texts
 
 PASSAGE_WORDS = 48
 TRIGRAMS = 96
@@ -173,6 +175,14 @@ def sample(docs: DataFrame, labels: DataFrame, id_col: str, text: str, label: st
     return docs.select(F.col(id_col), F.col(text)).join(F.broadcast(known), id_col)  # at most `most` rows of ids
 
 
+def drawn(passages: int, id_: str) -> np.ndarray:
+    """Which of a text's passages are fitted: all, or `MOST_PASSAGES` drawn over the whole text by hash."""
+    if passages <= MOST_PASSAGES:
+        return np.arange(passages)
+    order = mix(np.arange(passages, dtype=np.uint64) + (np.uint64(zlib.crc32(id_.encode())) << np.uint64(32)))
+    return np.sort(np.argsort(order)[:MOST_PASSAGES])
+
+
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text", label: str = "quality",
         most: int = MOST_TEXTS) -> Model:
     """A model of the labelled texts. Passages are encoded where the texts lie; the driver gets encodings."""
@@ -182,11 +192,10 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str =
             data, offsets = texts(batch.column(1))
             for i, j in slices(offsets):
                 x, first = encode(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
-                few = [r for r in range(j - i) if first[r + 1] - first[r] <= MOST_PASSAGES]
+                ids = [str(batch.column(0)[r]) for r in range(i, j)]
                 yield pa.RecordBatch.from_arrays([
-                    pa.array([str(batch.column(0)[i + r]) for r in few], pa.string()),
-                    pa.array([batch.column(2)[i + r].as_py() for r in few], pa.int32()),
-                    pa.array([x[first[r] : first[r + 1]].astype(np.float16).tobytes() for r in few], pa.binary()),
+                    pa.array(ids, pa.string()), batch.column(2).slice(i, j - i).cast(pa.int32()),
+                    pa.array([x[first[r] + drawn(int(first[r + 1] - first[r]), ids[r])].astype(np.float16).tobytes() for r in range(j - i)], pa.binary()),
                 ], names=["id", "label", "bag"])
 
     rows = sample(docs, labels, id_col, text, label, most).select(F.col(id_col), F.col(text), F.col("_label").cast("int"))
