@@ -431,3 +431,33 @@ def test_pipeline_on_strange_rows(spark, sf_dir, strange, nothing):
             assert name == "packing" or out.columns == columns
             docs = corpus_pipeline.materialize(out, name)
         assert (docs.count() > 0) == bool(n)
+
+
+def test_dedup_stages_judge_rows(spark, sf_dir):
+    """Null and repeated ids: a row stays or goes by its own text, and one row of each group stays."""
+    text = lambda k: " ".join(f"{k}w{n}" for n in range(60))
+    a, b, u, v, s = (text(k) for k in "abuvs")
+    rows = [(1, a), (1, b), (5, a), (None, u), (None, v), (None, v), (6, s), (6, s.upper()), (6, s), (7, "x"), (None, "X"), (None, None), (9, "")]
+    docs = spark.createDataFrame([(i, t, "xx", "s", 0) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars int")
+    pairs = lambda t: sorted(((r["doc_id"], lower(r["text"])) for r in t.collect()), key=str)
+    once = corpus_pipeline.materialize(corpus_pipeline.drop_copies(spark, docs, sf_dir), "copies")
+    assert once.columns == docs.columns
+    assert pairs(once) == sorted([(1, b), (5, a), (None, u), (None, v), (6, s), (7, "x"), (9, "")], key=str)
+
+    near = f"{b} more"
+    more = [(1, b), (1, near), (2, a), (None, f"{a} more"), (None, u), (None, f"{u} more"), (3, s), (3, v)]
+    docs = spark.createDataFrame([(i, t, "xx", "s", 0) for i, t in more], docs.schema)
+    left = pairs(corpus_pipeline.drop_near_copies(spark, docs, sf_dir))
+    assert [r for r in left if r[1].startswith("b")] in ([(1, b)], [(1, near)])
+    assert [r for r in left if r[1].startswith("u")] in ([(None, u)], [(None, f"{u} more")])
+    assert sorted((r for r in left if r[1][0] in "asv"), key=str) == sorted([(2, a), (3, s), (3, v)], key=str) and len(left) == 5
+
+
+def test_pipeline_keeps_one_of_strange_rows(spark, sf_dir, strange):
+    """Null and repeated ids go through the dedup stages."""
+    docs = strange
+    for stage in (corpus_pipeline.drop_copies, corpus_pipeline.drop_near_copies):
+        docs = corpus_pipeline.materialize(stage(spark, docs, sf_dir), "strange")
+        assert docs.columns == strange.columns
+    left = Counter(lower(r["text"]) for r in docs.collect())
+    assert max(left.values()) == 1 and left.keys() <= {lower(t) for _, t in STRANGE} and lower(STRANGE[7][1]) in left
