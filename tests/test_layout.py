@@ -180,3 +180,15 @@ def test_targets_before_the_first_tick(spark, tape):
                                    "id long, symbol string, target_ms long")
     got = {r["id"]: r["found_price"] for r in asof.asof_forward(probes, ticks).collect()}
     assert got == {1: 10.0, 2: 10.0, 3: 11.0, 4: None}
+
+
+def test_asof_far_apart(spark):
+    """A tick stamped in microseconds, probes at time 0 and an empty year: a row for each slot that holds something, no more."""
+    start = 1_704_067_200_000
+    rows = [(1, "A", start, 1.0), (2, "A", start + 366 * 86_400_000, 2.0), (3, "A", start * 1000, 3.0), (-7, "B", start, 4.0)]
+    ticks = spark.createDataFrame([(i, s, t, p) for i, s, t, p in rows], "id long, symbol string, event_time_ms long, price double")
+    asked = [("A", 0, 1.0), ("A", start + 1, 2.0), ("A", start + 400 * 86_400_000, 3.0), ("A", start * 1000 + 1, None), ("B", start, 4.0),
+             ("B", start + 1, None), ("C", start, None)]
+    probes = spark.createDataFrame([(k, s, t) for k, (s, t, _) in enumerate(asked)], "k long, symbol string, target_ms long")
+    got = {r["k"]: r["found_price"] for r in asof.asof_forward(probes, ticks).collect()}
+    assert got == {k: p for k, (_, _, p) in enumerate(asked)}

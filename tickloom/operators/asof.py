@@ -13,28 +13,10 @@ from tickloom.operators.layout import (
     crowded_after,
     crowded_slots,
     order_key,
-    slot_start,
     with_slots,
 )
 
 
-def _gap_slots(prev_slot, prev_width, slot_ms: int):
-    """Slots from the previous head's slot up to, not including, this head's slot."""
-
-    def steps(first, last, width):
-        return F.when(first <= last, F.sequence(first, last, width)).otherwise(F.array().cast("array<bigint>"))
-
-    wide = F.lit(slot_ms).cast("bigint")
-    prev_wide = slot_start(prev_slot, slot_ms)
-    same = steps(prev_slot, F.col("_slot") - 1, prev_width)
-    far = F.concat(
-        steps(prev_slot, prev_wide + slot_ms - 1, prev_width),
-        steps(prev_wide + slot_ms, F.col("_wide") - 1, wide),
-        steps(F.col("_wide"), F.col("_slot") - 1, F.col("_width")),
-    )
-    return F.when(prev_wide == F.col("_wide"), same).otherwise(far)
-
-
 def asof_forward(
     probes: DataFrame,
     ticks: DataFrame,
@@ -54,29 +36,24 @@ def asof_forward(
     Ticks and probes meet in the slot of their time; inside a slot one backward pass
     with a running "last tick seen" answers all probes, n log n for any density. A
     probe whose slot has no later tick gets the first tick of the next non-empty slot,
-    carried over a table of one row per symbol and slot.
+    carried over a table of one row per symbol and slot that holds ticks or probes: empty
+    time costs nothing, however far apart probes and ticks are.
     """
     key = order_key(F.col("_t"), F.col("_i"), slot_ms)
     bare = ticks.select("symbol", F.col("event_time_ms").alias("_t"), F.col("id").alias("_i"), *fetch)
     crowd = ticks if crowd is None else crowd
     hot = crowded_after(crowded_slots(crowd, "event_time_ms", slot_ms, hot_rows), offsets, slot_ms)
     points = with_slots(bare, hot, F.col("_t"), slot_ms)
-    heads = points.groupBy("symbol", "_wide", "_width", "_slot").agg(
-        *[F.min_by(c, key).alias(c) for c in fetch], F.min("_t").alias("_t")
-    )
-    found_type = bare.select(F.struct("_t", *fetch).alias("s")).schema["s"].dataType
-    before = Window.partitionBy("symbol").orderBy("_slot")
+    heads = points.groupBy("symbol", "_slot").agg(*[F.min_by(c, key).alias(c) for c in fetch], F.min("_t").alias("_t"))
     packed = probes.select("symbol", F.col(target).alias("_at"), F.struct(*probes.columns).alias("_probe"))
     placed = with_slots(packed, hot, F.col("_at"), slot_ms)
-    # probes before the symbol's first tick get that tick: its gap begins at the first probe
-    asked = placed.groupBy("symbol").agg(F.min(slot_start(F.col("_at"), slot_ms)).alias("_asked"))
-    heads = heads.join(asked, "symbol", "left")
-    start = F.least(F.coalesce("_asked", "_slot"), F.col("_slot"))
-    gap = _gap_slots(F.coalesce(F.lag("_slot").over(before), start),
-                     F.coalesce(F.lag("_width").over(before), F.lit(slot_ms).cast("bigint")), slot_ms)
-    answers = heads.select("symbol", F.struct("_t", *fetch).alias("_next"), gap.alias("_gap")).select(
-        "symbol", "_next", F.explode("_gap").alias("_slot")
-    )
+    # slots that hold ticks or probes, backwards in time; a slot's probes come before its head, so they see later heads only
+    found_type = bare.select(F.struct("_t", *fetch).alias("s")).schema["s"].dataType
+    asked = placed.select("symbol", "_slot").distinct().withColumn("_head", F.lit(None).cast(found_type))
+    later = Window.partitionBy("symbol").orderBy(F.col("_slot").desc(), F.col("_head").isNotNull()).rowsBetween(*UNTIL_NOW)
+    slots = asked.unionByName(heads.select("symbol", "_slot", F.struct("_t", *fetch).alias("_head")))
+    answers = slots.withColumn("_next", F.last("_head", ignorenulls=True).over(later)).filter(
+        F.col("_head").isNull() & F.col("_next").isNotNull())
     carried = answers.select(
         "symbol", "_slot", F.col("_next._t").alias("_at"), F.lit(0).cast("bigint").alias("_i"),
         F.col("_next").alias("_tick"), F.lit(None).cast(probes.schema).alias("_probe"),
@@ -86,12 +63,12 @@ def asof_forward(
         F.struct("_t", *fetch).alias("_tick"), F.lit(None).cast(probes.schema).alias("_probe"),
     )
     probe_rows = placed.select(
-        "symbol", "_slot", "_at", F.lit(-1).cast("bigint").alias("_i"),
+        "symbol", "_slot", "_at", F.lit(None).cast("bigint").alias("_i"),
         F.lit(None).cast(found_type).alias("_tick"), "_probe",
     )
     backward = (
         Window.partitionBy("symbol", "_slot")
-        .orderBy(F.col("_at").desc(), F.col("_i").desc())
+        .orderBy(F.col("_at").desc(), F.col("_probe").isNotNull(), F.col("_i").desc())
         .rowsBetween(*UNTIL_NOW)
     )
     met = tick_rows.unionByName(carried).unionByName(probe_rows)
