@@ -8,7 +8,8 @@ Each label has a degree of permission between 0 and 1. OR takes the larger, AND
 exception (WITH) lifts its licence half-way to 1. A document's score is the smallest degree of its
 notices and expressions, since all of them apply; a document that states nothing scores 0.
 
-A narrow map over whole texts: no exchange, and memory follows the longest text.
+A narrow map over whole texts: no exchange; time and memory follow a text's length, whatever it holds. A tag inside the
+expression of another is a name in it.
 
 Defined cases: null and empty texts have no words and no labels; a malformed expression keeps the
 labels read so far and counts its last complete part; repeated rows are scanned one by one; an empty
@@ -18,6 +19,7 @@ table gives an empty result; input columns named like a result give way.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from dataclasses import dataclass
 from functools import cache
 
@@ -78,8 +80,9 @@ TAG = "spdx license identifier"
 
 #: A-Z to a-z; every other ASCII byte that is no letter or digit becomes a space.
 _WORDS = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
-_RAW_WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
-_TOKEN = re.compile(r"\s*([()]|[A-Za-z0-9][A-Za-z0-9.+\-]*)")
+_IN_WORD = np.array([c >= 128 or chr(c).isalnum() for c in range(256)])
+_TOKEN = re.compile(rb"\s*([()]|[A-Za-z0-9][A-Za-z0-9.+\-]*)")
+_BEFORE = re.compile(rb"[ \t:]*")
 
 
 def label_of(identifier: str) -> str:
@@ -96,24 +99,33 @@ class Expression:
 
 
 def parse(text: str) -> Expression:
-    """Reads the expression at the start of `text`, as far as it goes.
+    """Reads the expression at the start of `text`, as far as it goes."""
+    return parse_at(text.encode())[0]
+
+
+def parse_at(raw: bytes, at: int = 0, end: int | None = None) -> tuple[Expression, int]:
+    """The expression that starts at `at` and ends before `end`, and where it ends.
 
     Shunting-yard: identifiers go to the output, operators wait on a stack until one that binds less
     tightly, or a closing bracket, comes. The expression ends at a token that cannot follow.
     """
     out: list[str] = []
     waiting: list[str] = []
-    at, operand = 0, True  # operand: an identifier or an opening bracket comes next
-    while m := _TOKEN.match(text, at):
-        token, low = m[1], m[1].lower()
+    operand, opened = True, 0  # operand: an identifier or an opening bracket comes next
+    end = len(raw) if end is None else end
+    while m := _TOKEN.match(raw, at, end):
+        token = m[1].decode()
+        low = token.lower()
         if operand and token == "(":
             waiting.append("(")
+            opened += 1
         elif operand and token != ")" and low not in BINDS:
             out.append(token.rstrip("."))
             operand = False
-        elif not operand and token == ")" and "(" in waiting:
+        elif not operand and token == ")" and opened:
             while (top := waiting.pop()) != "(":
                 out.append(top)
+            opened -= 1
         elif not operand and low in BINDS:
             while waiting and waiting[-1] != "(" and BINDS[waiting[-1]] >= BINDS[low]:
                 out.append(waiting.pop())
@@ -125,26 +137,26 @@ def parse(text: str) -> Expression:
     if operand and waiting and waiting[-1] != "(":
         waiting.pop()  # an operator without its right side
     out.extend(x for x in reversed(waiting) if x != "(")
-    return Expression(out, *_evaluate(out))
+    return Expression(out, *_evaluate(out)), at
 
 
 def _evaluate(postfix: list[str]) -> tuple[list[str], float | None]:
-    stack: list[tuple[str | None, float]] = []
-    labels: list[str] = []
+    stack: list[tuple[int | None, float]] = []
+    labels: list[str | None] = []
     for token in postfix:
         if token not in BINDS:
             label = label_of(token)
+            stack.append((len(labels), PERMISSION.get(label, UNKNOWN)))
             labels.append(label)
-            stack.append((label, PERMISSION.get(label, UNKNOWN)))
             continue
         (exception, right), (_, left) = stack.pop(), stack.pop()
         if token == "with":
-            if exception in labels:
-                labels.remove(exception)  # names an exception, not a licence
+            if exception is not None:
+                labels[exception] = None  # names an exception, not a licence
             stack.append((None, (left + 1) / 2))
         else:
             stack.append((None, max(left, right) if token == "or" else min(left, right)))
-    return labels, stack[-1][1] if stack else None
+    return [x for x in labels if x is not None], stack[-1][1] if stack else None
 
 
 @cache
@@ -156,30 +168,54 @@ def _automaton() -> ahocorasick.Automaton:
     return found
 
 
+class _Places:
+    """Where words and lines of a text end. Worked out once a text, and only if a tag is found."""
+
+    def __init__(self, raw: bytes):
+        data = np.frombuffer(raw, np.uint8)
+        word = _IN_WORD[data]
+        self.size, self.lines = len(raw), np.flatnonzero(data == 10)
+        self.words = np.flatnonzero(word & ~np.append(word[1:], False)) + 1
+
+    def after(self, word: int) -> tuple[int, int]:
+        """The end of a word, and that of its line."""
+        at = int(self.words[word])
+        line = int(np.searchsorted(self.lines, at))
+        return at, int(self.lines[line]) if line < len(self.lines) else self.size
+
+
 def scan(raw: bytes) -> dict:
-    """The notices and expressions of one text (UTF-8)."""
+    """The notices and expressions of one text (UTF-8), in time linear in its length, however many there are."""
     words = raw.translate(_WORDS).split()
     line = b" %s " % b" ".join(words)
+    found = list(_automaton().iter(line.decode("latin-1")))
+    spaces = np.flatnonzero(np.frombuffer(line, np.uint8) == 32) if found else []
     base, labels, degrees, starts, expressions = [], set(), [], [], []
-    for end, phrase in _automaton().iter(line.decode("latin-1")):
-        at = line.count(b" ", 0, end - len(phrase) - 1)  # spaces before the one that leads the match
+    places, read = None, 0
+    for end, phrase in found:
+        at = int(np.searchsorted(spaces, end - len(phrase) - 1))  # words before the match
         if phrase in BASE_PHRASES:
             base.append(BASE_PHRASES[phrase])
             starts.append(at)
         if phrase == TAG:
-            spans = [m.end() for _, m in zip(range(at + 3), _RAW_WORD.finditer(raw.lower()))]
-            rest = raw[spans[-1]:].split(b"\n", 1)[0].decode("utf-8", "replace").lstrip(" \t:")
-            found = parse(rest)
-            if found.postfix:
-                expressions.append(" ".join(found.postfix))
-                labels.update(found.labels)
-                degrees.append(found.permission)
+            places = places or _Places(raw)
+            begin, stop = places.after(at + 2)
+            if begin < read:
+                continue  # a name in the expression before
+            said, read = parse_at(raw, _BEFORE.match(raw, begin, stop).end(), stop)
+            if said.postfix:
+                expressions.append(" ".join(said.postfix))
+                labels.update(said.labels)
+                degrees.append(said.permission)
         else:
             label = BASE_PHRASES.get(phrase) or NOTICES[phrase]
             labels.add(label)
             degrees.append(PERMISSION.get(label, UNKNOWN))
-    # "gpl" beside "gpl-3" is the same notice, read in part
-    labels -= {x for x in labels if any(y.startswith(x + "-") for y in labels) and x not in base}
+    # "gpl" beside "gpl-3" is the same notice, read in part: what extends a label stands next to where `label-` would
+    ordered = sorted(labels)
+    longer = lambda x: (k := bisect_left(ordered, x + "-")) < len(ordered) and ordered[k].startswith(x + "-")
+    kept = set(base)
+    labels = {x for x in labels if x in kept or not longer(x)}
     return {
         "n_words": len(words), "n_base": len(base),
         "first_word": min(starts, default=None), "last_word": max(starts, default=None),
