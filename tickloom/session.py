@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import io
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -64,6 +67,32 @@ def drop_scratch(spark: SparkSession) -> None:
         where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give this package to the session's Python workers, once a session, as an archive in the shared folder.
+
+    So functions that run on workers can import it wherever the driver found it.
+    """
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    _SHIPPED.add(sc.applicationId)
+    packed = io.BytesIO()
+    home = Path(__file__).resolve().parent
+    with zipfile.ZipFile(packed, "w") as archive:
+        for file in sorted(home.rglob("*.py")):
+            archive.write(file, file.relative_to(home.parent).as_posix())
+    name = fresh_path(spark, "package") + ".zip"
+    scratch(spark).append(name)
+    where = spark._jvm.org.apache.hadoop.fs.Path(name)
+    out = where.getFileSystem(spark._jsc.hadoopConfiguration()).create(where)
+    out.write(bytearray(packed.getvalue()))
+    out.close()
+    sc.addPyFile(where.toString())
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write `df` to the shared folder and read it back.
 
