@@ -26,6 +26,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tickloom.session import materialize
+
 SLOT_MS = 60_000          # slots for carries and row numbers
 FRAME_CHUNK_MS = 300_000  # chunks for windows with a time halo
 RANK_CHUNK = 8_192        # rows per rank chunk
@@ -190,6 +192,16 @@ def with_rank(
     return joined.withColumns(ranks).select(*df.columns, "_n", *ranks)
 
 
+def in_ranges(df: DataFrame, order: Sequence[str], name: str, parts: int | None = None) -> DataFrame:
+    """Add `_part`: ranges of `order`, of about equal numbers of rows, that follow the data (0 holds the smallest).
+
+    Spark draws the cuts from a sample of the rows. They are written with the rows, so every reader sees the same ones. Rows that
+    are equal in `order` share a range.
+    """
+    parts = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return materialize(df.repartitionByRange(parts, *order).withColumn("_part", F.spark_partition_id()), name)
+
+
 def chunk_of_rank(rn: Column, size: int) -> Column:
     zero_based = rn - F.lit(1)
     return ((zero_based - F.pmod(zero_based, F.lit(size).cast("bigint"))) / F.lit(size)).cast("bigint")

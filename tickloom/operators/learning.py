@@ -15,9 +15,10 @@ from pyspark.sql import functions as F
 from tickloom import config
 from tickloom.functions.ranks import exact_ranks
 from tickloom.functions.scalars import rnd
+from tickloom.operators import newton
 from tickloom.operators.features import orderflow_features, tick_features
 from tickloom.operators.labels import path_label
-from tickloom.operators.layout import newest_per_symbol, slot_start, with_rank
+from tickloom.operators.layout import in_ranges, newest_per_symbol, slot_start, with_rank
 
 CONTINUATIONS = ("CONTINUATION_UP", "CONTINUATION_DOWN")
 EMBARGO_MS = 60_000
@@ -95,17 +96,21 @@ def purged_split(rows: DataFrame, fraction: float = 0.7, embargo_ms: int = EMBAR
 def walk_forward_split(rows: DataFrame, fraction: float = 0.7) -> DataFrame:
     """Adds `part`: the first floor(fraction * n) rows in (time, id, symbol) order are train, the rest test.
 
-    The first test row is read as one scalar: only rows of its time are put in order.
+    Rows are dealt to ranges of that order. Only the range that the split falls into is numbered row by row, and ranges are even
+    whatever the times are, also if all rows have one time.
     """
-    cut = rows.agg(F.floor(F.count(F.lit(1)) * F.lit(fraction)).cast("bigint").alias("k")).scalar()
-    at = split_time(rows, fraction)
-    below = rows.filter(F.col("event_time_ms") < at).agg(F.count(F.lit(1)).alias("b")).scalar()
-    tied = rows.filter(F.col("event_time_ms") == at).select("id", "symbol")
-    place = F.row_number().over(Window.orderBy("id", "symbol"))
-    first = tied.withColumn("_place", place).filter(F.col("_place") == cut - below + 1).agg(F.min(F.struct("id", "symbol")).alias("f")).scalar()
-    early = (F.col("event_time_ms") < at) | (
-        (F.col("event_time_ms") == at) & F.coalesce(F.struct("id", "symbol") < first, F.lit(True)))
-    return rows.withColumn("part", F.when(early, F.lit("train")).otherwise(F.lit("test")))
+    order = ["event_time_ms", "id", "symbol"]
+    ranged = in_ranges(rows, order, "walk-forward")
+    sizes = ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("_size"))
+    before = F.sum("_size").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))  # a row for each range
+    cut = F.floor(F.sum("_size").over(Window.partitionBy(F.lit(0))) * F.lit(fraction)).cast("bigint")
+    left = sizes.select("_part", (cut - F.coalesce(before, F.lit(0))).alias("_left"), "_size")
+    split = left.filter((F.col("_left") > 0) & (F.col("_left") < F.col("_size")))
+    place = F.row_number().over(Window.partitionBy("_part").orderBy(*order))
+    whole = ranged.join(left.filter((F.col("_left") <= 0) | (F.col("_left") >= F.col("_size"))), "_part").withColumn(
+        "part", F.when(F.col("_left") > 0, F.lit("train")).otherwise(F.lit("test")))
+    inside = ranged.join(split, "_part").withColumn("part", F.when(place <= F.col("_left"), F.lit("train")).otherwise(F.lit("test")))
+    return whole.unionByName(inside).select(*rows.columns, "part")
 
 
 def standardize(rows: DataFrame, features: Sequence[str], fit_on: DataFrame) -> DataFrame:
@@ -244,28 +249,30 @@ def isotonic_scores(train: DataFrame, test: DataFrame, features: Sequence[str],
     return out.withColumn("calibrated", mean).drop(*names)
 
 
-SCORE_PARTS = 4_096
-
+def auc_brier(scored: DataFrame, score: str = "score", by: Sequence[str] = ()) -> DataFrame:
+    """Area under the ROC curve by ranks (ties count half) and the Brier score, both on the scores as they are, for each
+    value of the columns `by`.
 
-def auc_brier(scored: DataFrame, score: str = "score") -> DataFrame:
-    """Area under the ROC curve by ranks (ties count half) and the Brier score, both on the scores as they are.
-
-    Two phases: rows without label 1 below each of SCORE_PARTS ranges of scores, then the
-    ranks inside a range, each of which is a task's work.
+    Equal scores collapse to one row. Distinct scores are dealt to ranges that follow the data (`layout.in_ranges`), so
+    scores that lie close together are cut as well as any others; the rows without label 1 below a range and those below inside it
+    give each score its rank.
     """
-    part = F.floor(F.col("_s") * SCORE_PARTS).cast("bigint")
-    by_score = scored.withColumn("_s", F.col(score).cast("double") + F.lit(0.0)).groupBy(part.alias("_part"), "_s").agg(
+    keys = list(by)
+    by_score = scored.withColumn("_s", F.col(score).cast("double") + F.lit(0.0)).groupBy(*keys, "_s").agg(
         F.sum("label").alias("_pos"), F.sum(F.lit(1) - F.col("label")).alias("_neg"),
         F.sum((F.col("_s") - F.col("label")) * (F.col("_s") - F.col("label"))).alias("_sq"),
     )
+    ranged = in_ranges(by_score, [*keys, "_s"], "scores")
     earlier = (Window.unboundedPreceding, -1)
-    parts = by_score.groupBy("_part").agg(F.sum("_neg").alias("_n"))
-    parts = parts.select("_part", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(*earlier)), F.lit(0)).alias("_base"))
-    inside = F.coalesce(F.sum("_neg").over(Window.partitionBy("_part").orderBy("_s").rowsBetween(*earlier)), F.lit(0))
+    parts = ranged.groupBy(*keys, "_part").agg(F.sum("_neg").alias("_n"))
+    before = F.coalesce(F.sum("_n").over(Window.partitionBy(*keys).orderBy("_part").rowsBetween(*earlier)), F.lit(0))
+    parts = parts.select(*keys, "_part", before.alias("_base"))
+    inside = F.coalesce(F.sum("_neg").over(Window.partitionBy(*keys, "_part").orderBy("_s").rowsBetween(*earlier)), F.lit(0))
     below = F.col("_base") + F.col("_inside")
-    pairs = by_score.withColumn("_inside", inside).join(parts, "_part").withColumn("_wins", F.col("_pos") * (below + F.col("_neg") * 0.5))
+    pairs = ranged.withColumn("_inside", inside).join(parts, [*keys, "_part"]).withColumn(
+        "_wins", F.col("_pos") * (below + F.col("_neg") * 0.5))
     n, pos, neg = F.sum(F.col("_pos") + F.col("_neg")), F.sum("_pos"), F.sum("_neg")
-    return pairs.agg(
+    return pairs.groupBy(*keys).agg(
         n.alias("n"), pos.alias("positives"),
         rnd(F.try_divide(F.sum("_wins"), pos * neg), 6).alias("auc"),
         rnd(F.try_divide(F.sum("_sq"), n), 6).alias("brier"),
@@ -325,30 +332,38 @@ def threshold_hit_rate(scored: DataFrame, score: str = "score", thresholds: Sequ
     )
 
 
+def linear_scores(rows: DataFrame, fits: Sequence[newton.Fit], names: Sequence[str]) -> DataFrame:
+    """`rows` with a probability for each fit."""
+    def score(fit: newton.Fit) -> Column:
+        logit = sum((F.col(f) * F.lit(w) for f, w in fit.named().items()), F.lit(fit.intercept))
+        return F.lit(1.0) / (F.lit(1.0) + F.exp(-logit))
+
+    return rows.withColumns({n: score(fit) for n, fit in zip(names, fits)})
+
+
 def feature_ablation(
     split: DataFrame, features: Sequence[str] = tuple(config.BASE_FEATURES), c: float = 0.1, leak_drop: float = -0.05
 ) -> DataFrame:
     """AUC and Brier of the full model and of each model without one input, and how close each fit is to its optimum.
 
-    `split` has scaled inputs, label and part. The loop runs over models, the
-    fits and scores run on Spark; the report has one row per model.
+    `split` has scaled inputs, label and part. All models are fitted together, each Newton step by one pass over the training
+    rows, and the test rows are scored by all models at once. The penalty is L1 and includes the intercept.
     """
     train, test = split.filter(F.col("part") == "train"), split.filter(F.col("part") == "test")
-    report = []
-    for dropped in (None, *features):
-        used = [f for f in features if f != dropped]
-        model = fit_logistic(train, used, c, penalty="l1", balanced=False)
-        row = auc_brier(predict(model, test, used)).first()
-        gap = optimality_gap(model, train, used, c, "l1", balanced=False)
-        report.append(("FULL" if dropped is None else dropped, row["n"], row["positives"], row["auc"], row["brier"], gap))
-    base = report[0][3]
-    rows = [
-        (name, n, positives, auc, brier, None if name == "FULL" else round(auc - base, 6), name != "FULL" and auc - base < leak_drop, gap)
-        for name, n, positives, auc, brier, gap in report
-    ]
-    return split.sparkSession.createDataFrame(
-        rows, "model string, n bigint, positives bigint, auc double, brier double, delta_auc double, leakage boolean, gap double"
-    )
+    dropped = [None, *features]
+    fits = newton.fit_subsets(train, features, [[f for f in features if f != x] for x in dropped], c, "l1", penalise_intercept=True)
+    names = ["FULL" if x is None else x for x in dropped]
+    scored = linear_scores(test, fits, [f"_s{m}" for m in range(len(fits))])
+    models = F.explode(F.array(*[F.struct(F.lit(n).alias("model"), F.col(f"_s{m}").alias("score")) for m, n in enumerate(names)]))
+    report = auc_brier(scored.select("label", models.alias("_m")).select("label", "_m.model", "_m.score"), by=["model"])
+    gaps = F.create_map(*[x for n, fit in zip(names, fits) for x in (F.lit(n), F.lit(fit.gap))])
+    empty = test.sparkSession.createDataFrame([(n,) for n in names], "model string")  # a test part without rows has a report too
+    report = empty.join(report, "model", "left").withColumns({x: F.coalesce(x, F.lit(0).cast("bigint")) for x in ("n", "positives")})
+    full = report.filter("model = 'FULL'").select(F.col("auc").alias("_full"))
+    delta = F.when(F.col("model") != "FULL", rnd(F.col("auc") - F.col("_full"), 6))
+    return report.join(F.broadcast(full)).select(  # one row
+        "model", "n", "positives", "auc", "brier", delta.alias("delta_auc"),
+        F.coalesce(delta < leak_drop, F.lit(False)).alias("leakage"), F.element_at(gaps, F.col("model")).alias("gap"))
 
 
 def score_signals(

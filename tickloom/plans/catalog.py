@@ -843,46 +843,76 @@ def parts(split: DataFrame) -> tuple[DataFrame, DataFrame]:
     return split.filter(F.col("part") == "train"), split.filter(F.col("part") == "test")
 
 
-# Fitted weights have no SQL form; what SQL can check of a fit is what it was fitted on, and that the weights
-# are the optimum of their loss (every slope vanishes, see `optimality_gap`).
-CLOSE = 1e-3
+# Fitted weights have no SQL form: queries that return them, or scores that follow from them, have no twin and are compared with
+# numpy in the tests. What SQL can say of them, the rows that they rest on, is in queries of its own.
+MODEL = "id long, symbol string, event_time_ms long, label int"
 
 
-@on_store("logreg_fit", f"""SELECT part, count(*) AS n, sum(label) AS positives, {len(FLOW)} AS inputs, true AS optimal, true AS ranked FROM split_rows GROUP BY part""")
+@on_store("model_splits", "SELECT part, label, count(*) AS n, min(event_time_ms) AS first_ms, max(event_time_ms) AS last_ms FROM split_rows GROUP BY part, label")
+def model_splits(store):
+    return learning.purged_split(learning.dataset(store, FLOW)).groupBy("part", "label").agg(
+        F.count(F.lit(1)).alias("n"), F.min("event_time_ms").alias("first_ms"), F.max("event_time_ms").alias("last_ms"))
+
+
+def fitted(store: DataFrame):
+    """The training rows' model, or None without rows of both labels, and the test rows."""
+    train, test = parts(scaled_split(store))
+    model = learning.fit_logistic(train, FLOW) if train.select("label").distinct().count() == 2 else None
+    return model, train, test
+
+
+@on_store("logreg_fit")
 def logreg_fit(store):
-    split = scaled_split(store)
-    train, _ = parts(split)
-    sizes_of = split.groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("positives"))
-    if train.isEmpty():  # nothing to fit
-        return sizes_of.withColumns({"inputs": F.lit(len(FLOW)), "optimal": F.lit(True), "ranked": F.lit(True)})
-    model = learning.fit_logistic(train, FLOW)
-    named = learning.coefficients(model, FLOW)
-    sizes = [abs(w) for _, w in named]
-    return sizes_of.withColumns({
-        "inputs": F.lit(len(named)),
-        "optimal": F.lit(learning.optimality_gap(model, train, FLOW) < CLOSE),
-        "ranked": F.lit(sizes == sorted(sizes, reverse=True)),
-    })
+    """Each test row with its probability."""
+    model, _, test = fitted(store)
+    if model is None:
+        return store.sparkSession.createDataFrame([], f"{MODEL}, score double")
+    return learning.predict(model, test, FLOW).select("id", "symbol", "event_time_ms", "label", "score")
 
 
-@on_store("isotonic_calibrated", """SELECT fold, count(*) AS n, sum(label) AS positives, true AS mean_kept, true AS within, true AS optimal FROM (
+@on_store("logreg_report")
+def logreg_report(store):
+    """Rows, positives, AUC and Brier score on the test rows, and how far the weights are from their optimum."""
+    model, train, test = fitted(store)
+    if model is None:
+        return store.sparkSession.createDataFrame([], "n long, positives long, auc double, brier double, gap double")
+    gap = learning.optimality_gap(model, train, FLOW)
+    return learning.auc_brier(learning.predict(model, test, FLOW)).withColumn("gap", F.lit(gap))
+
+
+@on_store("coefficient_ranking")
+def coefficient_ranking(store):
+    """Inputs by size of their coefficient."""
+    model, _, _ = fitted(store)
+    named = [] if model is None else learning.coefficients(model, FLOW)
+    return store.sparkSession.createDataFrame(
+        [(k, f, w, abs(w)) for k, (f, w) in enumerate(named, 1)], "rank int, feature string, coefficient double, size double")
+
+
+@on_store("isotonic_folds", """SELECT fold, label, count(*) AS n, min(event_time_ms) AS first_ms, max(event_time_ms) AS last_ms FROM (
   SELECT *, CAST((row_number() OVER (PARTITION BY label ORDER BY event_time_ms, id, symbol) - 1) * 5 // count(*) OVER (PARTITION BY label) AS INTEGER) AS fold
-  FROM split_rows WHERE part = 'train') GROUP BY fold""")
+  FROM split_rows WHERE part = 'train') GROUP BY fold, label""")
+def isotonic_folds(store):
+    train, _ = parts(learning.purged_split(learning.dataset(store, FLOW)))
+    return learning.stratified_folds(train).groupBy("fold", "label").agg(
+        F.count(F.lit(1)).alias("n"), F.min("event_time_ms").alias("first_ms"), F.max("event_time_ms").alias("last_ms"))
+
+
+@on_store("isotonic_calibrated")
 def isotonic_calibrated(store):
-    """Each fold's curve keeps the mean of its rows' labels, lies within 0 and 1, and rests on an optimal fit of the other folds."""
-    train, _ = parts(scaled_split(store))
-    drawn = materialize(learning.stratified_folds(train), "folds")
-    if drawn.isEmpty():  # nothing to fit
-        return store.sparkSession.createDataFrame([], "fold int, n bigint, positives bigint, mean_kept boolean, within boolean, optimal boolean")
-    out = None
-    for k, (model, curve, held) in enumerate(learning.isotonic_curves(train, FLOW)):
-        rows = curve.transform(held).groupBy("fold").agg(
-            F.count(F.lit(1)).alias("n"), F.sum("label").alias("positives"),
-            (F.abs(F.avg(f"_cal{k}") - F.avg("label")) < 1e-6).alias("mean_kept"),
-            ((F.min(f"_cal{k}") >= 0) & (F.max(f"_cal{k}") <= 1)).alias("within"),
-        ).withColumn("optimal", F.lit(learning.optimality_gap(model, drawn.filter(F.col("fold") != k).drop("fold"), FLOW) < CLOSE))
-        out = rows if out is None else out.unionByName(rows)
-    return out
+    """Each test row with the probability of one model and the mean of five calibrations."""
+    train, test = parts(scaled_split(store))
+    if train.select("label").distinct().count() < 2:
+        return store.sparkSession.createDataFrame([], f"{MODEL}, score double, calibrated double")
+    return learning.isotonic_scores(train, test, FLOW).select("id", "symbol", "event_time_ms", "label", "score", "calibrated")
+
+
+@on_store("isotonic_report")
+def isotonic_report(store):
+    """AUC and Brier score of the test rows before and after calibration."""
+    scored = materialize(isotonic_calibrated(store), "calibrated")
+    stages = F.explode(F.array(*[F.struct(F.lit(n).alias("stage"), F.col(c).alias("score")) for n, c in (("raw", "score"), ("calibrated", "calibrated"))]))
+    return learning.auc_brier(scored.select("label", stages.alias("_s")).select("label", "_s.*"), by=["stage"])
 
 
 CTES["ablation_rows"] = f"""SELECT id, symbol, event_time_ms, CASE WHEN micro_label = 'CONTINUATION_UP' THEN 1 ELSE 0 END AS label FROM store
@@ -891,35 +921,42 @@ CTES["ablation_at"] = """SELECT list_extract(list(event_time_ms ORDER BY event_t
   FROM ablation_rows"""
 
 
-@on_store("feature_ablation", f"""SELECT model, n, positives, true AS optimal, model = 'FULL' AS is_base
-  FROM (SELECT count(*) AS n, sum(label) AS positives FROM ablation_rows, ablation_at WHERE event_time_ms >= at_ms + {learning.EMBARGO_MS}),
-    (VALUES {', '.join(f"('{m}')" for m in ('FULL', *config.BASE_FEATURES))}) AS models(model)""")
+def ablation_split(store: DataFrame) -> DataFrame:
+    return scaled_split(store, list(config.BASE_FEATURES), positive=("CONTINUATION_UP",), labels=None, min_abs_z=None)
+
+
+@on_store("ablation_splits", f"""SELECT part, count(*) AS n, sum(label) AS positives FROM (
+  SELECT *, CASE WHEN event_time_ms <= at_ms - {learning.EMBARGO_MS} THEN 'train' WHEN event_time_ms >= at_ms + {learning.EMBARGO_MS} THEN 'test' END AS part
+  FROM ablation_rows, ablation_at) WHERE part IS NOT NULL GROUP BY part""")
+def ablation_splits(store):
+    return ablation_split(store).groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("positives"))
+
+
+@on_store("feature_ablation")
 def feature_ablation(store):
-    base = list(config.BASE_FEATURES)
-    split = scaled_split(store, base, positive=("CONTINUATION_UP",), labels=None, min_abs_z=None)
-    report = learning.feature_ablation(split, base)
-    return report.select("model", "n", "positives", (F.col("gap") < CLOSE).alias("optimal"), F.col("delta_auc").isNull().alias("is_base"))
+    """AUC, Brier score, loss of AUC and leakage flag of the full model and of each model without one input."""
+    return learning.feature_ablation(ablation_split(store), list(config.BASE_FEATURES))
 
 
-@on_store("signals_scored_fitted", """SELECT symbol, count(*) AS candidates, true AS newest_first, true AS confident, true AS explained, true AS optimal
+@on_store("scoring_candidates", """SELECT symbol, count(*) AS candidates, min(id) AS first_id, max(id) AS last_id, min(event_time_ms) AS first_ms
   FROM fresh_rows GROUP BY symbol""")
+def scoring_candidates(store):
+    return learning.newest_feature_rows(store).groupBy("symbol").agg(
+        F.count(F.lit(1)).alias("candidates"), F.min("id").alias("first_id"), F.max("id").alias("last_id"), F.min("event_time_ms").alias("first_ms"))
+
+
+@on_store("signals_scored_fitted")
 def signals_scored_fitted(store):
-    """Scores of a fitted model that was saved and loaded again: at most 20 a symbol, from the newest, each with three drivers."""
+    """Signals of a fitted model that was saved and loaded again: at most 20 a symbol, from the newest, each with three drivers."""
     rows = learning.dataset(store)
     train = materialize(learning.standardize(rows, FLOW, rows), "scaled_all")
-    fitted = learning.fit_logistic(train, FLOW)
+    fresh = learning.standardize(learning.newest_feature_rows(store), FLOW, rows)
+    if train.select("label").distinct().count() < 2:  # nothing to fit
+        return learning.score_signals(fresh.filter(F.lit(False)), FLOW, [0.0] * len(FLOW), 0.0)
     path = fresh_path(train.sparkSession, "model")
-    learning.save_model(fitted, FLOW, path)
+    learning.save_model(learning.fit_logistic(train, FLOW), FLOW, path)
     model, inputs = learning.load_model(path)
-    fresh = materialize(learning.standardize(learning.newest_feature_rows(store), inputs, rows), "fresh")
-    scored = learning.score_signals(fresh, inputs, model.coefficients.toArray().tolist(), float(model.intercept))
-    per = scored.groupBy("symbol").agg(
-        (F.max("rank") <= 20).alias("newest_first"), (F.min("score") >= 0.5).alias("confident"),
-        (F.min(F.size(F.split("drivers", ","))) == 3).alias("explained"))
-    counts = fresh.groupBy("symbol").agg(F.count(F.lit(1)).alias("candidates"))
-    kept = {c: F.coalesce(c, F.lit(True)) for c in ("newest_first", "confident", "explained")}  # a symbol may have none
-    return counts.join(per, "symbol", "left").withColumns(kept).withColumn(
-        "optimal", F.lit(learning.optimality_gap(model, train, inputs) < CLOSE))
+    return learning.score_signals(fresh, inputs, model.coefficients.toArray().tolist(), float(model.intercept))
 
 
 @query("outcome_dataset", f"""SELECT id, symbol, event_time_ms, {', '.join(f'CAST({f} AS DOUBLE) AS {f}' for f in config.BASE_FEATURES)}, CAST(outcome_10s AS INTEGER) AS label
