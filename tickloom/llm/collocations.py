@@ -38,6 +38,7 @@ from pyspark.sql import functions as F
 
 from tickloom.llm.arrays import LOWER, mix, slices, texts
 from tickloom.llm.blocks import pack, pack_sorted, unpack, unpack_sorted
+from tickloom.llm.lean import lean
 from tickloom.session import materialize
 
 LEAST = 30
@@ -45,6 +46,7 @@ LONGEST = 4
 TOP = 2000
 COVERS = 80  # percent
 SCALE = 2_000_000
+SHARES = 64
 BLOCK_BYTES = 8 << 20
 
 #: Bytes that end a piece, and bytes that separate words.
@@ -121,6 +123,7 @@ def occurrences(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, pa.D
 def first_relation(docs: DataFrame, lang: str, text: str, block_bytes: int) -> DataFrame:
     """FIRST_RELATION: a row for each block."""
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made = 0
         for batch in batches:
@@ -186,6 +189,7 @@ def counted_words(relation: DataFrame, bits: int, least: int) -> DataFrame:
     """COUNTED: the owners' answers to the blocks, and a row for each owner with its frequent words."""
     sent = "owner long, block long, lang string, words array<string>, counts binary"
 
+    @lean
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block, lang, words, counts in zip(*(batch.column(n) for n in ("block", "lang", "words", "counts"))):
@@ -196,6 +200,7 @@ def counted_words(relation: DataFrame, bits: int, least: int) -> DataFrame:
                 yield _batch(sent, [{"owner": o, "block": block.as_py(), "lang": lang.as_py(), "words": words[i:j], "counts": pack(counts[i:j])}
                                     for o, i, j in _dealt(owners[order])])
 
+    @lean
     def add(key: tuple, table: pa.Table) -> pa.Table:
         owner = key[0].as_py()
         lists = table.column("words").combine_chunks()
@@ -220,6 +225,7 @@ def counted_pairs(relation: DataFrame, bits: int, least: int) -> DataFrame:
     """COUNTED: the owners' answers to the blocks, and a row for each owner with its frequent pairs."""
     sent = "owner long, block long, p binary, s binary, counts binary"
 
+    @lean
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block, *packed in zip(*(batch.column(n) for n in ("block", "p", "s", "counts"))):
@@ -227,6 +233,7 @@ def counted_pairs(relation: DataFrame, bits: int, least: int) -> DataFrame:
                 yield _batch(sent, [{"owner": o, "block": block.as_py(), "p": pack_sorted(p[i:j]), "s": pack(s[i:j]), "counts": pack(counts[i:j])}
                                     for o, i, j in _dealt(_pair_owners(p, s, bits))])
 
+    @lean
     def add(key: tuple, table: pa.Table) -> pa.Table:
         owner = key[0].as_py()
         parts = [unpack_sorted(x.as_py()) for x in table.column("p")]
@@ -276,6 +283,7 @@ def extended(relation: DataFrame, counted: DataFrame, bits: int) -> DataFrame:
     """RELATION: the next length's rows of each block."""
     first = "words" in relation.columns
 
+    @lean
     def extend(key: tuple, held: pa.Table, told: pa.Table) -> pa.Table:
         rows = []
         told = sorted(zip(told.column("owner").to_pylist(), told.column("ids")), key=lambda x: x[0])
@@ -350,6 +358,9 @@ def collocations(docs: DataFrame, lang: str = "lang", text: str = "text", least:
                  top: int = TOP, covers: int = COVERS, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Each language's `top` phrases by score, count and bytes: lang, rank, phrase, a, l, r, n, score."""
     rows = scored(*frequent(docs, lang, text, least, longest, block_bytes), covers)
-    order = Window.partitionBy("lang").orderBy(F.col("score").desc(), F.col("a").desc(), F.col("phrase"))
-    ranked = rows.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
+    order = F.col("score").desc(), F.col("a").desc(), F.col("phrase")
+    # the best of each share of a language first, so that at most SHARES * top phrases of a language meet in one task
+    share = Window.partitionBy("lang", F.pmod(F.xxhash64("phrase"), F.lit(SHARES))).orderBy(*order)
+    best = rows.withColumn("rank", F.row_number().over(share)).where(F.col("rank") <= top)
+    ranked = best.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("rank") <= top)
     return ranked.select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
