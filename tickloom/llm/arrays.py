@@ -10,6 +10,8 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from hashlib import blake2b
+from os import urandom
 
 import numpy as np
 import pyarrow as pa
@@ -18,6 +20,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tickloom.llm.lean import lean
+
 SLICE_BYTES = 4 << 20
 PIECE_BYTES = 1 << 20
 
@@ -45,52 +49,66 @@ def numbers(seed: int, n: int) -> np.ndarray:
     return mix(np.arange(n, dtype=np.uint64) + np.uint64(seed) * np.uint64(0x1000003))
 
 
-class Rolling:
-    """Hashes of stretches of an array: differences of running sums, scaled back to the stretch's start."""
-
-    def __init__(self, seed: int):
-        self.base = int(numbers(seed, 1)[0]) | 1
-        self.power = np.ones(1, np.uint64)
-        self.inverse = np.ones(1, np.uint64)
-
-    def _tables(self, n: int) -> None:
-        if len(self.power) < n:
-            m = 1 << (n - 1).bit_length()
-            for name, b in (("power", self.base), ("inverse", pow(self.base, -1, 1 << 64))):
-                steps = np.full(m, b, np.uint64)
-                steps[0] = 1
-                setattr(self, name, np.multiply.accumulate(steps))
+#: Longer words than this many bytes are hashed one by one.
+LONG_WORD = 64
+_KEEP = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+_TURN = np.uint64(0xD6E8FEB86659FD93)
 
-    def __call__(self, values: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        n = len(values)
-        self._tables(n + 1)
-        run = np.zeros(n + 1, np.uint64)
-        np.cumsum(values * self.power[:n], out=run[1:])
-        return (run[end] - run[start]) * self.inverse[start]
 
+def _joined(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The hash of two stretches that follow one another."""
+    return mix(a * _TURN + b)
 
-def byte_table(seed: int) -> np.ndarray:
-    return numbers(seed, 256)
 
-
-@dataclass
+@dataclass(frozen=True)
 class Hasher:
-    """64-bit hashes of words; two hashers with different seeds give 128 bits."""
+    """64-bit hashes of words; two hashers with different seeds give 128 bits.
 
-    seed: int
+    Each eight bytes of a word pass through a mixing step that is neither a sum nor a product of what came before, and
+    so do the halves of a window, so no words or windows share a hash by their structure, whatever the seed. Where equal hashes
+    decide what is dropped or linked, the seeds are drawn anew for each run (`secret_hashers`): nobody can look for equal ones beforehand.
+    """
 
-    def __post_init__(self):
-        self.table, self.rolling = byte_table(self.seed), Rolling(self.seed + 1)
+    seed: int
 
     def words(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        return mix(self.rolling(self.table[data], start, end) + (end - start).astype(np.uint64))
+        held = np.concatenate([data, np.zeros(8, np.uint8)])
+        eight = np.ndarray((len(data) + 1,), np.uint64, held, 0, (1,))  # the eight bytes from each place on
+        size = end - start
+        out = mix(size.astype(np.uint64) ^ np.uint64(self.seed))
+        longest = int(size.max(initial=0))
+        for at in range(0, min(longest, LONG_WORD), 8):
+            some = slice(None) if at == 0 else np.flatnonzero(size > at)
+            out[some] = mix(out[some] ^ (eight[start[some] + at] & _KEEP[np.minimum(size[some] - at, 8)]))
+        if longest > LONG_WORD:
+            key, raw = self.seed.to_bytes(8, "little"), memoryview(data)
+            for k in np.flatnonzero(size > LONG_WORD):
+                out[k] = int.from_bytes(blake2b(raw[start[k] : end[k]], digest_size=8, key=key).digest(), "little")
+        return out
 
     def windows(self, words: np.ndarray, first: np.ndarray, size: int) -> np.ndarray:
-        """The hash of each run of `size` words that begins at one of `first`."""
-        return mix(self.rolling(words, first, first + size) + np.uint64(size))
+        """The hash of each run of `size` words that begins at one of `first`: halves joined, then halves of these."""
+        if not len(first):
+            return np.zeros(0, np.uint64)
+        low, high = int(first.min()), int(first.max()) + size
+        runs, first = words[low:high], first - low  # of 1, 2, 4, ... words
+        out, taken, length = None, 0, 1
+        while True:
+            if size & length:
+                part = runs[first + taken]
+                out = part if out is None else _joined(out, part)
+                taken += length
+            if taken == size:
+                return mix(out + np.uint64(size))
+            runs, length = _joined(runs[:-length], runs[length:]), 2 * length
+
+
+FIRST, SECOND = Hasher(int(numbers(11, 1)[0])), Hasher(int(numbers(23, 1)[0]))
 
 
-FIRST, SECOND = Hasher(11), Hasher(23)
+def secret_hashers(n: int) -> tuple[Hasher, ...]:
+    """Hashers that nobody knows before; all tasks of a run must be given the same ones."""
+    return tuple(Hasher(int.from_bytes(urandom(8), "little")) for _ in range(n))
 
 
 def texts(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -215,6 +233,7 @@ def append_columns(df: DataFrame, text: str, schema: str, rows: Rows) -> DataFra
     out = StructType.fromDDL(schema)
     out = StructType([frame.schema["_row"], *out.fields])
 
+    @lean
     def run(batches):
         for batch in batches:
             row = batch.column(0)

@@ -14,12 +14,16 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tickloom.session import materialize
+
 BLOCK_BYTES = 8 << 20
-#: More blocks than this are not made; they grow instead (a task's memory follows its block).
-MOST_BLOCKS = 1 << 18
+#: Blocks that the driver cuts by itself.
+ONE_LEVEL = 1 << 12
+#: More blocks than this are not made: 8 MB each, of 32 TB of text; beyond, they grow (a task's memory follows its block).
+MOST_BLOCKS = 1 << 22
 
 
 def pack(values: np.ndarray) -> bytes:
@@ -65,22 +69,41 @@ def text_bytes(docs: DataFrame, text: str) -> int:
 
 
 def owner_bits(blocks: int) -> int:
-    """As many owners as blocks, as a power of two, up to 131,072."""
-    return max(2, min(17, (blocks - 1).bit_length()))
+    """As many owners as blocks, as a power of two."""
+    return max(2, min(22, (blocks - 1).bit_length()))
+
+
+def _cuts(docs: DataFrame, key: Column, n: int) -> list[float]:
+    """The n - 1 cuts of `key` into even ranges, by rank; a key that holds several of them comes several times."""
+    return docs.select(key.alias("k")).approxQuantile("k", [i / n for i in range(1, n)], 0.1 / n) if n > 1 else []
 
 
-def in_blocks(docs: DataFrame, id_col: str, total: int, block_bytes: int = BLOCK_BYTES) -> tuple[DataFrame, int]:
+def in_blocks(docs: DataFrame, id_col: str, total: int, block_bytes: int = BLOCK_BYTES, text: str | None = None) -> tuple[DataFrame, int]:
     """`docs` as columns `_row` (all columns) and `_block`, and the number of blocks.
 
-    Blocks are ranges of ids, so an earlier document is never in a later block; null ids come last.
+    Blocks are ranges of ids, so an earlier document is never in a later block; null ids come last. Where an id holds more than a
+    block, or rows have none, rows of one id lie in the order of a hash of `text`, so that they are spread over blocks too. Up
+    to ONE_LEVEL blocks are cut by quantiles that the driver asks for; more are cut out of ONE_LEVEL wide ranges, whose cuts
+    Spark works out for each range and joins to its rows.
     """
     n = max(1, min(MOST_BLOCKS, -(-total // block_bytes)))
     key = F.col(f"`{id_col}`").cast("double")
-    bounds = docs.select(key.alias("k")).approxQuantile("k", [i / n for i in range(1, n)], 0.1 / n) if n > 1 else []
-    splits = [float("-inf"), *sorted(set(bounds)), float("inf")]
+    bounds = _cuts(docs, key, min(n, ONE_LEVEL))
+    if text is not None and n > 1 and (len(set(bounds)) < len(bounds) or not docs.where(key.isNull()).isEmpty()):
+        tie = F.pmod(F.xxhash64(F.col(f"`{text}`")), F.lit(1 << 20)) / F.lit(float(1 << 20))
+        key = F.when(key.isNull(), F.lit(1e300) * (tie + 1.0)).otherwise(key + tie)
+        bounds = _cuts(docs, key, min(n, ONE_LEVEL))
+    bounds = sorted(set(bounds))
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), key.alias("_key"))
-    if len(splits) < 3:  # all in one block
+    if not bounds:  # all in one block
         return rows.select(F.lit(0).alias("_block"), "_row"), 1
-    cut = Bucketizer(splits=splits, inputCol="_key", outputCol="_cut", handleInvalid="keep")
-    placed = cut.transform(rows).select(F.col("_cut").cast("int").alias("_block"), "_row")
-    return placed, len(splits) - 1
+    cut = Bucketizer(splits=[float("-inf"), *bounds, float("inf")], inputCol="_key", outputCol="_cut", handleInvalid="keep")
+    placed = cut.transform(rows).withColumn("_cut", F.col("_cut").cast("int"))
+    each = -(-n // ONE_LEVEL)
+    if each == 1:
+        return placed.select(F.col("_cut").alias("_block"), "_row"), len(bounds) + 1
+    share = F.percentile_approx("_key", F.array(*[F.lit(i / each) for i in range(1, each)]), F.lit(20 * each))
+    finer = cut.transform(docs.select(key.alias("_key"))).groupBy(F.col("_cut").cast("int").alias("_cut")).agg(share.alias("_finer"))
+    finer = materialize(finer, "cuts")  # ONE_LEVEL rows of numbers, MOST_BLOCKS in all
+    inside = F.size(F.filter("_finer", lambda x: x < F.col("_key")))
+    return placed.join(F.broadcast(finer), "_cut").select((F.col("_cut") * each + inside).cast("int").alias("_block"), "_row"), n

@@ -26,10 +26,13 @@ from tickloom.session import fresh_path
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-#: State in RocksDB; without pre-allocated files, which would take megabytes for each small state store.
+#: State in RocksDB; without pre-allocated files, which would take megabytes for each small state store, and with
+#: one bound on the memory of all stores of an executor (beyond it, stores write to their disk).
 STATE = {
     "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
     "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "200",
 }
 
 

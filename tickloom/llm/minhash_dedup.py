@@ -34,8 +34,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.arrays import FIRST, LOWER, hashed_words, mix, numbers, slices, texts
+from tickloom.llm.arrays import FIRST, LOWER, Hasher, hashed_words, mix, numbers, secret_hashers, slices, texts
 from tickloom.llm.blocks import among
+from tickloom.llm.lean import lean
 from tickloom.session import materialize
 
 SHINGLE = 4
@@ -46,12 +47,12 @@ CELL = 512
 JUMPS = 3
 
 
-def shingle_sets(data: np.ndarray, offsets: np.ndarray, size: int) -> list[np.ndarray]:
+def shingle_sets(data: np.ndarray, offsets: np.ndarray, size: int, hasher: Hasher = FIRST) -> list[np.ndarray]:
     """Sorted distinct shingle hashes of texts laid end to end."""
-    words = hashed_words(LOWER[data], offsets)
+    words = hashed_words(LOWER[data], offsets, (hasher,))
     h = words.hashes[0]
     first = words.within(size)
-    keys = FIRST.windows(h, first, size)
+    keys = hasher.windows(h, first, size)
     edges = np.searchsorted(words.doc[first], np.arange(len(offsets)))
     ends = np.cumsum(words.counts)
     out = []
@@ -59,7 +60,7 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, size: int) -> list[np.nd
         if n >= size:
             out.append(np.unique(keys[edges[d] : edges[d + 1]]))
         elif n:
-            out.append(FIRST.windows(h, np.array([ends[d] - n]), int(n)))
+            out.append(hasher.windows(h, np.array([ends[d] - n]), int(n)))
         else:
             out.append(np.zeros(0, np.uint64))
     return out
@@ -81,14 +82,15 @@ def _digest(keys: np.ndarray) -> bytes:
     return np.array([mix(keys).sum(), mix(keys ^ numbers(47, 1)[0]).sum()], np.uint64).tobytes()
 
 
-def features(docs: DataFrame, id_col: str, text: str, size: int, coordinates: int) -> DataFrame:
+def features(docs: DataFrame, id_col: str, text: str, size: int, coordinates: int, hasher: Hasher = FIRST) -> DataFrame:
     """(id, n_shingles, digest, sig) of each document; null digest and signature for empty sets."""
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = texts(batch.column(1))
             for i, j in slices(offsets):
-                sets = shingle_sets(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], size)
+                sets = shingle_sets(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], size, hasher)
                 full = [s for s in sets if len(s)]
                 rows = iter(signatures(full, coordinates).tolist() if full else [])
                 yield pa.RecordBatch.from_arrays([
@@ -102,12 +104,13 @@ def features(docs: DataFrame, id_col: str, text: str, size: int, coordinates: in
         run, f"id {kind}, n_shingles long, digest binary, sig array<int>")
 
 
-def full_sets(docs: DataFrame, id_col: str, text: str, size: int) -> DataFrame:
+def full_sets(docs: DataFrame, id_col: str, text: str, size: int, hasher: Hasher = FIRST) -> DataFrame:
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = texts(batch.column(1))
             for i, j in slices(offsets, 1 << 20):
-                sets = shingle_sets(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], size)
+                sets = shingle_sets(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], size, hasher)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))],
                                                  names=["id", "set"])
 
@@ -243,6 +246,7 @@ def cross_links(lists: DataFrame, labels: DataFrame, stars: DataFrame, sets: Dat
     sent = side(1).unionByName(side(2).where(F.col("c1") != F.col("c2")))
     kind = dict(lists.dtypes)["id"]
 
+    @lean
     def check(key: tuple, table: pa.Table) -> pa.Table:
         cell: dict[int, list[dict]] = {1: [], 2: []}
         columns = {n: table.column(n) for n in ("side", "id", "comp", "lists", "set")}
@@ -261,14 +265,15 @@ def cross_links(lists: DataFrame, labels: DataFrame, stars: DataFrame, sets: Dat
 def dedup(docs: DataFrame, id_col: str = "doc_id", text: str = "text", size: int = SHINGLE, coordinates: int = COORDINATES,
           matches: int = MATCHES, alike: int = ALIKE) -> DataFrame:
     """(id, n_shingles, component_id, kept) for each document; one document of each component is kept."""
-    rows = materialize(features(docs, id_col, text, size, coordinates), "shingles")
+    (hasher,) = secret_hashers(1)
+    rows = materialize(features(docs, id_col, text, size, coordinates, hasher), "shingles")
     classes = rows.where(F.col("digest").isNotNull()).groupBy("digest").agg(
         F.min("id").alias("id"), F.first("n_shingles").alias("n_shingles"), F.first("sig").alias("sig"))
     classes = materialize(classes, "classes")
     reps = classes.where(F.col("id").isNotNull()).select("id", "n_shingles", "sig")
     lists = materialize(postings(reps, coordinates, matches), "postings")
     wanted = lists.select("id").distinct()
-    sets = materialize(full_sets(docs.join(wanted.withColumnRenamed("id", id_col), id_col, "left_semi"), id_col, text, size), "sets")
+    sets = materialize(full_sets(docs.join(wanted.withColumnRenamed("id", id_col), id_col, "left_semi"), id_col, text, size, hasher), "sets")
 
     centres = lists.groupBy("coord", "val").agg(F.min("id").alias("a"))
     stars = lists.join(centres, ["coord", "val"]).where(F.col("id") != F.col("a")).groupBy("a", F.col("id").alias("b")).agg(F.count("*").alias("lists"))

@@ -33,6 +33,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
+from tickloom.llm.lean import lean
 from tickloom.llm.recent import Recent
 from tickloom.session import materialize
 
@@ -157,6 +158,7 @@ def pieces(docs: DataFrame, tokenizer: str, text: str = "text", capacity: int =
     kinds = {f.name: pa.binary() if f.name == "ids" else pa.int32() if f.name == "step" else pa.int64() for f in fields}
     length_at = 1 + [f.name for f in fields].index("length")
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         end = end_id.to_bytes(4, "little")
         worker, done = TaskContext.get().partitionId(), 0

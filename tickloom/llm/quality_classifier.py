@@ -8,8 +8,8 @@ passages decide.
 
 Scoring is a narrow map over all whole texts, with a model of some 30 KB. Fitting takes at most
 `most` labelled texts (smallest hash of the id first); a longer text is a bag of `MOST_PASSAGES` of its
-passages, drawn by hash over the whole text. These two bounds are the only ones, and they concern
-fitting alone.
+passages, drawn by hash over the whole text, and of fewer if all bags together would pass `MOST_FITTED`.
+These three bounds are the only ones, and they concern fitting alone; of rows that share an id one is fitted.
 
 Defined cases: a null or empty text is one empty passage and gets a score; a label that is null is
 ignored and repeated labels of one id count as the largest; without labels of both kinds the score
@@ -28,11 +28,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.llm.arrays import SEPARATOR, append_columns, hashed_words, mix, repeated, slices, texts
+from tickloom.llm.lean import lean
+from tickloom.session import materialize
 
 PASSAGE_WORDS = 48
 TRIGRAMS = 96
 MOST_PASSAGES = 512
 MOST_TEXTS = 4096
+#: Passages of all fitted texts together; the driver holds their encodings, 432 bytes each with its working copy.
+MOST_FITTED = 1 << 18
 
 _KINDS = np.zeros((256, 8), np.float32)  # separator, lower, upper, digit, stop, comma, other ASCII, beyond ASCII
 for _c in range(256):
@@ -172,21 +176,35 @@ def sample(docs: DataFrame, labels: DataFrame, id_col: str, text: str, label: st
     if n > most:
         known = known.where(F.pmod(order, F.lit(1 << 30)) <= int((1 << 30) * min(1.0, (1.1 * most + 100) / n)))
     known = known.orderBy(F.pmod(order, F.lit(1 << 30)), id_col).limit(most)
-    return docs.select(F.col(id_col), F.col(text)).join(F.broadcast(known), id_col)  # at most `most` rows of ids
+    texts_ = docs.select(F.col(id_col), F.col(text)).join(F.broadcast(known), id_col)  # at most `most` rows of ids
+    one = F.min(F.struct(F.xxhash64(text), F.col(text))).alias("_one")  # tasks keep one row of an id that repeats
+    return texts_.groupBy(id_col, "_label").agg(one).select(id_col, F.col(f"_one.{text}").alias(text), "_label")
 
 
-def drawn(passages: int, id_: str) -> np.ndarray:
-    """Which of a text's passages are fitted: all, or `MOST_PASSAGES` drawn over the whole text by hash."""
-    if passages <= MOST_PASSAGES:
+def drawn(passages: int, id_: str, most: int | None = None) -> np.ndarray:
+    """Which of a text's passages are fitted: all, or `most` (`MOST_PASSAGES`) drawn over the whole text by hash."""
+    most = MOST_PASSAGES if most is None else most
+    if passages <= most:
         return np.arange(passages)
     order = mix(np.arange(passages, dtype=np.uint64) + (np.uint64(zlib.crc32(id_.encode())) << np.uint64(32)))
-    return np.sort(np.argsort(order)[:MOST_PASSAGES])
+    return np.sort(np.argsort(order)[:most])
+
+
+def bag_size(passages: list[int], total: int = MOST_FITTED, most: int = MOST_PASSAGES) -> int:
+    """The largest size of a bag, `most` at most, with which all bags together have `total` passages at most."""
+    left, rest = total, sorted(passages)
+    for k, n in enumerate(rest):
+        if n * (len(rest) - k) > left:
+            return max(1, min(most, left // (len(rest) - k)))
+        left -= n
+    return most
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text", label: str = "quality",
         most: int = MOST_TEXTS) -> Model:
     """A model of the labelled texts. Passages are encoded where the texts lie; the driver gets encodings."""
 
+    @lean
     def passages(batches):
         for batch in batches:
             data, offsets = texts(batch.column(1))
@@ -195,11 +213,14 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str =
                 ids = [str(batch.column(0)[r]) for r in range(i, j)]
                 yield pa.RecordBatch.from_arrays([
                     pa.array(ids, pa.string()), batch.column(2).slice(i, j - i).cast(pa.int32()),
-                    pa.array([x[first[r] + drawn(int(first[r + 1] - first[r]), ids[r])].astype(np.float16).tobytes() for r in range(j - i)], pa.binary()),
+                    pa.array([x[first[r] + drawn(int(first[r + 1] - first[r]), ids[r], size)].astype(np.float16).tobytes() for r in range(j - i)], pa.binary()),
                 ], names=["id", "label", "bag"])
 
-    rows = sample(docs, labels, id_col, text, label, most).select(F.col(id_col), F.col(text), F.col("_label").cast("int"))
-    got = rows.mapInArrow(passages, "id string, label int, bag binary").collect()  # bounded by `most` and MOST_PASSAGES
+    rows = materialize(sample(docs, labels, id_col, text, label, most).select(F.col(id_col), F.col(text), F.col("_label").cast("int")), "labelled")
+    words = F.size(F.filter(F.split(F.coalesce(text, F.lit("")), "[ \\t-\\r]+"), lambda w: w != ""))
+    counts = rows.select(F.greatest(F.ceil(words / PASSAGE_WORDS), F.lit(1)).alias("n")).collect()  # at most `most` numbers
+    size = bag_size([r["n"] for r in counts])
+    got = rows.mapInArrow(passages, "id string, label int, bag binary").collect()  # bounded by `most` and MOST_FITTED
     got.sort(key=lambda r: (r["id"], bytes(r["bag"])))
     bags = [np.frombuffer(r["bag"], np.float16).reshape(-1, WIDTH).astype(np.float32) for r in got]
     return fit_bags(bags, np.array([r["label"] for r in got], np.int64))

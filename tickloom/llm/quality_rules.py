@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.arrays import FIRST, append_columns, covered, hashed_words, mix, per_text, repeated
+from tickloom.llm.arrays import append_columns, covered, hashed_words, mix, per_text, repeated, secret_hashers
 from tickloom.session import materialize
 
 SYMBOLS = np.zeros(256, bool)
@@ -38,11 +38,15 @@ def _lines(raw: bytes) -> tuple[int, int]:
     return len(lines), len(lines) - len(set(lines))
 
 
+#: Windows are compared inside a text only, so each process has a hasher of its own.
+_OWN = secret_hashers(1)
+
+
 def _statistics(data: np.ndarray, offsets: np.ndarray, _: pa.RecordBatch) -> dict:
-    words = hashed_words(data, offsets)
+    words = hashed_words(data, offsets, _OWN)
     n, h = len(words.doc), words.hashes[0]
     first = words.within(3)
-    keys = mix(FIRST.windows(h, first, 3) ^ mix(words.doc[first].astype(np.uint64)))
+    keys = mix(_OWN[0].windows(h, first, 3) ^ mix(words.doc[first].astype(np.uint64)))
     in_repeat = covered(first[repeated(keys)], 3, n) if n else np.zeros(0, bool)
     code_point = (data & 0xC0) != 0x80
     separator = (data == 0x20) | ((data >= 0x09) & (data <= 0x0D))

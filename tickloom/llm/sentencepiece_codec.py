@@ -37,6 +37,7 @@ from pyspark.sql import functions as F
 
 from tickloom.llm.arrays import append_columns
 from tickloom.llm.recent import Recent
+from tickloom.session import ship
 
 SPACE = "▁"
 MOST_WORDS = 150_000
@@ -208,6 +209,7 @@ def encode(docs: DataFrame, model: str, text: str = "text", kind: str | None = N
 
 def decode(docs: DataFrame, model: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
     """`docs` with the text of binary ids, null where they are null."""
+    ship(docs.sparkSession)
 
     @F.pandas_udf("string")
     def texts(column):

@@ -38,6 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.llm.arrays import LOWER, texts
+from tickloom.llm.lean import lean
 from tickloom.llm.minhash_dedup import components
 from tickloom.llm.skew import look_up
 from tickloom.session import materialize
@@ -81,6 +82,7 @@ def fingerprints(docs: DataFrame, id_col: str, text: str, size: int = SHINGLE, s
     """(id, fp) of each document; the fingerprint is a signed long."""
     lower = LOWER.tobytes()
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = texts(batch.column(1))
@@ -131,6 +133,7 @@ def links(classes: DataFrame, radius: int = RADIUS, crowd: int = CROWD) -> DataF
     met = posted.join(sizes, ["table", "kept"])
     buckets = met.where(F.col("size") <= crowd).groupBy("table", "kept").agg(F.collect_list("fp").alias("fps"))
 
+    @lean
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]

@@ -20,6 +20,7 @@ import hashlib
 import html
 import re
 import uuid
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -27,6 +28,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tickloom.llm.lean import lean
+
 VERSION = "WARC/1.1"
 DATE = "2024-01-01T00:00:00Z"
 
@@ -129,6 +132,7 @@ def _map(df: DataFrame, taken: list[str], make) -> DataFrame:
     frame = df.select(row.alias("_row"), F.struct(*[F.col(f"`{c}`") for c in taken]).alias("_in"))
     out = StructType([frame.schema["_row"], *fields])
 
+    @lean
     def run(batches):
         for batch in batches:
             for i in range(0, batch.num_rows, 64):
@@ -180,7 +184,18 @@ def parse(data: bytes) -> Iterator[tuple]:
         at = gap + 4 + size
 
 
+def unzipped(data: bytes) -> bytes:
+    """The content of a gzip file of any number of members (WARC files have one a record); other data as it is."""
+    out = []
+    while data[:2] == b"\x1f\x8b":
+        member = zlib.decompressobj(31)
+        out.append(member.decompress(data))
+        data = member.unused_data
+    return b"".join(out) if out else data
+
+
 def read(spark: SparkSession, path: str) -> DataFrame:
-    """Records of .warc files; a file is read in one task, so files should be of a usual size (1 GB)."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("path", "content")
-    return _map(files, ["content"], lambda row: parse(row["content"])).drop("path", "content")
+    """The records of all WARC files under `path`, whatever their names, also gzip-compressed ones. A file is one task's work and
+    fits into its memory; names that begin with `_` or `.` are not read."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("content")
+    return _map(files, ["content"], lambda row: parse(unzipped(bytes(row["content"])))).drop("content")
