@@ -12,9 +12,9 @@ Steps:
 
 1. word counts over all training documents: tasks send their distinct words, packed, to the owners of
    hash ranges (see `blocks`), whose counts are written to the shared folder;
-2. training in rounds over all training documents, each round over its own share of them: every
-   task trains by truncated backpropagation from the round's weights, and the tasks' weights are
-   averaged, by their numbers of tokens, in two levels of groups;
+2. training: the training documents, as word ids, are dealt by hash to shards of some two million tokens and to rounds. In each
+   round every shard trains by truncated backpropagation from the common weights and momenta, and both are averaged by
+   tokens, in levels of groups. Shards follow from the texts, so the weights do not depend on partitions or tasks;
 3. scoring by blocks of documents: a block asks the owners once for each distinct word's count,
    then computes the base score and the network's score of each document. The texts cross the network
    once, since asking and scoring share one exchange.
@@ -34,25 +34,25 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tickloom.llm.arrays import FIRST, LOWER, hashed_words, mix, numbers, slices, texts
 from tickloom.llm.blocks import BLOCK_BYTES, in_blocks, owner_bits, pack, pack_sorted, ranges, text_bytes, unpack, unpack_sorted
+from tickloom.llm.lean import lean
 from tickloom.llm.recurrent import Adam, Network
-from tickloom.session import materialize
+from tickloom.session import fresh_path, materialize
 
 END = numbers(3, 1)[0]
 WORDS = 1024
 #: Levels of counts in each doubling.
 LEVELS = 8
 HIDDEN = 16
-ROUNDS = 2
+ROUNDS = 4
 TRAIN_LANES, SCORE_LANES = 512, 1024
-#: Tokens that a task trains on at a time: documents are laid side by side, so many short ones fill the time of a long one.
-TRAIN_TOKENS = 4_000_000
+#: Training tokens of a shard, which one task trains on, a part in each round.
+SHARD_TOKENS = 2_000_000
 LM_BLOCK_BYTES = 3 * BLOCK_BYTES
 #: A task hands its counts on when it holds so many distinct words.
 HELD = 2_000_000
@@ -86,6 +86,7 @@ def _added(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray
 def count_words(texts_: DataFrame, bits: int) -> DataFrame:
     """(_owner, keys, counts): the counts of all words of a one-column table, an owner's in one row."""
 
+    @lean
     def local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, counts, held = [], [], 0
 
@@ -110,6 +111,7 @@ def count_words(texts_: DataFrame, bits: int) -> DataFrame:
         if keys:
             yield hand_on()
 
+    @lean
     def total(key: tuple, table: pa.Table) -> pa.Table:
         k, c = _added([unpack_sorted(x.as_py()) for x in table.column("keys")], [unpack(x.as_py()).astype(np.int64) for x in table.column("counts")])
         return pa.table({"_owner": pa.array([key[0].as_py()], pa.int32()), "keys": pa.array([pack_sorted(k)]), "counts": pa.array([pack(c)])})
@@ -214,50 +216,86 @@ def vocabulary(counts: DataFrame) -> Vocabulary:
     return Vocabulary(words[order], n[order], sum(x["tokens"] for x in levels), distinct, *rare)
 
 
-def train(texts_: DataFrame, share, known: Vocabulary, rounds: int = ROUNDS, hidden: int = HIDDEN,
-          rate: float = 0.01) -> Network:
-    """Weights after `rounds` rounds; `share` is a column that deals the texts out to the rounds."""
+def shards(texts_: DataFrame, known: Vocabulary, rounds: int = ROUNDS, shard_tokens: int = SHARD_TOKENS) -> tuple[DataFrame, int]:
+    """(_shard, _key, ids, _round) of the texts of a one-column table, and the number of shards.
+
+    A text's shard and round follow from its words alone, so they are the same however the table is partitioned; equal texts are
+    dealt in turn, so that copies do not gather in one shard. The table is written by round.
+    """
+    count = max(1, round(known.tokens / shard_tokens))
+    kind = np.uint16 if len(known.words) + len(known.rare_tokens) < 1 << 16 else np.uint32
+    schema = "_shard int, _key long, ids binary, _round int"
+
+    @lean
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for hashes, lengths in _parts(batch.column(0)):
+                first = np.cumsum(lengths) - lengths
+                key = mix(np.add.reduceat(mix(hashes + mix(np.arange(len(hashes), dtype=np.uint64) - np.repeat(first, lengths).astype(np.uint64))), first))
+                order = np.argsort(key, kind="stable")
+                fresh = np.flatnonzero(np.concatenate([[True], key[order][1:] != key[order][:-1]]))
+                turn = np.empty(len(key), np.uint64)
+                turn[order] = np.arange(len(key)) - np.repeat(fresh, np.diff(fresh, append=len(key)))
+                ids = known.ids(hashes).astype(kind)
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(((key + turn) % np.uint64(count)).astype(np.int32)), pa.array(key.view(np.int64)),
+                    pa.array([ids[i : i + n].tobytes() for i, n in zip(first, lengths)], pa.binary()),
+                    pa.array(((key >> np.uint64(32)) % np.uint64(rounds)).astype(np.int32))], names=["_shard", "_key", "ids", "_round"])
+
+    path = fresh_path(texts_.sparkSession, "training")
+    dealt = texts_.mapInArrow(deal, schema)
+    dealt.write.partitionBy("_round").parquet(path)
+    return texts_.sparkSession.read.schema(dealt.schema).parquet(path), count
+
+
+def train_lanes(tokens: int, rounds: int, most: int = TRAIN_LANES) -> int:
+    """Lanes side by side: all of them for a round of SHARD_TOKENS, fewer for fewer tokens, which so make more updates."""
+    return int(max(4, min(most, most * (rounds * tokens / SHARD_TOKENS) ** 1.5)))
+
+
+def train(texts_: DataFrame, known: Vocabulary, rounds: int = ROUNDS, hidden: int = HIDDEN, rate: float = 0.01,
+          shard_tokens: int = SHARD_TOKENS) -> Network:
+    """Weights after `rounds` rounds. In each of them every shard trains on its texts of that round from the common weights and
+    momenta, and both are averaged by tokens. What is learned depends on the texts, not on partitions or tasks."""
     n = max(1, len(known.words))
     net = Network(n, round(n**0.5), hidden, rare=len(known.rare_tokens)).with_frequencies(
         known.counts if len(known.words) else np.ones(1), known.rare_tokens)
+    rows, count = shards(texts_, known, rounds, shard_tokens)
+    kind = np.uint16 if len(known.words) + len(known.rare_tokens) < 1 << 16 else np.uint32
+    schema = "slot int, n long, steps int, weights binary"
+    adam = Adam(net.p, rate)
+
+    def result(slot: int, n: int, steps: int, flat: np.ndarray) -> pa.Table:
+        return pa.table({"slot": pa.array([slot], pa.int32()), "n": pa.array([n], pa.int64()), "steps": pa.array([steps], pa.int32()),
+                         "weights": pa.array([flat.astype(np.float32).tobytes()], pa.binary())})
 
-    def average(table: pa.Table) -> pa.Table:
-        n = table.column("n").to_numpy()
-        flat = sum(np.frombuffer(w.as_py(), np.float32).astype(np.float64) * k for w, k in zip(table.column("weights"), n)) / max(1, n.sum())
-        return pa.table({"slot": table.column("slot").slice(0, 1), "n": pa.array([int(n.sum())]), "weights": pa.array([flat.astype(np.float32).tobytes()])})
+    def average(key: tuple, table: pa.Table) -> pa.Table:
+        sizes = table.column("n").to_pylist()
+        flat = sum(np.frombuffer(w.as_py(), np.float32) * np.float64(k) for w, k in zip(table.column("weights"), sizes)) / max(1, sum(sizes))
+        return result(key[0].as_py(), sum(sizes), max(table.column("steps").to_pylist()), flat)
 
     for r in range(rounds):
-        begun = net
-
-        def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            own, seen = begun.from_flat(begun.flat()), 0
-            adam = Adam(own.p, rate / (1 + r))
-            held: list[tuple] = []
-
-            def study() -> None:
-                own.train(np.concatenate([x[0] for x in held]), np.concatenate([x[1] for x in held]), adam, TRAIN_LANES)
-                held.clear()
-
-            for batch in batches:
-                for hashes, lengths in _parts(batch.column(0)):
-                    held.append((known.ids(hashes), lengths))
-                    seen += len(hashes)
-                    if sum(len(x[0]) for x in held) >= TRAIN_TOKENS:
-                        study()
-            if held:
-                study()
-            if seen:
-                yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int32()), pa.array([seen], pa.int64()),
-                                                  pa.array([own.flat().astype(np.float32).tobytes()], pa.binary())], names=schema_names)
-
-        schema, schema_names = "slot int, n long, weights binary", ["slot", "n", "weights"]
-        learned = texts_.where(share % rounds == r).select(texts_.columns[0]).mapInArrow(learn, schema)
-        for groups in (1024, 16):
-            learned = learned.withColumn("slot", F.col("slot") % groups).groupBy("slot").applyInArrow(average, schema)
-        rows = sorted(learned.collect(), key=lambda x: x["slot"])  # 16 at most
-        if rows:
-            total = sum(x["n"] for x in rows)
-            net = begun.from_flat(sum(np.frombuffer(x["weights"], np.float32).astype(np.float64) * (x["n"] / total) for x in rows))
+        begun, momenta = net, adam
+        pace = rate * (1 - r / rounds)
+
+        @lean
+        def learn(key: tuple, table: pa.Table) -> pa.Table:
+            own, state = begun.from_flat(begun.flat()), momenta.copied(pace)
+            table = table.sort_by([("_key", "ascending")])
+            texts_of = [np.frombuffer(x.as_py(), kind) for x in table.column("ids")]
+            ids, lengths = np.concatenate(texts_of).astype(np.int64), np.array([len(x) for x in texts_of])
+            own.train(ids, lengths, state, train_lanes(len(ids), rounds))
+            return result(key[0].as_py(), len(ids), state.step, np.concatenate([own.flat(), state.flat()]))
+
+        # as many tasks as shards: they are small, but each is some seconds of work
+        learned = rows.where(F.col("_round") == r).select("_shard", "_key", "ids").repartition(count, "_shard").groupBy("_shard").applyInArrow(learn, schema)
+        for groups in (1024, 32, 1):
+            if groups < count or groups == 1:
+                learned = learned.withColumn("slot", F.col("slot") % groups).groupBy("slot").applyInArrow(average, schema)
+        for x in learned.collect():  # one row
+            flat = np.frombuffer(x["weights"], np.float32)
+            net = begun.from_flat(flat[: len(flat) // 3])
+            adam = momenta.from_flat(flat[len(flat) // 3 :], x["steps"])
     return net
 
 
@@ -266,7 +304,7 @@ def score(docs: DataFrame, counts: DataFrame, known: Vocabulary, net: Network, i
     """`docs` with RESULTS."""
     new = StructType.fromDDL(RESULTS).names
     kept = [c for c in docs.columns if c not in new]
-    rows, _ = in_blocks(docs, id_col, total, block_bytes)
+    rows, _ = in_blocks(docs, id_col, total, block_bytes, text)
     place = docs.columns.index(text)
     by_block = rows.groupBy("_block")
     asks, told = "_owner int, _block int, keys binary", "_block int, _owner int, counts binary"
@@ -279,12 +317,14 @@ def score(docs: DataFrame, counts: DataFrame, known: Vocabulary, net: Network, i
     def distinct(parts: list) -> np.ndarray:
         return np.unique(np.concatenate([np.unique(h) for h, _ in parts]))
 
+    @lean
     def ask(key: tuple, table: pa.Table) -> pa.Table:
         keys = distinct(tokens(table)[1])
         out = [(owner, key[0].as_py(), pack_sorted(keys[i:j])) for owner, i, j in ranges(keys, bits)]
         return pa.table({"_owner": pa.array([x[0] for x in out], pa.int32()), "_block": pa.array([x[1] for x in out], pa.int32()),
                          "keys": pa.array([x[2] for x in out], pa.binary())})
 
+    @lean
     def answer(key: tuple, asked: pa.Table, held: pa.Table) -> pa.Table:
         k, c = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         if held.num_rows:
@@ -300,6 +340,7 @@ def score(docs: DataFrame, counts: DataFrame, known: Vocabulary, net: Network, i
     frame = StructType([rows.schema["_row"], *StructType.fromDDL(RESULTS).fields])
     base_of, rare_of = np.log10(known.tokens + known.distinct + 1), np.log(known.rare_tokens + known.rare_distinct + 1)
 
+    @lean
     def scored(key: tuple, table: pa.Table, replies: pa.Table) -> pa.Table:
         column, parts = tokens(table)
         out = {n: [] for n in new}
@@ -332,12 +373,13 @@ def score(docs: DataFrame, counts: DataFrame, known: Vocabulary, net: Network, i
     return done.select(*[F.col(f"_row.`{c}`").alias(c) for c in kept], *new)
 
 
-def fit_and_score(docs: DataFrame, learns_from, id_col: str = "doc_id", text: str = "text", block_bytes: int = LM_BLOCK_BYTES) -> DataFrame:
+def fit_and_score(docs: DataFrame, learns_from, id_col: str = "doc_id", text: str = "text", block_bytes: int = LM_BLOCK_BYTES,
+                  shard_tokens: int = SHARD_TOKENS) -> DataFrame:
     """Learns from the rows where the column `learns_from` holds, scores all."""
     total = text_bytes(docs, text)
     bits = owner_bits(max(1, -(-total // block_bytes)))
     training = docs.where(learns_from)
     counts = materialize(count_words(training.select(text), bits), "word-counts")
     known = vocabulary(counts)
-    net = train(training.select(text, F.xxhash64(id_col).alias("_deal")), F.pmod(F.col("_deal"), F.lit(1 << 20)), known)
+    net = train(training.select(text), known, shard_tokens=shard_tokens)
     return score(docs, counts, known, net, id_col, text, total, bits, block_bytes)
