@@ -15,6 +15,12 @@ def lower(text):
     return (text or "").translate(LOW)
 
 
+def mirrored(letters):
+    """A Thue-Morse word and its mirror."""
+    word = "".join("ab"[bin(k).count("1") % 2] for k in range(letters))
+    return word, word.translate(str.maketrans("ab", "ba"))
+
+
 STRANGE = [
     (1, None), (2, ""), (3, " \n\t "), (4, "one"), (5, "One two three"), (6, "one two three"), (6, "one two three"),
     (None, "no id but words"), (7, "a b c d e f g h i j k l m n o p q r s t u v w x y z " * 3),

@@ -7,12 +7,13 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
-from llm_rows import STRANGE, lower, words
+from llm_rows import STRANGE, lower, mirrored, words
 from oracle_check import compare, connect
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tickloom.llm import blocks, exact_dedup, lm_scoring, minhash_dedup, packing, queries, recurrent, substring_dedup
+from tickloom.session import materialize
 
 # ---- packed messages ------------------------------------------------------------------
 
@@ -34,6 +35,30 @@ def test_blocks_follow_ids(spark):
     assert max(Counter(b for _, b in rows).values()) < 200
 
 
+def test_a_hot_id_and_rows_without_one_are_spread(spark):
+    """A third of the rows share an id and a third have none: no block holds many of them, and blocks still follow the ids."""
+    key = F.when(F.col("id") < 400, F.lit(77)).when(F.col("id") < 800, F.lit(None)).otherwise(F.col("id") - 800)
+    docs = spark.range(1200).select(key.cast("long").alias("doc_id"), F.concat(F.lit("text "), F.col("id").cast("string")).alias("text"))
+    placed, n = blocks.in_blocks(docs, "doc_id", 12_000, 600, "text")
+    rows = [(r["_row"]["doc_id"], r["_block"]) for r in placed.collect()]
+    assert max(Counter(b for _, b in rows).values()) < 150 and len({b for _, b in rows}) >= 15
+    known = sorted((i, b) for i, b in rows if i is not None)
+    for (i, b), (j, c) in zip(known, known[1:]):
+        assert b <= c or i == j
+    assert max(b for _, b in known) <= min(b for i, b in rows if i is None)
+
+
+def test_blocks_of_two_levels(spark, monkeypatch, corpus, documents):
+    monkeypatch.setattr(blocks, "ONE_LEVEL", 4)
+    docs = spark.range(3000).select((F.col("id") * 7 % 3000).alias("doc_id"), F.lit("xx").alias("text"))
+    placed, n = blocks.in_blocks(docs, "doc_id", 6000, 150)
+    rows = sorted((r["_row"]["doc_id"], r["_block"]) for r in placed.collect())
+    assert n == 40 and [b for _, b in rows] == sorted(b for _, b in rows) and len({b for _, b in rows}) >= 36
+    assert max(Counter(b for _, b in rows).values()) < 200
+    got = substring_dedup.dedup(documents, block_bytes=20_000).select("doc_id", "n_words", "n_removed", "kept_text")
+    assert sorted(tuple(r) for r in got.collect()) == without_repeats(corpus)
+
+
 # ---- substring dedup ------------------------------------------------------------------
 
 
@@ -78,6 +103,30 @@ def test_strange_substrings(strange, nothing):
     assert substring_dedup.dedup(nothing).count() == 0
 
 
+def test_mirrored_words_are_no_repeat(spark):
+    """Words of equal hashes under a polynomial modulo a power of two: different, and nothing of them is dropped or linked."""
+    a, b = mirrored(512)
+    rest = " ".join(f"w{k}" for k in range(19))
+    rows = [(1, f"{a} {rest}"), (2, f"{b} {rest}"), (3, f"{a} {rest}")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["n_removed"] for r in substring_dedup.dedup(docs).collect()}
+    assert got == {1: 0, 2: 0, 3: 20}
+    pair = [(1, f"q {a} r s"), (2, f"q {b} r s"), (3, f"q {a} r s")]
+    near = {r["doc_id"]: r["component_id"] for r in minhash_dedup.dedup(spark.createDataFrame(pair, docs.schema)).collect()}
+    assert near == {1: 1, 2: 2, 3: 1}
+    scored = lm_scoring.fit_and_score(spark.createDataFrame([(1, a), (2, b)], docs.schema), F.col("doc_id") == 1)
+    assert {r["doc_id"]: r["n_known"] for r in scored.collect()} == {1: 2, 2: 1}
+
+
+def test_cut_texts_keep_the_rest_as_it_is(spark):
+    twenty = " ".join(f"w{k}" for k in range(20))
+    spread = twenty.replace(" ", "\n\t ")
+    rows = [(1, f"  {twenty}"), (2, "def f(x):\n    return x  "), (3, f"begin\n {spread}  \n\nend\t"), (4, f"\t{spread}  "), (5, f"start \n{twenty}\n"), (6, None), (7, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: (r["n_removed"], r["kept_text"]) for r in substring_dedup.dedup(docs, cut=True).collect()}
+    assert got == {1: (0, rows[0][1]), 2: (0, rows[1][1]), 3: (20, "begin\n end\t"), 4: (20, ""), 5: (20, "start"), 6: (0, None), 7: (0, "")}
+
+
 # ---- exact dedup ----------------------------------------------------------------------
 
 
@@ -344,6 +393,18 @@ def test_base_scores(spark, sf_dir, corpus):
     assert sum(r["score"] for r in out) > sum(r["base_score"] for r in out)
 
 
+def test_what_is_learned_does_not_depend_on_partitions(spark, sf_dir, monkeypatch):
+    """Held-out probability over that of counts alone: the same from 1 and from 64 partitions, and well above the base score."""
+    docs = spark.read.parquet(f"{sf_dir.replace('sf0.001', 'sf0.01')}/documents.parquet").select("doc_id", "text")
+    gains = {}
+    for parts, shard in ((1, lm_scoring.SHARD_TOKENS), (64, lm_scoring.SHARD_TOKENS), (8, 50_000)):
+        scored = lm_scoring.fit_and_score(docs.repartition(parts), ~queries.held_out(7, 2), shard_tokens=shard)
+        r = scored.where(queries.held_out(7, 2)).agg(F.sum("base_score").alias("b"), F.sum("score").alias("s")).first()
+        gains[parts] = (r["s"] - r["b"]) / -r["b"]
+    assert gains[1] > 0.035 and gains[64] == pytest.approx(gains[1], rel=0.1)
+    assert gains[8] > 0.01  # shards far too small still learn
+
+
 def test_network_words_grow_with_the_corpus(spark):
     """Far more than 512 words are known one by one, and the others are told apart by classes."""
     rng = np.random.default_rng(1)
@@ -414,7 +475,8 @@ def test_pipeline(spark, sf_dir, documents, vocabulary, tmp_path):
     assert {r["doc_id"] for r in after} == {i for i, _, _, k in near_components(before.items()) if k}
 
     before, after = steps["substring_dedup"]
-    assert {(r["doc_id"], r["text"]) for r in after} == {(i, t) for i, _, _, t in without_repeats(sorted(before.items()))}
+    # the words that stay; how the rest of a text stays is the next test's
+    assert {(r["doc_id"], " ".join(words(r["text"]))) for r in after} == {(i, t) for i, _, _, t in without_repeats(sorted(before.items()))}
     assert all(r["n_chars"] == len(r["text"]) for r in after)
 
     before, after = steps["packing"]
@@ -423,6 +485,23 @@ def test_pipeline(spark, sf_dir, documents, vocabulary, tmp_path):
     assert all(r["ids_crc32"] == zlib.crc32(r["ids"]) for r in after)
 
 
+def test_stages_leave_unrepeated_texts_alone(spark, sf_dir, documents):
+    """What a stage keeps is, byte for byte, what it was given; only words that the fourth stage removes are cut."""
+    docs = documents
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        after = materialize(stage(spark, docs, sf_dir), name)
+        assert after.columns == documents.columns
+        if name == "substring_dedup":
+            gone = {r[0]: r[2] for r in without_repeats(sorted((r["doc_id"], r["text"]) for r in docs.collect()))}
+            same = {i for i, n in gone.items() if not n}
+            assert len(same) > 100 and max(gone.values()) > 0
+            kept = after.where(F.col("doc_id").isin(sorted(same)))
+            assert kept.count() == len(same) and kept.exceptAll(docs).count() == 0
+        else:
+            assert after.exceptAll(docs).count() == 0
+        docs = after
+
+
 def test_pipeline_on_strange_rows(spark, sf_dir, strange, nothing):
     for docs, n in ((strange.where("doc_id is not null"), 1), (nothing, 0)):
         columns = docs.columns

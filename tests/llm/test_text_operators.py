@@ -1,10 +1,15 @@
 """Operators that look at each text by itself: rules, licences, classifier, piece codec, WARC."""
 
+import base64
+import gzip
+import hashlib
+import html
 import re
+import time
 
 import numpy as np
 import pytest
-from llm_rows import STRANGE, lower, words
+from llm_rows import STRANGE, lower, mirrored, words
 from pyspark.sql import functions as F
 
 from tickloom.llm import arrays, license_scan, quality_classifier, quality_rules, queries, sentencepiece_codec, warc
@@ -38,6 +43,32 @@ def test_window_hashes_depend_on_order_and_size():
     assert arrays.FIRST.windows(h, np.array([0]), 3)[0] not in two
 
 
+def test_windows_hash_alike_only_if_their_words_do():
+    h = np.random.default_rng(1).integers(0, 3, 400).astype(np.uint64)
+    for size in (1, 2, 3, 5, 20, 31):
+        first, same = np.arange(400 - size + 1), {}
+        for i, x in zip(first, arrays.FIRST.windows(h, first, size)):
+            assert same.setdefault(tuple(h[i : i + size]), x) == x
+        assert len(set(same.values())) == len(same)
+        assert arrays.FIRST.windows(h, np.array([17]), size)[0] == same[tuple(h[17 : 17 + size])]
+
+
+@pytest.mark.parametrize("letters", [8, 16, 64, 512, 4096])
+def test_no_words_share_a_hash_by_structure(letters):
+    """Words that a polynomial modulo a power of two cannot tell apart, whatever its base."""
+    a, b = mirrored(letters)
+    data = np.frombuffer(f"{a} {b}".encode(), np.uint8)
+    for hashes in arrays.hashed_words(data, np.array([0, len(data)]), (arrays.FIRST, arrays.SECOND, *arrays.secret_hashers(1))).hashes:
+        assert hashes[0] != hashes[1]
+
+
+def test_repeats_of_mirrored_words(spark):
+    a, b = mirrored(512)
+    docs = spark.createDataFrame([(1, f"x y {a} x y {b}"), (2, f"x y {a} x y {a}")], "doc_id long, text string")
+    got = {r["doc_id"]: r["n_repeat_words"] for r in quality_rules.judge(docs).collect()}
+    assert got == {1: 0, 2: 6}
+
+
 def test_recent_keeps_what_is_used():
     memory = Recent(3)
     for batch in ("ab", "ac", "ad", "ae", "af"):
@@ -147,6 +178,22 @@ def test_identifier_tag():
     assert r["score"] == 0.2
 
 
+@pytest.mark.parametrize("text, n_base, expressions", [
+    (b"// SPDX-License-Identifier: MIT OR Apache-2.0\n" * 120_000, 0, 120_000),
+    (b"SPDX-License-Identifier: MIT " * 180_000, 0, 180_000),
+    (b"released under the MIT license. all rights reserved, " * 100_000, 100_000, 0),
+    (b"SPDX-License-Identifier: x" + b" and SPDX-License-Identifier" * 150_000, 0, 1),
+    (b"SPDX-License-Identifier: " + b"(" * 4_000_000 + b"MIT", 0, 1),
+    (b" ".join(b"SPDX-License-Identifier: own-%d" % i for i in range(150_000)), 0, 150_000),
+    (b"SPDX-License-Identifier: a" + b" with a" * 600_000, 0, 1),
+])
+def test_very_long_texts_take_linear_time(text, n_base, expressions):
+    begun = time.perf_counter()
+    found = license_scan.scan(text)
+    assert (found["n_base"], len(found["expressions"])) == (n_base, expressions)
+    assert time.perf_counter() - begun < 60  # some seconds; a quadratic scan takes hours
+
+
 def test_licenses_on_strange_rows(strange, nothing):
     rows = license_scan.scan_licenses(strange).collect()
     assert len(rows) == len(STRANGE) and rows[0]["ids"] == "own ids" and rows[0]["labels"] == ""
@@ -319,6 +366,57 @@ def test_records_survive_a_file(spark, sf_dir, tmp_path):
     assert back.count() == every.count() and every.exceptAll(back).count() == 0
 
 
+def test_files_of_any_name(spark, tmp_path):
+    """Files as crawlers write them: any name, folders, one gzip member a record, and bytes that are no text."""
+    def record(kind, rid, block):
+        head = f"WARC/1.0\r\nWARC-Type: {kind}\r\nWARC-Record-ID: <{rid}>\r\nContent-Length: {len(block)}\r\n\r\n"
+        return head.encode() + block + b"\r\n\r\n"
+
+    blocks = {f"urn:{k}": bytes(range(256)) * k + b"\r\n\r\nWARC/1.0 " for k in range(6)}
+    raw = [record("response", rid, b) for rid, b in blocks.items()]
+    (tmp_path / "a").mkdir()
+    (tmp_path / "crawl-0001.warc.gz").write_bytes(b"".join(gzip.compress(r) for r in raw[:3]))
+    (tmp_path / "a" / "plain.warc").write_bytes(b"".join(raw[3:5]))
+    (tmp_path / "a" / "part-00000").write_bytes(raw[5])
+    got = {r["record_id"]: bytes(r["block"]) for r in warc.read(spark, str(tmp_path)).collect()}
+    assert got == {f"<{rid}>": b for rid, b in blocks.items()}
+
+
+def test_derivatives_against_plain_python(spark, sf_dir):
+    """Every record of the query, made again from the pages by rules written down here."""
+    pages = {r["page_id"]: r for r in spark.read.parquet(f"{sf_dir}/pages.parquet").collect()}
+    made = {}
+    for r in queries.QUERIES["op9_warc_derivatives"](spark, sf_dir).collect():
+        made.setdefault(r["page_id"], {})[r["warc_type"]] = r
+    assert made.keys() == pages.keys()
+    sha = lambda b: "sha1:" + base64.b32encode(hashlib.sha1(b).digest()).decode()
+    for i, page in pages.items():
+        raw = (page["html"] or "").encode()
+        head = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(raw)}\r\n\r\n".encode()
+        meta, text = made[i]["metadata"], made[i]["conversion"]
+        fields = [x.split(": ", 1) for x in meta["block"].split("\r\n") if ": " in x]
+        said = dict(fields)
+        assert meta["refers_to"] == text["refers_to"] == said["source-record"] and said["conversion-record"] == text["record_id"]
+        assert said["source-block-digest"] == sha(head + raw) and said["source-payload-digest"] == sha(raw)
+        assert said["text-digest"] == text["block_digest"] == sha(text["block"].encode())
+        assert (said["source-status"], said["source-header-content-length"]) == ("HTTP/1.1 200 OK", str(len(raw)))
+        seen = re.sub(r"(?is)<!--.*?-->|<(script|style)\b.*?</\1\s*>", " ", page["html"] or "")
+        want = re.findall(r"\w+", html.unescape(re.sub(r"<[a-zA-Z/!][^>]*>", " ", seen)))
+        assert "".join(want) == "".join(re.findall(r"\w+", text["block"]))
+        links = [html.unescape(a or b) for a, b in re.findall(r"""(?is)<a\b[^>]*?\bhref\s*=\s*(?:"([^"]*)"|'([^']*)')""", seen)]
+        assert [v for k, v in fields if k == "outlink"] == links
+
+
+def test_bags_fit_the_bound():
+    rng = np.random.default_rng(2)
+    for _ in range(50):
+        n, total = rng.integers(1, 600, 40).tolist(), int(rng.integers(50, 20_000))
+        size = quality_classifier.bag_size(n, total, 512)
+        held = sum(min(x, size) for x in n)
+        assert size == 1 or held <= total
+        assert size == 512 or sum(min(x, size + 1) for x in n) > total
+
+
 @pytest.mark.parametrize("page, text", [
     ("<p>a<br>b</p><script>var t='</p>';</script>c &amp; d", "a\nb\nc & d"),
     ("x<!-- gone --> y<style>p{}</style><b>z</b>", "x yz"),
