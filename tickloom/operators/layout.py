@@ -78,7 +78,9 @@ def time_chunks(
     )
 
 
+#: Answers of `crowded_slots`, the latest KNOWN of them (a stream asks for every micro-batch).
 _CROWDED: dict[tuple, DataFrame | None] = {}
+KNOWN = 64
 
 
 def crowded_slots(
@@ -101,6 +103,8 @@ def crowded_slots(
         width = F.greatest(F.floor(F.lit(slot_ms * hot_rows) / F.col("_cnt")).cast("bigint"), F.lit(1).cast("bigint"))
         crowded = counts.filter(F.col("_cnt") > hot_rows).select("symbol", "_wide", width.alias("_width"))
         _CROWDED[known] = None if crowded.isEmpty() else crowded
+        while len(_CROWDED) > KNOWN:
+            del _CROWDED[next(iter(_CROWDED))]
     return _CROWDED[known]
 
 
@@ -154,6 +158,13 @@ def with_previous(
     return joined.withColumns(previous).select(*df.columns, *previous)
 
 
+def _slot_counts(df: DataFrame, time: str, slot_ms: int, hot_rows: int | None, even: bool) -> tuple[DataFrame, DataFrame]:
+    """`df` with `_slot`, and rows per symbol and slot."""
+    hot = None if even else crowded_slots(df, time, slot_ms, hot_rows)
+    placed = with_slots(df, hot, F.col(time), slot_ms).drop("_wide", "_width")
+    return placed, placed.groupBy("symbol", "_slot").agg(F.count(F.lit(1)).alias("_cnt"))
+
+
 def with_rank(
     df: DataFrame,
     order: Sequence[str] = ("event_time_ms", "id"),
@@ -170,10 +181,7 @@ def with_rank(
     `_rn_first` is the number of the first row at the same time. `even` says that no
     slot can be crowded (candles), so none is looked for.
     """
-    time = order[0]
-    hot = None if even else crowded_slots(df, time, slot_ms, hot_rows)
-    placed = with_slots(df, hot, F.col(time), slot_ms).drop("_wide", "_width")
-    counts = placed.groupBy("symbol", "_slot").agg(F.count(F.lit(1)).alias("_cnt"))
+    placed, counts = _slot_counts(df, order[0], slot_ms, hot_rows, even)
     by_slot = Window.partitionBy("symbol").orderBy(F.col("_slot").desc() if descending else F.col("_slot"))
     offsets = counts.select(
         "symbol", "_slot",
@@ -235,13 +243,17 @@ def per_symbol_to_rank_chunks(stats: DataFrame, n: str = "_n", size: int = RANK_
     return stats.withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
 
 
-def attach_per_symbol(chunked: DataFrame, stats: DataFrame, source: DataFrame, how: str = "inner") -> DataFrame:
+def attach_per_symbol(
+    chunked: DataFrame, stats: DataFrame, source: DataFrame, how: str = "inner", time: str = "event_time_ms",
+    slot_ms: int = SLOT_MS, even: bool = False,
+) -> DataFrame:
     """Join a one-row-per-symbol table to rows cut by `rank_chunks`.
 
-    `source` is the table whose rows were numbered; its row counts say how many
-    chunks each symbol has.
+    `source` is the table whose rows were numbered (`time`, `slot_ms` and `even` as then); its row counts say how many
+    chunks each symbol has. They are added up from the counts per slot that the numbering rests on, so no row is counted again.
     """
-    sizes = source.groupBy("symbol").agg(F.count(F.lit(1)).alias("_size"))
+    _, counts = _slot_counts(source, time, slot_ms, None, even)
+    sizes = counts.groupBy("symbol").agg(F.sum("_cnt").alias("_size"))
     spread = per_symbol_to_rank_chunks(stats.join(sizes, "symbol"), "_size").drop("_size")
     return chunked.join(spread, ["symbol", "_chunk"], how)
 

@@ -169,9 +169,12 @@ def spike_class_shares(ticks: DataFrame) -> DataFrame:
     return counts.select("symbol", "spike_class", "n", share(F.col("n"), whole).alias("pct"))
 
 
+CANDLE_SLOT_MS = 3_600_000
+
+
 def chunked_candles(candle_rows: DataFrame, after: int = LOOKAHEAD) -> DataFrame:
     """Candles in even chunks, with `after` following candles at hand; `_rn`, `_n` count candles."""
-    return rank_chunks(with_rank(candle_rows, order=("time_ms",), slot_ms=3_600_000, even=True), after=after)
+    return rank_chunks(with_rank(candle_rows, order=("time_ms",), slot_ms=CANDLE_SLOT_MS, even=True), after=after)
 
 
 def candle_class_of(body: Column, after: Column) -> Column:
@@ -231,7 +234,7 @@ def edge_table(ticks: DataFrame, lookahead: int = LOOKAHEAD, min_moves: int = 50
     levels = nearest_ranks(base, ["symbol"], "move", probs).filter(F.col("n") >= min_moves).drop("n")
     w = chunk_window("_rn")
     rows = (
-        attach_per_symbol(chunked_candles(all_candles, lookahead), levels, all_candles)
+        attach_per_symbol(chunked_candles(all_candles, lookahead), levels, all_candles, time="time_ms", slot_ms=CANDLE_SLOT_MS, even=True)
         .withColumn("close_ahead", F.lead("close", lookahead).over(w))
         .filter(F.col("_home") & F.col("close_ahead").isNotNull() & (F.col("open") > 0))
         .withColumn("body", body_pct())
@@ -293,7 +296,7 @@ def symbol_profile(ticks: DataFrame, lookahead: int = LOOKAHEAD, min_candles: in
     )
     w = chunk_window("_rn")
     rows = (
-        attach_per_symbol(chunked_candles(all_candles, lookahead), levels, all_candles)
+        attach_per_symbol(chunked_candles(all_candles, lookahead), levels, all_candles, time="time_ms", slot_ms=CANDLE_SLOT_MS, even=True)
         .withColumn("close_ahead", F.lead("close", lookahead).over(w))
         .filter(F.col("_home") & (F.col("open") > 0))
         .withColumn("body", body_pct())

@@ -18,6 +18,8 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, memory: str
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
+        # small shuffles are spread over the cores of one machine instead of being put together in one task
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "128k")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", memory)
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
