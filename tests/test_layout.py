@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from tickloom.functions import ranks
 from tickloom.functions.ranks import exact_ranks, nearest_ranks
 from tickloom.operators import asof, features, layout
 
@@ -192,3 +193,35 @@ def test_asof_far_apart(spark):
     probes = spark.createDataFrame([(k, s, t) for k, (s, t, _) in enumerate(asked)], "k long, symbol string, target_ms long")
     got = {r["k"]: r["found_price"] for r in asof.asof_forward(probes, ticks).collect()}
     assert got == {k: p for k, (_, _, p) in enumerate(asked)}
+
+
+@pytest.mark.parametrize("crowd", [5, 100_000])
+def test_ranks_inside_a_crowded_bucket(spark, crowd):
+    """Values that agree in many places, two far clusters, repeats and several groups: the same ranks however often a bucket is narrowed."""
+    rng = random.Random(11)
+    values = {
+        "close": [0.5 + k * 1e-15 for k in range(400)],
+        "clusters": [1.0 + rng.random() * 1e-12 for _ in range(300)] + [1.01 + rng.random() * 1e-9 for _ in range(300)],
+        "repeats": [rng.choice([2.0, 2.0000001, 2.0000002, -2.0, 0.0]) for _ in range(500)],
+        "wide": [rng.gauss(0, 1) * 10 ** rng.randint(-9, 9) for _ in range(500)],
+    }
+    df = spark.createDataFrame([(g, v) for g, vs in values.items() for v in vs], "g string, v double").repartition(5)
+    at = {f"q{k}": (lambda n, q=k / 10: F.least(F.floor(n * F.lit(q)).cast("bigint"), n - 1)) for k in range(11)}
+    got = {r["g"]: r for r in exact_ranks(df, ["g"], "v", at, crowd=crowd).collect()}
+    for g, vs in values.items():
+        vs = sorted(vs)
+        assert got[g]["n"] == len(vs)
+        assert [got[g][f"q{k}"] for k in range(11)] == [vs[min(int(len(vs) * (k / 10)), len(vs) - 1)] for k in range(11)]
+
+
+def test_a_million_values_of_one_bucket_are_not_one_task(spark):
+    """What is left to sort after narrowing is small, though all values lie in one logarithmic bucket."""
+    df = spark.range(1_000_000).select((F.lit(0.5) + F.col("id") * 1e-12).alias("v"))
+    got = exact_ranks(df, [], "v", {"m": lambda n: F.floor(n / 2).cast("bigint")}, crowd=1000)
+    assert got.first()["m"] == 0.5 + 500_000 * 1e-12
+    assert ranks.value_bucket(F.lit(0.5)) is not None and df.select(ranks.value_bucket(F.col("v")).alias("b")).distinct().count() == 1
+    counted = df.select(ranks.value_bucket(F.col("v")).alias("_vb"), F.col("v").alias("_v"), F.lit(1).cast("long").alias("_c"))
+    extent = [F.count(F.lit(1)).alias("_d"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")]
+    hit = counted.groupBy("_vb").agg(*extent).select("_vb", F.lit("m").alias("_name"), F.lit(10**6).alias("n"), F.lit(500_000).cast("long").alias("_k"), "_d", "_lo", "_hi")
+    left = ranks._narrowed(counted, hit, [], extent).collect()
+    assert len(left) == 1 and left[0]["_d"] < 100
