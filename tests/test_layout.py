@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tickloom.functions import ranks
 from tickloom.functions.ranks import exact_ranks, nearest_ranks
-from tickloom.operators import asof, features, layout
+from tickloom.operators import asof, extremes, features, labels, layout
 
 
 @pytest.fixture(scope="module")
@@ -225,3 +225,42 @@ def test_a_million_values_of_one_bucket_are_not_one_task(spark):
     hit = counted.groupBy("_vb").agg(*extent).select("_vb", F.lit("m").alias("_name"), F.lit(10**6).alias("n"), F.lit(500_000).cast("long").alias("_k"), "_d", "_lo", "_hi")
     left = ranks._narrowed(counted, hit, [], extent).collect()
     assert len(left) == 1 and left[0]["_d"] < 100
+
+
+@pytest.mark.parametrize("fan, levels", [(4, 6), (16, 3), (512, 4)])
+def test_extremes_of_ranges(spark, fan, levels):
+    """Ranges of one row, inside a block, over several blocks of blocks; nulls do not count."""
+    rng = random.Random(7)
+    values = {s: [None if rng.random() < 0.05 else rng.gauss(0, 1) for _ in range(n)] for s, n in (("A", 900), ("B", 37), ("C", 1))}
+    rows = spark.createDataFrame([(s, i, v) for s, vs in values.items() for i, v in enumerate(vs, 1)], "symbol string, _rn long, v double")
+    asked = []
+    for s, vs in values.items():
+        for _ in range(150):
+            a = rng.randint(1, len(vs))
+            asked.append((s, len(asked), a, rng.choice([a, min(len(vs), a + rng.randint(0, 9)), rng.randint(a, len(vs)), len(vs)])))
+    ranges = spark.createDataFrame(asked, "symbol string, _q long, _a long, _b long")
+    got = {r["_q"]: (r["highest"], r["lowest"]) for r in extremes.range_extremes(rows, ranges, "v", levels, fan).collect()}
+    for s, q, a, b in asked:
+        held = [v for v in values[s][a - 1 : b] if v is not None]
+        assert got[q] == ((max(held), min(held)) if held else (None, None))
+
+
+@pytest.mark.parametrize("most", [7, 200, 350, None])
+def test_paths_and_rates_of_any_number_of_ticks(tape, most):
+    """A dense tape: the path and the trade rate end at the minute or after `most` ticks, whichever is first."""
+    rng = random.Random(3)
+    t, rows = 0, []
+    for _ in range(900):
+        t += rng.choice([0, 1, 20, 150, 400])
+        rows.append((t, 100 + rng.gauss(0, 1)))
+    ticks = tape(rows)
+    paths = {r["id"]: (r["path_ticks"], r["highest"], r["lowest"]) for r in labels.future_extremes(ticks, path_rows=most).collect()}
+    rates = {r["id"]: r["trade_rate_1m"] for r in features.tick_features(ticks, rate_rows=most).collect()}
+    seen = 0
+    for k in range(100, 900, 10):
+        ahead = [p for x, p in rows if rows[k][0] <= x <= rows[k][0] + 60_000][:most]
+        assert paths.get(k + 1) == ((len(ahead), max(ahead), min(ahead)) if len(ahead) >= 5 else None)
+        rate = sum(rows[k][0] - 60_000 <= x for x, _ in rows[:k])
+        assert rates[k + 1] == (rate if most is None else min(rate, most))
+        seen += rate > 200
+    assert seen > 20

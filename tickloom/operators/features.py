@@ -100,24 +100,24 @@ def _level(p: float) -> Column:
     return F.try_element_at("_moves", F.floor(F.col("_k") * F.lit(p)).cast("int") + F.lit(1))
 
 
-def trade_rate(ticks: DataFrame, window: int = WINDOW, stride: int = STRIDE) -> DataFrame:
-    """(symbol, id, trade_rate_1m) of the sampled ticks: all ticks of the last minute before each, by row numbers."""
+def trade_rate(ticks: DataFrame, window: int = WINDOW, stride: int = STRIDE, rate_rows: int | None = None) -> DataFrame:
+    """(symbol, id, trade_rate_1m) of the sampled ticks: ticks of the last minute before each, by row numbers; at most `rate_rows`."""
     ranked = with_rank(ticks.select("id", "symbol", "event_time_ms"))
     asked = ranked.filter(is_sampled(window, stride)).withColumn("target_ms", F.col("event_time_ms") - MINUTE)
     found = asof_forward(asked, ranked, offsets=(-MINUTE,), fetch=("_rn",), crowd=ticks)
-    return found.select("symbol", "id", (F.col("_rn") - F.col("found__rn")).alias("trade_rate_1m"))
+    rate = F.col("_rn") - F.col("found__rn")
+    return found.select("symbol", "id", (rate if rate_rows is None else F.least(rate, F.lit(rate_rows))).alias("trade_rate_1m"))
 
 
 def tick_features(ticks: DataFrame, window: int = WINDOW, stride: int = STRIDE, rate_rows: int | None = RATE_ROWS) -> DataFrame:
     """Feature rows with move, rank, z-score, bucket, spread, flips, range, volatility, rate, hour, latency.
 
-    The published trade rate counts at most the 200 ticks before; `rate_rows=None` counts the whole minute.
+    The published trade rate counts at most the 200 ticks before; `rate_rows=None` counts the whole minute, any other number
+    at most so many.
     """
-    if rate_rows is None:
-        cut = tick_features(ticks, window, stride)
-        return cut.drop("trade_rate_1m").join(trade_rate(ticks, window, stride), ["symbol", "id"]).select(cut.columns)
     if rate_rows != RATE_ROWS:
-        raise ValueError(f"rate_rows is {RATE_ROWS} or None")
+        cut = tick_features(ticks, window, stride)
+        return cut.drop("trade_rate_1m").join(trade_rate(ticks, window, stride, rate_rows), ["symbol", "id"]).select(cut.columns)
     rows = _with_moves(sampled_windows(ticks, window, stride))
     bucket = (
         F.when(F.col("_spike").isNull(), F.lit(None))

@@ -6,9 +6,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom.functions.scalars import pct_change, rnd, share
-from tickloom.operators.asof import asof_horizons
+from tickloom.operators.asof import asof_forward, asof_horizons
+from tickloom.operators.extremes import range_extremes
 from tickloom.operators.features import PATH_ROWS, STRIDE, WINDOW, is_sampled, tick_blocks
-from tickloom.operators.layout import chunk_of_rank, chunk_window, time_chunks, with_rank
+from tickloom.operators.layout import chunk_of_rank, chunk_window, with_rank
 
 PATH_MS = 60_000
 MIN_PATH = 5
@@ -24,16 +25,22 @@ def path_label_of(up: Column, down: Column, cost: float) -> Column:
     )
 
 
-def _whole_path(ticks: DataFrame, window: int, stride: int) -> DataFrame:
-    """Extremes of all ticks in [t, t + 60 s]: frames over time, in chunks of time with a halo."""
-    cols = with_rank(ticks.select("id", "symbol", "event_time_ms", "price"))
-    rows = time_chunks(cols, before_ms=0, after_ms=PATH_MS).repartition("symbol", "_chunk")
-    ahead = Window.partitionBy("symbol", "_chunk").orderBy("event_time_ms").rangeBetween(0, PATH_MS)
-    found = rows.withColumns({
-        "path_ticks": F.count(F.lit(1)).over(ahead), "highest": F.max("price").over(ahead), "lowest": F.min("price").over(ahead),
-    })
-    return found.filter(F.col("_home") & is_sampled(window, stride) & (F.col("path_ticks") >= MIN_PATH)).select(
-        "symbol", "id", "event_time_ms", "price", "path_ticks", "highest", "lowest")
+def _path_by_rows(ticks: DataFrame, window: int, stride: int, path_rows: int | None) -> DataFrame:
+    """Extremes of the ticks in [t, t + 60 s], at most the first `path_rows`, as ranges of row numbers.
+
+    The end of a path is found by one as-of pass; n log n for any density and any length of path.
+    """
+    ranked = with_rank(ticks.select("id", "symbol", "event_time_ms", "price"), peers=True)
+    asked = ranked.filter(is_sampled(window, stride)).withColumn("target_ms", F.col("event_time_ms") + PATH_MS + 1)
+    found = asof_forward(asked, ranked, offsets=(PATH_MS + 1,), fetch=("_rn",), crowd=ticks)
+    last = F.coalesce(F.col("found__rn") - 1, F.col("_n"))
+    if path_rows is not None:
+        last = F.least(last, F.col("_rn_first") + path_rows - 1)
+    paths = found.select("symbol", "id", "event_time_ms", "price", F.col("_rn").alias("_q"), F.col("_rn_first").alias("_a"), last.alias("_b"))
+    paths = paths.filter(F.col("_b") - F.col("_a") + 1 >= MIN_PATH)
+    best = range_extremes(ranked, paths.select("symbol", "_q", "_a", "_b"), "price")
+    return paths.join(best, ["symbol", "_q"]).select(
+        "symbol", "id", "event_time_ms", "price", (F.col("_b") - F.col("_a") + 1).alias("path_ticks"), "highest", "lowest")
 
 
 def future_extremes(ticks: DataFrame, window: int = WINDOW, stride: int = STRIDE, path_rows: int | None = PATH_ROWS) -> DataFrame:
@@ -41,13 +48,11 @@ def future_extremes(ticks: DataFrame, window: int = WINDOW, stride: int = STRIDE
 
     The published path is the first 200 ticks with time in [t, t + 60 s], from the first tick
     of the same millisecond on. It is read from the 20 following blocks of ticks, a
-    bounded array whatever the density. `path_rows=None` takes all ticks of the minute, at a
-    cost of ticks times ticks a minute. Rows with fewer than 5 path ticks have none.
+    bounded array whatever the density. `path_rows=None` takes all ticks of the minute, any other
+    number the first so many (`extremes.range_extremes`). Rows with fewer than 5 path ticks have none.
     """
-    if path_rows is None:
-        return _whole_path(ticks, window, stride)
     if path_rows != PATH_ROWS:
-        raise ValueError(f"path_rows is {PATH_ROWS} or None")
+        return _path_by_rows(ticks, window, stride, path_rows)
     reach = PATH_ROWS // stride
     blocks = tick_blocks(ticks.select("id", "symbol", "event_time_ms", "price"), stride, after=reach)
     w = chunk_window("block")
