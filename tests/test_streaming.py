@@ -97,6 +97,42 @@ def test_a_late_tick_does_not_reopen_an_outcome(spark, tape, tmp_path):
     assert got == {"price_10s": (101.0, "WIN"), "price_30s": (99.0, "LOSS")}
 
 
+@pytest.mark.parametrize("keep_ms", [None, 7_200_000, 300_000])
+def test_a_signal_that_comes_20_minutes_late(spark, tape, tmp_path, keep_ms):
+    """It settles on the first tick after its horizon, whatever has come since, or is EXPIRED if that tick may be deleted."""
+    ticks, sigs = str(tmp_path / "t"), str(tmp_path / "s")
+    minute = 60_000
+    signal = tape([(0, 100.0)]).select("id", "symbol", "event_time_ms", F.lit("CONT_EDGE").alias("signal"), F.lit("MEDIUM").alias("bucket"), F.col("price").alias("price_entry"))
+    batches = [[(0, 100.0), (9_000, 101.0), (29_000, 90.0)], [(10 * minute, 50.0)], [(19 * minute, 55.0)], [(20 * minute, 60.0), (20 * minute + 1, 61.0)]]
+    put(ticks, *[tape(b, first_id=10 * k + 1) for k, b in enumerate(batches)])
+    put(sigs, *[signal.limit(0)] * 3, signal)
+    job, _ = jobs.outcomes(
+        jobs.file_stream(spark, sigs, signal.schema, files_per_trigger=1),
+        jobs.file_stream(spark, ticks, tape([(0, 1)]).schema, files_per_trigger=1), keep_ms=keep_ms)
+    got = {r["horizon"]: (r["price"], r["result"]) for r in jobs.outcome_rows(spark, job).collect()}
+    if keep_ms == 300_000:
+        assert got == {"price_10s": (None, "EXPIRED"), "price_30s": (None, "EXPIRED")}
+    else:
+        assert got == {"price_10s": (101.0, "WIN"), "price_30s": (90.0, "LOSS")}
+    kept = jobs.read_table(spark, job, "ticks").select("batch").distinct().count()
+    assert kept == (2 if keep_ms == 300_000 else 4)  # each batch's ticks are written once, and old ones deleted
+
+
+def test_a_running_stream_keeps_two_hours(spark, tape, tmp_path):
+    """Eight batches over four hours, one of them with a time stamp in microseconds: the last two hours stay."""
+    path, half = str(tmp_path / "raw"), 1_800_000
+    tapes = [tape([(k * half + x * 60_000, 10.0 + k) for x in range(30)], first_id=100 * k + 1) for k in range(8)]
+    wrong = tape([(0, 1.0)], start=1_704_067_200_000_000, first_id=9_999)
+    put(path, *[src.as_messages(t) for t in tapes[:4]], src.as_messages(tapes[4].unionByName(wrong)), *[src.as_messages(t) for t in tapes[5:]])
+    schema = src.as_messages(tapes[0]).schema
+    job, _ = jobs.ingest(jobs.file_stream(spark, path, schema, files_per_trigger=1), keep_ms=7_200_000)
+    stored = jobs.read_table(spark, job)
+    held = {r["price"] for r in stored.select("price").distinct().collect()}
+    assert held == {1.0, 13.0, 14.0, 15.0, 16.0, 17.0}  # batches 3 to 7 reach into the last two hours; the wrong stamp drops nothing
+    right = stored.filter("price > 1")
+    assert tables.retain_recent(right, right.agg(F.max("event_time_ms")).scalar(), 7_200_000).count() == 121
+
+
 def test_repeats_and_late_rows(spark, tape, tmp_path):
     path = str(tmp_path / "late")
     repeat = tape([(0, 10)]).unionByName(tape([(40_000, 12)], first_id=3))

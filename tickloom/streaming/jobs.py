@@ -27,7 +27,7 @@ from tickloom.operators.outcomes import HORIZONS, verdict
 from tickloom.operators.signals import RUN_STATE, continued, profile_of_candles
 from tickloom.session import fresh_path
 from tickloom.sources.schemas import EVENTS
-from tickloom.sources.tables import drop_folder, event_date, folders
+from tickloom.sources.tables import drop_folder, event_date, folders, retain_recent
 from tickloom.sources.ticks import dead_letters, events_as_ticks, parse_trades
 
 LATENESS = "10 seconds"
@@ -80,6 +80,9 @@ def state_partitions(spark: SparkSession):
         spark.conf.set(key, before)
 
 
+SPANS = "batch int, last_ms bigint, middle_ms bigint"
+
+
 class Store:
     """The tables of a job, one folder for each micro-batch."""
 
@@ -95,6 +98,37 @@ class Store:
             return spark.createDataFrame([], schema)
         return spark.read.schema(schema).parquet(f"{self.path}/{table}/batch={self.batch - 1}")
 
+    def kept_batches(self, rows: DataFrame, keep_ms: int | None, table: str) -> tuple[list[tuple[int, int]], int | None]:
+        """(batch, time of its last event) of the batches of `table` that are still kept, this one (`rows`) included, and the time of
+        the last event of all that are gone.
+
+        A batch goes, with its folder, when its last event is more than `keep_ms` behind the newest time. The newest time is the
+        latest of the batches' median times, so a wrong stamp here and there drops nothing. One small row a batch is state.
+        """
+        spark, time = rows.sparkSession, F.col("event_time_ms")
+        known = {r["batch"]: (r["last_ms"], r["middle_ms"]) for r in self.state(spark, "spans", SPANS).collect()}  # a row a kept batch
+        gone = known.pop(-1, (None, None))[0]
+        last, middle = rows.agg(F.max(time), F.percentile_approx(time, 0.5, 1000)).first()
+        if last is not None:
+            known[self.batch] = (last, middle)
+        newest = max((m for _, m in known.values()), default=0)
+        old = [] if keep_ms is None else [n for n, (x, _) in known.items() if x < newest - keep_ms]
+        for n in old:
+            gone = max(known[n][0], known[n][0] if gone is None else gone)
+            del known[n]
+        left = [(n, *x) for n, x in known.items()] + ([] if gone is None else [(-1, gone, gone)])
+        self.write("spans", spark.createDataFrame(left, SPANS).coalesce(1))
+        for n in old:
+            drop_folder(spark, f"{self.path}/{table}/batch={n}")
+        self.forget(spark, "spans")
+        return [(n, x) for n, (x, _) in known.items()], gone
+
+    def batches(self, spark: SparkSession, table: str, schema: str, numbers: Sequence[int]) -> DataFrame:
+        """The rows of some batches of a table."""
+        if not numbers:
+            return spark.createDataFrame([], schema)
+        return spark.read.schema(schema).parquet(*[f"{self.path}/{table}/batch={n}" for n in numbers])
+
     def forget(self, spark: SparkSession, *tables: str) -> None:
         """State that no repeated batch can ask for any more."""
         for table in tables:
@@ -134,6 +168,12 @@ def read_table(spark: SparkSession, path: str, table: str = "rows") -> DataFrame
     return spark.read.option("basePath", f"{path}/{table}").parquet(f"{path}/{table}/batch=*")
 
 
+def recent_rows(spark: SparkSession, path: str, keep_ms: int, table: str = "rows") -> DataFrame:
+    """The rows of a job's table that are at most `keep_ms` older than its newest one."""
+    rows = read_table(spark, path, table)
+    return retain_recent(rows, rows.agg(F.max("event_time_ms")).scalar(), keep_ms)
+
+
 def newest_rows(spark: SparkSession, path: str, keys: Sequence[str], table: str = "rows") -> DataFrame:
     """The newest version of each row of a table that is written in update mode."""
     rows = read_table(spark, path, table)
@@ -143,9 +183,13 @@ def newest_rows(spark: SparkSession, path: str, keys: Sequence[str], table: str
 
 
 def ingest(
-    messages: DataFrame, symbols: tuple[str, ...] | None = None, path: str | None = None, seconds: int | None = None
+    messages: DataFrame, symbols: tuple[str, ...] | None = None, path: str | None = None, seconds: int | None = None,
+    keep_ms: int | None = None,
 ) -> tuple[str, StreamingQuery]:
-    """Raw messages into the tick table (`rows`, by symbol and day), optionally only some symbols; the unreadable ones into `dead`."""
+    """Raw messages into the tick table (`rows`, by symbol and day), optionally only some symbols; the unreadable ones into `dead`.
+
+    With `keep_ms`, batches whose ticks are all older than that are deleted while the stream runs (`recent_rows` reads the rest).
+    """
 
     def work(batch: DataFrame, store: Store) -> None:
         ticks = parse_trades(batch)
@@ -153,6 +197,8 @@ def ingest(
             ticks = ticks.filter(F.col("symbol").isin(*[s.upper() for s in symbols]))
         store.write("rows", ticks.withColumn("date", event_date()), ("symbol", "date"))
         store.write("dead", dead_letters(batch))
+        if keep_ms is not None:
+            store.kept_batches(ticks, keep_ms, "rows")
 
     return run_batches(messages, "ticks", work, path, seconds)
 
@@ -199,20 +245,22 @@ def streaks(ticks: DataFrame, profile: DataFrame, path: str | None = None, secon
     return run_batches(ticks, "streaks", work, path, seconds)
 
 
-TAIL = "id bigint, symbol string, event_time_ms bigint, price double"
+TICKS = "id bigint, symbol string, event_time_ms bigint, price double"
 OPEN = "id bigint, symbol string, signal string, bucket string, price_entry double, horizon string, target_ms bigint"
 
 
 def outcomes(
-    signals: DataFrame, ticks: DataFrame, horizons: dict[str, int] | None = None, keep_ms: int = 600_000,
+    signals: DataFrame, ticks: DataFrame, horizons: dict[str, int] | None = None, keep_ms: int | None = None,
     path: str | None = None, seconds: int | None = None,
 ) -> tuple[str, StreamingQuery]:
     """Settle signals (symbol, id, event_time_ms, signal, bucket, price_entry) as ticks arrive.
 
-    State: signals whose horizon has no tick yet, and the ticks of the last `keep_ms`. A micro-batch asks
-    for the first tick at or after each open target by one as-of pass, so a signal may come after its
-    horizon has passed, as long as the ticks are kept (else it takes the first that is). A settled
-    outcome stays as it is, whatever ticks come later.
+    A micro-batch writes its own ticks and asks, by one as-of pass, for the first tick at or after each open target. It reads
+    only the batches of ticks that end at the earliest open target or later: the last ones as a rule, older ones for a late
+    signal, and none is written again. State: signals whose horizon has no tick yet, and the time span of each batch.
+
+    With `keep_ms`, batches of ticks older than that are deleted. A target that the deleted ticks might have answered cannot be
+    settled rightly any more: it ends as EXPIRED, without a price. A settled outcome stays as it is, whatever ticks come later.
     """
     none = F.lit(None).cast("string")
     as_rows = lambda df, signal, bucket, price: df.select(
@@ -220,24 +268,31 @@ def outcomes(
     both = as_rows(ticks, none, none, F.col("price")).unionByName(
         as_rows(signals, F.col("signal"), F.col("bucket"), F.col("price_entry")))
     steps = F.array(*[F.struct(F.lit(n).alias("name"), F.lit(ms).cast("bigint").alias("ms")) for n, ms in (horizons or HORIZONS).items()])
+    result = ["id", "symbol", "signal", "bucket", "price_entry", "horizon"]
 
     def work(batch: DataFrame, store: Store) -> None:
         spark = batch.sparkSession
         new = batch.filter(F.col("signal").isNull()).select("id", "symbol", "event_time_ms", "price")
-        tape = store.state(spark, "tail", TAIL).unionByName(new)
+        store.write("ticks", new)
+        kept, gone = store.kept_batches(new, keep_ms, "ticks")
         waiting = batch.filter(F.col("signal").isNotNull()).withColumn("_h", F.explode(steps)).select(
             "id", "symbol", "signal", "bucket", F.col("price").alias("price_entry"), F.col("_h.name").alias("horizon"),
             (F.col("event_time_ms") + F.col("_h.ms")).alias("target_ms"))
         asked = store.state(spark, "open", OPEN).unionByName(waiting)
+        lost = F.lit(False) if gone is None else F.col("target_ms") <= gone
+        expired = asked.filter(lost).withColumns({"price": F.lit(None).cast("double"), "result": F.lit("EXPIRED")})
+        asked = asked.filter(~lost)
+        earliest = asked.agg(F.min("target_ms")).first()[0]
+        tape = store.batches(spark, "ticks", TICKS, [n for n, last in kept if earliest is not None and last >= earliest])
         found = asof_forward(asked, tape).persist()
         threshold = config.keyed_case(F.col("bucket"), config.OUTCOME_THRESHOLD, config.DEFAULT_THRESHOLD)
         move: Column = F.coalesce(pct_change(F.col("found_price"), F.col("price_entry")), F.lit(0.0))
-        settled = found.filter(F.col("found_ms").isNotNull()).withColumn("result", verdict(F.col("signal"), move, threshold))
-        store.write("rows", settled.select("id", "symbol", "signal", "bucket", "price_entry", "horizon", F.col("found_price").alias("price"), "result"))
+        settled = found.filter(F.col("found_ms").isNotNull()).withColumns({
+            "price": F.col("found_price"), "result": verdict(F.col("signal"), move, threshold)})
+        store.write("rows", settled.select(*result, "price", "result").unionByName(expired.select(*result, "price", "result")))
         store.write("open", found.filter(F.col("found_ms").isNull()).select(*asked.columns))
-        store.write("tail", tape.filter(F.col("event_time_ms") >= tape.agg(F.max("event_time_ms") - keep_ms).scalar()))
         found.unpersist()
-        store.forget(spark, "open", "tail")
+        store.forget(spark, "open")
 
     return run_batches(both, "outcomes", work, path, seconds)
 
