@@ -12,9 +12,9 @@ Steps:
 
 1. word counts over all training documents: tasks send their distinct words, packed, to the owners of
    hash ranges (see `blocks`), whose counts are written to the shared folder;
-2. training: the training documents, as word ids, are dealt by hash to shards of some two million tokens and to rounds. In each
-   round every shard trains by truncated backpropagation from the common weights and momenta, and both are averaged by
-   tokens, in levels of groups. Shards follow from the texts, so the weights do not depend on partitions or tasks;
+2. training: the training documents, as word ids, are dealt by hash to shards of some four million tokens and to rounds. In each
+   round every shard trains by truncated backpropagation from the common weights, and the shards' weights are averaged by
+   tokens, in levels of groups. Shards follow from the texts, so what is learned does not depend on partitions or tasks;
 3. scoring by blocks of documents: a block asks the owners once for each distinct word's count,
    then computes the base score and the network's score of each document. The texts cross the network
    once, since asking and scoring share one exchange.
@@ -49,10 +49,12 @@ WORDS = 1024
 #: Levels of counts in each doubling.
 LEVELS = 8
 HIDDEN = 16
-ROUNDS = 4
+ROUNDS = 2
 TRAIN_LANES, SCORE_LANES = 512, 1024
 #: Training tokens of a shard, which one task trains on, a part in each round.
-SHARD_TOKENS = 2_000_000
+SHARD_TOKENS = 4_000_000
+#: In training the state starts anew after so many tokens of a document, so that a long one is no longer than a lane.
+SEGMENT = 4096
 LM_BLOCK_BYTES = 3 * BLOCK_BYTES
 #: A task hands its counts on when it holds so many distinct words.
 HELD = 2_000_000
@@ -255,37 +257,35 @@ def train_lanes(tokens: int, rounds: int, most: int = TRAIN_LANES) -> int:
 
 def train(texts_: DataFrame, known: Vocabulary, rounds: int = ROUNDS, hidden: int = HIDDEN, rate: float = 0.01,
           shard_tokens: int = SHARD_TOKENS) -> Network:
-    """Weights after `rounds` rounds. In each of them every shard trains on its texts of that round from the common weights and
-    momenta, and both are averaged by tokens. What is learned depends on the texts, not on partitions or tasks."""
+    """Weights after `rounds` rounds. In each of them every shard trains on its texts of that round from the common weights, and
+    weights are averaged by tokens. What is learned depends on the texts, not on partitions or tasks."""
     n = max(1, len(known.words))
     net = Network(n, round(n**0.5), hidden, rare=len(known.rare_tokens)).with_frequencies(
         known.counts if len(known.words) else np.ones(1), known.rare_tokens)
     rows, count = shards(texts_, known, rounds, shard_tokens)
     kind = np.uint16 if len(known.words) + len(known.rare_tokens) < 1 << 16 else np.uint32
-    schema = "slot int, n long, steps int, weights binary"
-    adam = Adam(net.p, rate)
+    schema = "slot int, n long, weights binary"
 
-    def result(slot: int, n: int, steps: int, flat: np.ndarray) -> pa.Table:
-        return pa.table({"slot": pa.array([slot], pa.int32()), "n": pa.array([n], pa.int64()), "steps": pa.array([steps], pa.int32()),
-                         "weights": pa.array([flat.astype(np.float32).tobytes()], pa.binary())})
+    def result(slot: int, n: int, flat: np.ndarray) -> pa.Table:
+        return pa.table({"slot": pa.array([slot], pa.int32()), "n": pa.array([n], pa.int64()), "weights": pa.array([flat.astype(np.float32).tobytes()], pa.binary())})
 
     def average(key: tuple, table: pa.Table) -> pa.Table:
         sizes = table.column("n").to_pylist()
         flat = sum(np.frombuffer(w.as_py(), np.float32) * np.float64(k) for w, k in zip(table.column("weights"), sizes)) / max(1, sum(sizes))
-        return result(key[0].as_py(), sum(sizes), max(table.column("steps").to_pylist()), flat)
+        return result(key[0].as_py(), sum(sizes), flat)
 
     for r in range(rounds):
-        begun, momenta = net, adam
-        pace = rate * (1 - r / rounds)
+        begun, pace = net, rate / (1 + r)
 
         @lean
         def learn(key: tuple, table: pa.Table) -> pa.Table:
-            own, state = begun.from_flat(begun.flat()), momenta.copied(pace)
+            own = begun.from_flat(begun.flat())
             table = table.sort_by([("_key", "ascending")])
             texts_of = [np.frombuffer(x.as_py(), kind) for x in table.column("ids")]
-            ids, lengths = np.concatenate(texts_of).astype(np.int64), np.array([len(x) for x in texts_of])
-            own.train(ids, lengths, state, train_lanes(len(ids), rounds))
-            return result(key[0].as_py(), len(ids), state.step, np.concatenate([own.flat(), state.flat()]))
+            lengths = np.array([n for x in texts_of for n in (*[SEGMENT] * ((len(x) - 1) // SEGMENT), (len(x) - 1) % SEGMENT + 1)])
+            ids = np.concatenate(texts_of).astype(np.int64)
+            own.train(ids, lengths, Adam(own.p, pace), train_lanes(len(ids), rounds))
+            return result(key[0].as_py(), len(ids), own.flat())
 
         # as many tasks as shards: they are small, but each is some seconds of work
         learned = rows.where(F.col("_round") == r).select("_shard", "_key", "ids").repartition(count, "_shard").groupBy("_shard").applyInArrow(learn, schema)
@@ -293,9 +293,7 @@ def train(texts_: DataFrame, known: Vocabulary, rounds: int = ROUNDS, hidden: in
             if groups < count or groups == 1:
                 learned = learned.withColumn("slot", F.col("slot") % groups).groupBy("slot").applyInArrow(average, schema)
         for x in learned.collect():  # one row
-            flat = np.frombuffer(x["weights"], np.float32)
-            net = begun.from_flat(flat[: len(flat) // 3])
-            adam = momenta.from_flat(flat[len(flat) // 3 :], x["steps"])
+            net = begun.from_flat(np.frombuffer(x["weights"], np.float32))
     return net
 
 

@@ -253,23 +253,6 @@ class Adam:
         self.m = {k: np.zeros_like(v) for k, v in p.items()}
         self.v = {k: np.zeros_like(v) for k, v in p.items()}
 
-    def flat(self) -> np.ndarray:
-        return np.concatenate([d[k].ravel() for d in (self.m, self.v) for k in sorted(d)])
-
-    def from_flat(self, flat: np.ndarray, step: int) -> Adam:
-        out, at = Adam(self.m, self.rate, self.clip), 0
-        for d in (out.m, out.v):
-            for k in sorted(d):
-                d[k] = flat[at : at + d[k].size].reshape(d[k].shape).astype(F32)
-                at += d[k].size
-        out.step = step
-        return out
-
-    def copied(self, rate: float) -> Adam:
-        out = self.from_flat(self.flat(), self.step)
-        out.rate = rate
-        return out
-
     def update(self, p: dict, g: dict, rows: np.ndarray, x: np.ndarray) -> None:
         """`x`: gradients of these rows of the inputs; all other gradients are dense."""
         self.step += 1
