@@ -20,8 +20,14 @@ def test_matches_sql(name, spark, sf_dir, con):
     assert ok, note
 
 
+#: Queries that return fitted weights, or scores that follow from them, which SQL cannot state; `test_learning` compares them with numpy.
+FITTED = {
+    "logreg_fit", "logreg_report", "coefficient_ranking", "isotonic_calibrated", "isotonic_report", "feature_ablation", "signals_scored_fitted",
+}
+
+
 def test_every_tick_query_has_a_twin():
-    assert set(catalog.QUERIES) == set(catalog.ORACLES)
+    assert set(catalog.QUERIES) == set(catalog.ORACLES) | FITTED and not FITTED & set(catalog.ORACLES)
     assert set(ORACLES) <= set(QUERIES)
 
 
