@@ -76,6 +76,13 @@ def load_events(t):
     return src.load_events(t)
 
 
+@on_ticks("load_events_150", f"""SELECT id, symbol, price, quantity, event_time_ms, latency_ms, is_buyer_maker
+  FROM ticks QUALIFY row_number() OVER ({o.W}) <= 150""")
+def load_events_150(t):
+    """A limit that every symbol passes."""
+    return src.load_events(t, limit=150)
+
+
 RETAIN_MS = 300_000
 
 
@@ -240,6 +247,17 @@ def pct_profile(t):
     return out.select("symbol", "n", *[rnd(F.col(c), 8).alias(c) for c in ("p75", "p90", "p99", "mean", "std")])
 
 
+CTES["last_400"] = "SELECT * FROM ticks QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY event_time_ms DESC, id DESC) <= 400"
+CTES["profile_400"] = o.profile_cte("last_400", 0)
+
+
+@on_ticks("recent_profile_400", f"SELECT symbol, n, {PROFILE_SQL} FROM profile_400")
+def recent_profile_400(t):
+    """A limit that most symbols pass."""
+    out = signals.recent_profile(t, last=400)
+    return out.select("symbol", "n", *[rnd(F.col(c), 8).alias(c) for c in ("p75", "p90", "p99", "mean", "std")])
+
+
 # ---- signals -----------------------------------------------------------------------
 
 SERVED = [
