@@ -4,8 +4,12 @@ import base64
 import gzip
 import hashlib
 import html
+import os
 import re
+import subprocess
+import sys
 import time
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -436,3 +440,21 @@ def test_strange_pages(spark):
     assert warc.derivatives(warc.responses(pages.limit(0))).count() == 0
     odd = warc.responses(pages).withColumn("block", F.lit("no http").cast("binary"))
     assert {bytes(r["block"]) for r in warc.derivatives(odd).where("warc_type = 'conversion'").collect()} == {b"no http"}
+
+
+def test_operators_where_workers_lack_the_package(tmp_path):
+    """The package is on the driver's path only and the process runs in another folder."""
+    root = Path(__file__).resolve().parents[2]
+    code = f"""
+import sys
+sys.path.insert(0, {str(root)!r})
+from tickloom.session import local_session
+spark = local_session(2, shuffle_partitions=2, memory="1g")
+from tickloom.llm import license_scan, substring_dedup
+docs = spark.createDataFrame([(1, "under the MIT license"), (2, None)], "doc_id long, text string")
+print("rows", license_scan.scan_licenses(docs).count(), substring_dedup.dedup(docs).count())
+spark.stop()
+"""
+    clean = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=clean, capture_output=True, text=True, timeout=300)
+    assert "rows 2 2" in done.stdout, done.stderr[-2000:]
