@@ -1,10 +1,8 @@
 """Microstructure features of sampled ticks.
 
 A feature row is every `stride`-th tick after the first `WINDOW` ticks of its
-symbol. Because the window length is a multiple of the stride, ticks are first
-folded into blocks of `stride` ticks; the window of a feature row is then exactly
-the ten blocks before it, so the work per tick is a tenth of sliding a 100-row
-frame over every tick.
+symbol. The windows of the sampled ticks are read chunk by chunk (`operators/sampled.py`),
+so the work per tick is a tenth of sliding a 100-row frame over every tick.
 """
 
 from __future__ import annotations
@@ -18,88 +16,18 @@ from tickloom.functions import series
 from tickloom.functions.scalars import rnd
 from tickloom.operators.asof import asof_forward
 from tickloom.operators.layout import (
-    BEFORE_NOW,
     RANK_CHUNK,
     UNTIL_NOW,
-    chunk_of_rank,
     chunk_window,
     oldest_per_symbol,
-    rank_chunks,
     with_rank,
 )
+from tickloom.operators.sampled import MINUTE, RATE_ROWS, STRIDE, WINDOW, sampled_rows
+from tickloom.operators.tape import SUMS, TOTALS, number, totals_at
 
-WINDOW = 100
-STRIDE = 10
-RATE_ROWS = 200
-PATH_ROWS = 200
-MINUTE = 60_000
 EXACT = "decimal(38,18)"  # running totals of quantities and moves
 
 
-def tick_blocks(ticks: DataFrame, stride: int = STRIDE, before: int = 0, after: int = 0) -> DataFrame:
-    """Blocks of `stride` consecutive ticks per symbol, in even chunks.
-
-    Columns: symbol, _chunk, _home, block (0-based), `head` (the first tick) and
-    `items` (time and price of the block's ticks in order). `before` and `after`
-    are halos in blocks.
-    """
-    ranked = with_rank(ticks, peers=True)
-    size = RANK_CHUNK - RANK_CHUNK % stride
-    rows = rank_chunks(ranked, before * stride, after * stride, size)
-    block = chunk_of_rank(F.col("_rn"), stride)
-    head_cols = [c for c in ticks.columns if c != "symbol"] + ["_rn", "_rn_first"]
-    return (
-        rows.repartition("symbol", "_chunk")
-        .groupBy("symbol", "_chunk", block.alias("block"))
-        .agg(
-            F.bool_or("_home").alias("_home"),
-            F.min(F.struct(F.col("_rn").alias("_order"), F.struct(*head_cols).alias("row"))).alias("_h"),
-            F.sort_array(
-                F.collect_list(F.struct("_rn", F.col("event_time_ms").alias("t"), F.col("price").alias("p")))
-            ).alias("items"),
-        )
-        .withColumn("head", F.col("_h.row"))
-        .drop("_h")
-    )
-
-
-def sampled_windows(ticks: DataFrame, window: int = WINDOW, stride: int = STRIDE) -> DataFrame:
-    """Feature rows: the sampled tick, `past` (the `window` ticks before it) and `earlier` (up to 200)."""
-    if window % stride or RATE_ROWS % stride:
-        raise ValueError("stride must divide the window lengths")
-    blocks = tick_blocks(ticks, stride, before=RATE_ROWS // stride)
-    w = chunk_window("block")
-    far = F.flatten(F.collect_list("items").over(w.rowsBetween(-(RATE_ROWS // stride), -1)))
-    rows = blocks.withColumn("earlier", far).filter(F.col("_home") & (F.col("block") >= window // stride))
-    past = F.slice("earlier", F.size("earlier") - (window - 1), window)
-    return rows.select(
-        "symbol", "head.*",
-        F.transform(past, lambda x: x["p"]).alias("past"),
-        F.transform("earlier", lambda x: x["t"]).alias("earlier_ms"),
-    )
-
-
-def _with_moves(rows: DataFrame) -> DataFrame:
-    prev = F.element_at("past", -1)
-    return (
-        rows.withColumn("prev_price", prev)
-        .withColumn(
-            "_spike",
-            F.when(F.col("prev_price") > 0, F.try_divide(F.abs(F.col("price") - F.col("prev_price")), F.col("prev_price")) * 100.0)
-            .otherwise(F.lit(0.0)),
-        )
-        .withColumn("_moves", F.sort_array(series.pct_moves(F.col("past"))))
-        .withColumn("_k", F.size("_moves"))
-        .withColumn("_mean", series.mean(F.col("_moves")))
-        .withColumn("_std", series.std_pop(F.col("_moves")))
-    )
-
-
-def _level(p: float) -> Column:
-    """Nearest-rank element of the sorted window moves."""
-    return F.try_element_at("_moves", F.floor(F.col("_k") * F.lit(p)).cast("int") + F.lit(1))
-
-
 def trade_rate(ticks: DataFrame, window: int = WINDOW, stride: int = STRIDE, rate_rows: int | None = None) -> DataFrame:
     """(symbol, id, trade_rate_1m) of the sampled ticks: ticks of the last minute before each, by row numbers; at most `rate_rows`."""
     ranked = with_rank(ticks.select("id", "symbol", "event_time_ms"))
@@ -118,20 +46,24 @@ def tick_features(ticks: DataFrame, window: int = WINDOW, stride: int = STRIDE,
     if rate_rows != RATE_ROWS:
         cut = tick_features(ticks, window, stride)
         return cut.drop("trade_rate_1m").join(trade_rate(ticks, window, stride, rate_rows), ["symbol", "id"]).select(cut.columns)
-    rows = _with_moves(sampled_windows(ticks, window, stride))
+    return tick_columns(sampled_rows(ticks, window, stride, TICK_COLUMNS, path=False))
+
+
+TICK_COLUMNS = ("quantity", "ingest_time_ms")
+
+
+def tick_columns(rows: DataFrame, more: Sequence[Column | str] = ()) -> DataFrame:
+    """The feature columns of `sampled_rows`, and `more`."""
+    spike = F.col("spike")
     bucket = (
-        F.when(F.col("_spike").isNull(), F.lit(None))
-        .when((F.col("_k") == 0) | (F.col("_spike") < _level(0.75)), F.lit("SMALL"))
-        .when(F.col("_spike") < _level(0.90), F.lit("MEDIUM"))
-        .when(F.col("_spike") < _level(0.99), F.lit("LARGE"))
+        F.when(spike.isNull(), F.lit(None))
+        .when((F.col("moves") == 0) | (spike < F.col("level_75")), F.lit("SMALL"))
+        .when(spike < F.col("level_90"), F.lit("MEDIUM"))
+        .when(spike < F.col("level_99"), F.lit("LARGE"))
         .otherwise(F.lit("EXTREME"))
     )
-    spike = F.col("_spike")
-    rank = F.when(
-        F.col("_k") > 0, F.size(F.filter("_moves", lambda m: m <= F.col("_spike"))) / F.col("_k")
-    ).otherwise(F.lit(0.0))
-    z = F.when(F.col("_std") > 0, rnd((spike - F.col("_mean")) / F.col("_std"), 3)).otherwise(F.lit(0.0))
-    since = F.col("event_time_ms") - MINUTE
+    rank = F.when(F.col("moves") > 0, F.col("below") / F.col("moves")).otherwise(F.lit(0.0))
+    z = F.when(F.col("std") > 0, rnd((spike - F.col("mean")) / F.col("std"), 3)).otherwise(F.lit(0.0))
     hour = F.pmod(
         ((F.col("event_time_ms") - F.pmod("event_time_ms", F.lit(3_600_000))) / 3_600_000).cast("bigint"), F.lit(24)
     )
@@ -144,13 +76,14 @@ def tick_features(ticks: DataFrame, window: int = WINDOW, stride: int = STRIDE,
         F.lit("PENDING").alias("signal"),
         F.lit(0.0).alias("confidence"),
         F.col("quantity").alias("volume"),
-        rnd(series.roll_spread(F.col("past")), 8).alias("spread_est"),
-        rnd(series.flip_rate(F.col("past")), 4).alias("flip_rate"),
-        rnd(series.micro_range(F.col("past")), 6).alias("micro_range"),
-        rnd(F.coalesce(F.col("_std"), F.lit(0.0)), 8).alias("volatility_1m"),
-        F.size(F.filter("earlier_ms", lambda t: t >= since)).cast("bigint").alias("trade_rate_1m"),
+        rnd(F.col("spread"), 8).alias("spread_est"),
+        rnd(F.col("flips"), 4).alias("flip_rate"),
+        rnd(F.col("range"), 6).alias("micro_range"),
+        rnd(F.coalesce(F.col("std"), F.lit(0.0)), 8).alias("volatility_1m"),
+        F.col("rate").cast("bigint").alias("trade_rate_1m"),
         rnd(hour / 24, 4).alias("hour_of_day"),
         (F.col("ingest_time_ms") - F.col("event_time_ms")).alias("latency_ms"),
+        *more,
     )
 
 
@@ -318,42 +251,6 @@ def _flow_output(rows: DataFrame, p: dict[str, Column]) -> DataFrame:
     )
 
 
-RUNNING = ["sum_c", "sum_q", "sum_x", "sum_xx"]   # exact decimals
-COUNTED = ["n_q", "n_x", "n_diff"]
-
-
-def tape_states(ticks: DataFrame) -> DataFrame:
-    """Running totals of the whole tape at every tick, in even chunks of ticks.
-
-    Totals inside a chunk and totals of earlier chunks (`b_…`) are exact decimals, so a
-    difference of two states loses nothing however long the tape or small a quantity is.
-    """
-    w = chunk_window("_rn")
-    run = w.rowsBetween(*UNTIL_NOW)
-    chunked = rank_chunks(with_rank(ticks), before=6, after=1)
-    prev = F.col("_prev")
-    rows = (
-        chunked.withColumn("_prev", F.lag("price").over(w))
-        .withColumn("x", F.when(prev > 0, F.try_divide(F.abs(F.col("price") - prev), prev) * 100.0))
-        .withColumn("_diff", F.coalesce((F.col("x") != F.lag("x").over(w)).cast("int"), F.lit(1)))
-        .withColumns({"std_5": F.stddev_pop("x").over(w.rowsBetween(-4, 0)), "next_d": F.lead("_diff").over(w)})
-        .filter("_home")
-    )
-    parts = {
-        "sum_c": F.coalesce(F.signum(F.col("price") - prev) * F.col("quantity"), F.lit(0.0)), "sum_q": F.col("quantity"),
-        "sum_x": F.coalesce("x", F.lit(0.0)), "sum_xx": F.coalesce(F.col("x") * F.col("x"), F.lit(0.0)),
-        "n_q": (F.col("quantity") > 0).cast("bigint"), "n_x": F.col("x").isNotNull().cast("bigint"), "n_diff": F.col("_diff").cast("bigint"),
-    }
-    rows = rows.withColumns({name: F.sum(part.cast(EXACT) if name in RUNNING else part).over(run) for name, part in parts.items()})
-    totals = rows.groupBy("symbol", "_chunk").agg(*[F.max_by(c, "_rn").alias(f"_t_{c}") for c in parts])
-    earlier = Window.partitionBy("symbol").orderBy("_chunk").rowsBetween(*BEFORE_NOW)
-    exact = lambda c: F.col(f"_t_{c}").cast(EXACT if c in RUNNING else "bigint")
-    bases = totals.select(
-        "symbol", "_chunk", *[F.coalesce(F.sum(exact(c)).over(earlier), F.lit(0)).alias(f"b_{c}") for c in parts]
-    )
-    return rows.select("symbol", "_chunk", "_rn", "price", "std_5", "next_d", *parts).join(bases, ["symbol", "_chunk"])
-
-
 def orderflow_features(ticks: DataFrame, window: int = WINDOW, stride: int = STRIDE) -> DataFrame:
     """Order-flow features of the sampled ticks.
 
@@ -363,8 +260,8 @@ def orderflow_features(ticks: DataFrame, window: int = WINDOW, stride: int = STR
     and is never a model input.
 
     Windows are ranges of row numbers: their ends are found by one as-of pass, counts are
-    differences of row numbers, and sums are differences of two tape states fetched by row
-    number. Nothing holds more than one chunk of ticks, however many ticks a second has.
+    differences of row numbers, and sums are differences of two totals fetched by row
+    number (`operators/tape.py`). Nothing holds more than one chunk of ticks, however many ticks a second has.
     """
     cols = ticks.select("id", "symbol", "event_time_ms", "price", "quantity")
     ranked = with_rank(cols, peers=True)
@@ -375,39 +272,31 @@ def orderflow_features(ticks: DataFrame, window: int = WINDOW, stride: int = STR
         *keys, F.col("_e.name").alias("_name"), (F.col("event_time_ms") + F.col("_e.ms")).alias("target_ms")
     )
     found = asof_forward(probes, ranked, offsets=list(ends.values()), fetch=("_rn",), crowd=ticks)
-    rank = F.coalesce("found__rn", F.when(F.col("_name") == "post", F.col("_n") + 1).otherwise(F.lit(1)))
-    at = found.groupBy(*keys).agg(*[F.max(F.when(F.col("_name") == n, rank)).alias(n) for n in ends])
-    wanted = F.array(*[
-        F.struct(F.lit(name).alias("name"), rn.alias("rn"))
-        for name, rn in (("first", F.col("w2")), ("last", F.col("_rn_first") - 1), ("after", F.col("post") - 1))
-    ])
-    asked = at.withColumn("_q", F.explode(wanted)).select(
-        *keys, *ends, F.col("_q.name").alias("_role"), F.col("_q.rn").alias("_rn"),
-        chunk_of_rank(F.col("_q.rn"), RANK_CHUNK).alias("_chunk"),
-    ).withColumnRenamed("price", "p0")
-    fields = ["price", "std_5", "next_d", *RUNNING, *COUNTED, *[f"b_{c}" for c in (*RUNNING, *COUNTED)]]
-    states = tape_states(cols).select("symbol", "_chunk", "_rn", F.struct(*fields).alias("_state"))
-    met = asked.join(states, ["symbol", "_chunk", "_rn"], "left")
-    keys[3] = "p0"
-    rows = met.groupBy(*keys, *ends).agg(*[
-        F.first(F.when(F.col("_role") == r, F.col("_state")), ignorenulls=True).alias(r) for r in ("first", "last", "after")
-    ])
-
-    def gap(c: str) -> Column:
-        whole = (F.col(f"last.b_{c}") - F.col(f"first.b_{c}")) + (F.col(f"last.{c}") - F.col(f"first.{c}"))
-        return whole.cast("double" if c in RUNNING else "bigint")
-
-    mean = F.try_divide(gap("sum_x"), gap("n_x"))
-    spread = F.greatest(F.try_divide(gap("sum_xx"), gap("n_x")) - mean * mean, F.lit(0.0))
-    var = F.when(gap("n_diff") - F.col("first.next_d") <= 0, F.lit(0.0)).otherwise(spread)
-    has_volume = gap("n_q") > 0
+    name, end = F.col("_name"), F.coalesce("found__rn", F.when(F.col("_name") == "post", F.col("_n") + 1).otherwise(F.lit(1)))
+    # each end asks for the state of one tick: the first of the 2 s, the last before the tick, the last of the half second after it
+    asked = found.select(
+        "symbol", "id", "event_time_ms", F.col("price").alias("p0"), "_rn_first", "_name", end.alias("_end"),
+        F.when(name == "w2", end).when(name == "post", end - 1).otherwise(F.col("_rn_first") - 1).alias("_rn"),
+    )
+    met = totals_at(ranked, asked, RANK_CHUNK)
+    sign = F.when(name == "w2", F.lit(-1)).when(name == "w1", F.lit(1)).otherwise(F.lit(0)).cast("bigint")
+    of = lambda n, c: F.max(F.when(name == n, F.col(c)))
+    rows = met.groupBy("symbol", "id", "event_time_ms", "p0", "_rn_first").agg(
+        *[of(n, "_end").alias(n) for n in ends], *[F.sum(sign * F.col(c)).alias(c) for c in TOTALS],
+        of("w2", "at_next_d").alias("_next_d"), of("w1", "at_std_5").alias("_std_5"), of("post", "at_price").alias("_after"),
+    )
+    total = {c: number(*[F.col(f"{c}{k}") for k in range(3)]) for c in SUMS}
+    mean = F.try_divide(total["x"], F.col("n_x"))
+    spread = F.greatest(F.try_divide(total["xx"], F.col("n_x")) - mean * mean, F.lit(0.0))
+    var = F.when(F.col("n_diff") - F.col("_next_d") <= 0, F.lit(0.0)).otherwise(spread)
+    has_volume = F.col("n_q") > 0
     now = F.col("_rn_first")
     return _flow_output(rows, {
         "n": now - F.col("w2"), "n_1s": now - F.col("w1"), "n_60s": now - F.col("w60"),
-        "signed": F.when(has_volume, gap("sum_c")).otherwise(F.lit(0.0)),
-        "volume": F.when(has_volume, gap("sum_q")).otherwise(F.lit(0.0)),
-        "n_x": gap("n_x"), "std_x": F.sqrt(var), "std_5": F.col("last.std_5"),
-        "n_post": F.col("post") - now, "post_price": F.col("after.price"),
+        "signed": F.when(has_volume, total["c"]).otherwise(F.lit(0.0)),
+        "volume": F.when(has_volume, total["q"]).otherwise(F.lit(0.0)),
+        "n_x": F.col("n_x"), "std_x": F.sqrt(var), "std_5": F.col("_std_5"),
+        "n_post": F.col("post") - now, "post_price": F.col("_after"),
     })
 
 

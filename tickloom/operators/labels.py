@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from tickloom.functions.scalars import pct_change, rnd, share
 from tickloom.operators.asof import asof_forward, asof_horizons
 from tickloom.operators.extremes import range_extremes
-from tickloom.operators.features import PATH_ROWS, STRIDE, WINDOW, is_sampled, tick_blocks
-from tickloom.operators.layout import chunk_of_rank, chunk_window, with_rank
+from tickloom.operators.features import is_sampled
+from tickloom.operators.layout import with_rank
+from tickloom.operators.sampled import PATH_ROWS, STRIDE, WINDOW, sampled_rows
 
 PATH_MS = 60_000
 MIN_PATH = 5
@@ -47,31 +48,15 @@ def future_extremes(ticks: DataFrame, window: int = WINDOW, stride: int = STRIDE
     """Highest and lowest price of the path after each sampled tick.
 
     The published path is the first 200 ticks with time in [t, t + 60 s], from the first tick
-    of the same millisecond on. It is read from the 20 following blocks of ticks, a
+    of the same millisecond on. It is read from the chunk of the tick, a
     bounded array whatever the density. `path_rows=None` takes all ticks of the minute, any other
     number the first so many (`extremes.range_extremes`). Rows with fewer than 5 path ticks have none.
     """
     if path_rows != PATH_ROWS:
         return _path_by_rows(ticks, window, stride, path_rows)
-    reach = PATH_ROWS // stride
-    blocks = tick_blocks(ticks.select("id", "symbol", "event_time_ms", "price"), stride, after=reach)
-    w = chunk_window("block")
-    ahead = blocks.withColumn("ahead", F.flatten(F.collect_list("items").over(w.rowsBetween(0, reach)))).filter("_home")
-    # a sampled tick reads the array of the block that holds the first tick of its millisecond
-    sampled = blocks.filter(F.col("_home") & (F.col("block") >= window // stride)).select(
-        "symbol", chunk_of_rank(F.col("head._rn_first"), stride).alias("block"),
-        F.col("head.id").alias("id"), F.col("head.event_time_ms").alias("event_time_ms"),
-        F.col("head.price").alias("price"), F.col("head._rn_first").alias("_from"),
-    )
-    met = sampled.join(ahead.select("symbol", "block", "ahead"), ["symbol", "block"])
-    offset = (F.pmod(F.col("_from") - 1, F.lit(stride)) + 1).cast("int")
-    path = F.filter(F.slice("ahead", offset, PATH_ROWS), lambda x: x["t"] <= F.col("event_time_ms") + PATH_MS)
-    prices = F.transform(path, lambda x: x["p"])
-    out = met.withColumn("_prices", prices)
-    return out.select(
-        "symbol", "id", "event_time_ms", "price",
-        F.size("_prices").cast("bigint").alias("path_ticks"),
-        F.array_max("_prices").alias("highest"), F.array_min("_prices").alias("lowest"),
+    rows = sampled_rows(ticks, window, stride, past=False)
+    return rows.select(
+        "symbol", "id", "event_time_ms", "price", F.col("path_ticks").cast("bigint").alias("path_ticks"), "highest", "lowest",
     ).filter(F.col("path_ticks") >= MIN_PATH)
 
 
@@ -79,15 +64,18 @@ def path_label(
     ticks: DataFrame, cost: float = 0.01, window: int = WINDOW, stride: int = STRIDE, path_rows: int | None = PATH_ROWS
 ) -> DataFrame:
     """CONTINUATION_UP / CONTINUATION_DOWN / NOISE / ABSORPTION per sampled tick."""
-    rows = future_extremes(ticks, window, stride, path_rows)
-    up = pct_change(F.col("highest"), F.col("price"))
-    down = pct_change(F.col("lowest"), F.col("price"))
-    return rows.select(
+    up, down = path_returns()
+    return future_extremes(ticks, window, stride, path_rows).select(
         "symbol", "id", "event_time_ms", "path_ticks", rnd(up, 6).alias("max_return"), rnd(down, 6).alias("min_return"),
         path_label_of(up, down, cost).alias("micro_label"),
     )
 
 
+def path_returns() -> tuple[Column, Column]:
+    """Highest and lowest return (percent) of a path."""
+    return pct_change(F.col("highest"), F.col("price")), pct_change(F.col("lowest"), F.col("price"))
+
+
 def horizon_label(rows: DataFrame, ticks: DataFrame, bar: float = -0.001) -> DataFrame:
     """1 if the price fell by more than 0.001 % after 10 s / 30 s; rows without both prices are left out."""
     priced = asof_horizons(rows.select("symbol", "id", "event_time_ms", "price"), ticks, {"p10": 10_000, "p30": 30_000})

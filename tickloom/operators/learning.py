@@ -16,9 +16,10 @@ from tickloom import config
 from tickloom.functions.ranks import exact_ranks
 from tickloom.functions.scalars import rnd
 from tickloom.operators import newton
-from tickloom.operators.features import orderflow_features, tick_features
-from tickloom.operators.labels import path_label
+from tickloom.operators.features import TICK_COLUMNS, orderflow_features, tick_columns
+from tickloom.operators.labels import MIN_PATH, path_label_of, path_returns
 from tickloom.operators.layout import in_ranges, newest_per_symbol, slot_start, with_rank
+from tickloom.operators.sampled import sampled_rows
 
 CONTINUATIONS = ("CONTINUATION_UP", "CONTINUATION_DOWN")
 EMBARGO_MS = 60_000
@@ -28,12 +29,14 @@ FOLDS = 5
 def feature_store(ticks: DataFrame, cost: float = 0.01) -> DataFrame:
     """One row per sampled tick: tick features, order flow, and the path label.
 
-    The three parts hold one row per sampled tick (a tenth of the ticks) and join
-    on (symbol, id), which spreads a hot symbol over all tasks.
+    Tick features and labels come from one pass over the chunks. Order flow holds one row per sampled tick (a tenth of the
+    ticks) too and joins on (symbol, id), which spreads a hot symbol over all tasks.
     """
     flow = orderflow_features(ticks).drop("event_time_ms")
-    label = path_label(ticks, cost).select("symbol", "id", "micro_label")
-    return tick_features(ticks).join(flow, ["symbol", "id"], "left").join(label, ["symbol", "id"], "left")
+    label = F.when(F.col("path_ticks") >= MIN_PATH, path_label_of(*path_returns(), cost)).alias("micro_label")
+    rows = tick_columns(sampled_rows(ticks, keep=TICK_COLUMNS), [label])
+    return rows.join(flow, ["symbol", "id"], "left").select(*[c for c in rows.columns if c != "micro_label"],
+                                                            *[c for c in flow.columns if c not in ("symbol", "id")], "micro_label")
 
 
 def dataset(
