@@ -180,3 +180,15 @@ def test_old_days_are_dropped(spark, tape, tmp_path):
     gone = tables.drop_old_days(spark, path, now, day)
     assert [g[-10:] for g in gone] == ["2024-01-01", "2024-01-02"]
     assert spark.read.parquet(path).count() == 2 == tables.retain_recent(ticks, now, day).count()
+
+
+def test_retained_messages_are_written_by_all_tasks(spark, sf_dir, tmp_path, monkeypatch):
+    from tickloom.plans import catalog
+
+    spark.read.parquet(f"{sf_dir}/events.parquet").repartition(4).write.parquet(f"{tmp_path}/events.parquet")
+    made = []
+    monkeypatch.setattr(catalog, "fresh_path", lambda s, name: made.append(str(tmp_path / name)) or made[-1])
+    got = catalog.QUERIES["stream_retention"](spark, str(tmp_path))
+    files = spark.read.parquet(made[0]).inputFiles()
+    assert len(files) > 8  # eight micro-batches, each of several files
+    assert got.count() == spark.read.parquet(f"{sf_dir}/events.parquet").filter("event_type <> 'signup'").count()

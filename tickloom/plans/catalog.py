@@ -1078,25 +1078,27 @@ def stream_ingest(spark, sf_dir):
     return stored.select("symbol", "event_type", "price", "quantity", "event_time_ms", "ingest_time_ms", "trade_id", "is_buyer_maker")
 
 
-def in_files(ticks: DataFrame, files: int) -> str:
-    """The ticks in time order as so many files of one folder, written one after the other: a stream takes each as a micro-batch."""
-    path = fresh_path(ticks.sparkSession, "files")
+def stretches(ticks: DataFrame, count: int) -> list[DataFrame]:
+    """The ticks in `count` stretches of equal time."""
     first, last = ticks.agg(F.min("event_time_ms"), F.max("event_time_ms")).first()
-    step = -(-(last - first + 1) // files) if first is not None else 1
-    for k in range(files if first is not None else 0):
-        part = ticks.filter(F.col("event_time_ms").between(first + k * step, first + (k + 1) * step - 1))
-        part.coalesce(1).write.mode("append").parquet(path)
-    return path
+    if first is None:
+        return [ticks]
+    step = -(-(last - first + 1) // count)
+    return [ticks.filter(F.col("event_time_ms").between(first + k * step, first + (k + 1) * step - 1)) for k in range(count)]
 
 
 @query("stream_retention", """SELECT symbol, price, quantity, event_time_ms, trade_id FROM ticks
   WHERE symbol <> 'SIGNUP' AND event_time_ms >= (SELECT max(event_time_ms) - 7200000 FROM ticks WHERE symbol <> 'SIGNUP')""")
 def stream_retention(spark, sf_dir):
-    """Eight micro-batches of raw messages; the running stream keeps the last two hours."""
-    messages = tape_messages(src.read_ticks(spark, sf_dir)).withColumn("event_time_ms", F.get_json_object("raw", "$.T").cast("long"))
-    path = in_files(messages, 8)
-    source = jobs.file_stream(spark, path, messages.schema, files_per_trigger=1).drop("event_time_ms")
-    job, _ = jobs.ingest(source, keep_ms=7_200_000)
+    """Eight micro-batches of raw messages, a stretch of time each; the stream keeps the last two hours.
+
+    All tasks write a stretch; the job takes what has come as one micro-batch and goes on from there with the next.
+    """
+    path, job = fresh_path(spark, "files"), fresh_path(spark, "ticks")
+    for part in stretches(src.read_ticks(spark, sf_dir), 8):
+        messages = tape_messages(part)
+        messages.write.mode("append").parquet(path)
+        jobs.ingest(jobs.file_stream(spark, path, messages.schema), path=job, keep_ms=7_200_000)
     return jobs.recent_rows(spark, job, 7_200_000).select("symbol", "price", "quantity", "event_time_ms", "trade_id")
 
 
