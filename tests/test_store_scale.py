@@ -49,3 +49,15 @@ def test_store_of_crowded_milliseconds_is_the_brute_force(tape, monkeypatch, siz
             signed = sum(np.sign(p[j] - p[j - 1]) * q[j] for j in window[1:] if p[j] is not None and p[j - 1] is not None)
             assert abs(row["imbalance_20"] - signed / sum(q[j] for j in window[1:])) < 1e-6
     assert layout.RANK_CHUNK == 8_192
+
+
+def test_spec_windows_do_not_depend_on_chunks(tape, monkeypatch):
+    from tickloom.operators import featurespec
+
+    rng = np.random.default_rng(3)
+    times = np.cumsum(rng.integers(0, 900, 400))
+    ticks = tape([(int(t), float(100 + rng.integers(-9, 9)), 0.5, "ETHUSDT") for t in times])
+    profile = ticks.sparkSession.createDataFrame([("ETHUSDT", 0.0, 0.0, 0.0)], "symbol string, p75 double, p90 double, p99 double")
+    whole = sorted(map(tuple, featurespec.spec_features(ticks, profile).collect()), key=str)
+    monkeypatch.setattr(featurespec, "RANK_CHUNK", 64)
+    assert len(whole) > 300 and sorted(map(tuple, featurespec.spec_features(ticks, profile).collect()), key=str) == whole
