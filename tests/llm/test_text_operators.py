@@ -17,7 +17,7 @@ from llm_rows import STRANGE, lower, mirrored, words
 from pyspark.sql import functions as F
 
 from tickloom.llm import arrays, license_scan, quality_classifier, quality_rules, queries, sentencepiece_codec, warc
-from tickloom.llm.recent import Recent
+from tickloom.llm.recent import Computed, Recent
 
 # ---- words and hashes -----------------------------------------------------------------
 
@@ -339,6 +339,44 @@ def test_pieces_of_strange_rows(strange, nothing, model):
     assert sentencepiece_codec.encode(nothing, model).count() == 0
 
 
+def test_a_word_is_segmented_once_whatever_follows_it(model, library, monkeypatch):
+    seen, way = [], sentencepiece_codec.Vocabulary._by_merges
+    monkeypatch.setattr(sentencepiece_codec.Vocabulary, "_by_merges", lambda self, word: seen.append(word) or way(self, word))
+    coder = sentencepiece_codec.Vocabulary(model)
+    marks = [".", ",", "&&&", ").", "!?", ":", "%%%", ".b", "-b.", "\n", "_", "'s"]
+    text = "".join(f" zweifelhaft{m} 12{m} x²{m}" for m in marks)[1:] + " zweifelhaft"
+    assert coder.encode(text).tolist() == library.encode(text)
+    assert [w for w in seen if "haft" in w] == ["▁zweifelhaft"]
+    assert coder.decode(coder.encode(text)) == text
+
+
+def test_pieces_of_letters_and_marks_stay_whole(model, tmp_path):
+    import sentencepiece
+    from sentencepiece import sentencepiece_model_pb2 as proto
+
+    m = proto.ModelProto()
+    with open(model, "rb") as f:
+        m.ParseFromString(f.read())
+    low = min(p.score for p in m.pieces)
+    for piece, score in (("s.", 1.0), ("1,", 0.5), ("é!", low - 1), ("de?", low - 2)):
+        m.pieces.add(piece=piece, score=score, type=proto.ModelProto.SentencePiece.NORMAL)
+    path = tmp_path / "marks.model"
+    path.write_bytes(m.SerializeToString())
+    coder, other = sentencepiece_codec.Vocabulary(str(path)), sentencepiece.SentencePieceProcessor(model_file=str(path))
+    texts = ["yes. this, 11,1, café! wo. code? de?", "s.s.s. \n s. é!é! . 1,,", "words.", "de. made?!"]
+    assert [coder.encode(t).tolist() for t in texts] == other.encode(texts)
+    assert {len(m.pieces) - 4, len(m.pieces) - 3} <= set(sum(other.encode(texts), []))
+
+
+def test_computed_values_are_bounded():
+    asked = []
+    memory = Computed(3, lambda k: asked.append(k) or k * 2)
+    assert [memory[k] for k in (1, 2, 1, 3, 4, 1, 5, 6, 4)] == [2, 4, 2, 6, 8, 2, 10, 12, 8]
+    assert asked == [1, 2, 3, 4, 5, 6]  # what is asked for again comes from either generation
+    for k in range(100):
+        assert memory[k] == 2 * k and len(memory) <= 3 and len(memory.before) <= 3
+
+
 # ---- WARC -----------------------------------------------------------------------------
 
 

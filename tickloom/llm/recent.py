@@ -1,7 +1,9 @@
-"""A bounded memory of computed values, for one worker."""
+"""Bounded memories of computed values, for one worker."""
 
 from __future__ import annotations
 
+from collections.abc import Callable, Hashable
+
 
 class Recent:
     """Values by key in two generations of at most `most` keys (and one batch) each.
@@ -29,3 +31,21 @@ class Recent:
             else:
                 self.now[k] = v
         return out
+
+
+class Computed(dict):
+    """A memory that computes a value when its key is first looked up, in two generations of at most `most` keys each."""
+
+    def __init__(self, most: int, compute: Callable[[Hashable], object]):
+        super().__init__()
+        self.most, self.compute, self.before = most, compute, {}
+
+    def __missing__(self, key):
+        value = self.before.get(key)
+        if value is None:
+            value = self.compute(key)
+        if len(self) >= self.most:
+            self.before = dict(self)
+            self.clear()
+        self[key] = value
+        return value

@@ -11,8 +11,9 @@ that position.
   position from the first piece that may follow the piece before it, that is, whose pair with it
   merges back into just these two. The pieces found so are the ones that merging in rank order gives.
 
-The text is cut where no piece can lie across: before a space mark, and at characters that are in no
-longer piece. Each worker remembers the ids of a bounded number of such words. A narrow map over whole
+The text is cut where no piece can lie across: before a space mark, at characters that are in no
+longer piece, and between a word's letters and the punctuation after them, if no piece holds such a pair.
+Each worker remembers the ids of a bounded number of such words. A narrow map over whole
 texts: no exchange.
 
 Characters outside the vocabulary become byte pieces where the model has them, else the unknown id.
@@ -28,6 +29,7 @@ from __future__ import annotations
 
 import re
 from functools import cache
+from string import punctuation
 
 import ahocorasick
 import numpy as np
@@ -36,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.llm.arrays import append_columns
-from tickloom.llm.recent import Recent
+from tickloom.llm.recent import Computed
 from tickloom.session import ship
 
 SPACE = "▁"
@@ -44,6 +46,21 @@ MOST_WORDS = 150_000
 MOST_PAIRS = 300_000
 
 
+class Following(dict):
+    """Of one piece, or of a word's start (-1): by id, whether that piece may follow it, computed when first asked for."""
+
+    __slots__ = ("vocabulary", "id", "length")
+
+    def __init__(self, vocabulary: Vocabulary, id: int, length: int):
+        super().__init__()
+        self.vocabulary, self.id, self.length = vocabulary, id, length
+
+    def __missing__(self, right: int) -> bool:
+        found = self.vocabulary.may_follow(self.id, right)
+        self[right] = found
+        return found
+
+
 class Vocabulary:
     """Pieces and scores of a model file, read through the public library."""
 
@@ -55,6 +72,7 @@ class Vocabulary:
         with open(path, "rb") as f:
             model.ParseFromString(f.read())
         self.kind = kind or ("bpe" if model.trainer_spec.model_type == proto.TrainerSpec.BPE else "unigram")
+        self.way = self._by_merges if self.kind == "bpe" else self._by_scores
         self.normalize = None
         if model.normalizer_spec.precompiled_charsmap or model.normalizer_spec.remove_extra_whitespaces:
             self.normalize = sentencepiece.SentencePieceProcessor(model_proto=model.SerializeToString()).normalize
@@ -66,21 +84,31 @@ class Vocabulary:
         self.ids = {p.piece: i for i, p in enumerate(model.pieces) if p.type in usable and p.piece}
         self.unknown = next((i for i, p in enumerate(model.pieces) if p.type == types.UNKNOWN), 0)
         self.bytes = {int(p.piece[3:5], 16): i for i, p in enumerate(model.pieces) if p.type == types.BYTE}
-        self.byte_of = {i: b for b, i in self.bytes.items()}
-        self.silent = {i for i, p in enumerate(model.pieces) if p.type == types.CONTROL}
+        silent = {i for i, p in enumerate(model.pieces) if p.type == types.CONTROL}
+        self.spelled = [b"" if i in silent else p.encode() for i, p in enumerate(self.pieces)]  # what an id decodes to
+        self.spelled[self.unknown] = " ⁇ ".encode()
+        for b, i in self.bytes.items():
+            self.spelled[i] = bytes([b])
         self.ranks = {p: self.scores[i] for p, i in self.ids.items()}
         self.letters = {p for p in self.ids if len(p) == 1}
+        self.start = Following(self, -1, 0)
+        self.follows = [self.start]
+        self.pairs = 0
         self.automaton = ahocorasick.Automaton()
         for piece, i in self.ids.items():
-            self.automaton.add_word(piece, (i, len(piece)))
+            self.follows.append(Following(self, i, len(piece)))
+            self.automaton.add_word(piece, (i, len(piece), self.follows[-1]))
         self.automaton.make_automaton()
         longer = "".join(p for p in self.ids if len(p) > 1)
         # white space other than the mark, if it is in no longer piece, stands alone
         alone = "".join(c for c in "\n\t\r" if c not in longer)
         inner = any(SPACE in p.lstrip(SPACE) for p in self.ids)
-        self.words = None if inner else re.compile(f"{SPACE}*[^{SPACE}{alone}]+|{SPACE}+|[{alone or chr(0)}]", re.S)
-        self.known = Recent(MOST_WORDS)
-        self.follows: dict[int, bool] = {}  # by the two ids in one number
+        # letters and digits that stand before punctuation in a piece are not cut from it
+        bound = {a for p in self.ids for a, b in zip(p, p[1:]) if a.isalnum() and b in punctuation}
+        run = f"[^\\W_{''.join(sorted(bound))}]++(?=[{SPACE}{alone}{re.escape(punctuation)}]|\\Z)"
+        whole = f"{SPACE}*(?:{run}|[^{SPACE}{alone}]+)|{SPACE}+|[{alone or chr(0)}]"
+        self.words = None if inner else re.compile(whole, re.S)
+        self.known = Computed(MOST_WORDS, self._word_ids)
 
     # -- one word -------------------------------------------------------------------
 
@@ -101,34 +129,33 @@ class Vocabulary:
 
     def may_follow(self, left: int, right: int) -> bool:
         """Whether merging the two pieces' characters gives back the two pieces; -1 stands for a word's start."""
-        if len(self.follows) >= MOST_PAIRS:
-            self.follows.clear()
+        if self.pairs >= MOST_PAIRS:
+            for known in self.follows:
+                known.clear()
+            self.pairs = 0
+        self.pairs += 1
         a, b = self.pieces[left] if left >= 0 else "", self.pieces[right]
-        found = self.follows[(left + 1) << 32 | right] = self.merged(a + b) == ([a, b] if a else [b])
-        return found
+        return self.merged(a + b) == ([a, b] if a else [b])
 
     def _by_merges(self, word: str) -> list[int]:
         """Of a word of known characters: each beginning has one last piece, the longest that may follow."""
-        n, follows = len(word), self.follows
-        last, size = [-1] + [None] * n, [0] * (n + 1)
-        for end, (i, length) in self.automaton.iter(word):
-            end += 1
-            if last[end] is None and (before := last[end - length]) is not None:
-                if (found := follows.get((before + 1) << 32 | i)) is None:
-                    found = self.may_follow(before, i)
-                if found:
-                    last[end], size[end] = i, length
-        out = []
-        while n:
-            out.append(last[n])
-            n -= size[n]
+        n = len(word)
+        last = [None] * n + [self.start]  # by the place of its last character; a word's start is at -1
+        for end, (i, length, piece) in self.automaton.iter(word):
+            if last[end] is None and (before := last[end - length]) is not None and before[i]:
+                last[end] = piece
+        out, end = [], n - 1
+        while end >= 0:
+            piece = last[end]
+            out.append(piece.id)
+            end -= piece.length
         return out[::-1]
 
     def _by_scores(self, word: str) -> list[int]:
         """Of a word of known characters: the pieces with the largest sum of scores."""
         n, scores = len(word), self.scores
         best, last, size = [0.0] + [float("-inf")] * n, [0] * (n + 1), [0] * (n + 1)
-        for end, (i, length) in self.automaton.iter(word):
+        for end, (i, length, _) in self.automaton.iter(word):
             end += 1
             if (score := best[end - length] + scores[i]) > best[end]:
                 best[end], last[end], size[end] = score, i, length
@@ -140,9 +167,7 @@ class Vocabulary:
 
     def segment(self, word: str) -> list[int | str]:
         """Piece ids; a character that is no piece stands for itself."""
-        way = self._by_merges if self.kind == "bpe" else self._by_scores
-        if self.letters.issuperset(word):
-            return way(word)
+        way = self.way
         out: list[int | str] = []
         at = 0
         for k, c in enumerate(word):
@@ -153,6 +178,8 @@ class Vocabulary:
         return out + (way(word[at:]) if at < len(word) else [])
 
     def _word_ids(self, word: str) -> bytes:
+        if self.letters.issuperset(word):
+            return np.array(self.way(word), "<u4").tobytes()
         ids = []
         for x in self.segment(word):
             if isinstance(x, int):
@@ -173,21 +200,10 @@ class Vocabulary:
         else:
             marked = self.prefix + text.replace(" ", SPACE)
         words = self.words.findall(marked) if self.words else [marked]
-        for w in self.known.lacking(set(words)):
-            self.known.now[w] = self._word_ids(w)
-        known = self.known.now
-        return np.frombuffer(b"".join(map(known.__getitem__, words)), "<u4")
+        return np.frombuffer(b"".join(map(self.known.__getitem__, words)), "<u4")
 
     def decode(self, ids) -> str:
-        out = bytearray()
-        for i in ids:
-            if i in self.byte_of:
-                out.append(self.byte_of[i])
-            elif i == self.unknown:
-                out += " ⁇ ".encode()
-            elif i not in self.silent:
-                out += self.pieces[i].encode()
-        text = out.decode("utf-8", "replace").replace(SPACE, " ")
+        text = b"".join(map(self.spelled.__getitem__, ids)).decode("utf-8", "replace").replace(SPACE, " ")
         return text[1:] if self.prefix and text.startswith(" ") else text
 
 
