@@ -305,6 +305,31 @@ def test_coder_equals_the_tokenizer(vocabulary):
     assert got == want
 
 
+def test_special_tokens_count_as_written(vocabulary):
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(vocabulary)
+    for text in ("<|ENDOFTEXT|>", "END. x<|StartOfText|>. Of", "<|endoftext|> <|ENDOFTEXT|>.", "<|ENDOFTEXT|", "A<|endoftext|>B."):
+        [got] = packing.WordCoder(vocabulary).encode([text.encode()])
+        assert np.frombuffer(got, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, text
+
+
+def test_a_word_is_encoded_once_whatever_follows_it(vocabulary, monkeypatch):
+    from tokenizers import Tokenizer
+
+    marks = [".", ",", "&&&", ").", "!?", "'s", "'st.", "''", "_", "-b.", "\x1c", "\x00y", "1", "1.", "½.", "–.", "é.", "̸.", "İ.", "\u0958.", "\ufb1d,", "n't"]
+    text = "Rätselhaft " + " ".join(f"Rätselhaft{m} 12{m} Σ{m} K{m}" for m in marks)
+    asked, encode = [], packing.WordCoder._encode
+    monkeypatch.setattr(packing.WordCoder, "_encode", lambda self, parts: asked.extend(parts) or encode(self, parts))
+    coder = packing.WordCoder(vocabulary)
+    [got] = coder.encode([text.encode()])
+    assert np.frombuffer(got, "<u4").tolist() == Tokenizer.from_file(vocabulary).encode(text, add_special_tokens=False).ids
+    before = len(asked)
+    assert asked.count("rätselhaft".encode()) == 1
+    assert coder.known.now.keys().isdisjoint({f"rätselhaft{m}".encode() for m in (".", ",", "&&&", ").", "!?", "'s", "''")})
+    assert coder.encode([text.encode()]) == [got] and len(asked) == before
+
+
 def test_cuts_and_classes():
     for capacity in (1, 16, 100, 4096):
         for length in (1, 2, capacity // 3 + 1, capacity, capacity + 1, 5 * capacity - 1):

@@ -74,9 +74,9 @@ def cut(length: int, capacity: int) -> list[tuple[int, int]]:
 class WordCoder:
     """Ids of texts by a tokenizer that lower-cases and whose parts never reach over white space.
 
-    White space only separates, so a text's ids are those of its words, which come from memory. A new
-    word is split from its closing marks, where the tokenizer splits it in any case. New words of letters
-    are encoded in one string and told apart by the ids that end a word; others one by one.
+    White space only separates, so a text's ids are those of its words, which come from memory. Words are
+    cut after their first letters and digits, and a new word is split from its closing marks, where the tokenizer splits
+    them in any case. New words of letters are encoded in one string and told apart by the ids that end a word; others one by one.
     """
 
     def __init__(self, path: str):
@@ -85,49 +85,63 @@ class WordCoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.like_special = [t.translate(self._LOWER) for t in self.special]
         ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
         ends[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith("</w>")]] = True
         self.ends = ends
+        self.apart: dict[str, bool] = {}
         self.known = Recent(MOST_WORDS)
 
     _CLOSING = re.compile(rb"[!-/:-@\[-`{-~]+$")
     _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
+    #: A run that ends in an ASCII letter or digit, where another ASCII character, white space or the end follows; or a whole word.
+    _WORD = re.compile(rb"[a-z0-9\x80-\xff]++(?<=[a-z0-9])|[^\x09-\x0D ]+")
+
+    def _words(self, text: bytes) -> list[bytes]:
+        low = text.translate(self._LOWER)
+        if any(t in low for t in self.like_special):  # special tokens count as written, so case matters
+            return text.split()
+        return self._WORD.findall(low)
+
+    def _apart(self, c: str) -> bool:
+        """Whether the tokenizer splits a character, normalised, from a mark after it."""
+        if c not in self.apart:
+            normal = self.tokenizer.normalizer.normalize_str(c + ".")
+            self.apart[c] = self.tokenizer.pre_tokenizer.pre_tokenize_str(normal)[-1][0] == "."
+        return self.apart[c]
 
     def _parts(self, word: bytes) -> list[bytes]:
         m = self._CLOSING.search(word)
-        if m and b"'" not in m[0] and word[: m.start()].decode()[-1:].isalpha() and not any(x in word for x in self.special):
+        if m and m.start() and b"'" not in m[0] and self._apart(word[: m.start()].decode()[-1]) and not any(x in word for x in self.special):
             return [word[: m.start()], m[0]]
         return [word]
 
-    def _encode(self, parts: list[bytes]) -> list[bytes]:
+    def _encode(self, parts: list[bytes]) -> dict[bytes, bytes]:
         out = {}
-        letters = [p for p in parts if p.decode().isalpha()]
+        letters = [p for p in parts if p.isalpha() or p.decode().isalpha()]
         for i in range(0, len(letters), 512):
             some = letters[i : i + 512]
             [found] = self.tokenizer.encode_batch_fast([b" ".join(some).decode()], add_special_tokens=False)
             ids = np.array(found.ids, "<u4")
             stops = np.flatnonzero(self.ends[ids]) + 1
             if len(stops) == len(some) and stops[-1] == len(ids):
-                out |= zip(some, (x.tobytes() for x in np.split(ids, stops[:-1])))
+                raw, stops = ids.tobytes(), (4 * stops).tolist()
+                out |= {p: raw[a:b] for p, a, b in zip(some, [0, *stops], stops)}
         rest = [p for p in parts if p not in out]
         got = self.tokenizer.encode_batch_fast([p.decode() for p in rest], add_special_tokens=False)
-        out |= {p: np.array(e.ids, "<u4").tobytes() for p, e in zip(rest, got)}
-        return [out[p] for p in parts]
+        return out | {p: np.array(e.ids, "<u4").tobytes() for p, e in zip(rest, got)}
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Ids of UTF-8 texts as little-endian 32-bit numbers."""
-        split = [(x if any(t in x for t in self.special) else x.translate(self._LOWER)).split() for x in texts]
+        split = [self._words(x) for x in texts]
         words = set()
         words.update(*split)
         lost = self.known.lacking(words)
         if lost:
             known = self.known.now
-            parts = {w: self._parts(w) for w in lost}
-            fresh = list({p for ps in parts.values() for p in ps if p not in known})
-            ids = dict(zip(fresh, self._encode(fresh)))
-            for w, ps in parts.items():
-                known[w] = b"".join(ids[p] if p in ids else known[p] for p in ps)
-            known |= ids
+            parts = {w: ps for w in lost if not w.isalnum() and len(ps := self._parts(w)) > 1}
+            known |= self._encode(list({p for w in lost for p in parts.get(w, (w,)) if p not in known}))
+            known |= {w: b"".join([known[p] for p in ps]) for w, ps in parts.items()}
         known = self.known.now
         return [b"".join(map(known.__getitem__, ws)) for ws in split]
 
