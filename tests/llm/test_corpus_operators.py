@@ -12,7 +12,7 @@ from oracle_check import compare, connect
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tickloom.llm import blocks, exact_dedup, lm_scoring, minhash_dedup, packing, queries, recurrent, substring_dedup
+from tickloom.llm import blocks, exact_dedup, lean, lm_scoring, minhash_dedup, packing, queries, recurrent, substring_dedup
 from tickloom.session import materialize
 
 # ---- packed messages ------------------------------------------------------------------
@@ -527,6 +527,42 @@ def test_stages_leave_unrepeated_texts_alone(spark, sf_dir, documents):
         docs = after
 
 
+def test_stages_bound_what_workers_hold(spark, sf_dir, documents):
+    name, size = corpus_pipeline.BATCH
+    before = spark.conf.get(name, None)
+    try:
+        for own in (None, "9m"):
+            spark.conf.unset(name) if own is None else spark.conf.set(name, own)
+            corpus_pipeline.pack(spark, documents.limit(1), sf_dir)
+            assert spark.conf.get(name) == (own or size)
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
+def test_memories_go_with_their_operator():
+    asked = []
+
+    def made(of):
+        @lean.kept
+        def memory(key):
+            asked.append(of)
+            return key
+
+        return memory
+
+    kept = made("one")
+    owner = lean._KEPT[kept.__wrapped__.__module__]
+    try:
+        kept(1), kept(1)
+        lean.turn_to(kept.__wrapped__.__module__)
+        assert kept(1) and asked == ["one"]
+        lean.turn_to("another operator")
+        assert kept(1) and asked == ["one", "one"]
+    finally:
+        owner.remove(kept)
+    assert packing._coder in lean._KEPT["tickloom.llm.packing"]
+
+
 def test_pipeline_on_strange_rows(spark, sf_dir, strange, nothing):
     for docs, n in ((strange.where("doc_id is not null"), 1), (nothing, 0)):
         columns = docs.columns

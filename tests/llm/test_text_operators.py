@@ -241,6 +241,21 @@ def test_attention_slopes():
         assert (up - down) / 2e-5 == pytest.approx(grads[k][at], rel=1e-3, abs=1e-7), k
 
 
+def test_scoring_holds_little_besides_the_texts():
+    import tracemalloc
+
+    text = b"Lorem ipsum, dolor sit amet. " * 70
+    data, offsets = np.frombuffer(text * 2000, np.uint8), np.arange(2001) * len(text)
+    model = quality_classifier.fit_bags([np.zeros((1, quality_classifier.WIDTH), np.float32), np.ones((1, quality_classifier.WIDTH), np.float32)], np.array([0, 1]), epochs=1)
+    tracemalloc.start()
+    try:
+        y = quality_classifier.scores(model, data, offsets)
+        assert tracemalloc.get_traced_memory()[1] < 30 << 20
+    finally:
+        tracemalloc.stop()
+    assert len(y) == 2000 and np.ptp(y) < 1e-5
+
+
 def test_one_text_scores_alike_in_any_company(corpus):
     raw = [t.encode() for _, t in corpus[:40]]
     offsets = np.concatenate([[0], np.cumsum([len(r) for r in raw])])

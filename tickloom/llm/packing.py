@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
-from tickloom.llm.lean import lean
+from tickloom.llm.lean import kept, lean
 from tickloom.llm.recent import Recent
 from tickloom.session import materialize
 
@@ -146,7 +146,7 @@ class WordCoder:
         return [b"".join(map(known.__getitem__, ws)) for ws in split]
 
 
-@cache
+@kept
 def _coder(path: str) -> WordCoder:
     return WordCoder(path)
 

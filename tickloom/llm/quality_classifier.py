@@ -35,6 +35,8 @@ PASSAGE_WORDS = 48
 TRIGRAMS = 96
 MOST_PASSAGES = 512
 MOST_TEXTS = 4096
+#: Bytes of text that are encoded together; the working arrays are some sixty times as large.
+ENCODED_BYTES = 1 << 18
 #: Passages of all fitted texts together; the driver holds their encodings, 432 bytes each with its working copy.
 MOST_FITTED = 1 << 18
 
@@ -208,7 +210,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str =
     def passages(batches):
         for batch in batches:
             data, offsets = texts(batch.column(1))
-            for i, j in slices(offsets):
+            for i, j in slices(offsets, ENCODED_BYTES):
                 x, first = encode(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
                 ids = [str(batch.column(0)[r]) for r in range(i, j)]
                 yield pa.RecordBatch.from_arrays([
@@ -226,14 +228,17 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str =
     return fit_bags(bags, np.array([r["label"] for r in got], np.int64))
 
 
+def scores(model: Model, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """The score of each of the texts laid end to end."""
+    return np.concatenate([model.score(*encode(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]))
+                           for i, j in slices(offsets, ENCODED_BYTES)])
+
+
 def score(docs: DataFrame, model: Model, text: str = "text", least: float = 0.3) -> DataFrame:
     """`docs` with `score` (0 to 1) and `predicted` (1 if the score is at least `least`)."""
 
     def rows(data: np.ndarray, offsets: np.ndarray, _: pa.RecordBatch) -> dict:
-        parts = []
-        for i, j in slices(offsets, 1 << 20):
-            parts.append(model.score(*encode(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])))
-        y = np.concatenate(parts)
+        y = scores(model, data, offsets)
         return {"score": y, "predicted": (y >= least).astype(np.int32)}
 
     return append_columns(docs, text, "score double, predicted int", rows)
