@@ -330,6 +330,40 @@ def test_a_word_is_encoded_once_whatever_follows_it(vocabulary, monkeypatch):
     assert coder.encode([text.encode()]) == [got] and len(asked) == before
 
 
+def test_a_word_is_looked_up_once_a_slice(vocabulary):
+    class Counted(dict):
+        asked = 0
+
+        def get(self, key, default=None):
+            self.asked += 1
+            return super().get(key, default)
+
+        def __getitem__(self, key):
+            self.asked += 1
+            return super().__getitem__(key)
+
+    coder = packing.WordCoder(vocabulary)
+    texts = [b"one two, Three. two three", b"one"] * 1000
+    want = coder.encode(texts)
+    coder.known.now = Counted(coder.known.now)
+    assert coder.encode(texts) == want
+    assert coder.known.now.asked <= 20
+
+
+def test_coder_keeps_neighbouring_texts_apart(vocabulary):
+    from tokenizers import Tokenizer
+
+    tokenizer, rng = Tokenizer.from_file(vocabulary), np.random.default_rng(3)
+    parts = ["a", "B", "7", "é", "İ", "\u0958", ".", ",", "'s", "'", "-", "(", " ", "\n", "\x0b", "\x1c", "\x85", "word", "😀", "\u0338"]
+    texts = ["".join(rng.choice(parts, rng.integers(0, 9))) for _ in range(3000)]
+    special = [*texts[:50], "x<|endoftext|>.", "<|ENDOFTEXT|>", *texts[50:60]]
+    coder = packing.WordCoder(vocabulary)
+    coder.known.most = 200  # memories change over again and again
+    for some in (texts[:1000], texts[1000:], texts, special, ["", ""], []):
+        want = [e.ids for e in tokenizer.encode_batch(some, add_special_tokens=False)]
+        assert [np.frombuffer(x, "<u4").tolist() for x in coder.encode([t.encode() for t in some])] == want
+
+
 def test_cuts_and_classes():
     for capacity in (1, 16, 100, 4096):
         for length in (1, 2, capacity // 3 + 1, capacity, capacity + 1, 5 * capacity - 1):

@@ -33,6 +33,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
+from tickloom.llm.arrays import LOWER, SEPARATOR, slices, texts
 from tickloom.llm.lean import kept, lean
 from tickloom.llm.recent import Recent
 from tickloom.session import materialize
@@ -41,6 +42,7 @@ CAPACITY = 4096
 END_ID = 2
 WHOLE_BELOW = 16  # a rest of at most capacity / 16 stays whole
 MOST_WORDS = 400_000
+SLICE_BYTES = 2 << 20  # of texts that are coded together
 
 
 @cache
@@ -71,10 +73,16 @@ def cut(length: int, capacity: int) -> list[tuple[int, int]]:
     return out
 
 
+#: What a byte is to the cutting of words: white space, an ASCII letter or digit, another ASCII character, beyond ASCII.
+_SPACE, _LETTER, _MARK, _BEYOND = range(4)
+_KIND = np.array([_SPACE if SEPARATOR[c] else _BEYOND if c > 127 else _LETTER if chr(c).isalnum() else _MARK for c in range(256)], np.uint8)
+
+
 class WordCoder:
     """Ids of texts by a tokenizer that lower-cases and whose parts never reach over white space.
 
-    White space only separates, so a text's ids are those of its words, which come from memory. Words are
+    White space only separates, so a text's ids are those of its words, which come from memory: numpy cuts the words of many
+    texts, Arrow numbers the different ones, and only these are looked up; the ids of all follow by number. Words are
     cut after their first letters and digits, and a new word is split from its closing marks, where the tokenizer splits
     them in any case. New words of letters are encoded in one string and told apart by the ids that end a word; others one by one.
     """
@@ -131,19 +139,61 @@ class WordCoder:
         got = self.tokenizer.encode_batch_fast([p.decode() for p in rest], add_special_tokens=False)
         return out | {p: np.array(e.ids, "<u4").tobytes() for p, e in zip(rest, got)}
 
-    def encode(self, texts: list[bytes]) -> list[bytes]:
-        """Ids of UTF-8 texts as little-endian 32-bit numbers."""
-        split = [self._words(x) for x in texts]
-        words = set()
-        words.update(*split)
+    def _learn(self, words: list[bytes]) -> dict[bytes, bytes]:
+        """Ids of different words that are not remembered yet, and from now on are."""
         lost = self.known.lacking(words)
-        if lost:
-            known = self.known.now
-            parts = {w: ps for w in lost if not w.isalnum() and len(ps := self._parts(w)) > 1}
-            known |= self._encode(list({p for w in lost for p in parts.get(w, (w,)) if p not in known}))
-            known |= {w: b"".join([known[p] for p in ps]) for w, ps in parts.items()}
         known = self.known.now
-        return [b"".join(map(known.__getitem__, ws)) for ws in split]
+        parts = {w: ps for w in lost if not w.isalnum() and len(ps := self._parts(w)) > 1}
+        known |= self._encode(list({p for w in lost for p in parts.get(w, (w,)) if p not in known}))
+        known |= {w: b"".join([known[p] for p in ps]) for w, ps in parts.items()}
+        return known
+
+    def _cut_words(self, data: np.ndarray, offsets: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+        """The words of texts laid end to end, and each text's first word (with the end)."""
+        low = LOWER[data]
+        raw = low.tobytes()
+        if any(t in raw for t in self.like_special):
+            each = [self._words(data[a:b].tobytes()) for a, b in zip(offsets[:-1], offsets[1:])]
+            return pa.array([w for ws in each for w in ws], pa.large_binary()), np.concatenate([[0], np.cumsum([len(ws) for ws in each])])
+        kind = _KIND[low]
+        word = kind != _SPACE
+        begins = word.copy()
+        begins[1:] &= ~word[:-1]
+        border = offsets[:-1][offsets[:-1] < offsets[1:]]
+        begins[border] = word[border]
+        # a word is cut at its first mark, if an ASCII letter or digit stands before that
+        start, marks = np.flatnonzero(begins), np.flatnonzero(kind == _MARK)
+        of = np.searchsorted(start, marks, "right") - 1
+        first = np.ones(len(of), bool)
+        first[1:] = of[1:] != of[:-1]
+        marks, of = marks[first], of[first]
+        begins[marks[(marks > start[of]) & (kind[marks - 1] == _LETTER)]] = True
+        at = np.append(np.flatnonzero(begins[word]), np.count_nonzero(word))
+        first_word = np.searchsorted(np.flatnonzero(begins), offsets)
+        held = [None, pa.py_buffer(at), pa.py_buffer(low[word])]
+        return pa.Array.from_buffers(pa.large_binary(), len(at) - 1, held), first_word
+
+    def ids(self, data: np.ndarray, offsets: np.ndarray) -> tuple[pa.Buffer, np.ndarray]:
+        """Ids of UTF-8 texts laid end to end, as little-endian 32-bit numbers, and the byte where each text's begin (with the end)."""
+        words, first_word = self._cut_words(data, offsets)
+        coded = words.dictionary_encode()
+        _, ends, held = coded.dictionary.buffers()
+        raw, ends = held.to_pybytes() if held else b"", np.frombuffer(ends, np.int64)[: len(coded.dictionary) + 1].tolist()
+        different = [raw[a:b] for a, b in zip(ends, ends[1:])]
+        got = list(map(self.known.now.get, different))
+        if None in got:
+            known = self._learn([w for w, x in zip(different, got) if x is None])
+            got = [known[w] if x is None else x for w, x in zip(different, got)]
+        out = pa.array(got, pa.large_binary()).take(coded.indices)
+        if not len(out):
+            return pa.py_buffer(b""), np.zeros(len(offsets), np.int64)
+        _, ends, ids = out.buffers()
+        return ids, np.frombuffer(ends, np.int64)[out.offset : out.offset + len(out) + 1][first_word]
+
+    def encode(self, texts: list[bytes]) -> list[bytes]:
+        """Ids of UTF-8 texts as little-endian 32-bit numbers."""
+        ids, at = self.ids(np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0, *map(len, texts)]))
+        return [ids[a:b].to_pybytes() for a, b in zip(at[:-1].tolist(), at[1:].tolist())]
 
 
 @kept
@@ -166,7 +216,7 @@ def pieces(docs: DataFrame, tokenizer: str, text: str = "text", capacity: int =
     new = [*StructType.fromDDL(PIECE).names, *StructType.fromDDL(PLACE).names]
     kept = [c for c in docs.columns if c not in new and c != text]
     row = F.struct(*[F.col(f"`{c}`") for c in kept]) if kept else F.struct(F.lit(0).alias("_"))
-    frame = docs.select(row.alias("_row"), F.coalesce(F.col(f"`{text}`"), F.lit("")).cast("binary").alias("_text"))
+    frame = docs.select(row.alias("_row"), F.col(f"`{text}`").cast("string").alias("_text"))
     fields = StructType.fromDDL(f"{PIECE}, {PLACE}").fields
     out = StructType([StructField("_row", frame.schema["_row"].dataType), *fields])
     kinds = {f.name: pa.binary() if f.name == "ids" else pa.int32() if f.name == "step" else pa.int64() for f in fields}
@@ -183,16 +233,19 @@ def pieces(docs: DataFrame, tokenizer: str, text: str = "text", capacity: int =
             return pa.RecordBatch.from_arrays([pa.concat_arrays([r[0] for r in rows]), *columns], names=out.names)
 
         for batch in batches:
-            for i in range(0, batch.num_rows, 256):
-                part, ready = batch.slice(i, 256), []
-                for r, ids in enumerate(_coder(tokenizer).encode(part.column(1).to_pylist())):
-                    ids, total = ids + end, len(ids) // 4 + 1
-                    row = part.column(0).slice(r, 1)
+            data, offsets = texts(batch.column(1))
+            for i, j in slices(offsets, SLICE_BYTES):
+                ids, at = _coder(tokenizer).ids(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
+                at, ready = at.tolist(), []
+                for r in range(i, j):
+                    own = ids[at[r - i] : at[r - i + 1]].to_pybytes() + end
+                    total = len(own) // 4
+                    row = batch.column(0).slice(r, 1)
                     for start, length in cut(total, capacity):
                         step = step_of(length, capacity)
                         open_ = waiting.setdefault(step, [])
                         offset = open_[-1][length_at] + open_[-1][-1] if open_ else 0
-                        open_.append((row, start, length, total, ids[4 * start : 4 * (start + length)], step, worker,
+                        open_.append((row, start, length, total, own[4 * start : 4 * (start + length)], step, worker,
                                       len(open_), None, offset))
                         if len(open_) == step:
                             ready += [(*x[:-2], (worker << RUN_BITS) + done, x[-1]) for x in waiting.pop(step)]
